@@ -1,14 +1,17 @@
 """The registered queries of this subpackage, and their SQL where SQL can express them."""
 
-from terroir.llm import exact_dedup, mixing, simhash
+from terroir.llm import bpe, chat, exact_dedup, mixing, simhash
 
 QUERIES = {
+    "op1_byte_bpe": bpe.op1_byte_bpe,
     "op2_mixing": mixing.op2_mixing,
     "op4_exact_dedup": exact_dedup.op4_exact_dedup,
+    "op7_chat_format": chat.op7_chat_format,
     "op8_simhash": simhash.op8_simhash,
 }
 
 SQL = {
     "op2_mixing": mixing.SQL,
     "op4_exact_dedup": exact_dedup.SQL,
+    "op7_chat_format": chat.SQL,
 }
