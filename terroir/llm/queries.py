@@ -1,6 +1,6 @@
 """The registered queries of this subpackage, and their SQL where SQL can express them."""
 
-from terroir.llm import bpe, chat, exact_dedup, mixing, simhash
+from terroir.llm import bpe, chat, exact_dedup, mixing, phrases, simhash
 
 QUERIES = {
     "op1_byte_bpe": bpe.op1_byte_bpe,
@@ -8,6 +8,7 @@ QUERIES = {
     "op4_exact_dedup": exact_dedup.op4_exact_dedup,
     "op7_chat_format": chat.op7_chat_format,
     "op8_simhash": simhash.op8_simhash,
+    "op10_fingerprints": phrases.op10_fingerprints,
 }
 
 SQL = {
