@@ -1,10 +1,11 @@
 """The registered queries of this subpackage, and their SQL where SQL can express them."""
 
-from terroir.llm import bpe, chat, exact_dedup, mixing, phrases, simhash
+from terroir.llm import bpe, chat, exact_dedup, licenses, mixing, phrases, simhash
 
 QUERIES = {
     "op1_byte_bpe": bpe.op1_byte_bpe,
     "op2_mixing": mixing.op2_mixing,
+    "op3_license_scan": licenses.op3_license_scan,
     "op4_exact_dedup": exact_dedup.op4_exact_dedup,
     "op7_chat_format": chat.op7_chat_format,
     "op8_simhash": simhash.op8_simhash,
@@ -13,6 +14,7 @@ QUERIES = {
 
 SQL = {
     "op2_mixing": mixing.SQL,
+    "op3_license_scan": licenses.SQL,
     "op4_exact_dedup": exact_dedup.SQL,
     "op7_chat_format": chat.SQL,
 }
