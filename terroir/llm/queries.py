@@ -1,12 +1,13 @@
 """The registered queries of this subpackage, and their SQL where SQL can express them."""
 
-from terroir.llm import bpe, chat, exact_dedup, licenses, mixing, phrases, simhash
+from terroir.llm import bpe, chat, exact_dedup, licenses, mixing, phrases, simhash, token_file
 
 QUERIES = {
     "op1_byte_bpe": bpe.op1_byte_bpe,
     "op2_mixing": mixing.op2_mixing,
     "op3_license_scan": licenses.op3_license_scan,
     "op4_exact_dedup": exact_dedup.op4_exact_dedup,
+    "op5_token_file": token_file.op5_token_file,
     "op7_chat_format": chat.op7_chat_format,
     "op8_simhash": simhash.op8_simhash,
     "op10_fingerprints": phrases.op10_fingerprints,
