@@ -20,12 +20,20 @@ def text_of(column: str = "text") -> Column:
     return F.coalesce(F.col(column), F.lit(""))
 
 
+def checkpoint_folder(spark: SparkSession) -> str:
+    """The folder that all machines share: ``spark.checkpoint.dir``, or one of our own only if that is unset."""
+    given = spark.conf.get("spark.checkpoint.dir", None)
+    if given:
+        return given
+    if not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="spark-checkpoint-"))
+    return spark.sparkContext.getCheckpointDir()
+
+
 def checkpoint(df: DataFrame) -> DataFrame:
     """``df`` written once to the shared checkpoint folder, so that several readers (and retries after a
-    lost executor) start from files. The folder is ``spark.checkpoint.dir``; one of our own only if unset."""
-    spark = df.sparkSession
-    if not spark.conf.get("spark.checkpoint.dir", None) and not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="spark-checkpoint-"))
+    lost executor) start from files."""
+    checkpoint_folder(df.sparkSession)
     return df.checkpoint()
 
 

@@ -1,6 +1,6 @@
 """The registered queries of this subpackage, and their SQL where SQL can express them."""
 
-from terroir.llm import bpe, chat, exact_dedup, licenses, mixing, phrases, simhash, token_file
+from terroir.llm import bpe, chat, exact_dedup, licenses, mixing, phrases, simhash, suffix_dedup, token_file, toxicity
 
 QUERIES = {
     "op1_byte_bpe": bpe.op1_byte_bpe,
@@ -8,8 +8,10 @@ QUERIES = {
     "op3_license_scan": licenses.op3_license_scan,
     "op4_exact_dedup": exact_dedup.op4_exact_dedup,
     "op5_token_file": token_file.op5_token_file,
+    "op6_suffix_dedup": suffix_dedup.op6_suffix_dedup,
     "op7_chat_format": chat.op7_chat_format,
     "op8_simhash": simhash.op8_simhash,
+    "op9_toxicity": toxicity.op9_toxicity,
     "op10_fingerprints": phrases.op10_fingerprints,
 }
 

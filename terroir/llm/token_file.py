@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terroir.llm.common import checkpoint, documents, text_of
+from terroir.llm.common import checkpoint_folder, documents, text_of
 from terroir.llm.textblocks import Pieces, blocks
 
 END = 2
@@ -189,8 +189,7 @@ def read(spark: SparkSession, folder: str) -> DataFrame:
 
 def new_folder(spark: SparkSession) -> str:
     """A folder not yet used, beside the checkpoints, which all machines share."""
-    checkpoint(spark.range(0))  # sets the folder where it is unset
-    return f"{spark.sparkContext.getCheckpointDir()}/token-file-{uuid.uuid4()}"
+    return f"{checkpoint_folder(spark)}/token-file-{uuid.uuid4()}"
 
 
 def tokenizer_file() -> str:
