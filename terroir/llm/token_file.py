@@ -19,6 +19,7 @@ from __future__ import annotations
 import os
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,7 +33,9 @@ from terroir.llm.textblocks import Pieces, blocks
 
 END = 2
 #: Ids in a block, but for one that a longer document has to itself.
-BLOCK_IDS = 1 << 20
+BLOCK_IDS = 1 << 19
+#: Distinct pieces that a worker keeps, and bytes of text that it takes at a time.
+PIECES, BYTES = 300_000, 4 << 20
 _LENGTHS = np.array([[(c >> 2 * k & 3) + 1 for k in range(4)] for c in range(256)], np.uint8)
 _MASK = np.array([0, 0xFF, 0xFFFF, 0xFFFFFF, 0xFFFFFFFF], np.uint32)
 
@@ -69,12 +72,19 @@ class _Encoder:
         if not isinstance(self.tokenizer.pre_tokenizer, pre_tokenizers.ByteLevel) or self.tokenizer.normalizer:
             raise ValueError("a byte-level tokenizer without a normalizer is needed")
         self.special = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.pieces = Pieces(self._make)
+        self.pieces = Pieces(self._make, PIECES)
+        # the byte-level alphabet: printable characters stand for themselves, other bytes for those from 256 on
+        plain = {b: chr(b) for b in range(256) if chr(b).isprintable() and b != 0x20}
+        rest = (b for b in range(256) if b not in plain)
+        self.alphabet = str.maketrans({chr(b): c for b, c in plain.items()} | {chr(b): chr(256 + i) for i, b in enumerate(rest)})
 
     def _make(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        found = [e.ids for e in self.tokenizer.encode_batch_fast([p.decode() for p in pieces], add_special_tokens=False)]
-        ends = np.concatenate(([0], np.cumsum([len(x) for x in found])))
-        return np.fromiter((i for x in found for i in x), np.int32, int(ends[-1])), ends
+        """The ids of pieces, which the tokenizer's splitter would leave whole, by its model alone."""
+        tokenize, ids, ends = self.tokenizer.model.tokenize, array("i"), [0]
+        for piece in pieces:
+            ids.extend([t.id for t in tokenize(piece.decode("latin-1").translate(self.alphabet))])
+            ends.append(len(ids))
+        return np.array(ids, np.int32), np.array(ends, np.int64)
 
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the documents of a block, each followed by the end id, and their number for each document."""
@@ -106,7 +116,7 @@ def count_ids(texts: DataFrame, tokenizer: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(0, np.int64)
         for batch in batches:
-            for _, _, data, offsets in blocks(batch, "text"):
+            for _, _, data, offsets in blocks(batch, "text", BYTES):
                 n = np.bincount(_encoder(tokenizer).encode(data, offsets)[0], minlength=len(total))
                 n[: len(total)] += total
                 total = n
@@ -142,7 +152,7 @@ def write(df: DataFrame, folder: str, tokenizer: str, id_col: str = "doc_id", te
             )
 
         for batch in batches:
-            for a, b, data, offsets in blocks(batch, "text"):
+            for a, b, data, offsets in blocks(batch, "text", BYTES):
                 ids, counts = _encoder(tokenizer).encode(data, offsets)
                 ranks, at = shared.value[ids], 0
                 for doc, n in zip(batch.column("doc_id").slice(a, b - a).to_pylist(), counts.tolist(), strict=True):
@@ -164,7 +174,7 @@ def write(df: DataFrame, folder: str, tokenizer: str, id_col: str = "doc_id", te
 
 
 def read(spark: SparkSession, folder: str) -> DataFrame:
-    """One row per document of a file: doc_id, start, ids."""
+    """One row per document of a file: doc_id, start, ids, crc32 (of the ids as little-endian 32-bit integers)."""
     tokens = spark.read.parquet(f"{folder}/tokens")
     ranked = [r["id"] for r in spark.read.parquet(f"{folder}/ranks").orderBy("rank").collect()]
     shared = spark.sparkContext.broadcast(np.array(ranked, np.int32))
@@ -180,11 +190,12 @@ def read(spark: SparkSession, folder: str) -> DataFrame:
             for first, docs, counts, control, data in zip(*(batch.column(c).to_pylist() for c in ("first", "doc_ids", "counts", "control", "data")), strict=True):
                 bounds = np.concatenate(([0], np.cumsum(counts)))
                 ids = shared.value[unpack(control, data, int(bounds[-1]))]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(docs, pa.int64()), pa.array(first + bounds[:-1]), pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(ids))], names=["doc_id", "start", "ids"]
-                )
+                raw = ids.astype("<u4").tobytes()
+                crc = [zlib.crc32(raw[4 * a : 4 * b]) for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)]
+                lists = pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(ids))
+                yield pa.RecordBatch.from_arrays([pa.array(docs, pa.int64()), pa.array(first + bounds[:-1]), lists, pa.array(crc, pa.int64())], names=["doc_id", "start", "ids", "crc32"])
 
-    return placed.select("first", "doc_ids", "counts", "control", "data").mapInArrow(run, "doc_id long, start long, ids array<int>")
+    return placed.select("first", "doc_ids", "counts", "control", "data").mapInArrow(run, "doc_id long, start long, ids array<int>, crc32 long")
 
 
 def new_folder(spark: SparkSession) -> str:
@@ -201,9 +212,4 @@ def tokenizer_file() -> str:
 def op5_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = new_folder(spark)
     write(documents(spark, sf_dir), folder, tokenizer_file())
-
-    @F.pandas_udf("long")
-    def crc32(ids):
-        return ids.map(lambda x: zlib.crc32(np.asarray(x, "<u4").tobytes()))
-
-    return read(spark, folder).select("doc_id", "start", F.size("ids").cast("long").alias("n_tokens"), crc32("ids").alias("ids_crc32"))
+    return read(spark, folder).select("doc_id", "start", F.size("ids").cast("long").alias("n_tokens"), F.col("crc32").alias("ids_crc32"))
