@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from terroir.plans import analysis, scalars
+from terroir.plans import analysis, evidence, names, scalars, trends
 
-MODULES = (analysis, scalars)
+MODULES = (analysis, scalars, names, evidence, trends)
 
 
 def queries() -> dict:
