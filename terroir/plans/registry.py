@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from terroir.plans import analysis, evidence, names, scalars, trends
+from terroir.plans import analysis, evidence, files, names, scalars, streams, trends
 
-MODULES = (analysis, scalars, names, evidence, trends)
+MODULES = (analysis, scalars, names, evidence, trends, files, streams)
 
 
 def queries() -> dict:

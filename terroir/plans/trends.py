@@ -52,7 +52,7 @@ def _(t):
     return monthly(t).groupBy("c_nationkey").agg(F.count_if(now).alias("recent"), F.count_if(before).alias("prior"))
 
 
-@query("e11_quantile_buckets", "WITH n AS (SELECT l_partkey, count(*) AS n FROM lineitem GROUP BY 1), r AS (SELECT n, row_number() OVER (ORDER BY n) - 1 AS at, count(*) OVER () AS total FROM n), b AS (SELECT n AS b FROM r WHERE at IN (total * 1 // 5, total * 2 // 5, total * 3 // 5, total * 4 // 5)) SELECT l_partkey, n, (SELECT count(*) FROM b WHERE b < n)::INT AS bucket FROM n")
+@query("e11_quantile_buckets", "WITH n AS (SELECT l_partkey, count(*) AS n FROM lineitem GROUP BY 1), r AS (SELECT n, row_number() OVER (ORDER BY n) - 1 AS pl, count(*) OVER () AS total FROM n), b AS (SELECT n AS b FROM r WHERE pl IN (total * 1 // 5, total * 2 // 5, total * 3 // 5, total * 4 // 5)) SELECT l_partkey, n, (SELECT count(*) FROM b WHERE b < n)::INT AS bucket FROM n")
 def _(t):
     return I.quantile_buckets(t.lineitem.groupBy("l_partkey").agg(N()), "n")
 
