@@ -26,10 +26,11 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terroir.llm.common import checkpoint, documents, text_of
+from terroir.llm.common import checkpoint, documents, text_of, written
 from terroir.llm.textblocks import blocks
 
 LENGTH = 200
@@ -126,6 +127,23 @@ def stretches(docs: DataFrame, length: int = LENGTH, seed: int = SEED) -> DataFr
     return docs.select("doc_id", "mark", "text").mapInArrow(run, "sig long, content long, doc_id long, mark int, start int, windows short")
 
 
+def packed(docs: DataFrame) -> DataFrame:
+    """doc_id, mark, packed: texts as Zstandard frames, which halves what a shuffle of whole texts moves."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pack = zstandard.ZstdCompressor(level=3).compress
+        for batch in batches:
+            texts = batch.column("text")
+            frames = pa.array([pack(texts[i].as_buffer()) for i in range(len(texts))], pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("mark"), frames], names=["doc_id", "mark", "packed"])
+
+    return docs.select("doc_id", "mark", "text").mapInArrow(run, "doc_id long, mark int, packed binary")
+
+
+def _unpacked(frame: pa.Scalar) -> bytes:
+    return zstandard.ZstdDecompressor().decompress(frame.as_buffer())
+
+
 def suffix_order(text: np.ndarray, starts: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
     """The order of the suffixes at ``starts`` by their first ``length`` bytes, and the length (at most ``length``)
     that each shares with the one before it. Ranks of 8-byte prefixes are doubled; shared lengths are exact up to
@@ -266,7 +284,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, keep: str = "none", se
     """From rows (doc_id, mark, text): the spans (doc_id, mark, begin, end) of bytes to remove; they may overlap."""
     found = stretches(docs, length, seed)
     shared = found.groupBy("sig").count().filter("count > 1").select("sig")
-    candidates = checkpoint(found.join(shared, "sig", "left_semi"))
+    candidates = written(found.join(shared, "sig", "left_semi"))
     place = F.struct(F.col("doc_id").isNotNull().alias("known"), "doc_id", "mark", "start", "windows")
     contents = checkpoint(candidates.groupBy("sig", "content").agg(F.count(F.lit(1)).alias("n"), F.min(place).alias("first")))
     often = contents.filter("n > 1").select("sig", "content", "first")
@@ -282,14 +300,14 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, keep: str = "none", se
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.binary()]
         for batch in batches:
-            texts = batch.column("text")
+            texts = batch.column("packed")
             for i, (doc, mark, want) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("doc_id", "mark", "wanted")), strict=True)):
-                raw = texts[i].as_buffer().to_pybytes()
+                raw = _unpacked(texts[i])
                 rows = [(w["sig"], w["contents"], doc, mark, w["start"], w["windows"], raw[w["start"] : w["start"] + w["windows"] + length - 1]) for w in want]
                 yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=["sig", "contents", "doc_id", "mark", "start", "windows", "slice"])
 
-    once = docs.join(lists, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("mark") == F.col("__mark")))
-    fetched = checkpoint(once.select("doc_id", "mark", "text", "wanted").mapInArrow(cut, "sig long, contents long, doc_id long, mark int, start int, windows int, slice binary"))
+    once = packed(docs).join(lists, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("mark") == F.col("__mark")))
+    fetched = written(once.select("doc_id", "mark", "packed", "wanted").mapInArrow(cut, "sig long, contents long, doc_id long, mark int, start int, windows int, slice binary"))
     return whole.unionByName(_by_suffixes(fetched.filter(F.col("contents") <= many), length, keep)).unionByName(_by_counting(fetched.filter(F.col("contents") > many), length, keep))
 
 
@@ -301,14 +319,14 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     docs = df.select(F.col(id_col).cast("long").alias("doc_id"), F.hash(text).alias("mark"), text.alias("text"))
     spans = repeated_spans(docs, length, keep, seed, many).groupBy("doc_id", "mark").agg(F.collect_list(F.struct("begin", "end")).alias("spans"))
     spans = spans.select(F.col("doc_id").alias("__id"), F.col("mark").alias("__mark"), "spans")
-    joined = docs.join(spans, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("mark") == F.col("__mark")), "left").select("doc_id", "text", "spans")
+    joined = packed(docs).join(spans, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("mark") == F.col("__mark")), "left").select("doc_id", "packed", "spans")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, texts, spans = (batch.column(c) for c in ("doc_id", "text", "spans"))
+            ids, texts, spans = (batch.column(c) for c in ("doc_id", "packed", "spans"))
             n, removed, runs, kept = [], [], [], []
             for i in range(batch.num_rows):
-                raw = texts[i].as_buffer().to_pybytes()
+                raw = _unpacked(texts[i])
                 n.append(len(raw))
                 if not spans[i].is_valid:
                     removed.append(0)
