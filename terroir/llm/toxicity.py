@@ -205,8 +205,9 @@ def learn_terms(sample: DataFrame, terms: int = TERMS) -> list[tuple[str, bool,
     """Words and beginnings of words that mark toxic documents, with their log odds."""
     words = F.array_distinct(F.filter(F.split(F.lower("text"), r"[^\p{L}\p{N}]+"), lambda w: F.length(w) >= 3))
     worded = sample.select("toxic", words.alias("words")).filter(F.size("words") > 0)
-    # similar documents share the smallest hash of their words
-    worded = worded.withColumn("group", F.array_min(F.transform("words", lambda w: F.xxhash64(w))))
+    # similar documents share the smallest hash of three neighbouring words
+    places = F.sequence(F.lit(1), F.greatest(F.size("words") - 2, F.lit(1)))
+    worded = worded.withColumn("group", F.array_min(F.transform(places, lambda i: F.xxhash64(F.array_join(F.slice(F.col("words"), i, F.lit(3)), " ")))))
     stems = [F.transform(F.filter("words", lambda w, k=k: F.length(w) >= k), lambda w, k=k: F.concat(F.substring(w, 1, k), F.lit("*"))) for k in STEMS]
     units = worded.select("toxic", "group", F.explode(F.array_distinct(F.concat("words", *stems))).alias("unit")).distinct()
     bad, good = (r or 0 for r in worded.agg(F.countDistinct(F.when(F.col("toxic") == 1, F.col("group"))), F.countDistinct(F.when(F.col("toxic") == 0, F.col("group")))).first())
