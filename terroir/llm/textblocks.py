@@ -18,7 +18,7 @@ OTHER, LETTER, NUMBER, SPACE = 0, 1, 2, 3
 #: The characters with the Unicode property White_Space.
 WHITE_SPACE = [*range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
 #: Bytes of text that are split at a time; a longer document is a block of its own.
-BLOCK = 6 << 20
+BLOCK = 3 << 20
 
 
 @cache
@@ -116,7 +116,7 @@ class Pieces:
     than ``most`` pieces, so that memory stays bounded on any input.
     """
 
-    def __init__(self, make, most: int = 600_000):
+    def __init__(self, make, most: int = 300_000):
         self.make, self.most = make, most
         self.clear()
 
