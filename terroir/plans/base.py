@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from terroir.operators.common import checked_broadcast
+
 STATUS = {"F": "registered", "O": "pending", "P": "inactive"}
 
 
@@ -24,25 +26,26 @@ class Tables:
 
 def masters(t: Tables) -> DataFrame:
     """Regions: code, region, province."""
-    return t.nation.join(F.broadcast(t.region), F.col("n_regionkey") == F.col("r_regionkey")).select(F.col("n_nationkey").alias("code"), F.col("n_name").alias("region"), F.col("r_name").alias("province"))
+    return t.nation.join(t.region, F.col("n_regionkey") == F.col("r_regionkey")).select(F.col("n_nationkey").alias("code"), F.col("n_name").alias("region"), F.col("r_name").alias("province"))
 
 
 def records(t: Tables) -> DataFrame:
-    """One row per activity record line. Dimension tables of nations are small by nature and left to the
-    optimiser, as are the joins to part and supplier: it broadcasts only what is below its threshold."""
-    place = masters(t)
-    seller = t.supplier.join(F.broadcast(place), F.col("s_nationkey") == F.col("code")).select(F.col("s_suppkey").alias("l_suppkey"), "region", "province")
-    buyer = t.customer.join(F.broadcast(place), F.col("c_nationkey") == F.col("code")).select(
-        F.col("c_custkey").alias("o_custkey"), F.col("region").alias("app_region"), F.col("province").alias("app_province"), F.col("c_mktsegment").alias("segment")
-    )
+    """One row per activity record line. The region master is broadcast if its size allows; the joins to orders,
+    customer, part and supplier are left to the optimiser, which knows the sizes of the plain tables."""
+    place = checked_broadcast(masters(t))
+    seller = place.select(F.col("code").alias("s_nationkey"), "region", "province")
+    buyer = place.select(F.col("code").alias("c_nationkey"), F.col("region").alias("app_region"), F.col("province").alias("app_province"))
     status = F.create_map(*[F.lit(x) for kv in STATUS.items() for x in kv])[F.col("o_orderstatus")]
     lines = t.lineitem.select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_shipdate")
     orders = t.orders.select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate")
+    customers = t.customer.select(F.col("c_custkey").alias("o_custkey"), "c_nationkey", F.col("c_mktsegment").alias("segment"))
     return (
         lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-        .join(buyer, "o_custkey")
+        .join(customers, "o_custkey")
         .join(t.part.select(F.col("p_partkey").alias("l_partkey"), "p_name", "p_type", "p_size"), "l_partkey")
-        .join(seller, "l_suppkey")
+        .join(t.supplier.select(F.col("s_suppkey").alias("l_suppkey"), "s_nationkey"), "l_suppkey")
+        .join(buyer, "c_nationkey")
+        .join(seller, "s_nationkey")
         .select(
             "region", "province", F.col("p_name").alias("item"), F.col("p_type").alias("kind"), F.col("p_size").alias("class"),
             F.col("l_orderkey").alias("app"), F.col("l_linenumber").alias("line"), F.col("l_partkey").alias("part"), F.col("l_suppkey").alias("supp"),

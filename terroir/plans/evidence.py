@@ -10,6 +10,7 @@ from terroir.functions import values as V
 from terroir.operators import enrich as E
 from terroir.operators import rows as R
 from terroir.operators import snapshot as N
+from terroir.operators.common import checked_broadcast
 from terroir.plans.base import FIRSTS, RECORDS, Tables, masters, records
 
 QUERIES, SQL = {}, {}
@@ -93,7 +94,7 @@ def _(t):
 def _(t):
     facts = records(t).filter("app % 10 = 0").groupBy("item", "app").agg(F.min("app_region").alias("app_region"))
     entries = masters(t).filter("code < 5").select("region").withColumn("k", lit(1))
-    items = facts.select("item").distinct().withColumn("k", lit(1)).join(F.broadcast(entries), "k").drop("k")  # entries by query key
+    items = facts.select("item").distinct().withColumn("k", lit(1)).join(checked_broadcast(entries), "k").drop("k")  # entries by query key
     return items.join(facts, "item").groupBy("region", "item").agg(F.count_if(c("app_region") == c("region")).alias("inside"), F.count_if(c("app_region") != c("region")).alias("outside"))
 
 
@@ -141,7 +142,7 @@ def _(t):
 
 @query("c25_evidence_expansion", "SELECT p_partkey, coalesce(place, 'nationwide') AS place FROM (SELECT p_partkey FROM part) LEFT JOIN (SELECT DISTINCT l_partkey AS p_partkey, n_name AS place FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey WHERE l_partkey % 3 = 0) USING (p_partkey)")
 def _(t):
-    ev = t.lineitem.filter("l_partkey % 3 = 0").join(t.supplier, c("l_suppkey") == c("s_suppkey")).join(F.broadcast(t.nation), c("s_nationkey") == c("n_nationkey")).select(c("l_partkey").alias("p_partkey"), c("n_name").alias("place")).distinct()
+    ev = t.lineitem.filter("l_partkey % 3 = 0").join(t.supplier, c("l_suppkey") == c("s_suppkey")).join(checked_broadcast(t.nation), c("s_nationkey") == c("n_nationkey")).select(c("l_partkey").alias("p_partkey"), c("n_name").alias("place")).distinct()
     return E.evidence_expansion(t.part.select("p_partkey"), ev, "p_partkey", "place", "nationwide")
 
 
@@ -278,7 +279,7 @@ def _(t):
 
 @query("d23_region_merge", "SELECT r_name, count(*) AS n, string_agg(DISTINCT c_mktsegment, '|' ORDER BY c_mktsegment) AS sources, CASE WHEN bool_or(c_acctbal < -900) THEN 'blocked' WHEN bool_or(c_acctbal < 0) THEN 'partial' ELSE 'available' END AS worst FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey GROUP BY r_name")
 def _(t):
-    rows = t.customer.join(F.broadcast(masters(t)), c("c_nationkey") == c("code"))
+    rows = t.customer.join(checked_broadcast(masters(t)), c("c_nationkey") == c("code"))
     rank = F.when(c("c_acctbal") < -900, 2).when(c("c_acctbal") < 0, 1).otherwise(0)
     worst = F.max(rank)
     return rows.groupBy(c("province").alias("r_name")).agg(F.count(lit(1)).alias("n"), arrayed(F.array_sort(F.collect_set("c_mktsegment"))).alias("sources"), F.when(worst == 2, "blocked").when(worst == 1, "partial").otherwise("available").alias("worst"))
@@ -409,7 +410,7 @@ def _(t):
 
 @query("b36_validation_rows", "SELECT s_suppkey, n_name AS region, 'reference brand ' || s_name AS reason, true AS validation_only FROM supplier JOIN nation ON s_nationkey = n_nationkey ORDER BY s_suppkey LIMIT 50")
 def _(t):
-    return t.supplier.join(F.broadcast(t.nation), c("s_nationkey") == c("n_nationkey")).orderBy("s_suppkey").limit(50).select("s_suppkey", c("n_name").alias("region"), F.concat(lit("reference brand "), "s_name").alias("reason"), lit(True).alias("validation_only"))
+    return t.supplier.join(checked_broadcast(t.nation), c("s_nationkey") == c("n_nationkey")).orderBy("s_suppkey").limit(50).select("s_suppkey", c("n_name").alias("region"), F.concat(lit("reference brand "), "s_name").alias("reason"), lit(True).alias("validation_only"))
 
 
 @query("f03_review_top", "SELECT p_partkey, p_size FROM part WHERE p_type = 'PROMO' ORDER BY p_size DESC, p_partkey LIMIT 20")
@@ -494,7 +495,7 @@ def _(t):
 
 @query("a25_source_metadata", "SELECT p_partkey, r_name AS source_name FROM part LEFT JOIN region ON p_size % 7 = r_regionkey")
 def _(t):
-    return t.part.withColumn("r_regionkey", c("p_size") % 7).join(F.broadcast(t.region), "r_regionkey", "left").select("p_partkey", c("r_name").alias("source_name"))
+    return t.part.withColumn("r_regionkey", c("p_size") % 7).join(checked_broadcast(t.region), "r_regionkey", "left").select("p_partkey", c("r_name").alias("source_name"))
 
 
 @query("a26_linked_evidence", "SELECT p_partkey, CASE WHEN p_size % 3 = 0 THEN p_name WHEN p_size % 3 = 1 AND p_partkey % 2 = 0 THEN p_name END AS linked, CASE WHEN p_size % 3 = 0 THEN 'alias' WHEN p_size % 3 = 1 AND p_partkey % 2 = 0 THEN 'exact' ELSE 'unmatched' END AS link FROM part")

@@ -8,6 +8,7 @@ from pyspark.sql.window import Window as W
 from terroir.functions import text as X
 from terroir.operators import items as I
 from terroir.operators import regions as G
+from terroir.operators.common import checked_broadcast
 from terroir.plans.base import Tables, masters
 
 QUERIES, SQL = {}, {}
@@ -36,7 +37,7 @@ def texts(t):
         F.when(k == 0, F.concat_ws(" ", "province", "region", "c_name")).when(k == 1, F.col("region")).when(k == 2, F.concat(F.lit("OLD_"), "code")).when(k == 3, F.col("province"))
         .when(k == 4, F.concat(F.lit("in "), "province")).otherwise(F.concat(F.lit("nowhere "), "c_name"))
     )
-    rows = t.customer.join(F.broadcast(m), F.col("c_nationkey").cast("string") == F.col("code")).select(text.alias("text"), F.when(F.col("c_custkey") % 12 == 5, F.col("code")).alias("code"))
+    rows = t.customer.join(checked_broadcast(m), F.col("c_nationkey").cast("string") == F.col("code")).select(text.alias("text"), F.when(F.col("c_custkey") % 12 == 5, F.col("code")).alias("code"))
     return rows.distinct(), m
 
 
@@ -45,7 +46,7 @@ def formers(m):
 
 
 def addresses(t):
-    return t.customer.join(F.broadcast(masters(t)), F.col("c_nationkey") == F.col("code")).select("c_custkey", F.concat_ws(" ", "province", "region", "c_name").alias("text")), masters(t)
+    return t.customer.join(checked_broadcast(masters(t)), F.col("c_nationkey") == F.col("code")).select("c_custkey", F.concat_ws(" ", "province", "region", "c_name").alias("text")), masters(t)
 
 
 @query("c01_region_cascade", "WITH " + TEXTS + """, d AS (SELECT DISTINCT text, code FROM txt),
@@ -114,14 +115,14 @@ def _(t):
 
 @query("e02_longest_ties", "WITH k AS (SELECT p_name, n_name, rank() OVER (PARTITION BY p_name ORDER BY length(n_name) DESC) AS k FROM (SELECT DISTINCT p_name FROM part) CROSS JOIN nation WHERE left(n_name, 1) = upper(left(p_name, 1)) OR n_nationkey < 12) SELECT p_name, n_name FROM k WHERE k = 1")
 def _(t):
-    pairs = t.part.select("p_name").distinct().join(F.broadcast(t.nation), (F.left("n_name", F.lit(1)) == F.upper(F.left("p_name", F.lit(1)))) | (F.col("n_nationkey") < 12))
+    pairs = t.part.select("p_name").distinct().join(checked_broadcast(t.nation), (F.left("n_name", F.lit(1)) == F.upper(F.left("p_name", F.lit(1)))) | (F.col("n_nationkey") < 12))
     return pairs.withColumn("k", F.rank().over(W.partitionBy("p_name").orderBy(F.desc(F.length("n_name"))))).filter("k = 1").select("p_name", "n_name")
 
 
 @query("c11_region_relation", """SELECT o_orderkey, CASE WHEN cn.n_regionkey <> sn.n_regionkey THEN 'outside' WHEN c_custkey % 4 <> 0 AND cn.n_name <> sn.n_name THEN 'outside' ELSE 'inside' END AS relation,
  CASE WHEN c_custkey % 4 <> 0 THEN 'region' ELSE 'province' END AS level FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation cn ON c_nationkey = cn.n_nationkey JOIN nation sn ON o_orderkey % 25 = sn.n_nationkey""")
 def _(t):
-    m = F.broadcast(masters(t))
+    m = checked_broadcast(masters(t))
     rows = t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey")).join(m, F.col("c_nationkey") == F.col("code")).withColumn("ar", F.when(F.col("c_custkey") % 4 != 0, F.col("region"))).withColumnRenamed("province", "ap").drop("code", "region")
     rows = rows.join(m, F.col("o_orderkey") % 25 == F.col("code"))
     return rows.select("o_orderkey", *G.relation(F.col("region"), F.col("province"), F.col("ar"), F.col("ap")))
@@ -225,7 +226,7 @@ x AS (SELECT region, first, item, list_max([length(s) FOR s IN [' ' || 'ring', '
 b AS (SELECT DISTINCT split_part(p_name, ' ', 1) AS item FROM part)
 SELECT region, base, suffix, first FROM (SELECT *, row_number() OVER (PARTITION BY region, base ORDER BY first) AS k FROM k WHERE base IN (SELECT item FROM b) AND NOT EXISTS (SELECT 1 FROM r WHERE r.region = k.region AND r.item = k.base)) WHERE k = 1""")
 def _(t):
-    rows = t.lineitem.join(t.part, F.col("l_partkey") == F.col("p_partkey")).join(t.supplier, F.col("l_suppkey") == F.col("s_suppkey")).join(F.broadcast(t.nation), F.col("s_nationkey") == F.col("n_nationkey"))
+    rows = t.lineitem.join(t.part, F.col("l_partkey") == F.col("p_partkey")).join(t.supplier, F.col("l_suppkey") == F.col("s_suppkey")).join(checked_broadcast(t.nation), F.col("s_nationkey") == F.col("n_nationkey"))
     rows = rows.groupBy(F.col("n_name").alias("region"), F.col("p_name").alias("item")).agg(F.min("l_orderkey").alias("first"))
     bases = t.part.select(F.split_part("p_name", F.lit(" "), F.lit(1)).alias("item"))
     return I.derived_rows(rows, bases, [" ring", "ng", " bolt"], ["nothing"], "first")

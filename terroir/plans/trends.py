@@ -7,6 +7,7 @@ from pyspark.sql.window import Window as W
 
 from terroir.functions.values import safe_rate
 from terroir.operators import insights as I
+from terroir.operators.common import checked_broadcast
 from terroir.plans.base import RECORDS, Tables, masters, records
 
 QUERIES, SQL = {}, {}
@@ -159,7 +160,7 @@ def _(t):
 
 @query("d55_cross_tab", "SELECT r_name, count(*) FILTER (WHERE c_mktsegment = 'BUILDING') AS \"BUILDING\", count(*) FILTER (WHERE c_mktsegment = 'MACHINERY') AS \"MACHINERY\", count(*) AS \"all\" FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey GROUP BY r_name UNION ALL SELECT 'all', count(*) FILTER (WHERE c_mktsegment = 'BUILDING'), count(*) FILTER (WHERE c_mktsegment = 'MACHINERY'), count(*) FROM customer")
 def _(t):
-    rows = t.customer.join(F.broadcast(masters(t)), c("c_nationkey") == c("code")).select(c("province").alias("r_name"), "c_mktsegment")
+    rows = t.customer.join(checked_broadcast(masters(t)), c("c_nationkey") == c("code")).select(c("province").alias("r_name"), "c_mktsegment")
     return I.cross_tab(rows, "r_name", "c_mktsegment", ["BUILDING", "MACHINERY"])
 
 
