@@ -124,9 +124,8 @@ class Pieces:
         self.number: dict[bytes, int] = {}
         self.values, self.offsets = np.zeros(0, np.int32), np.zeros(1, np.int64)
 
-    def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The ids of all documents of a block, and the number of ids of each."""
-        starts = split(data, offsets)
+    def _numbered(self, data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The number of each distinct piece of a block, and for each piece which of these it is."""
         coded = piece_array(data, starts).dictionary_encode()
         pieces = coded.dictionary.to_pylist()
         if len(self.number) + len(pieces) > self.most:
@@ -138,7 +137,18 @@ class Pieces:
             self.number.update(zip(new, range(base, base + len(new)), strict=True))
             self.values = np.concatenate((self.values, values))
             self.offsets = np.concatenate((self.offsets, self.offsets[-1] + ends[1:]))
-        number = np.fromiter(map(self.number.__getitem__, pieces), np.int64, len(pieces))
-        ids, lengths = ragged(self.values, self.offsets, number[coded.indices.to_numpy()])
+        return np.fromiter(map(self.number.__getitem__, pieces), np.int64, len(pieces)), coded.indices.to_numpy()
+
+    def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all documents of a block, and the number of ids of each."""
+        starts = split(data, offsets)
+        number, codes = self._numbered(data, starts)
+        ids, lengths = ragged(self.values, self.offsets, number[codes])
         bounds = np.concatenate(([0], np.cumsum(lengths)))
         return ids, np.diff(bounds[np.searchsorted(starts, offsets)])
+
+    def count(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+        """How often each id stands in a block: pieces are counted, and their ids weighted."""
+        number, codes = self._numbered(data, split(data, offsets))
+        ids, lengths = ragged(self.values, self.offsets, number)
+        return np.bincount(ids, np.repeat(np.bincount(codes, minlength=len(number)), lengths)).astype(np.int64)

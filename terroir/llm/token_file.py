@@ -35,7 +35,7 @@ END = 2
 #: Ids in a block, but for one that a longer document has to itself.
 BLOCK_IDS = 1 << 19
 #: Distinct pieces that a worker keeps, and bytes of text that it takes at a time.
-PIECES, BYTES = 300_000, 4 << 20
+PIECES, BYTES = 700_000, 4 << 20
 _LENGTHS = np.array([[(c >> 2 * k & 3) + 1 for k in range(4)] for c in range(256)], np.uint8)
 _MASK = np.array([0, 0xFF, 0xFFFF, 0xFFFFFF, 0xFFFFFFFF], np.uint32)
 
@@ -86,19 +86,29 @@ class _Encoder:
             ends.append(len(ids))
         return np.array(ids, np.int32), np.array(ends, np.int64)
 
+    def _has_special(self, data: np.ndarray) -> bool:
+        raw = data.tobytes()
+        return any(s in raw for s in self.special)
+
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the documents of a block, each followed by the end id, and their number for each document."""
         ids, counts = self.pieces.encode(data, offsets)
-        raw = data.tobytes()
-        bounds = np.concatenate(([0], np.cumsum(counts)))
-        parts = [ids[a:b] for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)]
-        if any(s in raw for s in self.special):
+        if self._has_special(data):
+            cuts = np.cumsum(counts)[:-1]
+            parts = np.split(ids, cuts)
             for i, (a, b) in enumerate(zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)):
-                if any(s in raw[a:b] for s in self.special):
-                    parts[i] = np.array(self.tokenizer.encode(raw[a:b].decode(), add_special_tokens=False).ids, np.int32)
-        end = np.array([END], np.int32)
-        counts = np.array([len(p) + 1 for p in parts], np.int64)
-        return np.concatenate([x for p in parts for x in (p, end)]) if parts else ids, counts
+                if self._has_special(data[a:b]):
+                    parts[i] = np.array(self.tokenizer.encode(data[a:b].tobytes().decode(), add_special_tokens=False).ids, np.int32)
+            ids, counts = np.concatenate(parts), np.array([len(x) for x in parts], np.int64)
+        return np.insert(ids, np.cumsum(counts), END), counts + 1
+
+    def count(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+        """How often each id stands in a block, end ids included."""
+        if self._has_special(data):
+            return np.bincount(self.encode(data, offsets)[0])
+        n = np.append(self.pieces.count(data, offsets), np.zeros(END + 1, np.int64))
+        n[END] += len(offsets) - 1
+        return n
 
 
 _made: dict[str, _Encoder] = {}
@@ -117,7 +127,9 @@ def count_ids(texts: DataFrame, tokenizer: str) -> DataFrame:
         total = np.zeros(0, np.int64)
         for batch in batches:
             for _, _, data, offsets in blocks(batch, "text", BYTES):
-                n = np.bincount(_encoder(tokenizer).encode(data, offsets)[0], minlength=len(total))
+                n = _encoder(tokenizer).count(data, offsets)
+                if len(n) < len(total):
+                    n = np.append(n, np.zeros(len(total) - len(n), np.int64))
                 n[: len(total)] += total
                 total = n
         at = np.flatnonzero(total)
