@@ -12,7 +12,9 @@ signature (mostly the edges of shared passages), one stretch of each content is
 windows of whole signatures are put in suffix order by prefix doubling, and longest-previous-factor arrays, by
 the previous and next smaller position in that order, tell for each window whether it starts earlier (and with
 positions reversed, whether it starts later). A signature with more than ``MANY`` contents isn't gathered in a
-task: its windows are counted by 128-bit hashes through a shuffle instead, which finds the same windows.
+task: its stretches are cut finer, where the ``FINER`` smallest seeds of a window change, and signed by all of
+these; equal windows still share a signature, and the same steps follow. What is still shared by more than
+``MANY`` contents is counted window by window, by 128-bit hashes through a shuffle, which finds the same windows.
 
 Defined results: null text counts as empty and loses nothing; texts shorter than ``length`` lose nothing; rows
 that repeat (same id and text) are copies of each other; rows that share an id only are told apart by a hash of
@@ -27,7 +29,7 @@ from functools import cache
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from terroir.llm.common import checkpoint, documents, text_of, written
@@ -36,6 +38,7 @@ from terroir.llm.textblocks import blocks
 LENGTH = 200
 SEED = 40
 MANY = 256
+FINER = 8
 _BITS = 20
 _STEP = (1 << _BITS) - 4096
 _CHUNK = 2 << 20
@@ -256,6 +259,60 @@ def _by_suffixes(fetched: DataFrame, length: int, keep: str) -> DataFrame:
     return fetched.repartition("sig").sortWithinPartitions("sig").mapInArrow(run, _SPAN)
 
 
+def _finer(fetched: DataFrame, length: int, seed: int, smallest: int) -> DataFrame:
+    """Stretches cut where the ``smallest`` smallest seeds of a window change, with their bytes."""
+    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.binary()]
+    width = length - seed + 1
+    places = np.uint64((1 << 12) - 1)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out: list[tuple] = []
+            for r in batch.to_pylist():
+                data = np.frombuffer(r["slice"], np.uint8)
+                hashes, at = _Hashes(data), np.arange(len(data) - seed + 1)
+                key = (hashes.of(at, at + seed) & ~places) | at.astype(np.uint64)
+                seen = np.lib.stride_tricks.sliding_window_view(key, width)
+                least = np.partition(seen, smallest, axis=1)[:, :smallest] if width > smallest else seen
+                sig = _mix(_mix(least | places).sum(axis=1, dtype=np.uint64)).view(np.int64)
+                where = _mix(least & places).sum(axis=1, dtype=np.uint64)
+                start = np.concatenate(([0], np.flatnonzero(where[1:] != where[:-1]) + 1))
+                stop = np.append(start[1:], len(where))
+                content = hashes.of(start, stop + length - 1).view(np.int64)
+                for i, a, b in zip(range(len(start)), start.tolist(), stop.tolist(), strict=True):
+                    out.append((int(sig[a]), int(content[i]), r["doc_id"], r["mark"], r["start"] + a, b - a, r["slice"][a : b + length - 1]))
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*out, strict=True), kinds, strict=True)], names=["sig", "content", "doc_id", "mark", "start", "windows", "slice"])
+
+    return fetched.mapInArrow(run, "sig long, content long, doc_id long, mark int, start int, windows int, slice binary")
+
+
+def _place() -> Column:
+    """The order of places; a null id comes first."""
+    return F.struct(F.col("doc_id").isNotNull().alias("known"), "doc_id", "mark", "start", "windows")
+
+
+def _whole(candidates: DataFrame, contents: DataFrame, length: int, keep: str) -> DataFrame:
+    """Spans of stretches whose whole content stands more than once."""
+    whole = candidates.join(contents.filter("n > 1").select("sig", "content", "first"), ["sig", "content"])
+    if keep == "first":
+        whole = whole.filter(_place() != F.col("first"))
+    return whole.select("doc_id", "mark", F.col("start").alias("begin"), (F.col("start") + F.col("windows") + (length - 1)).alias("end"))
+
+
+def _by_finer(fetched: DataFrame, length: int, keep: str, seed: int, many: int) -> DataFrame:
+    """Spans of repeated windows of signatures with many contents."""
+    found = written(_finer(fetched, length, seed, FINER))
+    shared = found.groupBy("sig").count().filter("count > 1").select("sig")
+    candidates = found.join(shared, "sig", "left_semi")
+    contents = candidates.groupBy("sig", "content").agg(F.count(F.lit(1)).alias("n"), F.min(_place()).alias("first"), F.min_by("slice", _place()).alias("slice"))
+    contents = written(contents)
+    mixed = contents.groupBy("sig").agg(F.count(F.lit(1)).alias("contents")).filter("contents > 1")
+    rest = written(contents.join(mixed, "sig").select("sig", "contents", "first.doc_id", "first.mark", "first.start", "first.windows", "slice"))
+    few, more = rest.filter(F.col("contents") <= many), rest.filter(F.col("contents") > many)
+    return _whole(candidates, contents, length, keep).unionByName(_by_suffixes(few, length, keep)).unionByName(_by_counting(more, length, keep))
+
+
 def _by_counting(fetched: DataFrame, length: int, keep: str) -> DataFrame:
     """The same for signatures with many contents: windows are counted by hash."""
 
@@ -285,13 +342,8 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, keep: str = "none", se
     found = stretches(docs, length, seed)
     shared = found.groupBy("sig").count().filter("count > 1").select("sig")
     candidates = written(found.join(shared, "sig", "left_semi"))
-    place = F.struct(F.col("doc_id").isNotNull().alias("known"), "doc_id", "mark", "start", "windows")
-    contents = checkpoint(candidates.groupBy("sig", "content").agg(F.count(F.lit(1)).alias("n"), F.min(place).alias("first")))
-    often = contents.filter("n > 1").select("sig", "content", "first")
-    whole = candidates.join(often, ["sig", "content"])
-    if keep == "first":
-        whole = whole.filter(place != F.col("first"))
-    whole = whole.select("doc_id", "mark", F.col("start").alias("begin"), (F.col("start") + F.col("windows") + (length - 1)).alias("end"))
+    contents = checkpoint(candidates.groupBy("sig", "content").agg(F.count(F.lit(1)).alias("n"), F.min(_place()).alias("first")))
+    whole = _whole(candidates, contents, length, keep)
     mixed = contents.groupBy("sig").agg(F.count(F.lit(1)).alias("contents")).filter("contents > 1")
     wanted = contents.join(mixed, "sig").select("sig", "contents", "first.doc_id", "first.mark", "first.start", "first.windows")
     lists = wanted.groupBy("doc_id", "mark").agg(F.collect_list(F.struct("sig", "contents", "start", "windows")).alias("wanted"))
@@ -308,7 +360,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, keep: str = "none", se
 
     once = packed(docs).join(lists, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("mark") == F.col("__mark")))
     fetched = written(once.select("doc_id", "mark", "packed", "wanted").mapInArrow(cut, "sig long, contents long, doc_id long, mark int, start int, windows int, slice binary"))
-    return whole.unionByName(_by_suffixes(fetched.filter(F.col("contents") <= many), length, keep)).unionByName(_by_counting(fetched.filter(F.col("contents") > many), length, keep))
+    return whole.unionByName(_by_suffixes(fetched.filter(F.col("contents") <= many), length, keep)).unionByName(_by_finer(fetched.filter(F.col("contents") > many), length, keep, seed, many))
 
 
 def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, keep: str = "none", seed: int = SEED, many: int = MANY) -> DataFrame:
