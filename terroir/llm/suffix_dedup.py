@@ -41,7 +41,7 @@ MANY = 256
 FINER = 8
 _BITS = 20
 _STEP = (1 << _BITS) - 4096
-_CHUNK = 2 << 20
+_CHUNK = 1 << 20
 _BASE = 0x9E3779B97F4A7C15
 
 
