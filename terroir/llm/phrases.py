@@ -6,9 +6,11 @@ below 6, and a phrase begins at each local maximum of the labels. A phrase is na
 and the names are parsed in turn, level by level, until one symbol is left. Where a phrase begins depends on a
 few symbols around it alone, so equal substrings have the same interior phrases at any offset.
 
-The fingerprint is a bottom-k sketch (the ``SKETCH`` smallest hashes) of the distinct phrase names of level
-``LEVEL`` and above (a lower level for short texts), and of the whole text. Likeness is the sketches'
-estimate of the Jaccard similarity of the name sets. Equal texts have equal fingerprints.
+The fingerprint is a bottom-k sketch (the ``SKETCH`` smallest keys) of the distinct phrase names of all levels,
+whatever the text's size. A name's key is its hash divided by the weight of its level (priority sampling): each
+level has about a third of the names of the one below, so with ``WEIGHTS`` the first levels have about equal shares.
+Likeness is the sketches' estimate of the weighted Jaccard similarity of the name sets. Equal texts have equal
+fingerprints.
 
 Defined results: null text counts as empty; an empty text has the empty fingerprint, which is like another empty
 one (1.0) and unlike all else (0.0); a null id comes last in descending order; rows that repeat an id follow each
@@ -28,9 +30,8 @@ from pyspark.sql import functions as F
 from terroir.llm.common import documents, text_of
 
 SKETCH = 48
-#: The level from which names count, by the text's bytes: (fewer than, level); longer texts have the last.
-LEVEL_BY_BYTES = ((200, 1), (1000, 2))
-LEVEL = 3
+#: Weights of the names of levels 1, 2, ...; higher levels have the last.
+WEIGHTS = (1, 3, 9)
 LEVELS = 40
 #: Bytes of text that are parsed at a time.
 BLOCK = 2 << 20
@@ -88,12 +89,10 @@ def _named(symbols: np.ndarray, starts: np.ndarray) -> np.ndarray:
     return mixed(np.add.reduceat(mixed(symbols + _ODD * (place + np.uint64(1))), starts) + lengths.astype(np.uint64))
 
 
-def phrase_names(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(document, name) of all phrases of a document's level and above, and of each whole document; none is empty."""
-    sizes = np.diff(offsets)
-    level = np.array([*(n for _, n in LEVEL_BY_BYTES), LEVEL])[np.searchsorted([n for n, _ in LEVEL_BY_BYTES], sizes, "right")]
-    symbols, docs = data.astype(np.uint64) + np.uint64(1), np.repeat(np.arange(len(offsets) - 1), sizes)
-    found_docs, found = [], []
+def phrase_names(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(document, name, weight) of the phrases of all levels, the last being the whole document; none is empty."""
+    symbols, docs = data.astype(np.uint64) + np.uint64(1), np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
+    found_docs, found, weights = [], [], []
     for depth in range(1, LEVELS):
         first = np.ones(len(symbols), bool)
         first[1:] = docs[1:] != docs[:-1]
@@ -109,24 +108,24 @@ def phrase_names(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.
         alone = np.ones(len(symbols), bool)
         alone[1:] &= docs[1:] != docs[:-1]
         alone[:-1] &= docs[1:] != docs[:-1]
-        take = slice(None) if depth >= LEVEL else alone | (level[docs] <= depth)
-        found_docs.append(docs[take])
-        found.append(symbols[take])
+        found_docs.append(docs)
+        found.append(symbols)
+        weights.append(np.full(len(symbols), WEIGHTS[min(depth, len(WEIGHTS)) - 1], np.uint64))
         symbols, docs = symbols[~alone], docs[~alone]
         if not len(symbols):
             break
-    return np.concatenate(found_docs), np.concatenate(found)
+    return np.concatenate(found_docs), np.concatenate(found), np.concatenate(weights)
 
 
 def sketches(texts: list[bytes], k: int = SKETCH) -> list[np.ndarray]:
-    """The fingerprint of each text as sorted 32-bit hashes."""
+    """The fingerprint of each text as sorted 32-bit keys."""
     out = [np.zeros(0, np.uint32)] * len(texts)
     full = [i for i, t in enumerate(texts) if t]
     if not full:
         return out
     offsets = np.concatenate(([0], np.cumsum([len(texts[i]) for i in full])))
-    docs, names = phrase_names(np.frombuffer(b"".join(texts[i] for i in full), np.uint8), offsets)
-    key = np.sort(docs.astype(np.uint64) << np.uint64(32) | mixed(names ^ _ODD) >> np.uint64(32))
+    docs, names, weights = phrase_names(np.frombuffer(b"".join(texts[i] for i in full), np.uint8), offsets)
+    key = np.sort(docs.astype(np.uint64) << np.uint64(32) | (mixed(names ^ _ODD) >> np.uint64(32)) // weights)
     key = key[np.concatenate(([True], key[1:] != key[:-1]))]
     bounds = np.searchsorted(key, np.arange(len(full) + 1).astype(np.uint64) << np.uint64(32))
     for i, a, b in zip(full, bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):

@@ -412,6 +412,17 @@ def test_phrases_do_not_depend_on_offset():
         assert len(base & moved) >= 0.9 * len(base)
 
 
+@pytest.mark.parametrize("low, high, least", [(195, 205, 0.6), (300, 310, 0.6), (990, 1010, 0.75), (1500, 1520, 0.75)])
+def test_near_copies_are_alike_at_every_size(low, high, least):
+    """One word more, of ``high - low`` bytes."""
+    rng, found = np.random.default_rng(7), []
+    for _ in range(30):
+        text = " ".join("".join(rng.choice([*"abcdefghij"], rng.integers(2, 8))) for _ in range(low))[:low]
+        at = text.find(" ", low // 2) + 1
+        found.append(phrases.likeness(*phrases.sketches([text.encode(), (text[:at] + "z" * (high - low - 1) + " " + text[at:]).encode()])))
+    assert np.mean(found) >= least
+
+
 def test_fingerprints(spark, docs, empty):
     out = phrases.fingerprint(docs)
     assert out.count() == len(rows())
