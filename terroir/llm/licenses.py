@@ -1,7 +1,9 @@
 """License scan by an exact set-similarity join, in DataFrame functions alone.
 
-Blocks are windows of ``WINDOW`` words that begin at every ``STRIDE``-th word. A block meets a template if it
-holds at least ``CONTAINMENT`` of the template's distinct words. Template words are ordered by their frequency
+Blocks are windows of ``WINDOW`` words that begin at every ``STRIDE``-th word, i.e. at every word, so that no notice
+depends on its offset. A block meets a template if it holds at least ``CONTAINMENT`` of the template's distinct words.
+Only blocks that begin at a word of some template are made: any other holds no template word that the block at the
+next template word doesn't hold too. Template words are ordered by their frequency
 over all documents, rarest first. A block that meets a template must hold one of the template's first
 n - need + 1 words (prefix filter), at least ``need`` template words at all (length filter), and enough of them
 after the first shared one (positional filter); what is left is verified by intersection. Filters only discard
@@ -39,7 +41,7 @@ TEMPLATES = {
     "mit-permission": "permission is hereby granted free of charge to any person obtaining a copy of this software",
 }
 CONTAINMENT = 0.8
-WINDOW, STRIDE = 24, 12
+WINDOW, STRIDE = 24, 1
 
 
 def spaced_words(column: str = "text") -> Column:
@@ -68,8 +70,8 @@ def _base(words: Column) -> dict[str, Column]:
 
 
 def template_blocks(df: DataFrame, templates: dict[str, str] = TEMPLATES, containment: float = CONTAINMENT) -> DataFrame:
-    """From rows (key, words), words being joined by spaces: key, block, label, score of every block that meets a
-    template."""
+    """From rows (key, words), words being joined by spaces: key, block (the place of its first word), label, score of
+    every block that begins at a template word and meets a template."""
     sets = {label: sorted(set(t.split())) for label, t in templates.items()}
     vocabulary = sorted({w for s in sets.values() for w in s})
     counted = df.select(F.explode(F.split("words", " ")).alias("word")).filter(F.col("word").isin(vocabulary)).groupBy("word").count().collect()
@@ -85,12 +87,15 @@ def template_blocks(df: DataFrame, templates: dict[str, str] = TEMPLATES, contai
     least = min(x[4] for x in index)
     likely = df.filter(F.arrays_overlap(F.split("words", " "), F.array(*map(F.lit, leading))))
     numbered = F.create_map(*[F.lit(x) for pair in rank.items() for x in pair])
+    placed = F.filter(F.transform(F.split("words", " "), lambda w, i: F.struct(i.alias("at"), w.alias("word"))), lambda x: x["word"].isin(by_rank))
+    ranked = F.transform(placed, lambda x: F.struct(x["at"].alias("at"), F.element_at(numbered, x["word"]).alias("word")))
+    window = F.filter(F.slice("places", F.col("j") + 1, WINDOW), lambda x: x["at"] < F.col("block") + WINDOW)
     blocks = (
-        likely.select("key", F.split("words", " ").alias("w"))
-        .select("key", "w", F.explode(F.sequence(F.lit(0), F.floor((F.size("w") - 1) / STRIDE).cast("int"))).alias("block"))
-        .select("key", "block", F.array_intersect(F.slice("w", F.col("block") * STRIDE + 1, WINDOW), F.array(*map(F.lit, by_rank))).alias("held"))
+        likely.select("key", ranked.alias("places"))
+        .select("key", "places", F.posexplode("places").alias("j", "first"))
+        .select("key", "places", "j", F.col("first.at").alias("block"))
+        .select("key", "block", F.array_sort(F.array_distinct(F.transform(window, lambda x: x["word"]))).alias("held"))
         .filter(F.size("held") >= least)
-        .select("key", "block", F.array_sort(F.transform("held", lambda w: F.element_at(numbered, w))).alias("held"))
     )
     return (
         blocks.select("key", "block", "held", F.size("held").alias("size"), F.posexplode("held").alias("j", "word"))

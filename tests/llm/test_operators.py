@@ -156,6 +156,14 @@ def test_license_join_finds_all_blocks(spark):
     assert found == expected
 
 
+def test_license_notice_is_found_at_every_offset(spark):
+    """A notice of 8 of the 9 template words over 19 words, after 0 to 23 others."""
+    notice = "under the terms of the gnu general public license as published by the free software foundation either version 3"
+    df = spark.createDataFrame([(k, " ".join(["x"] * k + [notice] + ["y"] * 30)) for k in range(24)], "key long, words string")
+    found = licenses.template_blocks(df).collect()
+    assert {(r["key"], r["block"], r["label"], round(r["score"], 6)) for r in found} == {(k, k, "gpl-notice", round(8 / 9, 6)) for k in range(24)}
+
+
 def test_license_plan_has_no_python(docs):
     plan = licenses.scan(docs)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Arrow|Pandas", plan)
