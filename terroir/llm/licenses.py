@@ -1,14 +1,14 @@
 """License scan by an exact set-similarity join, in DataFrame functions alone.
 
-Blocks are windows of ``WINDOW`` words that begin at every ``STRIDE``-th word, i.e. at every word, so that no notice
-depends on its offset. A block meets a template if it holds at least ``CONTAINMENT`` of the template's distinct words.
-Only blocks that begin at a word of some template are made: any other holds no template word that the block at the
-next template word doesn't hold too. Template words are ordered by their frequency
-over all documents, rarest first. A block that meets a template must hold one of the template's first
-n - need + 1 words (prefix filter), at least ``need`` template words at all (length filter), and enough of them
-after the first shared one (positional filter); what is left is verified by intersection. Filters only discard
-blocks that can't meet a template, so every block that does is found. Beside these labels, the base labels say
-where the words of a phrase stand consecutively.
+Blocks are windows of ``WINDOW`` words that begin at every ``STRIDE``-th word, i.e. at every word, so that no
+notice depends on its offset. A block meets a template if it holds at least ``CONTAINMENT`` of the template's
+distinct words, its words in ``NAMING`` among them. Only blocks that begin at a word of some template are made:
+any other holds no template word that the block at the next template word doesn't hold too. Template words are
+ordered by their frequency over all documents, rarest first. A block that meets a template must hold one of the
+template's first n - need + 1 words (prefix filter), at least ``need`` template words at all (length filter),
+and enough of them after the first shared one (positional filter); what is left is verified by intersection.
+Filters only discard blocks that can't meet a template, so every block that does is found. Beside these labels,
+the base labels say where the words of a phrase stand consecutively.
 
 Templates are a parameter of fixed size; the index of their prefixes is broadcast. Frequencies cover all
 documents and are combined before they are shuffled; only the counts of template words reach the driver.
@@ -40,6 +40,8 @@ TEMPLATES = {
     "mit-notice": "released under the mit license",
     "mit-permission": "permission is hereby granted free of charge to any person obtaining a copy of this software",
 }
+#: Words that a block must hold besides, where the other words of a notice meet the threshold alone.
+NAMING = {"apache-notice": ["apache"], "cc-by-notice": ["attribution"], "cc-by-nc-notice": ["nc"], "mit-notice": ["mit"]}
 CONTAINMENT = 0.8
 WINDOW, STRIDE = 24, 1
 
@@ -69,7 +71,7 @@ def _base(words: Column) -> dict[str, Column]:
     }
 
 
-def template_blocks(df: DataFrame, templates: dict[str, str] = TEMPLATES, containment: float = CONTAINMENT) -> DataFrame:
+def template_blocks(df: DataFrame, templates: dict[str, str] = TEMPLATES, containment: float = CONTAINMENT, naming: dict[str, list[str]] = NAMING) -> DataFrame:
     """From rows (key, words), words being joined by spaces: key, block (the place of its first word), label, score of
     every block that begins at a template word and meets a template."""
     sets = {label: sorted(set(t.split())) for label, t in templates.items()}
@@ -80,8 +82,9 @@ def template_blocks(df: DataFrame, templates: dict[str, str] = TEMPLATES, contai
     index = []
     for label, words in sets.items():
         ranks, need = sorted(rank[w] for w in words), math.ceil(containment * len(words) - 1e-9)
-        index += [(r, label, i, len(ranks), need, ranks) for i, r in enumerate(ranks[: len(ranks) - need + 1])]
-    prefixes = df.sparkSession.createDataFrame(index, "word int, label string, i int, n int, need int, ranks array<int>")
+        named = [rank[w] for w in naming.get(label, []) if w in rank]
+        index += [(r, label, i, len(ranks), need, ranks, named) for i, r in enumerate(ranks[: len(ranks) - need + 1])]
+    prefixes = df.sparkSession.createDataFrame(index, "word int, label string, i int, n int, need int, ranks array<int>, named array<int>")
     by_rank = sorted(rank, key=rank.get)
     leading = [by_rank[r] for r in sorted({x[0] for x in index})]
     least = min(x[4] for x in index)
@@ -103,7 +106,7 @@ def template_blocks(df: DataFrame, templates: dict[str, str] = TEMPLATES, contai
         .filter(F.col("size") >= F.col("need"))
         .filter(1 + F.least(F.col("n") - F.col("i"), F.col("size") - F.col("j")) + F.least("i", "j") > F.col("need"))
         .withColumn("shared", F.size(F.array_intersect("held", "ranks")))
-        .filter(F.col("shared") >= F.col("need"))
+        .filter((F.col("shared") >= F.col("need")) & (F.size(F.array_except("named", "held")) == 0))
         .select("key", "block", "label", (F.col("shared") / F.col("n")).alias("score"))
     )
 

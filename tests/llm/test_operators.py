@@ -164,6 +164,17 @@ def test_license_notice_is_found_at_every_offset(spark):
     assert {(r["key"], r["block"], r["label"], round(r["score"], 6)) for r in found} == {(k, k, "gpl-notice", round(8 / 9, 6)) for k in range(24)}
 
 
+def test_license_notices_need_their_naming_word(spark):
+    texts = {
+        "Released under the Apache License": "apache", "Released under the GNU General Public License": "gpl", "Licensed under CC BY 4.0": "cc-by",
+        "Licensed under the Artistic License, Version 2.0": "", "Licensed under a Creative Commons ShareAlike 4.0 International License": "",
+        "Released under the MIT License": "mit,mit-notice", "Licensed under CC BY-NC 4.0": "cc-by,cc-by-nc-notice", "Licensed under the Apache License, Version 2.0": "apache,apache-notice",
+        "Licensed under a Creative Commons Attribution 4.0 International License": "cc-by-notice",
+    }
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert {r["doc_id"]: r["labels"] for r in licenses.scan(df).collect()} == dict(enumerate(texts.values()))
+
+
 def test_license_plan_has_no_python(docs):
     plan = licenses.scan(docs)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Arrow|Pandas", plan)
