@@ -1,9 +1,10 @@
 """Token ids in a binary file format with frequency-ranked, byte-aligned, variable-length coding.
 
-Writing takes two passes over the texts. The first counts all ids of all documents, so that the most frequent id
-gets rank 0; the second deals documents to ranges of ascending id and writes blocks of whole documents. A block's
-ranks are coded with one to four bytes each, in two streams: control bytes, which hold four 2-bit lengths each,
-and data bytes. Reading looks lengths up in a table by control byte and gathers the data bytes with numpy.
+Texts are encoded once, into a table of ids of fixed width. All its ids are counted, so that the most frequent id
+gets rank 0; then its rows, which are smaller than the texts, are dealt to ranges of ascending id and written as
+blocks of whole documents. A block's ranks are coded with one to four bytes each, in two streams: control bytes,
+which hold four 2-bit lengths each, and data bytes. Reading looks lengths up in a table by control byte and gathers
+the data bytes with numpy.
 
 The container is Parquet, so that Spark's writers commit it on any shared store: ``tokens`` has one row a block
 (part, first: ids before it in its part, doc_ids, counts, control, data), ``ranks`` the id of each rank. A
@@ -11,7 +12,7 @@ tokenizer's pieces are encoded once for each worker that meets them; texts that
 tokenizer are handed to it whole.
 
 Defined results: null text counts as empty and has the end id alone; null ids come first; rows that repeat an id
-follow each other by text; documents of any length are one block; an empty table gives an empty file.
+follow each other by their token ids; documents of any length are one block; an empty table gives an empty file.
 """
 
 from __future__ import annotations
@@ -28,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terroir.llm.common import checkpoint_folder, documents, text_of
+from terroir.llm.common import checkpoint_folder, documents, text_of, written
 from terroir.llm.textblocks import Pieces, blocks
 
 END = 2
@@ -102,14 +103,6 @@ class _Encoder:
             ids, counts = np.concatenate(parts), np.array([len(x) for x in parts], np.int64)
         return np.insert(ids, np.cumsum(counts), END), counts + 1
 
-    def count(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-        """How often each id stands in a block, end ids included."""
-        if self._has_special(data):
-            return np.bincount(self.encode(data, offsets)[0])
-        n = np.append(self.pieces.count(data, offsets), np.zeros(END + 1, np.int64))
-        n[END] += len(offsets) - 1
-        return n
-
 
 _made: dict[str, _Encoder] = {}
 
@@ -120,30 +113,55 @@ def _encoder(path: str) -> _Encoder:
     return _made[path]
 
 
-def count_ids(texts: DataFrame, tokenizer: str) -> DataFrame:
-    """id, n: how often each id stands in all texts (column text), end ids included."""
+def encoded(df: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, ids: the token ids of each text with the end id, as unsigned integers of ``_width`` bytes each."""
+    kind = _width(tokenizer)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for a, b, data, offsets in blocks(batch, "text", BYTES):
+                ids, counts = _encoder(tokenizer).encode(data, offsets)
+                bounds = np.concatenate(([0], np.cumsum(counts))) * kind.itemsize
+                raw = pa.Array.from_buffers(pa.large_binary(), b - a, [None, pa.py_buffer(bounds.astype(np.int64)), pa.py_buffer(ids.astype(kind))])
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(a, b - a), raw.cast(pa.binary())], names=["doc_id", "ids"])
+
+    docs = df.select(F.col(id_col).cast("long").alias("doc_id"), text_of(text_col).alias("text"))
+    return docs.mapInArrow(run, "doc_id long, ids binary")
+
+
+def _width(tokenizer: str) -> np.dtype:
+    """The narrower of the two integer types that hold every id of a tokenizer."""
+    return np.dtype("<u2" if _encoder(tokenizer).tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
+
+
+def _flat(column: pa.Array, kind: np.dtype) -> tuple[np.ndarray, np.ndarray]:
+    """All ids of a column of binary values, and where each row's begin and end."""
+    offsets = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1].astype(np.int64)
+    data = np.frombuffer(column.buffers()[2] or b"", np.uint8)[offsets[0] : offsets[-1]]
+    return data.view(kind), (offsets - offsets[0]) // kind.itemsize
+
+
+def count_ids(ids: DataFrame, kind: np.dtype) -> DataFrame:
+    """id, n: how often each id stands in all rows of ``encoded``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(0, np.int64)
         for batch in batches:
-            for _, _, data, offsets in blocks(batch, "text", BYTES):
-                n = _encoder(tokenizer).count(data, offsets)
-                if len(n) < len(total):
-                    n = np.append(n, np.zeros(len(total) - len(n), np.int64))
-                n[: len(total)] += total
-                total = n
+            n = np.bincount(_flat(batch.column("ids"), kind)[0], minlength=len(total)) if batch.num_rows else total * 0
+            n[: len(total)] += total
+            total = n
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], names=["id", "n"])
 
-    return texts.select("text").mapInArrow(run, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
+    return ids.select("ids").mapInArrow(run, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
 
 
 def write(df: DataFrame, folder: str, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", block_ids: int = BLOCK_IDS) -> None:
     """Encode all texts of ``df`` and write them to ``folder`` by ascending id."""
-    spark = df.sparkSession
-    docs = df.select(F.col(id_col).cast("long").alias("doc_id"), text_of(text_col).alias("text"))
+    spark, kind = df.sparkSession, _width(tokenizer)
+    raw = written(encoded(df, tokenizer, id_col, text_col))
     # one row for each id of the vocabulary at most, whatever the size of the corpus
-    ranked = [r["id"] for r in count_ids(docs, tokenizer).orderBy(F.desc("n"), "id").collect()]
+    ranked = [r["id"] for r in count_ids(raw, kind).orderBy(F.desc("n"), "id").collect()]
     spark.createDataFrame([(i, x) for i, x in enumerate(ranked)], "rank long, id long").coalesce(1).write.parquet(f"{folder}/ranks")
     table = np.zeros(max(ranked, default=0) + 1, np.uint32)
     table[ranked] = np.arange(len(ranked))
@@ -152,37 +170,41 @@ def write(df: DataFrame, folder: str, tokenizer: str, id_col: str = "doc_id", te
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, first = TaskContext.get().partitionId(), 0
         held: list[np.ndarray] = []
-        docs: list[int | None] = []
-        sizes: list[int] = []
+        docs: list[pa.Array] = []
+        sizes: list[np.ndarray] = []
         total = 0
 
         def block() -> pa.RecordBatch:
             control, data = pack(np.concatenate(held))
+            ids, counts = pa.concat_arrays(docs), pa.array(np.concatenate(sizes).astype(np.int32))
+            one = pa.array([0, len(ids)], pa.int32())
             return pa.RecordBatch.from_arrays(
-                [pa.array([part], pa.int32()), pa.array([first], pa.int64()), pa.array([docs], pa.list_(pa.int64())), pa.array([sizes], pa.list_(pa.int32())), pa.array([control], pa.binary()), pa.array([data], pa.binary())],
+                [pa.array([part], pa.int32()), pa.array([first], pa.int64()), pa.ListArray.from_arrays(one, ids), pa.ListArray.from_arrays(one, counts), pa.array([control], pa.binary()), pa.array([data], pa.binary())],
                 names=["part", "first", "doc_ids", "counts", "control", "data"],
             )
 
         for batch in batches:
-            for a, b, data, offsets in blocks(batch, "text", BYTES):
-                ids, counts = _encoder(tokenizer).encode(data, offsets)
-                ranks, at = shared.value[ids], 0
-                for doc, n in zip(batch.column("doc_id").slice(a, b - a).to_pylist(), counts.tolist(), strict=True):
-                    held.append(ranks[at : at + n])
-                    docs.append(doc)
-                    sizes.append(n)
-                    at += n
-                    total += n
-                    if total >= block_ids:
-                        yield block()
-                        first += total
-                        held, docs, sizes, total = [], [], [], 0
+            if not batch.num_rows:
+                continue
+            ids, bounds = _flat(batch.column("ids"), kind)
+            at = 0
+            while at < batch.num_rows:  # whole documents up to the block's size
+                if total and total + bounds[at + 1] - bounds[at] > block_ids:
+                    yield block()
+                    first += total
+                    held, docs, sizes, total = [], [], [], 0
+                end = max(at + 1, min(batch.num_rows, int(np.searchsorted(bounds, bounds[at] + block_ids - total, "right")) - 1))
+                held.append(shared.value[ids[bounds[at] : bounds[end]]])
+                docs.append(batch.column("doc_id").slice(at, end - at))
+                sizes.append(np.diff(bounds[at : end + 1]))
+                total += int(bounds[end] - bounds[at])
+                at = end
         if docs:
             yield block()
 
     schema = "part int, first long, doc_ids array<long>, counts array<int>, control binary, data binary"
     order = [F.col("doc_id").asc_nulls_first()]
-    docs.repartitionByRange(*order).sortWithinPartitions(*order, "text").mapInArrow(run, schema).write.parquet(f"{folder}/tokens")
+    raw.repartitionByRange(*order).sortWithinPartitions(*order, "ids").mapInArrow(run, schema).write.parquet(f"{folder}/tokens")
 
 
 def read(spark: SparkSession, folder: str) -> DataFrame:
