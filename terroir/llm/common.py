@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 #: Rows of an aggregated side up to which it may be broadcast; beyond it a shuffled join is used.
 BROADCAST_ROWS = 100_000
+#: A join key is hot if it holds more than 1/HOT of all rows, and more than HOT_ROWS.
+HOT, HOT_ROWS = 1024, 4096
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -51,6 +53,17 @@ def small(df: DataFrame, limit: int = BROADCAST_ROWS) -> bool:
     return df.limit(limit + 1).count() <= limit
 
 
+def join_hot(left: DataFrame, right: DataFrame, keys: list[str], spread: list[str], n: str = "n") -> DataFrame:
+    """The rows of ``left`` that have their keys in ``right``, with its columns but for ``n``; keys are unique in
+    ``right``, and ``n`` is how often each stands in ``left``. A key with more than 1/``HOT`` of these rows is dealt
+    over several tasks, by a hash of the columns ``spread``; there are at most ``HOT`` such keys."""
+    limit = max((right.agg(F.sum(n)).first()[0] or 0) / HOT, HOT_ROWS)
+    salted = right.withColumn("__salts", F.ceil(F.col(n) / limit).cast("int")).drop(n)
+    hot = salted.filter("__salts > 1").select(*keys, "__salts")
+    dealt = left.join(F.broadcast(hot), keys, "left").withColumn("__salt", F.pmod(F.xxhash64(*spread), F.coalesce("__salts", F.lit(1))).cast("int")).drop("__salts")
+    return dealt.join(salted.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.col("__salts") - 1))).drop("__salts"), [*keys, "__salt"]).drop("__salt")
+
+
 def row_numbers(df: DataFrame, *order: Column, name: str = "row_number") -> DataFrame:
     """Number all rows from 0 in a global order without gathering them: rows are dealt by range and sorted
     within partitions; only the row count of each partition reaches the driver."""

@@ -7,38 +7,44 @@ Which suffixes must be sorted together: each window of ``length`` bytes has a si
 of its ``SEED``-byte seeds by hash order. Equal windows have equal signatures, so only windows of one signature
 can match. Consecutive windows with the same seed form a stretch; a document has about one stretch for every
 80 bytes. Stretches are counted by signature, and those whose signature is unique are dropped at once. Stretches
-that are equal as a whole repeat in all their windows and are settled by counting. For what differs within a
-signature (mostly the edges of shared passages), one stretch of each content is fetched from its document; the
-windows of whole signatures are put in suffix order by prefix doubling, and longest-previous-factor arrays, by
-the previous and next smaller position in that order, tell for each window whether it starts earlier (and with
-positions reversed, whether it starts later). A signature with more than ``MANY`` contents isn't gathered in a
-task: its stretches are cut finer, where the ``FINER`` smallest seeds of a window change, and signed by all of
-these; equal windows still share a signature, and the same steps follow. What is still shared by more than
-``MANY`` contents is counted window by window, by 128-bit hashes through a shuffle, which finds the same windows.
+that are equal as a whole (signature, and two hashes of 64 bits) repeat in all their windows and are settled by
+counting. For what differs within a signature (mostly the edges of shared passages), one stretch of each content
+is fetched from its document; the windows of whole signatures are put in suffix order by prefix doubling, and
+longest-previous-factor arrays, by the previous and next smaller position in that order, tell for each window
+whether it starts earlier (and with positions reversed, whether it starts later).
+
+A signature with more than ``MANY`` contents isn't gathered in a task. Its stretches are parted by where the seed
+stands in a window, ``PARTS`` ranges at a time: windows of one range share all bytes but the outermost few, so the
+part's signature is the hash of these shared bytes, which grow from round to round. A part whose signature is
+unique is dropped, and the same steps follow, until no signature has more than ``MANY`` contents; after a few
+rounds a range is one place, where equal signatures are equal windows.
+
+Rows are numbered when their texts are first written, and told apart by that number. Keys that hold a large share
+of all stretches are dealt over several tasks in joins.
 
 Defined results: null text counts as empty and loses nothing; texts shorter than ``length`` lose nothing; rows
-that repeat (same id and text) are copies of each other; rows that share an id only are told apart by a hash of
-the text; documents of any length are handled whole; an empty table gives an empty table.
+that repeat (same id, or same id and text) are copies of each other like any other rows, and follow each other by
+number; documents of any length are handled whole; an empty table gives an empty table.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import cache
+from functools import cache, reduce
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terroir.llm.common import checkpoint, documents, text_of, written
-from terroir.llm.textblocks import blocks
+from terroir.llm.common import checkpoint, documents, join_hot, text_of, written
 
 LENGTH = 200
 SEED = 40
-MANY = 256
-FINER = 8
+MANY = 2048
+PARTS = 4
 _BITS = 20
 _STEP = (1 << _BITS) - 4096
 _CHUNK = 1 << 20
@@ -78,11 +84,12 @@ class _Hashes:
 
 
 def _stretches(data: np.ndarray, offsets: np.ndarray, length: int, seed: int) -> tuple[np.ndarray, ...]:
-    """Of a block of at most 2^20 bytes: signature, content hash, document, start and windows of each stretch."""
+    """Of a block of at most 2^20 bytes: signature, two content hashes, document, start, windows and place of the
+    seed (from the start) of each stretch."""
     n, width = len(data), length - seed + 1
     windows = n - length + 1
     if windows <= 0:
-        return (np.zeros(0, np.uint64),) * 2 + (np.zeros(0, np.int64),) * 3
+        return (np.zeros(0, np.uint64),) * 3 + (np.zeros(0, np.int64),) * 4
     hashes = _Hashes(data)
     at = np.arange(n - seed + 1)
     seeds = hashes.of(at, at + seed)
@@ -109,44 +116,64 @@ def _stretches(data: np.ndarray, offsets: np.ndarray, length: int, seed: int) ->
     ends[:-1] &= begins[1:] | ~inside[1:]
     stop = np.flatnonzero(ends) + 1
     document = np.searchsorted(offsets, start, "right") - 1
-    return seeds[place[start]], hashes.of(start, stop + length - 1), document, start - offsets[document], stop - start
-
-
-def stretches(docs: DataFrame, length: int = LENGTH, seed: int = SEED) -> DataFrame:
-    """From rows (doc_id, mark, text): sig, content, doc_id, mark, start, windows."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for a, b, data, offsets in blocks(batch, "text", _STEP):
-                for at in range(0, max(len(data) - length + 1, 1), _STEP) if b == a + 1 else (0,):
-                    piece = data[at : at + _STEP + length - 1] if b == a + 1 else data
-                    sig, content, document, start, windows = _stretches(piece, np.array([0, len(piece)]) if b == a + 1 else offsets, length, seed)
-                    who = pa.array(document + a)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(sig.view(np.int64)), pa.array(content.view(np.int64)), batch.column("doc_id").take(who), batch.column("mark").take(who), pa.array((start + at).astype(np.int32)), pa.array(windows.astype(np.int16))],
-                        names=["sig", "content", "doc_id", "mark", "start", "windows"],
-                    )
-
-    return docs.select("doc_id", "mark", "text").mapInArrow(run, "sig long, content long, doc_id long, mark int, start int, windows short")
+    content = (h.of(start, stop + length - 1) for h in (hashes, _Hashes(data, 1)))
+    return seeds[place[start]], *content, document, start - offsets[document], stop - start, place[start] - start
 
 
-def packed(docs: DataFrame) -> DataFrame:
-    """doc_id, mark, packed: texts as Zstandard frames, which halves what a shuffle of whole texts moves."""
+def packed(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, row (a number for each row, valid once the table is written), packed: texts as Zstandard frames,
+    which halves what a shuffle of whole texts moves."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pack = zstandard.ZstdCompressor(level=3).compress
         for batch in batches:
             texts = batch.column("text")
             frames = pa.array([pack(texts[i].as_buffer()) for i in range(len(texts))], pa.binary())
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("mark"), frames], names=["doc_id", "mark", "packed"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("row"), frames], names=["doc_id", "row", "packed"])
 
-    return docs.select("doc_id", "mark", "text").mapInArrow(run, "doc_id long, mark int, packed binary")
+    numbered = df.select(F.col(id_col).cast("long").alias("doc_id"), F.monotonically_increasing_id().alias("row"), text_of(text_col).alias("text"))
+    return numbered.mapInArrow(run, "doc_id long, row long, packed binary")
 
 
 def _unpacked(frame: pa.Scalar) -> bytes:
     return zstandard.ZstdDecompressor().decompress(frame.as_buffer())
 
 
+def _unpacked_blocks(batch: pa.RecordBatch, size: int) -> Iterator[tuple[int, list[bytes]]]:
+    """(first row, texts) of consecutive rows of at most ``size`` bytes; a longer text comes alone."""
+    first, held, n = 0, [], 0
+    frames = batch.column("packed")
+    for i in range(len(frames)):
+        raw = _unpacked(frames[i])
+        if held and n + len(raw) > size:
+            yield first, held
+            first, held, n = i, [], 0
+        held.append(raw)
+        n += len(raw)
+    if held:
+        yield first, held
+
+
+def stretches(docs: DataFrame, length: int = LENGTH, seed: int = SEED) -> DataFrame:
+    """From rows (doc_id, row, packed): sig, one, two (content), doc_id, row, start, windows, seed."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for first, texts in _unpacked_blocks(batch, _STEP):
+                data = np.frombuffer(b"".join(texts), np.uint8)
+                offsets = np.concatenate(([0], np.cumsum([len(t) for t in texts])))
+                for at in range(0, max(len(data) - length + 1, 1), _STEP) if len(texts) == 1 else (0,):
+                    piece = data[at : at + _STEP + length - 1] if len(texts) == 1 else data
+                    sig, one, two, document, start, windows, place = _stretches(piece, np.array([0, len(piece)]) if len(texts) == 1 else offsets, length, seed)
+                    who = pa.array(document + first)
+                    yield pa.RecordBatch.from_arrays(
+                        [*(pa.array(x.view(np.int64)) for x in (sig, one, two)), batch.column("doc_id").take(who), batch.column("row").take(who), pa.array((start + at).astype(np.int32)), pa.array(windows.astype(np.int16)), pa.array(place.astype(np.int16))],
+                        names=["sig", "one", "two", "doc_id", "row", "start", "windows", "seed"],
+                    )
+
+    return docs.mapInArrow(run, "sig long, one long, two long, doc_id long, row long, start int, windows short, seed short")
+
+
 def suffix_order(text: np.ndarray, starts: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
     """The order of the suffixes at ``starts`` by their first ``length`` bytes, and the length (at most ``length``)
     that each shares with the one before it. Ranks of 8-byte prefixes are doubled; shared lengths are exact up to
@@ -211,8 +238,8 @@ def repeated(slices: list[bytes], windows: list[int], rank: np.ndarray, length:
     return owner[order], offset[order], earlier, later
 
 
-def _spans(doc: list, mark: list, owner: np.ndarray, start: np.ndarray, length: int) -> pa.RecordBatch | None:
-    """Runs of consecutive windows as spans (doc_id, mark, begin, end)."""
+def _spans(row: np.ndarray, owner: np.ndarray, start: np.ndarray, length: int) -> pa.RecordBatch | None:
+    """Runs of consecutive windows as spans (row, begin, end)."""
     if not len(owner):
         return None
     order = np.lexsort((start, owner))
@@ -220,27 +247,22 @@ def _spans(doc: list, mark: list, owner: np.ndarray, start: np.ndarray, length:
     new = np.concatenate(([True], (owner[1:] != owner[:-1]) | (start[1:] > start[:-1] + 1)))
     first = np.flatnonzero(new)
     last = np.append(first[1:], len(owner)) - 1
-    who = owner[first].tolist()
     return pa.RecordBatch.from_arrays(
-        [pa.array([doc[i] for i in who], pa.int64()), pa.array([mark[i] for i in who], pa.int32()), pa.array(start[first].astype(np.int32)), pa.array((start[last] + length).astype(np.int32))],
-        names=["doc_id", "mark", "begin", "end"],
+        [pa.array(row[owner[first]]), pa.array(start[first].astype(np.int32)), pa.array((start[last] + length).astype(np.int32))], names=["row", "begin", "end"]
     )
 
 
-_SPAN = "doc_id long, mark int, begin int, end int"
-
-
 def _by_suffixes(fetched: DataFrame, length: int, keep: str) -> DataFrame:
-    """Spans of repeated windows, from the slices of whole signatures."""
+    """Spans (row, begin, end) of repeated windows, from the slices of whole signatures."""
 
     def settle(rows: list[dict]) -> pa.RecordBatch | None:
-        keys = [((r["doc_id"] is not None, r["doc_id"] or 0), r["mark"], r["start"]) for r in rows]
+        keys = [(r["doc_id"] is not None, r["doc_id"] or 0, r["row"], r["start"]) for r in rows]
         rank = np.empty(len(rows), np.int64)
         rank[sorted(range(len(rows)), key=keys.__getitem__)] = np.arange(len(rows))
         owner, offset, earlier, later = repeated([r["slice"] for r in rows], [r["windows"] for r in rows], rank, length)
         gone = earlier if keep == "first" else earlier | later
         start = np.array([r["start"] for r in rows], np.int64)
-        return _spans([r["doc_id"] for r in rows], [r["mark"] for r in rows], owner[gone], start[owner[gone]] + offset[gone], length)
+        return _spans(np.array([r["row"] for r in rows], np.int64), owner[gone], start[owner[gone]] + offset[gone], length)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows: list[dict] = []
@@ -256,122 +278,113 @@ def _by_suffixes(fetched: DataFrame, length: int, keep: str) -> DataFrame:
         if rows and (found := settle(rows)) is not None:
             yield found
 
-    return fetched.repartition("sig").sortWithinPartitions("sig").mapInArrow(run, _SPAN)
+    wanted = fetched.select("sig", "doc_id", "row", "start", "windows", "slice")
+    return wanted.repartition("sig").sortWithinPartitions("sig").mapInArrow(run, "row long, begin int, end int")
 
 
-def _finer(fetched: DataFrame, length: int, seed: int, smallest: int) -> DataFrame:
-    """Stretches cut where the ``smallest`` smallest seeds of a window change, with their bytes."""
-    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.binary()]
-    width = length - seed + 1
-    places = np.uint64((1 << 12) - 1)
+def _place() -> Column:
+    """The order of places; a null id comes first."""
+    return F.struct(F.col("doc_id").isNotNull().alias("known"), "doc_id", "row", "start", "windows", "seed")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out: list[tuple] = []
-            for r in batch.to_pylist():
-                data = np.frombuffer(r["slice"], np.uint8)
-                hashes, at = _Hashes(data), np.arange(len(data) - seed + 1)
-                key = (hashes.of(at, at + seed) & ~places) | at.astype(np.uint64)
-                seen = np.lib.stride_tricks.sliding_window_view(key, width)
-                least = np.partition(seen, smallest, axis=1)[:, :smallest] if width > smallest else seen
-                sig = _mix(_mix(least | places).sum(axis=1, dtype=np.uint64)).view(np.int64)
-                where = _mix(least & places).sum(axis=1, dtype=np.uint64)
-                start = np.concatenate(([0], np.flatnonzero(where[1:] != where[:-1]) + 1))
-                stop = np.append(start[1:], len(where))
-                content = hashes.of(start, stop + length - 1).view(np.int64)
-                for i, a, b in zip(range(len(start)), start.tolist(), stop.tolist(), strict=True):
-                    out.append((int(sig[a]), int(content[i]), r["doc_id"], r["mark"], r["start"] + a, b - a, r["slice"][a : b + length - 1]))
-            if out:
-                yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*out, strict=True), kinds, strict=True)], names=["sig", "content", "doc_id", "mark", "start", "windows", "slice"])
 
-    return fetched.mapInArrow(run, "sig long, content long, doc_id long, mark int, start int, windows int, slice binary")
+def _candidates(found: DataFrame) -> DataFrame:
+    """The stretches whose signature isn't unique."""
+    shared = checkpoint(found.groupBy("sig").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"))
+    return join_hot(found, shared, ["sig"], ["row", "start"])
 
 
-def _place() -> Column:
-    """The order of places; a null id comes first."""
-    return F.struct(F.col("doc_id").isNotNull().alias("known"), "doc_id", "mark", "start", "windows")
+def _contents(candidates: DataFrame, *more: Column) -> DataFrame:
+    """sig, one, two: the distinct contents with their number n and their first place."""
+    return candidates.groupBy("sig", "one", "two").agg(F.count(F.lit(1)).alias("n"), F.min(_place()).alias("first"), *more)
+
+
+def _mixed(contents: DataFrame) -> DataFrame:
+    """sig, contents: the signatures that have several contents, with their number."""
+    return contents.groupBy("sig").agg(F.count(F.lit(1)).alias("contents")).filter("contents > 1")
 
 
 def _whole(candidates: DataFrame, contents: DataFrame, length: int, keep: str) -> DataFrame:
     """Spans of stretches whose whole content stands more than once."""
-    whole = candidates.join(contents.filter("n > 1").select("sig", "content", "first"), ["sig", "content"])
+    whole = join_hot(candidates, contents.filter("n > 1").select("sig", "one", "two", "n", "first"), ["sig", "one", "two"], ["row", "start"])
     if keep == "first":
         whole = whole.filter(_place() != F.col("first"))
-    return whole.select("doc_id", "mark", F.col("start").alias("begin"), (F.col("start") + F.col("windows") + (length - 1)).alias("end"))
-
+    return whole.select("row", F.col("start").alias("begin"), (F.col("start") + F.col("windows") + (length - 1)).alias("end"))
 
-def _by_finer(fetched: DataFrame, length: int, keep: str, seed: int, many: int) -> DataFrame:
-    """Spans of repeated windows of signatures with many contents."""
-    found = written(_finer(fetched, length, seed, FINER))
-    shared = found.groupBy("sig").count().filter("count > 1").select("sig")
-    candidates = found.join(shared, "sig", "left_semi")
-    contents = candidates.groupBy("sig", "content").agg(F.count(F.lit(1)).alias("n"), F.min(_place()).alias("first"), F.min_by("slice", _place()).alias("slice"))
-    contents = written(contents)
-    mixed = contents.groupBy("sig").agg(F.count(F.lit(1)).alias("contents")).filter("contents > 1")
-    rest = written(contents.join(mixed, "sig").select("sig", "contents", "first.doc_id", "first.mark", "first.start", "first.windows", "slice"))
-    few, more = rest.filter(F.col("contents") <= many), rest.filter(F.col("contents") > many)
-    return _whole(candidates, contents, length, keep).unionByName(_by_suffixes(few, length, keep)).unionByName(_by_counting(more, length, keep))
 
-
-def _by_counting(fetched: DataFrame, length: int, keep: str) -> DataFrame:
-    """The same for signatures with many contents: windows are counted by hash."""
+def _parted(fetched: DataFrame, length: int, width: int) -> DataFrame:
+    """Stretches whose seeds stand in a range of places, parted into ``PARTS`` narrower ranges of ``width`` places,
+    with their bytes; ``low`` is where a range begins."""
+    kinds = [*[pa.int64()] * 5, *[pa.int32()] * 4, pa.binary()]
+    names = ["sig", "one", "two", "doc_id", "row", "start", "windows", "seed", "low", "slice"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            out: list[tuple] = []
             for r in batch.to_pylist():
-                data = np.frombuffer(r["slice"], np.uint8)
-                at = np.arange(r["windows"])
-                one, two = (_Hashes(data, salt).of(at, at + length).view(np.int64) for salt in (1, 2))
-                n = len(at)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(one), pa.array(two), pa.array([r["doc_id"]] * n, pa.int64()), pa.array([r["mark"]] * n, pa.int32()), pa.array((at + r["start"]).astype(np.int32))],
-                    names=["one", "two", "doc_id", "mark", "begin"],
-                )
-
-    windows = fetched.mapInArrow(run, "one long, two long, doc_id long, mark int, begin int")
-    place = F.struct(F.col("doc_id").isNotNull().alias("known"), "doc_id", "mark", "begin")
-    often = windows.groupBy("one", "two").agg(F.count(F.lit(1)).alias("n"), F.min(place).alias("first")).filter("n > 1").drop("n")
-    gone = windows.join(often, ["one", "two"])
-    if keep == "first":
-        gone = gone.filter(place != F.col("first"))
-    return gone.select("doc_id", "mark", "begin", (F.col("begin") + length).alias("end"))
+                data, seed, windows = r["slice"], r["seed"], r["windows"]
+                # window k has its seed at place seed - k
+                for low in range(r["low"], min(r["low"] + PARTS * width, seed + 1), width):
+                    a, b = max(0, seed - low - width + 1), min(windows, seed - low + 1)
+                    if a < b:
+                        core = data[seed - low : seed - low - width + 1 + length]
+                        part = data[a : b - 1 + length]
+                        sig = int.from_bytes(xxhash.xxh64_digest(core, low), "big", signed=True)
+                        both = xxhash.xxh3_128_digest(part)
+                        one, two = (int.from_bytes(x, "big", signed=True) for x in (both[:8], both[8:]))
+                        out.append((sig, one, two, r["doc_id"], r["row"], r["start"] + a, b - a, seed - a, low, part))
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*out, strict=True), kinds, strict=True)], names=names)
+
+    schema = "sig long, one long, two long, doc_id long, row long, start int, windows int, seed int, low int, slice binary"
+    return fetched.select("doc_id", "row", "start", "windows", "seed", "low", "slice").mapInArrow(run, schema)
+
+
+def _by_parts(fetched: DataFrame, length: int, keep: str, seed: int, many: int) -> list[DataFrame]:
+    """Spans of repeated windows of signatures with more than ``many`` contents."""
+    spans, rest, width = [], fetched.withColumn("low", F.lit(0)), length - seed + 1
+    while width > 1 and not rest.isEmpty():
+        width = -(-width // PARTS)
+        found = written(_parted(rest, length, width))
+        candidates = _candidates(found)
+        contents = written(_contents(candidates, F.min_by(F.struct("low", "slice"), _place()).alias("held")))
+        settled = written(contents.join(_mixed(contents), "sig").select("sig", "contents", "first.*", "held.*"))
+        # a range of one place has no contents but one, so that nothing is left after it
+        few = settled.filter(F.col("contents") <= many) if width > 1 else settled
+        spans += [_whole(candidates, contents, length, keep), _by_suffixes(few, length, keep)]
+        rest = settled.filter(F.col("contents") > many)
+    return spans
 
 
 def repeated_spans(docs: DataFrame, length: int = LENGTH, keep: str = "none", seed: int = SEED, many: int = MANY) -> DataFrame:
-    """From rows (doc_id, mark, text): the spans (doc_id, mark, begin, end) of bytes to remove; they may overlap."""
-    found = stretches(docs, length, seed)
-    shared = found.groupBy("sig").count().filter("count > 1").select("sig")
-    candidates = written(found.join(shared, "sig", "left_semi"))
-    contents = checkpoint(candidates.groupBy("sig", "content").agg(F.count(F.lit(1)).alias("n"), F.min(_place()).alias("first")))
-    whole = _whole(candidates, contents, length, keep)
-    mixed = contents.groupBy("sig").agg(F.count(F.lit(1)).alias("contents")).filter("contents > 1")
-    wanted = contents.join(mixed, "sig").select("sig", "contents", "first.doc_id", "first.mark", "first.start", "first.windows")
-    lists = wanted.groupBy("doc_id", "mark").agg(F.collect_list(F.struct("sig", "contents", "start", "windows")).alias("wanted"))
-    lists = lists.select(F.col("doc_id").alias("__id"), F.col("mark").alias("__mark"), "wanted")
+    """From written rows (doc_id, row, packed): the spans (row, begin, end) of bytes to remove; they may overlap."""
+    candidates = written(_candidates(written(stretches(docs, length, seed))))
+    contents = written(_contents(candidates))
+    wanted = contents.join(_mixed(contents), "sig").select("sig", "contents", "first.*")
+    lists = wanted.groupBy("row").agg(F.collect_list(F.struct("sig", "contents", "start", "windows", "seed")).alias("wanted"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.binary()]
+        kinds = [*[pa.int64()] * 4, *[pa.int32()] * 3, pa.binary()]
+        names = ["sig", "contents", "doc_id", "row", "start", "windows", "seed", "slice"]
         for batch in batches:
             texts = batch.column("packed")
-            for i, (doc, mark, want) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("doc_id", "mark", "wanted")), strict=True)):
+            for i, (doc, row, want) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("doc_id", "row", "wanted")), strict=True)):
                 raw = _unpacked(texts[i])
-                rows = [(w["sig"], w["contents"], doc, mark, w["start"], w["windows"], raw[w["start"] : w["start"] + w["windows"] + length - 1]) for w in want]
-                yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=["sig", "contents", "doc_id", "mark", "start", "windows", "slice"])
+                rows = [(w["sig"], w["contents"], doc, row, w["start"], w["windows"], w["seed"], raw[w["start"] : w["start"] + w["windows"] + length - 1]) for w in want]
+                yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=names)
 
-    once = packed(docs).join(lists, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("mark") == F.col("__mark")))
-    fetched = written(once.select("doc_id", "mark", "packed", "wanted").mapInArrow(cut, "sig long, contents long, doc_id long, mark int, start int, windows int, slice binary"))
-    return whole.unionByName(_by_suffixes(fetched.filter(F.col("contents") <= many), length, keep)).unionByName(_by_finer(fetched.filter(F.col("contents") > many), length, keep, seed, many))
+    schema = "sig long, contents long, doc_id long, row long, start int, windows int, seed int, slice binary"
+    fetched = written(docs.join(lists, "row").select("doc_id", "row", "packed", "wanted").mapInArrow(cut, schema))
+    spans = [_whole(candidates, contents, length, keep), _by_suffixes(fetched.filter(F.col("contents") <= many), length, keep)]
+    return reduce(DataFrame.unionByName, spans + _by_parts(fetched.filter(F.col("contents") > many), length, keep, seed, many))
 
 
 def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, keep: str = "none", seed: int = SEED, many: int = MANY) -> DataFrame:
     """One row per document: doc_id, n_bytes, n_removed, n_spans (maximal runs), kept (the bytes that stay)."""
     if length % 8 or not 0 < seed <= length:
         raise ValueError("length must be a multiple of 8, and seed at most length")
-    text = text_of(text_col)
-    docs = df.select(F.col(id_col).cast("long").alias("doc_id"), F.hash(text).alias("mark"), text.alias("text"))
-    spans = repeated_spans(docs, length, keep, seed, many).groupBy("doc_id", "mark").agg(F.collect_list(F.struct("begin", "end")).alias("spans"))
-    spans = spans.select(F.col("doc_id").alias("__id"), F.col("mark").alias("__mark"), "spans")
-    joined = packed(docs).join(spans, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("mark") == F.col("__mark")), "left").select("doc_id", "packed", "spans")
+    docs = written(packed(df, id_col, text_col))
+    spans = repeated_spans(docs, length, keep, seed, many).groupBy("row").agg(F.collect_list(F.struct("begin", "end")).alias("spans"))
+    joined = docs.join(spans, "row", "left").select("doc_id", "packed", "spans")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
