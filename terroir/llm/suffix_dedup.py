@@ -43,11 +43,11 @@ from terroir.llm.common import checkpoint, documents, join_hot, text_of, written
 
 LENGTH = 200
 SEED = 40
-MANY = 2048
+MANY = 1024
 PARTS = 4
 _BITS = 20
 _STEP = (1 << _BITS) - 4096
-_CHUNK = 1 << 20
+_CHUNK = 1 << 19
 _BASE = 0x9E3779B97F4A7C15
 
 
@@ -183,18 +183,19 @@ def suffix_order(text: np.ndarray, starts: np.ndarray, length: int) -> tuple[np.
     key = np.zeros(n, np.uint64)
     for i in range(8):
         key = key << np.uint64(8) | padded[i : i + n]
-    levels = {8: np.unique(key, return_inverse=True)[1] + 1}
+    ranked = lambda x: np.unique(x, return_inverse=True)[1].astype(np.int32) + np.int32(1)
+    levels = {8: ranked(key)}
     size = 8
     while size * 2 <= length:
-        rank = np.concatenate((levels[size], np.zeros(size, np.int64)))
-        levels[size * 2] = np.unique(rank[:n] << 32 | rank[size : size + n], return_inverse=True)[1] + 1
+        rank = np.concatenate((levels[size], np.zeros(size, np.int32)))
+        levels[size * 2] = ranked(rank[:n].astype(np.int64) << 32 | rank[size : size + n])
         size *= 2
-    last = np.concatenate((levels[size], np.zeros(length, np.int64)))
+    last = np.concatenate((levels[size], np.zeros(length, np.int32)))
     order = np.lexsort((last[starts + length - size], last[starts]))
     a, b = starts[order[:-1]], starts[order[1:]]
     shared = np.zeros(len(a), np.int64)
     for step in sorted(levels, reverse=True):
-        rank = np.concatenate((levels[step], np.zeros(length + 1, np.int64)))
+        rank = np.concatenate((levels[step], np.zeros(length + 1, np.int32)))
         fits = (shared + step <= length) & (rank[a + shared] == rank[b + shared])
         shared[fits] += step
     return order, np.concatenate(([0], shared))[: len(starts)]
