@@ -24,13 +24,17 @@ def text_of(column: str = "text") -> Column:
 
 
 def checkpoint_folder(spark: SparkSession) -> str:
-    """The folder that all machines share: ``spark.checkpoint.dir``, or one of our own only if that is unset."""
+    """The folder that all machines share: ``spark.checkpoint.dir``, or the one set on the context. Where neither is
+    set, a temporary folder in local mode, which has one machine; an error on a cluster."""
     given = spark.conf.get("spark.checkpoint.dir", None)
     if given:
         return given
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="spark-checkpoint-"))
-    return spark.sparkContext.getCheckpointDir()
+    context = spark.sparkContext
+    if not context.getCheckpointDir():
+        if not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all machines share")
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="spark-checkpoint-"))
+    return context.getCheckpointDir()
 
 
 def checkpoint(df: DataFrame) -> DataFrame:
@@ -40,14 +44,22 @@ def checkpoint(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def written(df: DataFrame) -> DataFrame:
+def written(df: DataFrame, codec: str = "snappy") -> DataFrame:
     """``df`` as Parquet files in the shared checkpoint folder: for tables so large that the compression counts,
     which a checkpoint doesn't have."""
     path = f"{checkpoint_folder(df.sparkSession)}/table-{uuid.uuid4()}"
-    df.write.parquet(path)
+    df.write.option("compression", codec).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def removed(df: DataFrame) -> None:
+    """Remove the files of a table made by ``written`` that nothing reads any more."""
+    spark = df.sparkSession
+    for folder in {name.rsplit("/", 1)[0] for name in df.inputFiles()}:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def small(df: DataFrame, limit: int = BROADCAST_ROWS) -> bool:
     """Whether ``df`` has at most ``limit`` rows, found by reading no more than one row beyond it."""
     return df.limit(limit + 1).count() <= limit

@@ -29,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terroir.llm.common import checkpoint_folder, documents, text_of, written
+from terroir.llm.common import checkpoint_folder, documents, removed, text_of, written
 from terroir.llm.textblocks import Pieces, blocks
 
 END = 2
@@ -159,7 +159,7 @@ def count_ids(ids: DataFrame, kind: np.dtype) -> DataFrame:
 def write(df: DataFrame, folder: str, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", block_ids: int = BLOCK_IDS) -> None:
     """Encode all texts of ``df`` and write them to ``folder`` by ascending id."""
     spark, kind = df.sparkSession, _width(tokenizer)
-    raw = written(encoded(df, tokenizer, id_col, text_col))
+    raw = written(encoded(df, tokenizer, id_col, text_col), "zstd")
     # one row for each id of the vocabulary at most, whatever the size of the corpus
     ranked = [r["id"] for r in count_ids(raw, kind).orderBy(F.desc("n"), "id").collect()]
     spark.createDataFrame([(i, x) for i, x in enumerate(ranked)], "rank long, id long").coalesce(1).write.parquet(f"{folder}/ranks")
@@ -205,6 +205,7 @@ def write(df: DataFrame, folder: str, tokenizer: str, id_col: str = "doc_id", te
     schema = "part int, first long, doc_ids array<long>, counts array<int>, control binary, data binary"
     order = [F.col("doc_id").asc_nulls_first()]
     raw.repartitionByRange(*order).sortWithinPartitions(*order, "ids").mapInArrow(run, schema).write.parquet(f"{folder}/tokens")
+    removed(raw)
 
 
 def read(spark: SparkSession, folder: str) -> DataFrame:
