@@ -355,6 +355,52 @@ def test_simhash_links_equal_brute_force(spark, bucket):
     assert {p: labels.get(p, p) for p in prints} == {p: find(p) for p in prints}
 
 
+def test_near_groups_and_what_stays_equal_brute_force(spark):
+    """With ids that several texts share, null ids, repeated rows and clashing columns."""
+    rng = np.random.default_rng(8)
+    words = [f"w{i}" for i in range(400)]
+    base = [list(rng.choice(words, 300)) for _ in range(6)]
+    made = []
+    for i in range(60):
+        text = list(base[i % 6])
+        text[int(rng.integers(300))] = "changed"
+        made.append((int(i) if i % 9 else None, " ".join(text), 1, 2))
+    made += [(3, "a b c", 1, 2), (5, "a b c", 1, 2), (5, "d e f g", 1, 2), (5, "d e f g", 1, 2), (7, "", 1, 2), (None, "!", 1, 2), (None, None, 1, 2)]
+    df = spark.createDataFrame(made, "doc_id long, text string, one long, label long")
+    prints = [plain_simhash(t or "") for _, t, _, _ in made]
+    group = list(range(len(made)))
+    for i, a in enumerate(prints):
+        for j in range(i):
+            if (a ^ prints[j]).bit_count() <= 2 and group[i] != group[j]:
+                old, new = group[i], group[j]
+                group = [new if g == old else g for g in group]
+    least = {g: min((made[i][0] for i in range(len(made)) if group[i] == g and made[i][0] is not None), default=None) for g in set(group)}
+    out = simhash.near_groups(df).collect()
+    assert sorted((some(r["doc_id"]), r["fp"] % 2**64, some(r["component_id"])) for r in out) == sorted((some(m[0]), p, some(least[g])) for m, p, g in zip(made, prints, group, strict=True))
+    left = simhash.drop_near_duplicates(df)
+    assert left.columns == df.columns
+    kept = [(r["doc_id"], r["text"]) for r in left.collect()]
+    assert len(kept) == len(least)
+    by = {(m[0], m[1]): g for m, g in zip(made, group, strict=True)}
+    assert sorted(some(least[by[k]]) for k in kept) == sorted(some(k[0]) for k in kept)
+    assert len({by[k] for k in kept}) == len(least)
+
+
+def test_pivots_bound_the_distance(spark):
+    """No pair within two bits is discarded, and every reference takes part."""
+    rng = np.random.default_rng(9)
+    base = [int(x) for x in rng.integers(-(2**63), 2**63 - 1, 200, dtype=np.int64)]
+    near = [simhash._signed((b ^ (1 << int(rng.integers(64))) ^ (1 << int(rng.integers(64)))) % 2**64) for b in base]
+    far = [simhash._signed((b ^ 0b10101 << 20) % 2**64) for b in base]
+    tables = simhash.distance_tables(spark.createDataFrame([(x,) for x in {*base, *near, *far}], "fp long"))
+    tested = spark.createDataFrame([*zip(base, near, strict=True), *zip(base, far, strict=True)], "a long, b long")
+    left = {(r["a"], r["b"]) for r in simhash.near_by_pivots(tested, tables).collect()}
+    assert set(zip(base, near, strict=True)) <= left
+    assert len(left & set(zip(base, far, strict=True))) < 20
+    for r in tables.collect():
+        assert r["distances"] == [((r["fp"] ^ p) % 2**64).bit_count() for p in simhash.references()]
+
+
 def test_components_of_a_chain(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(200)] + [(1000, 1001), (5, 5)], "u long, v long")
     labels = {r["node"]: r["label"] for r in components.connected_components(edges).collect()}
