@@ -164,6 +164,23 @@ def test_license_notice_is_found_at_every_offset(spark):
     assert {(r["key"], r["block"], r["label"], round(r["score"], 6)) for r in found} == {(k, k, "gpl-notice", round(8 / 9, 6)) for k in range(24)}
 
 
+def test_license_template_of_300_words(spark):
+    """Held verbatim, with a fifth of its distinct words changed, with one word too many changed, and spread over
+    twice its words."""
+    words = [f"w{i % 250}" for i in range(300)]
+    changed = lambda n: ["x" if int(w[1:]) < n else w for w in words]
+    spread = [w for i, w in enumerate(words) for w in (["y"] * (i % 5 == 0) + [w])]
+    texts = [" ".join(["z"] * k + t + ["z"] * 40) for k in (0, 7) for t in (words, changed(50), changed(51), spread)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    out = {r["doc_id"]: (r["labels"], r["score"]) for r in licenses.scan(df, templates={"full": " ".join(words)}).collect()}
+    assert out == {k: [("full", 1.0), ("full", 0.8), ("", 0.0), ("full", 1.0)][k % 4] for k in range(8)}
+
+
+def test_license_scan_tells_rows_of_one_id_apart(spark):
+    df = spark.createDataFrame([(1, "Released under the MIT License"), (1, "nothing"), (None, "cc by"), (None, None)], "doc_id long, text string")
+    assert sorted((some(r["doc_id"]), r["labels"]) for r in licenses.scan(df).collect()) == [((False, 0), ""), ((False, 0), "cc-by"), ((True, 1), ""), ((True, 1), "mit,mit-notice")]
+
+
 def test_license_notices_need_their_naming_word(spark):
     texts = {
         "Released under the Apache License": "apache", "Released under the GNU General Public License": "gpl", "Licensed under CC BY 4.0": "cc-by",
