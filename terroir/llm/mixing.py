@@ -2,7 +2,9 @@
 
 Words are summed for each source, each source gets a target, and every document is emitted floor(rate) times
 plus one Bernoulli copy whose probability is the fraction; the draw is a hash of a seed and the document id,
-so that reruns and retried tasks agree.
+turned by the seed of the source, so that reruns and retried tasks agree. A source's seed is the one of ``TURNS``
+whose copies come nearest its target (the smallest of several), found by one aggregation: so small sources come near
+their targets too.
 
 Targets: sources in code point order (null last) have the weights ``weights``, repeating. A target is at most
 ``most`` times its source's words; the excess goes to the others by weight until none is above. That fixed
@@ -24,6 +26,7 @@ WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (5, 2, 1)
 MOST = 3
 SEED = "mix-1"
+TURNS = 128
 
 
 def n_words(column: str = "text") -> Column:
@@ -52,27 +55,49 @@ def draw(id_col: str, seed: str = SEED) -> Column:
     return F.conv(digits, 16, 10).cast("long") / F.lit(float(1 << 52))
 
 
+def _turned(u: Column, turn: Column, turns: int) -> Column:
+    """The draw turned by a source's seed."""
+    moved = u + turn / F.lit(float(turns))
+    return F.when(moved >= 1, moved - 1).otherwise(moved)
+
+
+def _copies(u: Column, rate: Column) -> Column:
+    return (F.floor(rate) + (u < rate - F.floor(rate)).cast("long")).cast("long")
+
+
+def seeded(sizes: DataFrame, weights: tuple = WEIGHTS, most: int = MOST, turns: int = TURNS) -> DataFrame:
+    """From rows (source, size, u): source, source_size, target, rate, turn (the source's seed)."""
+    table = targets(sizes.select("source", "size"), weights, most)
+    rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
+    table = checkpoint(table.withColumn("rate", rate))
+    each = _joined(sizes, table, "source").select("source", "size", "target", "rate", "u", F.explode(F.sequence(F.lit(0), F.lit(turns - 1))).alias("turn"))
+    taken = each.groupBy("source", "turn").agg(F.sum(F.col("size") * _copies(_turned(F.col("u"), F.col("turn"), turns), F.col("rate"))).alias("taken"), F.first("target").alias("target"))
+    best = taken.groupBy("source").agg(F.min(F.struct(F.abs(F.col("taken") - F.col("target")).alias("off"), "turn"))["turn"].alias("turn"))
+    best = best.select(F.col("source").alias("__source"), "turn")
+    return table.join(best, F.col("source").eqNullSafe(F.col("__source"))).drop("__source")
+
+
+def _joined(rows: DataFrame, table: DataFrame, source_col: str) -> DataFrame:
+    """Rows with the columns of their source."""
+    table = table.withColumnRenamed("source", "__source")
+    few = small(table)  # otherwise a shuffled join, which adaptive execution splits where a source is hot
+    return rows.join(F.broadcast(table) if few else table, F.col(source_col).eqNullSafe(F.col("__source"))).drop("__source")
+
+
 def plan_copies(df: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text", weights: tuple = WEIGHTS, most: int = MOST, seed: str = SEED) -> DataFrame:
     """One row per document: doc_id, size, source, source_size, target, rate, copies."""
-    sizes = checkpoint(df.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), n_words(text_col).alias("size")))
-    table = targets(sizes, weights, most).withColumnRenamed("source", "__source")
-    few = small(table)  # otherwise a shuffled join, which adaptive execution splits where a source is hot
-    joined = sizes.join(F.broadcast(table) if few else table, F.col("source").eqNullSafe(F.col("__source"))).drop("__source")
-    rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
-    return joined.withColumn("rate", rate).withColumn(
-        "copies", (F.floor("rate") + (draw("doc_id", seed) < F.col("rate") - F.floor("rate")).cast("long")).cast("long")
-    )
+    sizes = checkpoint(df.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), n_words(text_col).alias("size"), draw(id_col, seed).alias("u")))
+    table = checkpoint(seeded(sizes, weights, most))
+    copies = _copies(_turned(F.col("u"), F.col("turn"), TURNS), F.col("rate"))
+    return _joined(sizes, table, "source").select("doc_id", "size", "source", "source_size", "target", "rate", copies.alias("copies"))
 
 
 def mix(df: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text", weights: tuple = WEIGHTS, most: int = MOST, seed: str = SEED) -> DataFrame:
     """The rows of ``df``, each as often as the mix takes it."""
-    sizes = df.select(F.col(source_col).alias("source"), n_words(text_col).alias("size"))
-    table = targets(checkpoint(sizes), weights, most).select(F.col("source").alias("__source"), (F.col("target") / F.col("source_size")).alias("__rate"))
-    few = small(table)
-    joined = df.join(F.broadcast(table) if few else table, F.col(source_col).eqNullSafe(F.col("__source")))
-    rate = F.coalesce(F.col("__rate"), F.lit(0.0))
-    copies = (F.floor(rate) + (draw(id_col, seed) < rate - F.floor(rate)).cast("long")).cast("int")
-    return joined.withColumn("__copy", F.explode(F.array_repeat(F.lit(1), copies))).drop("__source", "__rate", "__copy")
+    sizes = checkpoint(df.select(F.col(source_col).alias("source"), n_words(text_col).alias("size"), draw(id_col, seed).alias("u")))
+    table = checkpoint(seeded(sizes, weights, most).select("source", F.col("rate").alias("__rate"), F.col("turn").alias("__turn")))
+    copies = _copies(_turned(draw(id_col, seed), F.col("__turn"), TURNS), F.col("__rate")).cast("int")
+    return _joined(df, table, source_col).withColumn("__copy", F.explode(F.array_repeat(F.lit(1), copies))).drop("__rate", "__turn", "__copy")
 
 
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -90,9 +115,11 @@ o AS (SELECT *, sum(source_size) OVER () AS total,
       FROM w WINDOW r AS (ORDER BY cap / weight, source NULLS LAST ROWS UNBOUNDED PRECEDING)),
 l AS (SELECT arg_min((total - filled)::DOUBLE / open, cap / weight) FILTER (WHERE weight * ((total - filled)::DOUBLE / open) <= cap) AS level FROM o),
 t AS (SELECT source, source_size, least(weight * level, cap::DOUBLE) AS target FROM w, l),
-m AS (SELECT doc_id, size, source_size, target, CASE WHEN source_size > 0 THEN target / source_size ELSE 0 END AS rate,
+m AS (SELECT doc_id, size, t.source, source_size, target, CASE WHEN source_size > 0 THEN target / source_size ELSE 0 END AS rate,
              ('0x' || substr(md5('mix-1:' || coalesce(doc_id::VARCHAR, 'null')), 1, 13))::BIGINT / 4503599627370496.0::DOUBLE AS u
-      FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source)
-SELECT doc_id, size, source_size, target, (floor(rate) + (u < rate - floor(rate))::INT)::BIGINT * size AS taken,
-       (floor(rate) + (u < rate - floor(rate))::INT)::BIGINT AS copies FROM m
+      FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source),
+r AS (SELECT m.*, turn, CASE WHEN u + turn / 128.0::DOUBLE >= 1 THEN u + turn / 128.0::DOUBLE - 1 ELSE u + turn / 128.0::DOUBLE END AS v FROM m, range(128) AS x(turn)),
+c AS (SELECT *, (floor(rate) + (v < rate - floor(rate))::INT)::BIGINT AS copies FROM r),
+b AS (SELECT source, turn, row_number() OVER (PARTITION BY source ORDER BY abs(sum(size * copies) - any_value(target)), turn) AS place FROM c GROUP BY source, turn)
+SELECT doc_id, size, source_size, target, copies * size AS taken, copies FROM c JOIN b ON c.source IS NOT DISTINCT FROM b.source AND c.turn = b.turn WHERE place = 1
 """

@@ -125,6 +125,19 @@ def test_mixing_comes_near_its_targets(spark):
         assert r["taken"] == pytest.approx(r["target"], rel=0.06)
 
 
+def test_mixing_of_small_sources(spark):
+    """Fifty documents a source come near the targets, whatever their ids."""
+    rng = np.random.default_rng(3)
+    made = [(int(i) * 7919, "w " * int(n), f"s{i % 12:02}") for i, n in enumerate(rng.integers(20, 400, 600))]
+    df = spark.createDataFrame(made, "doc_id long, text string, source string")
+    found = mixing.plan_copies(df).groupBy("source").agg(F.sum(F.expr("size * copies")).alias("taken"), F.first("target").alias("target")).collect()
+    assert len(found) == 12
+    for r in found:
+        assert r["taken"] == pytest.approx(r["target"], rel=0.05)
+    taken = {r["doc_id"]: r["copies"] for r in mixing.plan_copies(df).collect()}
+    assert {r["doc_id"]: r["n"] for r in mixing.mix(df).groupBy("doc_id").agg(F.count("*").alias("n")).collect()} == {k: v for k, v in taken.items() if v}
+
+
 def test_license_labels(docs, empty):
     out = {r["doc_id"]: r for r in licenses.scan(docs).collect()}
     i = TEXTS.index("Released under the MIT License. mit license mit license")
