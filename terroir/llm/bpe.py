@@ -9,7 +9,7 @@ does grows with its distinct pieces and its bytes, not with pieces times merges.
 
 Defined results: null text counts as empty and has no ids; ids of any byte sequence decode to the same bytes;
 documents of any length are handled whole; an empty table gives an empty table; other columns are kept by
-``encode`` (its own columns must not exist yet).
+``encode``, but for those that have the names of its own, which are replaced.
 """
 
 from __future__ import annotations
@@ -135,7 +135,7 @@ def encode(df: DataFrame, path: str, text_col: str = "text", ids_col: str = "ids
 
     ``keep``: the columns of ``df`` that are kept, all by default. ``path``: a rank file present on all machines.
     """
-    names = df.columns if keep is None else keep
+    names = [c for c in (df.columns if keep is None else keep) if c not in (ids_col, decoded_col)]
     fields = [*df.select(*names).schema.fields, T.StructField(ids_col, T.ArrayType(T.IntegerType(), False))]
     if decoded_col:
         fields.append(T.StructField(decoded_col, T.BinaryType()))

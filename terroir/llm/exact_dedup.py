@@ -3,8 +3,8 @@
 Normalised texts are dealt to ranges by sampled splitters and sorted there, so that equal texts lie next to
 each other; each row is compared in full with the row before it. Splitters and leading sort keys are a short
 prefix and a 64-bit hash of the text (what the driver samples stays small); the id comes next, so a text that
-a third of all rows share is split over many ranges. Runs that touch the edge of a batch may go on elsewhere:
-they are few, and are merged by SHA-256 after each has been reduced to one row.
+a third of all rows share is split over many ranges. Runs whose hash is that of the first or last row of a batch may
+go on elsewhere: they are few, and are merged by SHA-256 after each has been reduced to one row.
 
 Defined results: null text counts as empty; a null id sorts last and is kept only if all ids of the group are
 null; of rows that repeat with the same id and text exactly one is kept; an empty table gives an empty table.
@@ -35,7 +35,7 @@ def normalised(column: str = "text") -> Column:
 
 
 def _segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sorted rows (text, id) to one row for each run of equal texts within a batch."""
+    """Sorted rows (hash, text, id) to one row for each run of equal texts within a batch."""
     part, seq = TaskContext.get().partitionId(), 0
     for batch in batches:
         n = batch.num_rows
@@ -47,8 +47,8 @@ def _segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             new[1:] = pc.not_equal(text[1:], text[:-1]).to_numpy(zero_copy_only=False)
         starts = np.flatnonzero(new)
         ends = np.append(starts[1:], n)
-        opened = np.zeros(len(starts), bool)
-        opened[[0, -1]] = True
+        hashes = batch.column("hash").to_numpy()
+        opened = (hashes[starts] == hashes[0]) | (hashes[starts] == hashes[-1])
         sha = [hashlib.sha256(text[i].as_buffer() or b"").hexdigest() for i in starts.tolist()]
         yield pa.RecordBatch.from_arrays(
             [
@@ -72,7 +72,7 @@ def exact_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     )
     order = [F.col("head").asc(), F.col("hash").asc(), F.col("id").asc_nulls_last()]
     ranged = rows.repartitionByRange(*order).sortWithinPartitions(*order[:2], F.col("text").asc(), order[2])
-    segments = checkpoint(ranged.select("id", "text").mapInArrow(_segments, _SEGMENT))
+    segments = checkpoint(ranged.select("hash", "id", "text").mapInArrow(_segments, _SEGMENT))
     # structs with fields in order of rank: smallest id, null last, then place
     rank = F.struct(F.col("first_id").isNull().alias("none"), "first_id", "part", "seq")
     merged = segments.filter("open").groupBy("sha").agg(F.min(rank).alias("best"), F.sum("n").alias("size"))

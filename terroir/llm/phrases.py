@@ -26,6 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from terroir.llm.common import documents, text_of
 
@@ -146,7 +147,7 @@ def text_of_sketch(sketch: np.ndarray) -> str:
 
 
 def fingerprint(df: DataFrame, text_col: str = "text", out: str = "fingerprint") -> DataFrame:
-    """Adds the fingerprint of each text as a hexadecimal string."""
+    """Adds the fingerprint of each text as a hexadecimal string, instead of a column ``out`` that is there already."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -155,9 +156,9 @@ def fingerprint(df: DataFrame, text_col: str = "text", out: str = "fingerprint")
                 made = pa.array([text_of_sketch(s) for s in sketches(texts[a:z])], pa.string())
                 yield pa.RecordBatch.from_arrays([*(b.column(c).slice(a, z - a) for c in names), made], names=[*names, out])
 
-    names = df.columns
-    schema = df.schema.add(out, "string")
-    return df.select("*", text_of(text_col).alias("__text")).mapInArrow(run, schema)
+    names = [c for c in df.columns if c != out]
+    schema = T.StructType([*df.select(*names).schema.fields, T.StructField(out, T.StringType())])
+    return df.select(*names, text_of(text_col).alias("__text")).mapInArrow(run, schema)
 
 
 def _stretches(lengths: list[int], size: int = BLOCK) -> Iterator[tuple[int, int]]:

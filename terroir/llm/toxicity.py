@@ -87,7 +87,7 @@ class Automaton:
             self.sets.append(states)
 
             def best(found: list[int]) -> int:
-                return max(found, key=lambda i: self.terms[i][2], default=-1)
+                return max(found, key=lambda i: (self.terms[i][2], -i), default=-1)
 
             row = (
                 best([self.ends[n] for n, e in states if not e and n in self.ends]),
@@ -193,11 +193,11 @@ def crc(id_col: str) -> Column:
     return F.crc32(F.col(id_col).cast("string").cast("binary"))
 
 
-def sample_of(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
+def sample_of(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """At most ``sample`` labelled rows that aren't held out: doc_id, text, toxic, fold (0 to 3)."""
-    usable = labels.filter("toxic in (0, 1)").groupBy("doc_id").agg(F.max("toxic").alias("toxic")).filter(crc("doc_id") % HELD_OUT != 0)
-    chosen = usable.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample).select(F.col("doc_id").alias("__id"), F.col("toxic").cast("int").alias("toxic"))
-    joined = docs.select(F.col("doc_id"), text_of().alias("text")).join(F.broadcast(chosen), F.col("doc_id") == F.col("__id")).drop("__id")
+    usable = labels.filter("toxic in (0, 1)").groupBy(F.col(id_col).alias("__id")).agg(F.max("toxic").cast("int").alias("toxic")).filter(crc("__id") % HELD_OUT != 0)
+    chosen = usable.orderBy(F.xxhash64("__id"), "__id").limit(sample)
+    joined = docs.select(F.col(id_col).alias("doc_id"), text_of(text_col).alias("text")).join(F.broadcast(chosen), F.col("doc_id") == F.col("__id")).drop("__id")
     return checkpoint(joined.withColumn("fold", (crc("doc_id") % HELD_OUT - 1).cast("int")))
 
 
@@ -260,9 +260,9 @@ def fit(rows: list[tuple[list[float], int]], ridge: float = 0.5) -> tuple[list[f
     return w[:-1].tolist(), float(w[-1])
 
 
-def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple[list, list[float], float]:
+def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, id_col: str = "doc_id", text_col: str = "text") -> tuple[list, list[float], float]:
     """(terms, weights, intercept); what reaches the driver is bounded by ``TERMS`` and ``sample``."""
-    rows = sample_of(docs, labels, sample)
+    rows = sample_of(docs, labels, sample, id_col, text_col)
     terms = learn_terms(rows.filter("fold < 3"))
     fitted = [(r["__features"], r["toxic"]) for r in features(rows.filter("fold = 3"), terms, ["toxic"]).collect()]
     if not terms or len({t for _, t in fitted}) < 2:
@@ -278,9 +278,10 @@ def score(df: DataFrame, model: tuple[list, list[float], float], keep: list[str]
     return features(df, terms, keep, text_col).withColumn(out, 1 / (1 + F.exp(-linear))).drop("__features")
 
 
-def drop_toxic(df: DataFrame, labels: DataFrame, threshold: float = 0.5) -> DataFrame:
-    """The rows of ``df`` whose score is below ``threshold``."""
-    return score(df, train(df, labels), df.columns, out="__score").filter(F.col("__score") < threshold).drop("__score")
+def drop_toxic(df: DataFrame, labels: DataFrame, threshold: float = 0.5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``df`` whose score is below ``threshold``; ``labels`` has the same id column."""
+    model = train(df, labels, id_col=id_col, text_col=text_col)
+    return score(df, model, df.columns, text_col, out="__score").filter(F.col("__score") < threshold).drop("__score")
 
 
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

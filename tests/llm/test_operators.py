@@ -241,6 +241,19 @@ def test_exact_groups_across_batches_and_partitions(spark):
     assert out == {i: (min(g), len(g), i == min(g)) for g in groups.values() for i in g}
 
 
+def test_runs_of_one_hash_at_the_edge_of_a_batch_stay_open():
+    import pyarrow as pa
+
+    batch = pa.RecordBatch.from_pydict({"hash": [1, 1, 1, 2, 3, 3], "id": [*range(6)], "text": ["a", "a", "b", "c", "d", "e"]})
+    from unittest import mock
+
+    with mock.patch.object(exact_dedup, "TaskContext"), mock.patch.object(exact_dedup.TaskContext, "get") as get:
+        get.return_value.partitionId.return_value = 0
+        out = next(exact_dedup._segments(iter([batch]))).to_pydict()
+    assert out["open"] == [True, True, False, True, True]
+    assert out["ids"] == [[0, 1], [2], [3], [4], [5]]
+
+
 def test_packing_round_trip():
     for n in range(9):
         v = np.random.default_rng(n).choice([0, 1, 255, 256, 65535, 65536, 2**24 - 1, 2**24, 2**32 - 1], n).astype(np.uint32)
@@ -290,7 +303,7 @@ def test_repeats_equal_brute_force(spark, keep, many):
     rng = np.random.default_rng(11)
     base = ["".join(rng.choice([*"abcd é"], 60)) for _ in range(6)]
     texts = [(i, "".join(base[rng.integers(6)][rng.integers(0, 30) : rng.integers(30, 60)] for _ in range(rng.integers(0, 12)))) for i in range(50)]
-    texts += [(100, "a" * 300), (101, "ab" * 100), (102, ""), (103, "x"), (None, base[0])]
+    texts += [(100, "a" * 300), (101, "ab" * 100), (102, ""), (103, "x"), (None, base[0]), (None, base[1] * 9), (None, base[1][:30]), (104, base[2] + "z"), (104, base[2] + "yy" * 20)]
     df = spark.createDataFrame(texts, "doc_id long, text string")
     assert removed(df, length=24, seed=8, keep=keep, many=many) == without_repeats(texts, 24, keep)
 
