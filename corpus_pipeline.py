@@ -2,6 +2,12 @@
 
 Toxic documents go; of equal texts and of near duplicates one document stays; sources are mixed to their target
 weights, which repeats documents; the last stage encodes every document that is left and checks its decoding.
+
+Defined results: null text counts as empty in every stage, and empty texts are equal to each other; a null id is
+never labelled, is kept only where no equal or near text has an id, and draws in the mix like the id "null"; rows that
+repeat an id and its text are one document from the second stage on; a source without words is left out of the mix;
+further columns go along up to the last stage; empty tables give an empty table. Folders of the stages that nothing
+reads any more are removed.
 """
 
 from __future__ import annotations
@@ -12,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from terroir.llm import bpe, exact_dedup, mixing, simhash, toxicity
-from terroir.llm.common import checkpoint_folder
+from terroir.llm.common import checkpoint_folder, removed
 
 
 def toxic_removed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -46,7 +52,7 @@ STAGES = [
     ("byte-level BPE", encoded),
 ]
 
-#: SQL can't express the learned scores, the fingerprints or the merges; tests compare with plain versions.
+#: SQL can't express the learned scores, the fingerprints or the merges; tests compare all stages with plain versions.
 ORACLE_SQL = None
 
 
@@ -54,6 +60,9 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     folder = f"{checkpoint_folder(spark)}/pipeline-{uuid.uuid4()}"
     for i, (_, stage) in enumerate(STAGES):
-        stage(spark, docs, sf_dir).write.parquet(f"{folder}/{i}")
-        docs = spark.read.parquet(f"{folder}/{i}")
+        made = stage(spark, docs, sf_dir)
+        made.write.parquet(f"{folder}/{i}")
+        if i:
+            removed(docs)
+        docs = spark.read.schema(made.schema).parquet(f"{folder}/{i}")
     return docs
