@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 from terroir.functions.values import safe_rate
+from terroir.operators.common import written
 
 
 def first_wins(df: DataFrame, keys: list[str], order: list[str | Column]) -> DataFrame:
@@ -41,10 +42,10 @@ def rollup_distinct(records: DataFrame, levels: dict[str, list[str]], key: str,
     """Distinct records at each level, re-deduplicated there: level, the level's keys, n, inside.
 
     Records are deduplicated once at the finest level (the first in ``levels``); the coarser levels start from its
-    survivors, which hold a record of every key, so only the first shuffle carries all rows.
+    survivors, which hold a record of every key and are written once, so only the first shuffle carries all rows.
     """
     finest = next(iter(levels.values()))
-    base = first_wins(records, [*finest, key], order)
+    base = written(first_wins(records.select(*{*finest, key, *order, "relation"}), [*finest, key], order))
     parts = []
     for name, keys in levels.items():
         rows = base if keys == finest else first_wins(base, [*keys, key], [*finest, *order])

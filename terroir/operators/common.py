@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import tempfile
+import uuid
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
@@ -16,6 +19,62 @@ def checked_broadcast(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that all machines share: ``spark.checkpoint.dir``, or the one set on the context. Where neither is
+    set, a temporary folder in local mode, which has one machine; an error on a cluster."""
+    given = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if given:
+        return given
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all machines share")
+    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="spark-checkpoint-"))
+    return spark.sparkContext.getCheckpointDir()
+
+
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new folder that all machines share."""
+    return f"{shared_folder(spark)}/{name}-{uuid.uuid4()}"
+
+
+def written(df: DataFrame) -> DataFrame:
+    """``df`` as Parquet files in a new shared folder, for rows that several readers must see alike."""
+    path = scratch(df.sparkSession, "table")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def running(df: DataFrame, order: list[Column], value: Column, name: str) -> DataFrame:
+    """The sum of ``value`` over all rows up to each in a global order. Rows are dealt by range and summed within
+    parts; only the sum of each part reaches the driver. Equal keys lie in one part."""
+    placed = written(df.withColumn("__v", value.cast("long")).repartitionByRange(*order).withColumn("__part", F.spark_partition_id()))
+    before, seen = [], 0
+    for part, n in sorted(map(tuple, placed.groupBy("__part").agg(F.sum("__v")).collect())):
+        before.append((part, seen))
+        seen += n or 0
+    offsets = df.sparkSession.createDataFrame(before or [(0, 0)], "__part int, __before long")
+    w = W.partitionBy("__part").orderBy(*order).rowsBetween(W.unboundedPreceding, W.currentRow)
+    return placed.join(F.broadcast(offsets), "__part").withColumn(name, F.sum("__v").over(w) + F.col("__before")).drop("__v", "__part", "__before")
+
+
+def numbered(df: DataFrame, order: list[Column], name: str = "rank") -> DataFrame:
+    """Numbers from 1 in a total order, without gathering the rows."""
+    return running(df, order, F.lit(1), name)
+
+
+def contained(texts: DataFrame, text: str, names: DataFrame, name: str) -> DataFrame:
+    """Rows of ``texts`` with each row of ``names`` whose name stands in the text: an equi-join of the names with all
+    parts of a text that are as long as some name. The lengths of names are bounded by the longest one."""
+    lengths = sorted(r[0] for r in names.select(F.length(name).alias("n")).distinct().collect() if r[0])
+    if not lengths:
+        return texts.join(names, F.lit(False))
+
+    def parts(n: int) -> Column:
+        return F.transform(F.sequence(F.lit(1), F.greatest(F.length(text) - n + 1, F.lit(1))), lambda i: F.substring(F.col(text), i, F.lit(n)))
+
+    keyed = texts.withColumn("__part", F.explode(F.array_distinct(F.concat(*map(parts, lengths))))).filter("__part <> ''")
+    return keyed.join(names.withColumn("__part", F.col(name)), "__part").drop("__part")
+
+
 def require_columns(df: DataFrame, *names: str) -> DataFrame:
     missing = [n for n in names if n not in df.columns]
     if missing:

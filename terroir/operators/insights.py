@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 from terroir.functions.values import safe_rate
+from terroir.operators.common import running, written
 
 
 def moving_average(df: DataFrame, keys: list[str], year: str, value: str, span: int = 5) -> DataFrame:
@@ -35,13 +38,13 @@ def quantile_buckets(df: DataFrame, value: str, parts: int = 5) -> DataFrame:
     """value, bucket: how many of the nearest-rank breaks (row floor(n i / parts) from 0) are below the value. Values
     are counted first, so ranks are sums over distinct values."""
     counts = df.groupBy(value).agg(F.count(F.lit(1)).alias("__k"))
-    ranked = counts.withColumn("__upto", F.sum("__k").over(W.orderBy(value)))
-    total = ranked.agg(F.max("__upto").alias("__n"))
-    places = F.transform(F.sequence(F.lit(1), F.lit(parts - 1)), lambda i: F.floor(F.col("__n") * i / parts))
-    placed = ranked.crossJoin(F.broadcast(total)).select(value, "__upto", "__k", F.explode(places).alias("__at"))  # one row by one
-    breaks = placed.filter((F.col("__at") < F.col("__upto")) & (F.col("__at") >= F.col("__upto") - F.col("__k")))
-    cut = breaks.agg(F.array_sort(F.collect_list(value)).alias("__breaks"))
-    return df.crossJoin(F.broadcast(cut)).withColumn("bucket", F.size(F.filter("__breaks", lambda b: b < F.col(value)))).drop("__breaks")
+    ranked = written(running(counts, [F.col(value)], F.col("__k"), "__upto"))
+    total = ranked.agg(F.max("__upto")).first()[0] or 0
+    places = F.array(*[F.lit(total * i // parts).cast("long") for i in range(1, parts)])
+    held = F.filter(places, lambda at: (at < F.col("__upto")) & (at >= F.col("__upto") - F.col("__k")))
+    breaks = ranked.select(value, F.explode(held)).collect()  # parts - 1 rows at most
+    below = [(F.lit(r[0]) < F.col(value)).cast("int") for r in breaks]
+    return df.withColumn("bucket", reduce(Column.__add__, below, F.lit(0)))
 
 
 def shares(df: DataFrame, group: list[str], value: str) -> DataFrame:
@@ -101,6 +104,12 @@ def suggestions(df: DataFrame, item: str, template: str, least: int, k: int, slo
     return each.join(df.select(item, template).distinct(), [item, template], "left_anti").select(item, template, F.replace(F.col(template), F.lit(slot), F.col(item)).alias("goods"), "users")
 
 
+def top_class_share(df: DataFrame, keys: list[str], cls: str) -> DataFrame:
+    """The share of the most frequent class of each key: top_share."""
+    counts = df.groupBy(*keys, cls).agg(F.count(F.lit(1)).alias("n"))
+    return counts.groupBy(*keys).agg((F.max("n") / F.sum("n")).alias("top_share"))
+
+
 def expansion_rules(raw: Column, processed: Column, service: Column, top_share: Column, recent: Column, prior: Column, most: int = 4) -> Column:
     """Labels of what an item's stages suggest, at most ``most``."""
     total = raw + processed + service

@@ -13,15 +13,20 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 from terroir.functions.text import compact, region_code
-from terroir.operators.common import checked_broadcast
+from terroir.operators.common import checked_broadcast, contained
 
 
 def by_code(texts: DataFrame, master: DataFrame, successors: DataFrame | None = None) -> DataFrame:
-    """Equality of codes, after replaced codes are mapped to their successors: text, region, province."""
-    coded = texts.filter(F.coalesce("code", F.lit("")) != "")
+    """Equality of codes, in the long form of ten digits where they have five or ten, after replaced codes (old, new)
+    are mapped to their successors: text, region, province. A code that several masters have finds none."""
+    long = lambda c: F.coalesce(F.nullif(region_code(F.col(c)), F.lit("")), F.col(c))
+    coded = texts.filter(F.coalesce("code", F.lit("")) != "").withColumn("code", long("code"))
     if successors is not None:
-        coded = coded.join(checked_broadcast(successors), F.col("code") == F.col("old"), "left").withColumn("code", F.coalesce("new", "code")).drop("old", "new")
-    return coded.join(checked_broadcast(master), "code").select("text", "region", "province")
+        moved = successors.select(long("old").alias("code"), long("new").alias("new")).distinct()
+        coded = coded.join(moved, "code", "left").withColumn("code", F.coalesce("new", "code")).drop("new")
+    known = master.select(long("code").alias("code"), "region", "province").distinct()
+    single = known.groupBy("code").agg(F.count(F.lit(1)).alias("n"), F.first("region").alias("region"), F.first("province").alias("province")).filter("n = 1")
+    return coded.join(single, "code").select("text", "region", "province")
 
 
 def by_alias(texts: DataFrame, aliases: DataFrame) -> DataFrame:
@@ -31,14 +36,14 @@ def by_alias(texts: DataFrame, aliases: DataFrame) -> DataFrame:
 
 def by_longest_name(texts: DataFrame, master: DataFrame) -> DataFrame:
     """Names contained in the text; of these the longest, ties kept."""
-    found = texts.join(checked_broadcast(master), F.contains("text", "region"))
+    found = contained(texts.select("text"), "text", master.select("region", "province"), "region")
     return found.withColumn("r", F.rank().over(W.partitionBy("text").orderBy(F.desc(F.length("region"))))).filter("r = 1").select("text", "region", "province")
 
 
 def by_successor(texts: DataFrame, aliases: DataFrame, master: DataFrame) -> DataFrame:
     """Former names contained in the text, as the region of today."""
     now = aliases.join(master, "region").select("former", "region", "province")
-    return texts.join(checked_broadcast(now), F.contains("text", "former")).select("text", "region", "province").distinct()
+    return contained(texts, "text", now, "former").select("text", "region", "province").distinct()
 
 
 def by_stem(texts: DataFrame, master: DataFrame, ending: str) -> DataFrame:
@@ -51,7 +56,7 @@ def by_stem(texts: DataFrame, master: DataFrame, ending: str) -> DataFrame:
 
 def by_province(texts: DataFrame, master: DataFrame) -> DataFrame:
     """A single province contained in the text; no region is told."""
-    found = texts.join(checked_broadcast(master.select("province").distinct()), F.contains("text", "province"))
+    found = contained(texts, "text", master.select("province").distinct(), "province")
     one = found.withColumn("n", F.count(F.lit(1)).over(W.partitionBy("text"))).filter("n = 1")
     return one.select("text", F.lit(None).cast("string").alias("region"), "province")
 

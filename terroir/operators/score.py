@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 from terroir.functions.values import safe_rate
+from terroir.operators.common import numbered
 
 #: Weights, saturation and thresholds of the gap score.
 ACTIVITY_WEIGHT, REGISTRATION_WEIGHT, SATURATION, REPRESENTATIVE, LOW_CONVERSION = 0.7, 0.3, 5, 3, 0.3
@@ -37,11 +38,6 @@ def gap_counters(scored: DataFrame) -> DataFrame:
     )
 
 
-def numbered(df: DataFrame, order: list[Column], name: str = "rank") -> DataFrame:
-    """Numbers from 1 in a total order of aggregated rows (a report; not for rows that grow with the input)."""
-    return df.withColumn(name, F.row_number().over(W.orderBy(*order)).cast("long"))
-
-
 def gap_ranking(scored: DataFrame) -> DataFrame:
     rows = scored.filter(F.col("representative") & F.col("gap_score").isNotNull())
     return numbered(rows, [F.desc("gap_score"), F.col("region"), F.col("item")]).select("rank", "region", "item", "n", "gap_score")
@@ -49,7 +45,7 @@ def gap_ranking(scored: DataFrame) -> DataFrame:
 
 def top(df: DataFrame, order: list[Column], k: int, name: str = "place") -> DataFrame:
     """The first ``k`` rows with their place; the sort keeps k rows of each partition only."""
-    return numbered(df.orderBy(*order).limit(k), order, name)
+    return df.orderBy(*order).limit(k).withColumn(name, F.row_number().over(W.orderBy(*order)).cast("long"))
 
 
 def ordinal_sort(df: DataFrame, column: str, ranks: dict[str, int], then: list[str], rest: int = 9) -> DataFrame:

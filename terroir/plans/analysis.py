@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from terroir.functions.values import safe_rate
 from terroir.operators import analyze as A
 from terroir.operators import score as S
+from terroir.operators.common import numbered, written
 from terroir.plans.base import FIRSTS, RECORDS, Tables, records
 
 ORDER = ["line", "part", "supp", "granted"]
@@ -184,7 +185,7 @@ def _(t):
 @query("d20_summed_override", "WITH " + FIRSTS + """, cell AS (SELECT region, item, count(*) FILTER (WHERE relation = 'inside') AS inside FROM fst GROUP BY region, item)
 SELECT item, (SELECT count(DISTINCT app) FROM rec r WHERE r.item = c.item) AS n, sum(inside)::BIGINT AS inside FROM cell c GROUP BY item""")
 def _(t):
-    rows = firsts(t)
+    rows = written(firsts(t).select("region", "item", "app", "relation"))
     cells = rows.groupBy("region", "item").agg(F.count_if(F.col("relation") == "inside").alias("inside"))
     items = rows.groupBy("item").agg(F.count_distinct("app").alias("n"), F.lit(0).cast("long").alias("inside"))
     return A.summed_override(items, cells, ["item"], ["inside"])
@@ -272,9 +273,9 @@ def _(t):
     return A.ranked_examples(firsts(t), ["region", "item"], [F.desc("filed"), F.col("app")], 3).select("region", "item", "app", "rank")
 
 
-@query("f01_aggregate_order", "WITH " + FIRSTS + """, c AS (SELECT region, item, count(*) AS n FROM fst GROUP BY region, item) SELECT row_number() OVER (ORDER BY n DESC, region, item) AS place, * FROM c ORDER BY n DESC, region, item LIMIT 100""")
+@query("f01_aggregate_order", "WITH " + FIRSTS + """, c AS (SELECT region, item, count(*) AS n FROM fst GROUP BY region, item) SELECT row_number() OVER (ORDER BY n DESC, region, item) AS place, * FROM c""")
 def _(t):
-    return S.top(firsts(t).groupBy("region", "item").agg(F.count(F.lit(1)).alias("n")), [F.desc("n"), F.col("region"), F.col("item")], 100, "place")
+    return numbered(firsts(t).groupBy("region", "item").agg(F.count(F.lit(1)).alias("n")), [F.desc("n"), F.col("region"), F.col("item")], "place")
 
 
 @query("f06_top_regions", "WITH " + RECORDS + """ SELECT region, count(*) AS n FROM rec GROUP BY region ORDER BY n DESC, region LIMIT 10""")
@@ -282,9 +283,9 @@ def _(t):
     return records(t).groupBy("region").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "region").limit(10)
 
 
-@query("f09_multi_key_sort", "WITH " + SCORED + """ SELECT row_number() OVER (ORDER BY gap_score DESC NULLS LAST, rate ASC NULLS FIRST, region, item) AS place, region, item FROM scr ORDER BY place LIMIT 50""")
+@query("f09_multi_key_sort", "WITH " + SCORED + """ SELECT row_number() OVER (ORDER BY gap_score DESC NULLS LAST, rate ASC NULLS FIRST, region, item) AS place, region, item FROM scr""")
 def _(t):
-    return S.top(scored(t), [F.col("gap_score").desc_nulls_last(), F.col("rate").asc_nulls_first(), F.col("region"), F.col("item")], 50, "place").select("place", "region", "item")
+    return numbered(scored(t), [F.col("gap_score").desc_nulls_last(), F.col("rate").asc_nulls_first(), F.col("region"), F.col("item")], "place").select("place", "region", "item")
 
 
 @query("f11_ordinal_sort", "WITH " + RECORDS + """ SELECT region, province, row_number() OVER (ORDER BY CASE province WHEN 'EUROPE' THEN 0 WHEN 'ASIA' THEN 1 ELSE 9 END, region) AS place FROM (SELECT DISTINCT region, province FROM rec)""")

@@ -10,7 +10,7 @@ from terroir.functions import values as V
 from terroir.operators import enrich as E
 from terroir.operators import rows as R
 from terroir.operators import snapshot as N
-from terroir.operators.common import checked_broadcast
+from terroir.operators.common import checked_broadcast, numbered, written
 from terroir.plans.base import FIRSTS, RECORDS, Tables, masters, records
 
 QUERIES, SQL = {}, {}
@@ -90,12 +90,13 @@ def _(t):
     return E.expand_facts(t.supplier.select("s_suppkey", (c("s_suppkey") * 3).alias("q")), facts, "q").select("s_suppkey", "p_partkey", "l_orderkey")
 
 
-@query("c18_per_region_reevaluation", "WITH " + FIRSTS + ", f AS (SELECT item, app, app_region FROM (SELECT *, row_number() OVER (PARTITION BY item, app ORDER BY region, line, part, supp) AS k FROM fst WHERE app % 10 = 0) WHERE k = 1) SELECT n_name AS region, item, count(*) FILTER (WHERE app_region = n_name) AS inside, count(*) FILTER (WHERE app_region <> n_name) AS outside FROM f, nation WHERE n_nationkey < 5 GROUP BY ALL")
+@query("c18_per_region_reevaluation", "WITH " + RECORDS + ", f AS (SELECT item, app, min(app_region) AS app_region FROM rec GROUP BY item, app), e AS (SELECT DISTINCT region, item FROM rec) SELECT region, item, count(*) FILTER (WHERE app_region = region) AS inside, count(*) FILTER (WHERE app_region <> region) AS outside FROM e JOIN f USING (item) GROUP BY region, item")
 def _(t):
-    facts = records(t).filter("app % 10 = 0").groupBy("item", "app").agg(F.min("app_region").alias("app_region"))
-    entries = masters(t).filter("code < 5").select("region").withColumn("k", lit(1))
-    items = facts.select("item").distinct().withColumn("k", lit(1)).join(checked_broadcast(entries), "k").drop("k")  # entries by query key
-    return items.join(facts, "item").groupBy("region", "item").agg(F.count_if(c("app_region") == c("region")).alias("inside"), F.count_if(c("app_region") != c("region")).alias("outside"))
+    """Each region that files an item looks at all records of the item; these are counted by region before the join."""
+    rec = written(records(t).select("item", "app", "region", "app_region"))
+    facts = rec.groupBy("item", "app").agg(F.min("app_region").alias("app_region")).groupBy("item", "app_region").agg(F.count(lit(1)).alias("n"))
+    own, zero = c("app_region") == c("region"), lit(0)
+    return rec.select("region", "item").distinct().join(facts, "item").groupBy("region", "item").agg(F.sum(F.when(own, c("n")).otherwise(zero)).alias("inside"), F.sum(F.when(~own, c("n")).otherwise(zero)).alias("outside"))
 
 
 @query("c21_reviewed_overlay", "SELECT p_partkey, CASE WHEN p_partkey % 4 = 0 AND p_type = 'PROMO' THEN 99 ELSE p_size END AS p_size FROM part")
@@ -218,11 +219,11 @@ def _(t):
     return t.part.withColumn("own", own).filter(F.size("own") > 0).select("p_partkey")
 
 
-@query("c35_reviewed_strategy", "WITH d AS (SELECT conv_id, turn, CASE WHEN role = 'assistant' THEN 'approved' ELSE 'rejected' END AS decision FROM (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC) AS k FROM conversations) WHERE k = 1), p AS (SELECT conv_id, turn, substr(text, 1, 10) AS reviewed FROM conversations) SELECT i.conv_id AS id, CASE WHEN d.decision = 'approved' THEN p.reviewed ELSE 'own' END AS shown, CASE WHEN d.decision = 'approved' THEN 'reviewed' ELSE 'template' END AS source FROM (SELECT DISTINCT conv_id FROM conversations) i JOIN d USING (conv_id) JOIN p ON p.conv_id = d.conv_id AND p.turn = d.turn")
+@query("c35_reviewed_strategy", "WITH d AS (SELECT conv_id, turn, CASE WHEN role = 'assistant' THEN 'approved' ELSE 'rejected' END AS decision FROM (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC) AS k FROM conversations) WHERE k = 1), p AS (SELECT conv_id, turn, text AS reviewed FROM conversations) SELECT i.conv_id AS id, CASE WHEN d.decision = 'approved' THEN p.reviewed ELSE 'own' END AS shown, CASE WHEN d.decision = 'approved' THEN 'reviewed' ELSE 'template' END AS source FROM (SELECT DISTINCT conv_id FROM conversations) i JOIN d USING (conv_id) JOIN p ON p.conv_id = d.conv_id AND p.turn = d.turn")
 def _(t):
     v = t.conversations
     decisions = v.select(c("conv_id").alias("id"), c("turn").alias("at"), c("turn").alias("proposal"), F.when(c("role") == "assistant", "approved").otherwise("rejected").alias("decision"))
-    proposals = v.select(c("conv_id").alias("id"), c("turn").alias("version"), F.substring("text", 1, 10).alias("text"))
+    proposals = v.select(c("conv_id").alias("id"), c("turn").alias("version"), "text")
     items = v.select(c("conv_id").alias("id")).distinct().withColumn("text", lit("own"))
     return N.reviewed_overlay(items, proposals, decisions).select("id", "shown", "source")
 
@@ -349,11 +350,12 @@ def _(t):
     return t.part.join(t.part.filter("p_size = 1").select("p_name"), "p_name", "left_semi").groupBy("p_type").agg(F.count(lit(1)).alias("n"), F.count_distinct("p_name").alias("queries"))
 
 
-@query("d44_high_water", "WITH v AS (SELECT 'orders' AS metric, count(*) AS value, 14000 AS mark FROM orders UNION ALL SELECT 'lines', count(*), 60500 FROM lineitem UNION ALL SELECT 'customers', count(*), 9000 FROM customer) SELECT metric, value, mark, CASE WHEN value < mark * 0.98 THEN 'violation' WHEN value < mark THEN 'warning' ELSE 'ok' END AS state, greatest(value, mark) AS next FROM v")
+@query("d44_high_water", "WITH v AS (SELECT 'orders' AS metric, count(*) AS value, count(*) FILTER (WHERE o_orderstatus <> 'P') AS mark FROM orders UNION ALL SELECT 'lines', count(*), count(*) + count(*) // 100 FROM lineitem UNION ALL SELECT 'customers', count(*), 2 * count(*) FROM customer) SELECT metric, value, mark, CASE WHEN value < mark * 0.98 THEN 'violation' WHEN value < mark THEN 'warning' ELSE 'ok' END AS state, greatest(value, mark) AS next FROM v")
 def _(t):
     n = F.count(lit(1)).alias("value")
     m = t.orders.agg(n).select(lit("orders").alias("metric"), "value").union(t.lineitem.agg(n).select(lit("lines"), "value")).union(t.customer.agg(n).select(lit("customers"), "value"))
-    marks = t.region.limit(1).select(F.explode(F.create_map(lit("orders"), lit(14000), lit("lines"), lit(60500), lit("customers"), lit(9000))).alias("metric", "mark"))
+    k = F.count(lit(1))
+    marks = t.orders.agg(F.count_if(c("o_orderstatus") != "P").alias("mark")).select(lit("orders").alias("metric"), "mark").union(t.lineitem.agg((k + F.floor(k / 100)).alias("mark")).select(lit("lines"), "mark")).union(t.customer.agg((k * 2).alias("mark")).select(lit("customers"), "mark"))
     return N.high_water(m, marks, 0.02)
 
 
@@ -418,10 +420,9 @@ def _(t):
     return t.part.filter("p_type = 'PROMO'").orderBy(F.desc("p_size"), "p_partkey").limit(20).select("p_partkey", "p_size")
 
 
-@query("f04_candidate_order", "SELECT row_number() OVER (ORDER BY p_size > 40 DESC, p_partkey) AS place, p_partkey FROM part ORDER BY place LIMIT 100")
+@query("f04_candidate_order", "SELECT row_number() OVER (ORDER BY p_size > 40 DESC, p_partkey) AS place, p_partkey FROM part")
 def _(t):
-    o = [F.desc(c("p_size") > 40), c("p_partkey")]
-    return t.part.orderBy(*o).limit(100).withColumn("place", F.row_number().over(W.orderBy(*o)).cast("long")).select("place", "p_partkey")
+    return numbered(t.part.select("p_partkey", "p_size"), [F.desc(c("p_size") > 40), c("p_partkey")], "place").select("place", "p_partkey")
 
 
 @query("f05_budgeted_selection", "SELECT o_orderkey, true AS cached FROM orders WHERE o_orderkey % 3 <> 0 UNION ALL SELECT o_orderkey, false FROM (SELECT o_orderkey FROM orders WHERE o_orderkey % 3 = 0 ORDER BY o_orderkey LIMIT 500)")

@@ -8,7 +8,7 @@ from pyspark.sql.window import Window as W
 from terroir.functions import text as X
 from terroir.operators import items as I
 from terroir.operators import regions as G
-from terroir.operators.common import checked_broadcast
+from terroir.operators.common import checked_broadcast, numbered
 from terroir.plans.base import Tables, masters
 
 QUERIES, SQL = {}, {}
@@ -68,10 +68,14 @@ def _(t):
     return G.resolve(d, rungs, m)
 
 
-@query("c01a_code_join", "WITH " + TEXTS + " SELECT DISTINCT text, region, province FROM txt JOIN mst USING (code)")
+@query("c01a_code_join", "SELECT c_name AS text, n_name AS region, r_name AS province FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey WHERE c_custkey % 3 <> 2 AND n_nationkey <> 0")
 def _(t):
-    d, m = texts(t)
-    return G.by_code(d, m).distinct()
+    """Codes of five digits, replaced codes of ten, and codes of no known form; nation 0 stands twice in the master."""
+    code = lambda base: F.concat((F.col("code") + base).cast("string"), F.lit("00000"))
+    m = masters(t)
+    master = m.withColumn("code", code(11000)).unionByName(m.filter("code = 0").select(code(11000).alias("code"), F.lit("twin").alias("region"), "province"))
+    short = F.when(F.col("c_custkey") % 3 == 0, (F.col("c_nationkey") + 11000).cast("string")).when(F.col("c_custkey") % 3 == 1, F.concat((F.col("c_nationkey") + 12000).cast("string"), F.lit("00000"))).otherwise("x")
+    return G.by_code(t.customer.select(F.col("c_name").alias("text"), short.alias("code")), master, m.select(code(12000).alias("old"), code(11000).alias("new")))
 
 
 @query("c01b_alias_equality", "WITH " + TEXTS + " SELECT DISTINCT text, province AS region, province FROM txt JOIN mst ON text = province")
@@ -113,10 +117,10 @@ def _(t):
     return raw.join(G.by_alias(raw.select("text").distinct(), m), "text").select("c_custkey", "province")
 
 
-@query("e02_longest_ties", "WITH k AS (SELECT p_name, n_name, rank() OVER (PARTITION BY p_name ORDER BY length(n_name) DESC) AS k FROM (SELECT DISTINCT p_name FROM part) CROSS JOIN nation WHERE left(n_name, 1) = upper(left(p_name, 1)) OR n_nationkey < 12) SELECT p_name, n_name FROM k WHERE k = 1")
+@query("e02_longest_ties", "WITH w AS (SELECT DISTINCT unnest(string_split(p_name, ' ')) AS word FROM part), k AS (SELECT p_name, word, rank() OVER (PARTITION BY p_name ORDER BY length(word) DESC) AS k FROM (SELECT DISTINCT p_name FROM part) JOIN w ON contains(p_name, word)) SELECT p_name, word FROM k WHERE k = 1")
 def _(t):
-    pairs = t.part.select("p_name").distinct().join(checked_broadcast(t.nation), (F.left("n_name", F.lit(1)) == F.upper(F.left("p_name", F.lit(1)))) | (F.col("n_nationkey") < 12))
-    return pairs.withColumn("k", F.rank().over(W.partitionBy("p_name").orderBy(F.desc(F.length("n_name"))))).filter("k = 1").select("p_name", "n_name")
+    words = t.part.select(F.explode(F.split("p_name", " ")).alias("region")).distinct().withColumn("province", F.lit(""))
+    return G.by_longest_name(t.part.select(F.col("p_name").alias("text")).distinct(), words).select(F.col("text").alias("p_name"), F.col("region").alias("word"))
 
 
 @query("c11_region_relation", """SELECT o_orderkey, CASE WHEN cn.n_regionkey <> sn.n_regionkey THEN 'outside' WHEN c_custkey % 4 <> 0 AND cn.n_name <> sn.n_name THEN 'outside' ELSE 'inside' END AS relation,
@@ -150,9 +154,9 @@ def _(t):
     return t.lineitem.groupBy("l_orderkey").agg(F.collect_set("l_returnflag").alias("v")).select("l_orderkey", G.unanimous(F.col("v")).alias("relation"))
 
 
-@query("c23_code_lookup", "WITH m AS (SELECT c_mktsegment AS region, count(DISTINCT c_nationkey) AS n, min(c_nationkey) AS c FROM customer WHERE c_custkey < 40 GROUP BY 1) SELECT DISTINCT p_type AS region, NULL::INT AS region_code, 'unresolved' AS code_status FROM part UNION ALL SELECT region, CASE WHEN n = 1 THEN c END, CASE WHEN n = 1 THEN 'resolved' ELSE 'ambiguous' END FROM m")
+@query("c23_code_lookup", "WITH m AS (SELECT region, count(DISTINCT c) AS n, min(c) AS c FROM (SELECT c_mktsegment AS region, c_nationkey AS c FROM customer UNION ALL SELECT c_name, c_nationkey FROM customer) GROUP BY 1) SELECT DISTINCT p_type AS region, NULL::INT AS region_code, 'unresolved' AS code_status FROM part UNION ALL SELECT region, CASE WHEN n = 1 THEN c END, CASE WHEN n = 1 THEN 'resolved' ELSE 'ambiguous' END FROM m")
 def _(t):
-    m = t.customer.filter("c_custkey < 40").select(F.col("c_mktsegment").alias("region"), F.col("c_nationkey").alias("code"))
+    m = t.customer.select(F.explode(F.array("c_mktsegment", "c_name")).alias("region"), F.col("c_nationkey").alias("code"))
     names = t.part.select(F.col("p_type").alias("region")).union(m.select("region")).distinct()
     return G.code_lookup(names, m)
 
@@ -273,4 +277,4 @@ def _(t):
 def _(t):
     g = t.part.groupBy("p_name").agg(F.count(F.lit(1)).alias("n"))
     order = [F.desc("n"), F.length("p_name"), F.length("p_name") - F.length(F.replace("p_name", F.lit(" "), F.lit(""))), F.col("p_name")]
-    return g.withColumn("place", F.row_number().over(W.orderBy(*order)).cast("long")).select("p_name", "place")
+    return numbered(g, order, "place").select("p_name", "place")

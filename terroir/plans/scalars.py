@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from terroir.functions import text as X
 from terroir.functions import values as V
 from terroir.operators import rows as R
+from terroir.operators.score import alert_kind
 from terroir.plans.base import Tables
 
 QUERIES, SQL = {}, {}
@@ -45,6 +46,12 @@ def metric():
     return V.metric(c("p_size"), F.when(c("p_size") % 3 == 0, "blocked").otherwise("available"))
 
 
+def parsed():
+    """Every fifth text isn't JSON."""
+    text = F.when(c("event_id") % 5 == 0, F.concat(F.lit("x"), c("props"))).otherwise(c("props"))
+    return F.from_json(text, "k int, _corrupt_record string", {"mode": "PERMISSIVE"})
+
+
 DECORATED = "'  ' || p_name || ' (lot ' || p_size || ', x) ; rest [a]'"
 
 project("b02_clean_item_name", "part", "p_partkey", {"name": (lambda: X.clean_item_name(decorated()), "p_name")})
@@ -82,7 +89,7 @@ project("b31_staleness", "orders", "o_orderkey", {"state": (lambda: R.staleness_
 project("b33_relabel_scope", "part", "p_partkey", {"scope": (lambda: R.relabel_scope(F.when(c("p_size") % 5 == 0, "review").otherwise("regional"), c("p_type"), ["PROMO"], "nationwide"), "CASE WHEN p_type = 'PROMO' OR p_size % 5 = 0 THEN 'nationwide' ELSE 'regional' END")})
 project("b35_normal_goods", "part", "p_partkey", {"goods": (lambda: X.normal_goods(decorated()), "regexp_replace(lower(" + DECORATED + "), '[^0-9a-z가-힣]', '', 'g')")})
 project("b22_data_state", "part", "p_partkey", {"state": (lambda: R.data_state(c("p_size") % 3, c("p_size") % 2, c("p_size") % 4, F.lit(0), F.lit(2)), "CASE WHEN p_size % 3 = 2 THEN 'complete' WHEN p_size % 4 = 2 THEN 'blocked' WHEN p_size % 3 + p_size % 2 = 2 THEN 'partial' ELSE 'mixed' END")})
-project("h01_unicode_normalize", "documents", "doc_id", {"n": (lambda: F.length(X.unicode_normalize(F.substring("text", 1, 100000))), "length(nfc_normalize(text))")})
+project("h01_unicode_normalize", "documents", "doc_id", {"n": (lambda: F.length(X.unicode_normalize(c("text"))), "length(nfc_normalize(text))")})
 project("h02_spaces", "documents", "doc_id", {"n": (lambda: F.length(X.collapse_spaces(c("text"))), "length(trim(regexp_replace(text, '[ \\t\\n\\x0B\\f\\r]+', ' ', 'g')))"), "compacted": (lambda: X.compact(c("source")), "source")})
 project("h03_canonical_name", "part", "p_partkey", {"name": (lambda: X.canonical_name(decorated()), "regexp_replace(lower(" + DECORATED + "), '[ \\t\\n''\"`()\\[\\]{}._-]+', '', 'g')")})
 project("h04_digits_only", "customer", "c_custkey", {"digits": (lambda: X.digits_only(c("c_name")), "regexp_replace(c_name, '[^0-9]', '', 'g')")})
@@ -99,8 +106,8 @@ project("h14_content_hash", "nation", "n_nationkey", {"hash": (lambda: V.content
 project("h15_hash_id", "nation", "n_nationkey", {"id16": (lambda: V.hash_id(c("n_name")), "substr(sha256(n_name), 1, 16)"), "id12": (lambda: V.hash_id(c("n_name"), 12), "substr(sha256(n_name), 1, 12)")})
 project("h16_percent", "part", "p_partkey", {"text": (lambda: X.percent(F.when(c("p_size") > 5, c("p_size") / 64), "none"), "CASE WHEN p_size > 5 THEN round(p_size / 64.0::DOUBLE * 100)::INT || '%' ELSE 'none' END")})
 project("h17_topic_marker", "nation", "n_nationkey", {"word": (lambda: X.topic_marker(F.when(c("n_nationkey") % 3 == 0, F.lit("양주군")).when(c("n_nationkey") % 3 == 1, F.lit("제주도")).otherwise(c("n_name"))), "CASE n_nationkey % 3 WHEN 0 THEN '양주군은' WHEN 1 THEN '제주도는' ELSE n_name || '는' END")})
-project("h19_alert_kind", "part", "p_partkey", {"kind": (lambda: F.when(c("p_size") > 40, "unclaimed").when(c("p_size") > 30, "low_conversion"), "CASE WHEN p_size > 40 THEN 'unclaimed' WHEN p_size > 30 THEN 'low_conversion' END")})
-project("h20_json_parse", "events", "event_id", {"k": (lambda: F.from_json("props", "k int")["k"], "(props->>'$.k')::INT"), "broken": (lambda: F.from_json(F.concat(c("props"), F.lit("x")), "k int, _corrupt_record string", {"mode": "PERMISSIVE"})["k"].isNull() & F.lit(False), "false")})
+project("h19_alert_kind", "part", "p_partkey", {"kind": (lambda: alert_kind(c("p_size") > 40, c("p_size") > 30), "CASE WHEN p_size > 40 THEN 'unclaimed' WHEN p_size > 30 THEN 'low_conversion' END")})
+project("h20_json_parse", "events", "event_id", {"k": (lambda: parsed()["k"], "CASE WHEN event_id % 5 <> 0 THEN (props->>'$.k')::INT END"), "broken": (lambda: parsed()["_corrupt_record"].isNotNull(), "event_id % 5 = 0")})
 project("h21_paren_strip", "part", "p_partkey", {"name": (lambda: X.paren_stripped(F.concat(c("p_name"), F.lit(" (old)"))), "p_name")})
 project("h22_region_tokens", "customer", "c_custkey", {"tokens": (lambda: F.array_join(X.region_tokens(F.concat(F.lit("경기도 "), F.when(c("c_custkey") % 2 == 0, F.lit("남양주시")).otherwise("강화군"), F.lit(" 1"))), "|"), "CASE WHEN c_custkey % 2 = 0 THEN '경기도|남양주시|경기|남양주' ELSE '경기도|강화군|경기|강화' END")})
 project("h23_slots", "part", "p_partkey", {"text": (lambda: X.fill_slot(F.lit("jam of {item}"), "{item}", c("p_name")), "'jam of ' || p_name")})
@@ -112,9 +119,9 @@ project("a24_record_key", "customer", "c_custkey", {"key": (lambda: V.record_key
 
 
 def _dates(spark, sf_dir):
-    spans = Tables(spark, sf_dir).orders.filter("o_orderkey % 10 = 0").select("o_orderkey", F.col("o_orderdate").cast("date").alias("a")).withColumn("b", F.date_add("a", (F.col("o_orderkey") % 60).cast("int")))
+    spans = Tables(spark, sf_dir).orders.select("o_orderkey", F.col("o_orderdate").cast("date").alias("a")).withColumn("b", F.date_add("a", (F.col("o_orderkey") % 60).cast("int")))
     return R.expand_dates(spans, "a", "b", 31).select("o_orderkey", F.col("day").cast("string").alias("day"))
 
 
 QUERIES["b32_expand_dates"] = _dates
-SQL["b32_expand_dates"] = "SELECT o_orderkey, unnest(range(o_orderdate::DATE, o_orderdate::DATE + least(o_orderkey % 60 + 1, 31)::INT, INTERVAL 1 DAY))::DATE::VARCHAR AS day FROM orders WHERE o_orderkey % 10 = 0"
+SQL["b32_expand_dates"] = "SELECT o_orderkey, unnest(range(o_orderdate::DATE, o_orderdate::DATE + least(o_orderkey % 60 + 1, 31)::INT, INTERVAL 1 DAY))::DATE::VARCHAR AS day FROM orders"

@@ -44,7 +44,7 @@ def events(t: Tables) -> DataFrame:
 @query("s02_stream_dedupe", "SELECT DISTINCT event_id, user_id FROM events")
 def _(t):
     e = events(t)
-    stream = S.deduplicated(landed(e.unionByName(e)), "ts", ["event_id"], "3650 days")
+    stream = S.deduplicated(landed(e.unionByName(e), "ts"), "ts", ["event_id"], "1 day")
     return S.run_available(stream, scratch(t.spark, "out"), scratch(t.spark, "state")).select("event_id", "user_id")
 
 

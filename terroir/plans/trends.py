@@ -7,7 +7,7 @@ from pyspark.sql.window import Window as W
 
 from terroir.functions.values import safe_rate
 from terroir.operators import insights as I
-from terroir.operators.common import checked_broadcast
+from terroir.operators.common import checked_broadcast, numbered
 from terroir.plans.base import RECORDS, Tables, masters, records
 
 QUERIES, SQL = {}, {}
@@ -66,7 +66,7 @@ def _(t):
 @query("e06_rank_numbers", "SELECT row_number() OVER (ORDER BY n DESC, p_name) AS rank, p_name, n FROM (SELECT p_name, count(*) AS n FROM part GROUP BY 1)")
 def _(t):
     g = t.part.groupBy("p_name").agg(N())
-    return g.withColumn("rank", F.row_number().over(W.orderBy(F.desc("n"), "p_name")).cast("long"))
+    return numbered(g, [F.desc("n"), c("p_name")])
 
 
 @query("e15_unusual_examples", "WITH f AS (SELECT p_type, p_name, contains(p_name, 'bolt') AS core FROM (SELECT DISTINCT p_type, p_name FROM part) WHERE length(p_name) BETWEEN 7 AND 12), a AS (SELECT p_type, p_name AS representative FROM (SELECT *, row_number() OVER (PARTITION BY p_type ORDER BY core DESC, length(p_name), p_name) AS k FROM f) WHERE k = 1), b AS (SELECT p_type, p_name AS unusual FROM (SELECT f.*, row_number() OVER (PARTITION BY p_type ORDER BY core, length(p_name) DESC, p_name) AS k FROM f JOIN a USING (p_type) WHERE p_name <> representative) WHERE k = 1) SELECT * FROM a LEFT JOIN b USING (p_type)")
@@ -216,11 +216,12 @@ def _(t):
     return t.part.groupBy("p_name", F.when(c("p_size") >= 35, "service").otherwise("goods").alias("bucket")).agg(N())
 
 
-@query("d64_expansion_rules", "WITH g AS (SELECT p_name, count(*) FILTER (WHERE p_size < 20) AS raw, count(*) FILTER (WHERE p_size BETWEEN 20 AND 21) AS processed, count(*) FILTER (WHERE p_size >= 48) AS service, count(*) FILTER (WHERE p_partkey % 2 = 0) AS recent, count(*) FILTER (WHERE p_partkey % 2 = 1) AS prior FROM part GROUP BY 1) SELECT p_name, CASE WHEN x = '' THEN 'balanced' ELSE x END AS rules FROM (SELECT p_name, concat_ws('|', CASE WHEN service = 0 AND raw + processed > 0 THEN 'service_gap' END, CASE WHEN processed = 0 AND raw > 0 THEN 'processed_gap' END, CASE WHEN raw > 0 AND processed > 0 AND service > 0 THEN 'cluster_split' END, CASE WHEN recent > prior * 1.5 THEN 'momentum' END) AS x FROM g)")
+@query("d64_expansion_rules", "WITH g AS (SELECT p_name, count(*) FILTER (WHERE p_size < 20) AS raw, count(*) FILTER (WHERE p_size BETWEEN 20 AND 21) AS processed, count(*) FILTER (WHERE p_size >= 48) AS service, count(*) FILTER (WHERE p_partkey % 2 = 0) AS recent, count(*) FILTER (WHERE p_partkey % 2 = 1) AS prior, max(k)::DOUBLE / count(*) AS top_share FROM (SELECT *, count(*) OVER (PARTITION BY p_name, p_brand) AS k FROM part) GROUP BY 1) SELECT p_name, CASE WHEN x = '' THEN 'balanced' ELSE x END AS rules FROM (SELECT p_name, concat_ws('|', CASE WHEN service = 0 AND raw + processed > 0 THEN 'service_gap' END, CASE WHEN processed = 0 AND raw > 0 THEN 'processed_gap' END, CASE WHEN top_share >= 0.6 THEN 'class_concentration' END, CASE WHEN raw > 0 AND processed > 0 AND service > 0 AND top_share < 0.3 THEN 'cluster_split' END, CASE WHEN recent > prior * 1.5 THEN 'momentum' END) AS x FROM g)")
 def _(t):
     s = c("p_size")
     g = t.part.groupBy("p_name").agg(F.count_if(s < 20).alias("raw"), F.count_if(s.between(20, 21)).alias("processed"), F.count_if(s >= 48).alias("service"), F.count_if(c("p_partkey") % 2 == 0).alias("recent"), F.count_if(c("p_partkey") % 2 == 1).alias("prior"))
-    return g.select("p_name", F.array_join(I.expansion_rules(c("raw"), c("processed"), c("service"), lit(0.0), c("recent"), c("prior")), "|").alias("rules"))
+    top = I.top_class_share(t.part, ["p_name"], "p_brand")
+    return g.join(top, "p_name").select("p_name", F.array_join(I.expansion_rules(c("raw"), c("processed"), c("service"), c("top_share"), c("recent"), c("prior")), "|").alias("rules"))
 
 
 @query("d65_mark_types", "SELECT CASE o_orderkey % 3 WHEN 0 THEN 'mark' WHEN 1 THEN 'service' ELSE 'collective' END AS mark, count(*) AS n FROM orders GROUP BY 1")
@@ -248,7 +249,7 @@ def _(t):
 @query("f02_gap_order", "WITH g AS (SELECT p_name, count(*) FILTER (WHERE p_size > 25) AS a, count(*) AS n FROM part GROUP BY 1) SELECT row_number() OVER (ORDER BY a::DOUBLE / n DESC, p_name) AS rank, p_name FROM g WHERE n >= 20")
 def _(t):
     g = t.part.groupBy("p_name").agg(F.count_if(c("p_size") > 25).alias("a"), N()).filter("n >= 20")
-    return g.select(F.row_number().over(W.orderBy(F.desc(c("a") / c("n")), "p_name")).cast("long").alias("rank"), "p_name")
+    return numbered(g, [F.desc(c("a") / c("n")), c("p_name")]).select("rank", "p_name")
 
 
 @query("f07_item_sorts", "WITH g AS (SELECT p_name, count(*) AS n, count(DISTINCT p_brand) AS regions FROM part GROUP BY 1) SELECT row_number() OVER (ORDER BY regions DESC, n DESC, p_name) AS place, p_name FROM g ORDER BY place LIMIT 20")
@@ -267,7 +268,7 @@ def _(t):
 @query("f10_coverage_sorts", "SELECT p_brand, round(count(*) FILTER (WHERE p_size > 30)::DOUBLE / count(*), 4) AS rate, row_number() OVER (ORDER BY count(*) FILTER (WHERE p_size > 30)::DOUBLE / count(*), p_brand) AS place FROM part GROUP BY p_brand")
 def _(t):
     g = t.part.groupBy("p_brand").agg(F.count_if(c("p_size") > 30).alias("a"), N())
-    return g.select("p_brand", safe_rate(c("a"), c("n")).alias("rate"), F.row_number().over(W.orderBy(c("a") / c("n"), "p_brand")).cast("long").alias("place"))
+    return numbered(g, [c("a") / c("n"), c("p_brand")], "place").select("p_brand", safe_rate(c("a"), c("n")).alias("rate"), "place")
 
 
 @query("f13_top_provinces", "WITH " + RECORDS + " SELECT province, count(*) AS n FROM rec GROUP BY province ORDER BY n DESC, province LIMIT 10")

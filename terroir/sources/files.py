@@ -2,32 +2,21 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from terroir.functions.text import collapse_spaces, decode_entities, unicode_normalize
-from terroir.operators.common import require_columns
+from terroir.operators.common import require_columns, scratch
 
 BOM = "\ufeff"
 
 
-def scratch(spark: SparkSession, name: str) -> str:
-    """A new folder that all machines share: below ``spark.checkpoint.dir``, or one of our own only if that is unset."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not root:
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="spark-checkpoint-"))
-        root = spark.sparkContext.getCheckpointDir()
-    return f"{root}/{name}-{uuid.uuid4()}"
-
-
-def scan_csv(spark: SparkSession, path: str, required: list[str], encoding: str = "UTF-8") -> DataFrame:
+def scan_csv(spark: SparkSession, path: str, required: list[str], encoding: str = "UTF-8", multi_line: bool = True) -> DataFrame:
     """A CSV with header: all columns are strings, missing cells are empty, rows without any cell go, and a byte order
-    mark before the first name goes. Missing required columns are an error."""
-    df = spark.read.options(header=True, quote='"', escape='"', multiLine=True, encoding=encoding, mode="PERMISSIVE").csv(path)
+    mark before the first name goes. Missing required columns are an error. With ``multi_line`` cells may hold line
+    breaks, and a file is one task; without, large files are split."""
+    df = spark.read.options(header=True, quote='"', escape='"', multiLine=multi_line, encoding=encoding, mode="PERMISSIVE").csv(path)
     df = df.toDF(*[c.lstrip(BOM).strip() for c in df.columns])
     require_columns(df, *required)
     filled = df.filter(F.coalesce(*[F.nullif(F.trim(c), F.lit("")) for c in df.columns]).isNotNull())

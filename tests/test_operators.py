@@ -156,3 +156,49 @@ def test_stream_equals_batch(spark, tmp_path):
     out = T.latest_state(stream, ["conv_id"], "turn", str(tmp_path / "out"), str(tmp_path / "state"))
     batch = C.latest(t.conversations.select("conv_id", "turn", "role"), ["conv_id"], F.desc("turn"))
     assert listed(out) == listed(batch)
+
+
+def test_stream_state_is_kept_over_runs(spark, tmp_path):
+    """A run without new data leaves the state as it is; a later batch changes the rows that it touches only."""
+    schema, where = "key long, hash string, payload string", str(tmp_path / "in")
+    stream = lambda: spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(where)
+    run = lambda: listed(T.archive_stream(stream(), str(tmp_path / "out"), str(tmp_path / "state")).select("key", "hash", "version", "last_run"))
+    spark.createDataFrame([(k, "a", "x") for k in range(40)], schema).coalesce(1).write.parquet(where)
+    first = run()
+    assert first == [(k, "a", 1, "r0") for k in range(40)] == run()
+    spark.createDataFrame([(7, "b", "y"), (99, "c", "z")], schema).coalesce(1).write.mode("append").parquet(where)
+    expected = [(k, "b", 2, "r1") if k == 7 else (k, "a", 1, "r0") for k in range(40)] + [(99, "c", 1, "r1")]
+    assert run() == expected == run()
+    late = lambda: T.latest_state(stream().select("key", "hash"), ["key"], "hash", str(tmp_path / "latest"), str(tmp_path / "latest-state"))
+    assert listed(late()) == [(r[0], r[1]) for r in expected] == listed(late())
+
+
+def test_running_sums_and_numbers(spark):
+    df = spark.range(500).selectExpr("id % 50 v", "id").repartition(7)
+    out = {r["id"]: (r["n"], r["v"]) for r in C.numbered(df, [F.desc("v"), F.col("id")], "n").collect()}
+    assert [i for i, _ in sorted(out.items(), key=lambda x: x[1][0])] == sorted(out, key=lambda i: (-(i % 50), i))
+    sums = {r["id"]: r["s"] for r in C.running(df, [F.col("id")], F.col("v"), "s").collect()}
+    assert sums == {i: sum(j % 50 for j in range(i + 1)) for i in range(500)}
+    assert C.numbered(df.limit(0), [F.col("id")]).count() == 0
+
+
+def test_names_contained_in_texts(spark):
+    texts, names = ["abcabc", "", None, "xabx", "c"], ["a", "abc", "bca", "", None, "zz", "c"]
+    t, n = spark.createDataFrame([(x,) for x in texts], "text string"), spark.createDataFrame([(x,) for x in names], "name string")
+    assert sorted(map(tuple, C.contained(t, "text", n, "name").collect())) == sorted((x, y) for x in texts for y in names if x and y and y in x)
+    assert C.contained(t, "text", n.limit(0), "name").count() == 0
+
+
+def test_codes_of_places(spark):
+    """Short and replaced codes find their master; a code of two masters finds none."""
+    master = spark.createDataFrame([("4136000000", "남양주시", "경기도"), ("11", "kept", "p"), ("2600000000", "x", "p"), ("26000", "y", "p")], "code string, region string, province string")
+    texts = spark.createDataFrame([("a", "41360"), ("b", "4199900000"), ("c", "11"), ("d", "2600000000"), ("e", ""), ("f", None)], "text string, code string")
+    moved = spark.createDataFrame([("41999", "4136000000")], "old string, new string")
+    assert listed(G.by_code(texts, master, moved)) == [("a", "남양주시", "경기도"), ("b", "남양주시", "경기도"), ("c", "kept", "p")]
+
+
+def test_whole_texts_are_normalised(spark):
+    from terroir.functions import text as X
+
+    df = spark.createDataFrame([("e\u0301" * 100050,)], "text string")
+    assert df.select(F.length(X.unicode_normalize(F.col("text")))).first()[0] == 100050
