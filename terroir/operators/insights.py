@@ -104,6 +104,13 @@ def suggestions(df: DataFrame, item: str, template: str, least: int, k: int, slo
     return each.join(df.select(item, template).distinct(), [item, template], "left_anti").select(item, template, F.replace(F.col(template), F.lit(slot), F.col(item)).alias("goods"), "users")
 
 
+def value_chain(df: DataFrame, keys: list[str], cls: str, first_service: int = 35) -> DataFrame:
+    """The stages of each key by class number: bucket (goods or service), n, its classes, and the leading one."""
+    counts = df.groupBy(*keys, F.when(F.col(cls) >= first_service, "service").otherwise("goods").alias("bucket"), F.col(cls).alias("class")).agg(F.count(F.lit(1)).alias("k"))
+    leader = F.max(F.struct("k", (-F.col("class")).alias("less")))["less"]
+    return counts.groupBy(*keys, "bucket").agg(F.sum("k").alias("n"), F.array_sort(F.collect_list("class")).alias("classes"), (-leader).alias("leader"))
+
+
 def top_class_share(df: DataFrame, keys: list[str], cls: str) -> DataFrame:
     """The share of the most frequent class of each key: top_share."""
     counts = df.groupBy(*keys, cls).agg(F.count(F.lit(1)).alias("n"))

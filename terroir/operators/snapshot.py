@@ -63,18 +63,21 @@ def boundary_check(targets: DataFrame, shapes: DataFrame, children: DataFrame) -
     return missing.select(F.lit("missing").alias("issue"), "code").unionByName(shapes.join(known, "code", "left_anti").select(F.lit("extra").alias("issue"), "code"))
 
 
-def reconcile(previous: DataFrame, current: DataFrame, keys: list[str], metrics: list[str], tombstones: DataFrame, revive_limit: int) -> DataFrame:
+def reconcile(previous: DataFrame, current: DataFrame, keys: list[str], metrics: list[str], tombstones: DataFrame, revive_limit: int, years: list[str] | None = None, carried: list[str] | None = None) -> DataFrame:
     """Keys of both snapshots; metrics never fall; keys that went missing come back unless they have a tombstone, and
-    none does if more than ``revive_limit`` would (blocked)."""
-    p = previous.select(*keys, *[F.col(m).alias(f"p_{m}") for m in metrics], F.lit(True).alias("in_p"))
-    c = current.select(*keys, *[F.col(m).alias(f"c_{m}") for m in metrics], F.lit(True).alias("in_c"))
+    none does if more than ``revive_limit`` would (blocked). A metric that is null on one side isn't available there,
+    and the other side's value stands. ``years``: columns of maps by year, no year of which falls; ``carried``: columns
+    that keep their previous value where the current one is null."""
+    years, carried = years or [], carried or []
+    p = previous.select(*keys, *[F.col(m).alias(f"p_{m}") for m in (*metrics, *years, *carried)], F.lit(True).alias("in_p"))
+    c = current.select(*keys, *[F.col(m).alias(f"c_{m}") for m in (*metrics, *years, *carried)], F.lit(True).alias("in_c"))
     dead = checked_broadcast(tombstones.select(*keys).distinct().withColumn("dead", F.lit(True)))
     j = p.join(c, keys, "full").join(dead, keys, "left")
     action = F.when(F.col("in_c").isNotNull(), F.when(F.col("in_p").isNull(), "new").otherwise("kept")).when(F.col("dead"), "dropped").otherwise("revived")
     j = j.withColumn("action", action)
     revived = j.agg(F.count_if(F.col("action") == "revived").alias("revived"))
     j = j.crossJoin(F.broadcast(revived))  # a single row
-    return j.filter(F.col("action") != "dropped").select(*keys, *[F.greatest(f"p_{m}", f"c_{m}").alias(m) for m in metrics], F.when((F.col("action") == "revived") & (F.col("revived") > revive_limit), "blocked").otherwise(F.col("action")).alias("action"))
+    return j.filter(F.col("action") != "dropped").select(*keys, *[F.greatest(f"p_{m}", f"c_{m}").alias(m) for m in metrics], *[map_max(F.col(f"p_{y}"), F.col(f"c_{y}")).alias(y) for y in years], *[F.coalesce(f"c_{x}", f"p_{x}").alias(x) for x in carried], F.when((F.col("action") == "revived") & (F.col("revived") > revive_limit), "blocked").otherwise(F.col("action")).alias("action"))
 
 
 def map_max(a: Column, b: Column) -> Column:

@@ -8,6 +8,7 @@ from pyspark.sql.window import Window as W
 from terroir.functions import text as X
 from terroir.functions import values as V
 from terroir.operators import enrich as E
+from terroir.operators import review as Q
 from terroir.operators import rows as R
 from terroir.operators import snapshot as N
 from terroir.operators.common import checked_broadcast, numbered, written
@@ -199,6 +200,22 @@ def _(t):
     return N.reconcile(old, new, ["k"], ["n"], t.part.filter("p_partkey % 21 = 0").select(c("p_partkey").alias("k")), 100000)
 
 
+@query("c32_reconcile_years", """WITH y AS (SELECT o_custkey AS k, year(o_orderdate)::INT AS y, count(*) FILTER (WHERE o_orderkey % 2 = 0) AS a, count(*) FILTER (WHERE o_orderkey % 2 = 1) AS b FROM orders GROUP BY ALL),
+m AS (SELECT k, sum(a) FILTER (WHERE k % 5 <> 0)::BIGINT AS pa, sum(b) FILTER (WHERE k % 3 <> 0)::BIGINT AS cb, sum(a) AS sa, sum(b) AS sb, string_agg(CASE WHEN greatest(a, b) > 0 THEN y || ':' || greatest(a, b) END, ',' ORDER BY y) AS years FROM y GROUP BY k)
+SELECT k, CASE WHEN sa = 0 THEN cb WHEN sb = 0 THEN pa ELSE greatest(pa, cb) END AS n, years, CASE WHEN sb > 0 AND k % 3 <> 0 THEN 'new' WHEN sa > 0 THEN 'old' END AS note, CASE WHEN sb > 0 THEN CASE WHEN sa = 0 THEN 'new' ELSE 'kept' END ELSE 'revived' END AS action FROM m""")
+def _(t):
+    """Metrics that one side hasn't, counts by year of both sides, and a note carried along."""
+
+    def side(odd: int, known: int, note: str):
+        by = t.orders.filter(c("o_orderkey") % 2 == odd).groupBy(c("o_custkey").alias("k"), F.year("o_orderdate").alias("y")).agg(F.count(lit(1)).alias("m"))
+        g = by.groupBy("k").agg(F.sum("m").alias("n"), F.map_from_entries(F.collect_list(F.struct("y", "m"))).alias("years"))
+        return g.withColumn("n", F.when(c("k") % known != 0, c("n"))).withColumn("note", F.when(lit(note == "old") | (c("k") % known != 0), lit(note)))
+
+    none = t.orders.select(c("o_custkey").alias("k")).filter(lit(False))
+    out = N.reconcile(side(0, 5, "old"), side(1, 3, "new"), ["k"], ["n"], none, 10**9, ["years"], ["note"])
+    return out.withColumn("years", F.array_join(F.transform(F.array_sort(F.map_entries("years")), lambda e: F.concat_ws(":", e["key"].cast("string"), e["value"].cast("string"))), ","))
+
+
 @query("g06_map_max", "WITH y AS (SELECT o_custkey, year(o_orderdate)::INT AS y, count(*) FILTER (WHERE o_orderkey % 2 = 0) AS a, count(*) FILTER (WHERE o_orderkey % 2 = 1) AS b FROM orders GROUP BY ALL) SELECT o_custkey, string_agg(y || ':' || greatest(a, b), ',' ORDER BY y) AS years FROM y GROUP BY o_custkey")
 def _(t):
     years = lambda d, n: d.groupBy("o_custkey", F.year("o_orderdate").alias("y")).agg(F.count(lit(1)).alias("k")).groupBy("o_custkey").agg(F.map_from_entries(F.collect_list(F.struct("y", "k"))).alias(n))
@@ -359,9 +376,32 @@ def _(t):
     return N.high_water(m, marks, 0.02)
 
 
-@query("d45_snapshot_audit", "SELECT 'negative_balance' AS code, c_custkey::VARCHAR AS key FROM customer WHERE c_acctbal < 0 UNION ALL SELECT 'bad_segment', c_custkey::VARCHAR FROM customer WHERE c_mktsegment NOT IN ('BUILDING', 'MACHINERY')")
+AUDIT = """i AS (SELECT CASE WHEN s_suppkey % 11 <> 0 THEN s_nationkey END AS region_code, CASE WHEN s_nationkey = 3 THEN 'all' ELSE r_name END AS province, n_name AS region, CASE WHEN s_suppkey % 17 = 0 THEN 'same' ELSE s_name END AS item,
+  ['confirmed', 'goods', 'review'][s_suppkey % 3 + 1] AS basis, CASE WHEN s_suppkey % 7 <> 0 THEN s_name END AS notice, CASE WHEN s_suppkey % 5 <> 0 THEN 1 END AS class, s_suppkey % 13 = 0 AS facility,
+  s_suppkey % 19 = 0 AS bad_month, CASE WHEN s_suppkey % 4 <> 0 THEN s_suppkey END AS value, [NULL, 'available', 'partial', 'blocked'][s_suppkey % 4 % 4 + 1] AS a0, s_suppkey % 2 AS n_examples, s_suppkey FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey),
+m AS (SELECT *, CASE WHEN s_suppkey % 6 = 0 THEN 'available' ELSE a0 END AS availability, province || '/' || region || '/' || item AS key FROM i),
+n AS (SELECT count(*) AS items, count(*) FILTER (WHERE province <> 'all') AS regional, count(*) FILTER (WHERE province = 'all') AS nationwide, count(*) FILTER (WHERE province <> 'all' AND availability IN ('available', 'partial')) AS available FROM m)"""
+
+
+@query("d45_snapshot_audit", "WITH " + AUDIT + """ SELECT 'error' AS severity, 'incomplete_confirmed' AS code, key FROM m WHERE (basis = 'confirmed' AND (notice IS NULL OR class IS NULL)) OR (basis = 'goods' AND notice IS NULL)
+UNION ALL SELECT 'error', 'review_with_class', key FROM m WHERE basis = 'review' AND class IS NOT NULL UNION ALL SELECT 'error', 'facility_as_region', key FROM m WHERE facility AND province <> 'all'
+UNION ALL SELECT 'error', 'bad_month', key FROM m WHERE bad_month UNION ALL SELECT 'error', 'no_availability', key FROM m WHERE availability IS NULL
+UNION ALL SELECT 'error', 'available_without_value', key FROM m WHERE availability = 'available' AND value IS NULL UNION ALL SELECT 'error', 'blocked_with_value', key FROM m WHERE availability = 'blocked' AND value IS NOT NULL
+UNION ALL SELECT 'error', 'duplicate_item', key FROM m GROUP BY key HAVING count(*) > 1
+UNION ALL SELECT 'error', 'items_count_differs', (items + 1) || '/' || items FROM n UNION ALL SELECT 'error', 'available_count_differs', (available + 2) || '/' || available FROM n
+UNION ALL SELECT 'warning', 'review_with_metric', count(*)::VARCHAR FROM m WHERE basis = 'review' AND availability IN ('available', 'partial') HAVING count(*) > 0
+UNION ALL SELECT 'warning', 'review_with_examples', count(*)::VARCHAR FROM m WHERE basis = 'review' AND n_examples > 0 HAVING count(*) > 0 UNION ALL SELECT 'warning', 'unresolved_code', count(*)::VARCHAR FROM m WHERE region_code IS NULL HAVING count(*) > 0""")
 def _(t):
-    return N.audit(t.customer, ["c_custkey"], {"negative_balance": c("c_acctbal") < 0, "bad_segment": ~c("c_mktsegment").isin("BUILDING", "MACHINERY")})
+    k = c("s_suppkey")
+    among = lambda n, *values: F.get(F.array(*[lit(v) for v in values]), (k % n).cast("int"))
+    items = t.supplier.join(masters(t), c("s_nationkey") == c("code")).select(
+        F.when(k % 11 != 0, c("s_nationkey")).alias("region_code"), F.when(c("s_nationkey") == 3, "all").otherwise(c("province")).alias("province"), "region", F.when(k % 17 == 0, "same").otherwise(c("s_name")).alias("item"),
+        among(3, "confirmed", "goods", "review").alias("basis"), F.when(k % 7 != 0, c("s_name")).alias("notice"), F.when(k % 5 != 0, lit(1)).alias("class"), F.when(k % 13 == 0, F.array(lit("plant"))).otherwise(F.array(lit("list"))).alias("sources"),
+        F.create_map(F.when(k % 19 == 0, "1999-13").otherwise("1999-12"), lit(2)).alias("months"), F.when(k % 4 != 0, k).alias("value"), F.when(k % 6 == 0, "available").otherwise(among(4, None, "available", "partial", "blocked")).alias("availability"), (k % 2).alias("n_examples"),
+    )
+    real = c("province") != "all"
+    reported = items.agg((F.count(lit(1)) + 1).alias("items"), F.count_if(real).alias("regional"), F.count_if(~real).alias("nationwide"), (F.count_if(real & c("availability").isin("available", "partial")) + 2).alias("available"))
+    return Q.audit_snapshot(items, reported.unpivot([], reported.columns, "metric", "value"), "plant", "all")
 
 
 @query("d45_duplicate_keys", "SELECT 'duplicate_key' AS code, l_orderkey || '/' || l_linenumber AS key FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1")
@@ -374,10 +414,18 @@ def _(t):
     return t.part.agg(F.count(lit(1)).alias("total"), F.count_if(c("p_size") > 25).alias("visible"), F.count_distinct("p_name").alias("items"))
 
 
-@query("d47_pipeline_status", "SELECT count(*) AS n_rows, count(*) FILTER (WHERE o_orderstatus = 'F') AS done, round(count(*) FILTER (WHERE o_orderstatus = 'F')::DOUBLE / count(*), 4) AS done_rate, min(o_orderdate)::DATE::VARCHAR AS first_day, max(o_orderdate)::DATE::VARCHAR AS last_day FROM orders")
+@query("d47_pipeline_status", """WITH r AS (SELECT o_custkey AS query, CASE WHEN o_orderkey % 7 = 0 THEN 'skipped' WHEN o_orderstatus = 'F' THEN 'complete' WHEN o_orderstatus = 'O' THEN 'partial' ELSE 'error' END AS state FROM orders),
+a AS (SELECT count(*) AS total_rows, count(*) FILTER (WHERE state <> 'skipped') AS searchable_rows, count(*) FILTER (WHERE state = 'complete') AS complete_rows, count(*) FILTER (WHERE state = 'partial') AS partial_rows, count(*) FILTER (WHERE state = 'error') AS error_rows, count(*) FILTER (WHERE state = 'skipped') AS skipped_rows,
+ count(DISTINCT query) AS queries, count(DISTINCT CASE WHEN state = 'complete' THEN query END) AS complete_queries, count(DISTINCT CASE WHEN state = 'partial' THEN query END) AS partial_queries FROM r),
+i AS (SELECT c_nationkey, count(*) FILTER (WHERE c_custkey % 3 = 0) AS inside, count(*) FILTER (WHERE c_custkey % 3 = 1) AS outside, count(*) FILTER (WHERE c_custkey % 3 = 2) AS unverified FROM customer GROUP BY 1),
+b AS (SELECT count(*) FILTER (WHERE c_nationkey % 4 < 2) AS available_items, count(*) FILTER (WHERE c_nationkey % 4 = 1) AS partial_items, count(*) FILTER (WHERE c_nationkey % 4 >= 2) AS blocked_items, sum(inside)::BIGINT AS inside, sum(outside)::BIGINT AS outside, sum(unverified)::BIGINT AS unverified, round(sum(inside + outside)::DOUBLE / sum(inside + outside + unverified), 4) AS verified_rate FROM i)
+SELECT *, 'preview' AS policy FROM a, b""")
 def _(t):
-    done = F.count_if(c("o_orderstatus") == "F")
-    return t.orders.agg(F.count(lit(1)).alias("n_rows"), done.alias("done"), V.safe_rate(done, F.count(lit(1))).alias("done_rate"), F.min("o_orderdate").cast("date").cast("string").alias("first_day"), F.max("o_orderdate").cast("date").cast("string").alias("last_day"))
+    state = F.when(c("o_orderkey") % 7 == 0, "skipped").when(c("o_orderstatus") == "F", "complete").when(c("o_orderstatus") == "O", "partial").otherwise("error")
+    third = c("c_custkey") % 3
+    items = t.customer.groupBy("c_nationkey").agg(F.count_if(third == 0).alias("inside"), F.count_if(third == 1).alias("outside"), F.count_if(third == 2).alias("unverified"))
+    items = items.withColumn("availability", F.when(c("c_nationkey") % 4 == 0, "available").when(c("c_nationkey") % 4 == 1, "partial").otherwise("blocked"))
+    return Q.run_status(t.orders.select(c("o_custkey").alias("query"), state.alias("state")), items, 0.6)
 
 
 @query("d48_source_catalog", "SELECT p_name, arg_max(p_brand, p_partkey) FILTER (WHERE p_size % 3 <> 0) AS brand, arg_max(p_type, p_partkey) FILTER (WHERE p_size % 2 = 0) AS kind FROM part GROUP BY p_name")
@@ -398,11 +446,23 @@ def _(t):
     return t.part.agg(F.count(lit(1)).alias("total"), m.alias("matched"), F.least(m, lit(100)).alias("selected"), (m > 100).alias("truncated"))
 
 
-@query("d71_document_validation", "SELECT 'missing_name' AS code, p_partkey::VARCHAR AS key FROM part WHERE p_size = 50 UNION ALL SELECT 'bad_method', p_partkey::VARCHAR FROM part WHERE p_type = 'SMALL' UNION ALL SELECT 'count_differs', p_partkey::VARCHAR FROM part LEFT JOIN (SELECT l_partkey, count(*) AS n FROM lineitem GROUP BY 1) ON l_partkey = p_partkey WHERE coalesce(n, 0) <> p_size")
+DOCUMENT = """a AS (SELECT l_partkey AS id, count(*) AS n, count(DISTINCT l_orderkey) AS d, count(*) FILTER (WHERE l_linestatus = 'F') AS r, bool_or(l_returnflag = 'R' AND l_linenumber > 3) AS bad, bool_or(l_quantity < 2) AS bare FROM lineitem WHERE l_partkey % 9 <> 0 GROUP BY 1),
+p AS (SELECT p_partkey AS id, p_brand AS province, p_type AS region, CASE WHEN p_size <> 50 THEN p_name END AS item, CASE WHEN p_partkey % 2 = 0 THEN p_size END AS declared FROM part), j AS (SELECT p.*, coalesce(n, 0) AS n, d, coalesce(r, 0) AS r, bad, bare FROM p LEFT JOIN a USING (id))"""
+
+
+@query("d71_document_validation", "WITH " + DOCUMENT + """ SELECT 'missing_name' AS code, id::VARCHAR AS key FROM j WHERE item IS NULL UNION ALL SELECT 'no_applications', id::VARCHAR FROM j WHERE n = 0 UNION ALL SELECT 'number_twice', id::VARCHAR FROM j WHERE d < n
+UNION ALL SELECT 'bad_method', id::VARCHAR FROM j WHERE bad UNION ALL SELECT 'no_goods', id::VARCHAR FROM j WHERE bare UNION ALL SELECT 'count_differs', id::VARCHAR FROM j WHERE declared <> n UNION ALL SELECT 'registered_differs', id::VARCHAR FROM j WHERE id % 3 = 0 AND r <> 10
+UNION ALL SELECT 'row_twice', min(id)::VARCHAR FROM p GROUP BY province, region, item HAVING count(*) > 1""")
+def _(t):
+    rows = t.part.select(c("p_partkey").alias("id"), c("p_brand").alias("province"), c("p_type").alias("region"), F.when(c("p_size") != 50, c("p_name")).alias("item"), F.when(c("p_partkey") % 2 == 0, c("p_size")).alias("declared"), F.when(c("p_partkey") % 3 == 0, lit(10)).alias("declared_registered"))
+    method = F.when((c("l_returnflag") == "R") & (c("l_linenumber") > 3), "other").otherwise("Exact")
+    apps = t.lineitem.filter("l_partkey % 9 <> 0").select(c("l_partkey").alias("id"), c("l_orderkey").cast("string").alias("number"), method.alias("method"), F.when(c("l_linestatus") == "F", "registered").otherwise("pending").alias("status"), F.when(c("l_quantity") >= 2, lit(1)).alias("n_goods"))
+    return Q.document_violations(rows, apps, ["exact", "contains"])
+
+
+@query("d71_document_id", """SELECT 'sha256-' || substr(sha256(string_agg(d, '' ORDER BY n_nationkey)), 1, 20) AS id FROM (SELECT n_nationkey, sha256('{"n_name":"' || n_name || '","n_regionkey":' || n_regionkey || '}') AS d FROM nation)""")
 def _(t):
-    n = t.lineitem.groupBy(c("l_partkey").alias("p_partkey")).agg(F.count(lit(1)).alias("actual"))
-    rows = t.part.join(n, "p_partkey", "left").withColumn("name", F.when(c("p_size") != 50, c("p_name")))
-    return N.audit(rows, ["p_partkey"], {"missing_name": c("name").isNull(), "bad_method": c("p_type") == "SMALL", "count_differs": F.coalesce("actual", lit(0)) != c("p_size")})
+    return Q.document_id(t.nation, ["n_name", "n_regionkey"], ["n_nationkey"])
 
 
 @query("b17_exclude_validation", "SELECT count(*) FILTER (WHERE l_returnflag <> 'R') AS kept, count(*) FILTER (WHERE l_returnflag = 'R') AS excluded FROM lineitem")

@@ -8,6 +8,7 @@ from pyspark.sql.window import Window as W
 from terroir.functions import text as X
 from terroir.operators import items as I
 from terroir.operators import regions as G
+from terroir.operators import review as V
 from terroir.operators.common import checked_broadcast, numbered
 from terroir.plans.base import Tables, masters
 
@@ -258,13 +259,32 @@ def _(t):
     return t.part.select(*v).groupBy("verdict_source").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("d26_review_clusters", """WITH r AS (SELECT p_name AS item, p_partkey, p_type AS reason, p_brand AS source FROM part WHERE p_size % 2 = 0),
-h AS (SELECT item, reason, count(*) AS n FROM r GROUP BY ALL) SELECT item, (SELECT count(*) FROM r WHERE r.item = h.item) AS n_rows, (SELECT count(DISTINCT source) FROM r WHERE r.item = h.item) AS sources, string_agg(reason || ':' || n, ' | ' ORDER BY n DESC, reason) AS reasons FROM h GROUP BY item""")
+CLUSTERS = """r AS (SELECT p_partkey AS idx, CASE WHEN p_partkey % 2 = 0 THEN upper(p_name) ELSE p_name END AS name, p_type AS reason, p_partkey % 5 AS region, p_brand AS source, replace(p_name, ' ', '') AS cluster,
+  CASE p_partkey % 3 WHEN 0 THEN [{'i': p_type, 's': p_size / 64.0::DOUBLE}] WHEN 1 THEN [{'i': p_type, 's': 0.5::DOUBLE}, {'i': p_type, 's': 0.25::DOUBLE}, {'i': 'other', 's': 0.125::DOUBLE}] ELSE [] END AS c FROM part WHERE p_size % 2 = 0 AND p_size <> 30),
+g AS (SELECT cluster, count(*) AS n_rows, count(DISTINCT region) AS regions, count(DISTINCT source) AS sources FROM r GROUP BY 1),
+v AS (SELECT cluster, string_agg(name || ':' || n, ' | ' ORDER BY n DESC, length(name), name) AS variants FROM (SELECT cluster, name, count(*) AS n FROM r GROUP BY ALL) GROUP BY 1),
+h AS (SELECT cluster, string_agg(reason || ':' || n, ' | ' ORDER BY n DESC, reason) AS reasons FROM (SELECT cluster, reason, count(*) AS n FROM r GROUP BY ALL) GROUP BY 1),
+x AS (SELECT cluster, string_agg(idx, ',' ORDER BY idx) AS examples FROM (SELECT cluster, idx, row_number() OVER (PARTITION BY cluster ORDER BY idx) AS k FROM r) WHERE k <= 3 GROUP BY 1),
+e AS (SELECT cluster, idx, u.c.i AS item, u.c.s AS score FROM r, LATERAL (SELECT unnest(r.c) AS c) u),
+o AS (SELECT cluster, item, count(DISTINCT idx) AS n, round(sum(score) / count(*), 4) AS score FROM e GROUP BY ALL),
+q AS (SELECT o.*, round(n::DOUBLE / n_rows, 4) AS coverage, n = n_rows AS whole, row_number() OVER (PARTITION BY cluster ORDER BY n DESC, score DESC, item) AS k FROM o JOIN g USING (cluster)),
+t AS (SELECT cluster, string_agg(item || ':' || n, ' | ' ORDER BY k) AS options, max(coverage) FILTER (WHERE k = 1) AS coverage, max(score) FILTER (WHERE k = 1) AS score, bool_or(whole) FILTER (WHERE k = 1) AS whole FROM q WHERE k <= 5 GROUP BY 1)"""
+
+
+@query("d26_review_clusters", "WITH " + CLUSTERS + """ SELECT cluster, n_rows, regions, sources, variants, reasons, examples, options, coverage, score,
+CASE WHEN options IS NULL THEN 'none' WHEN whole THEN 'in_all_rows' ELSE 'mixed' END AS state FROM g JOIN v USING (cluster) JOIN h USING (cluster) JOIN x USING (cluster) LEFT JOIN t USING (cluster)""")
 def _(t):
-    r = t.part.filter("p_size % 2 = 0").select(F.col("p_name").alias("item"), F.col("p_type").alias("reason"), F.col("p_brand").alias("source"))
-    counts = r.groupBy("item", "reason").agg(F.count(F.lit(1)).alias("n")).groupBy("item").agg(F.array_sort(F.collect_list(F.struct((-F.col("n")).alias("m"), "reason"))).alias("h"))
-    text = F.array_join(F.transform("h", lambda x: F.concat_ws(":", x["reason"], (-x["m"]).cast("string"))), " | ")
-    return r.groupBy("item").agg(F.count(F.lit(1)).alias("n_rows"), F.count_distinct("source").alias("sources")).join(counts, "item").select("item", "n_rows", "sources", text.alias("reasons"))
+    k = F.col("p_partkey") % 3
+    candidate = lambda item, score: F.struct(item.alias("item"), F.lit("1").alias("class"), score.alias("score"))
+    one, two = F.array(candidate(F.col("p_type"), F.col("p_size") / 64)), F.array(candidate(F.col("p_type"), F.lit(0.5)), candidate(F.col("p_type"), F.lit(0.25)), candidate(F.lit("other"), F.lit(0.125)))
+    rows = t.part.filter("p_size % 2 = 0 and p_size <> 30").select(
+        F.col("p_partkey").alias("idx"), F.when(F.col("p_partkey") % 2 == 0, F.upper("p_name")).otherwise(F.col("p_name")).alias("name"), F.col("p_type").alias("reason"), (F.col("p_partkey") % 5).alias("region"),
+        F.col("p_brand").alias("source"), F.when(k == 0, one).when(k == 1, two).otherwise(F.slice(two, 1, 0)).alias("candidates"),
+    )
+    listed = lambda c, name: F.array_join(F.transform(c, lambda x: F.concat_ws(":", x[name], x["rows" if name == "item" else "n"].cast("string"))), " | ")
+    first = F.col("options")[0]
+    return V.review_clusters(rows).select("cluster", "n_rows", "regions", "sources", listed("variants", "value").alias("variants"), listed("reasons", "value").alias("reasons"), F.array_join("examples", ",").alias("examples"),
+                                          listed("options", "item").alias("options"), first["coverage"].alias("coverage"), first["score"].alias("score"), "state")
 
 
 @query("b37_cluster_text", "WITH h AS (SELECT p_brand, p_type, count(*) AS n FROM part GROUP BY ALL) SELECT p_brand, string_agg(p_type || ':' || n, ' | ' ORDER BY p_type) AS kinds FROM h GROUP BY p_brand")

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 from terroir.functions.values import safe_rate
+from terroir.operators import briefing as B
 from terroir.operators import insights as I
 from terroir.operators.common import checked_broadcast, numbered
 from terroir.plans.base import RECORDS, Tables, masters, records
@@ -211,9 +212,9 @@ def _(t):
     return I.peer_gaps(d, "item", "peer", "feature", 2)
 
 
-@query("d63_value_chain", "SELECT p_name, CASE WHEN p_size >= 35 THEN 'service' ELSE 'goods' END AS bucket, count(*) AS n FROM part GROUP BY ALL")
+@query("d63_value_chain", "WITH k AS (SELECT p_name, CASE WHEN p_size >= 35 THEN 'service' ELSE 'goods' END AS bucket, p_size, count(*) AS k FROM part GROUP BY ALL) SELECT p_name, bucket, sum(k)::BIGINT AS n, string_agg(p_size, ',' ORDER BY p_size) AS classes, (SELECT p_size FROM k o WHERE o.p_name = i.p_name AND o.bucket = i.bucket ORDER BY k DESC, p_size LIMIT 1) AS leader FROM k i GROUP BY p_name, bucket")
 def _(t):
-    return t.part.groupBy("p_name", F.when(c("p_size") >= 35, "service").otherwise("goods").alias("bucket")).agg(N())
+    return I.value_chain(t.part, ["p_name"], "p_size").withColumn("classes", F.array_join("classes", ","))
 
 
 @query("d64_expansion_rules", "WITH g AS (SELECT p_name, count(*) FILTER (WHERE p_size < 20) AS raw, count(*) FILTER (WHERE p_size BETWEEN 20 AND 21) AS processed, count(*) FILTER (WHERE p_size >= 48) AS service, count(*) FILTER (WHERE p_partkey % 2 = 0) AS recent, count(*) FILTER (WHERE p_partkey % 2 = 1) AS prior, max(k)::DOUBLE / count(*) AS top_share FROM (SELECT *, count(*) OVER (PARTITION BY p_name, p_brand) AS k FROM part) GROUP BY 1) SELECT p_name, CASE WHEN x = '' THEN 'balanced' ELSE x END AS rules FROM (SELECT p_name, concat_ws('|', CASE WHEN service = 0 AND raw + processed > 0 THEN 'service_gap' END, CASE WHEN processed = 0 AND raw > 0 THEN 'processed_gap' END, CASE WHEN top_share >= 0.6 THEN 'class_concentration' END, CASE WHEN raw > 0 AND processed > 0 AND service > 0 AND top_share < 0.3 THEN 'cluster_split' END, CASE WHEN recent > prior * 1.5 THEN 'momentum' END) AS x FROM g)")
@@ -276,10 +277,10 @@ def _(t):
     return records(t).groupBy("province").agg(N()).orderBy(F.desc("n"), "province").limit(10)
 
 
-@query("h18_sentences", "WITH n AS (SELECT n_name, n_nationkey, n_nationkey % 10 / 10.0::DOUBLE AS gap, n_nationkey % 3 = 0 AS low FROM nation) SELECT n_nationkey, n_name || '는 ' || CASE WHEN gap >= 0.7 THEN 'short of filings' ELSE 'well covered' END || CASE WHEN low THEN ' low conversion' ELSE '' END AS text FROM n")
+@query("h18_sentences", """WITH n AS (SELECT n_name, n_nationkey AS k, n_nationkey % 10 / 10.0::DOUBLE AS gap, n_nationkey % 3 = 0 AS low, n_nationkey % 4 <> 0 AS known, n_nationkey % 11 / 10.0::DOUBLE AS local, CASE WHEN n_nationkey % 2 = 0 THEN 0.75::DOUBLE END AS producers FROM nation)
+SELECT k AS n_nationkey, concat_ws(' ', n_name || '는 ' || CASE WHEN gap >= 0.7 THEN 'short of filings' WHEN low THEN 'active' ELSE 'well covered' END || ' (' || k || ', ' || round(k / 32.0::DOUBLE * 100)::INT || '%)', CASE WHEN low THEN 'low conversion of ' || k END,
+ CASE WHEN NOT known THEN 'shares not verified' WHEN 1 - local >= 0.6 THEN CASE WHEN producers >= 0.5 THEN 'led by producers outside (75%)' ELSE 'led from outside (' || round(local * 100)::INT || '% local)' END WHEN local >= 0.8 THEN 'led locally (' || round(local * 100)::INT || '%)' END) AS text FROM n""")
 def _(t):
-    from terroir.functions.text import topic_marker
-
-    gap, low = c("n_nationkey") % 10 / lit(10.0), c("n_nationkey") % 3 == 0
-    parts = F.array_compact(F.array(topic_marker(c("n_name")), F.when(gap >= 0.7, "short of filings").otherwise("well covered"), F.when(low, "low conversion")))
-    return t.nation.select("n_nationkey", F.array_join(parts, " ").alias("text"))
+    k = c("n_nationkey")
+    rows = t.nation.select(k, c("n_name").alias("place"), k.alias("n"), (k / 32).alias("rate"), (k % 10 / lit(10.0)).alias("gap"), (k % 3 == 0).alias("low_conversion"), (k % 4 != 0).alias("verified"), (k % 11 / lit(10.0)).alias("local_share"), F.when(k % 2 == 0, 0.75).alias("producer_share"))
+    return rows.select("n_nationkey", F.array_join(B.sentences(B.PHRASES), " ").alias("text"))

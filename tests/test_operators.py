@@ -7,6 +7,7 @@ from terroir.operators import analyze as A
 from terroir.operators import common as C
 from terroir.operators import items as I
 from terroir.operators import regions as G
+from terroir.operators import review as Q
 from terroir.operators import score as S
 from terroir.operators import snapshot as N
 from terroir.plans.base import Tables
@@ -202,3 +203,29 @@ def test_whole_texts_are_normalised(spark):
 
     df = spark.createDataFrame([("e\u0301" * 100050,)], "text string")
     assert df.select(F.length(X.unicode_normalize(F.col("text")))).first()[0] == 100050
+
+
+def test_document_ids_depend_on_order_and_content_only(spark):
+    import hashlib
+
+    sha = lambda x: hashlib.sha256(x.encode()).hexdigest()
+    df = spark.range(10).selectExpr("id at", "id * id v")
+    digests = [sha(f'{{"v":{i * i}}}') for i in range(10)]
+    assert Q.document_id(df.repartition(3), ["v"], ["at"]).first()[0] == "sha256-" + sha("".join(digests))[:20]
+    threes = [sha("".join(digests[i : i + 3])) for i in range(0, 10, 3)]
+    pairs = [sha("".join(threes[:3])), sha(threes[3])]
+    assert Q.document_id(df, ["v"], ["at"], width=3).first()[0] == "sha256-" + sha("".join(pairs))[:20]
+
+
+def test_review_clusters(spark):
+    """A row that lists a candidate twice counts once; spellings of one name are one cluster."""
+    schema = "idx int, name string, reason string, region string, source string, candidates array<struct<item:string,class:string,score:double>>"
+    a, b = ("jam", "1", 0.5), ("tea", "2", 0.25)
+    rows = [(1, "Red Jam", "x", "r", "s", [a, a]), (2, "red jam", "y", "r", "t", [a, b]), (3, "red jam", "x", None, "s", [b]), (4, None, "z", "q", None, []), (5, "", "z", "q", None, None)]
+    out = {r["cluster"]: r for r in Q.review_clusters(spark.createDataFrame(rows, schema), examples=2).collect()}
+    assert set(out) == {"redjam", "row:4", "row:5"}
+    r = out["redjam"]
+    assert (r["n_rows"], r["regions"], r["sources"], r["name"], r["state"], r["examples"]) == (3, 1, 2, "red jam", "mixed", [1, 2])
+    assert [(o["item"], o["rows"], o["coverage"], o["score"]) for o in r["options"]] == [("jam", 2, 0.6667, 0.5), ("tea", 2, 0.6667, 0.25)]
+    assert [tuple(x) for x in r["reasons"]] == [("x", 2), ("y", 1)]
+    assert (out["row:4"]["state"], out["row:4"]["name"]) == ("none", None)
