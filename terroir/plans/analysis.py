@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from terroir.functions.values import safe_rate
 from terroir.operators import analyze as A
+from terroir.operators import reports as P
 from terroir.operators import score as S
 from terroir.operators.common import numbered, written
 from terroir.plans.base import FIRSTS, RECORDS, Tables, records
@@ -295,5 +296,4 @@ def _(t):
 
 @query("d69_document_counters", "WITH " + RECORDS + """ SELECT count(*) FILTER (WHERE status = 'registered') AS success, count(*) FILTER (WHERE status = 'pending') AS partial, count(*) FILTER (WHERE status = 'inactive') AS error, count(DISTINCT item) AS unique_queries, count(DISTINCT CASE WHEN status = 'pending' THEN item END) AS unique_partial FROM rec""")
 def _(t):
-    s = F.col("status")
-    return records(t).agg(F.count_if(s == "registered").alias("success"), F.count_if(s == "pending").alias("partial"), F.count_if(s == "inactive").alias("error"), F.count_distinct("item").alias("unique_queries"), F.count_distinct(F.when(s == "pending", F.col("item"))).alias("unique_partial"))
+    return P.document_counters(records(t), F.col("status"), F.col("item"))

@@ -8,6 +8,7 @@ from pyspark.sql.window import Window as W
 from terroir.functions import text as X
 from terroir.functions import values as V
 from terroir.operators import enrich as E
+from terroir.operators import reports as P
 from terroir.operators import review as Q
 from terroir.operators import rows as R
 from terroir.operators import snapshot as N
@@ -40,9 +41,7 @@ def _(t):
 
 @query("d02_plan_summary", "SELECT count(*) FILTER (WHERE p_size <= 40) AS searchable, count(DISTINCT CASE WHEN p_size <= 40 THEN p_name END) AS unique_queries, count(*) FILTER (WHERE p_size <= 40) - count(DISTINCT CASE WHEN p_size <= 40 THEN p_name END) AS duplicates, count(*) FILTER (WHERE p_size > 40) AS skipped, count(DISTINCT CASE WHEN p_size <= 40 THEN p_name END) AS min_requests, least(5 * count(DISTINCT CASE WHEN p_size <= 40 THEN p_name END), 1000) AS max_requests FROM part")
 def _(t):
-    ok = c("p_size") <= 40
-    unique = F.count_distinct(F.when(ok, c("p_name")))
-    return t.part.agg(F.count_if(ok).alias("searchable"), unique.alias("unique_queries"), (F.count_if(ok) - unique).alias("duplicates"), F.count_if(~ok).alias("skipped"), unique.alias("min_requests"), F.least(unique * 5, lit(1000)).alias("max_requests"))
+    return P.plan_summary(t.part, c("p_size") <= 40, c("p_name"), 5, 1000)
 
 
 @query("c10_reference_relations", """SELECT o_orderkey, CASE WHEN count(DISTINCT rel) = 1 THEN min(rel) ELSE 'unverified' END AS reference_relation FROM (SELECT o_orderkey, CASE WHEN s_nationkey = c_nationkey THEN 'inside' ELSE 'outside' END AS rel
@@ -232,8 +231,8 @@ def _(t):
 
 @query("c34_strip_merged", "SELECT p_partkey FROM part WHERE p_type <> 'PROMO'")
 def _(t):
-    own = F.filter(F.array("p_type", F.when(c("p_type") != "PROMO", lit("base"))), lambda s: s.isNotNull() & (s != "PROMO"))
-    return t.part.withColumn("own", own).filter(F.size("own") > 0).select("p_partkey")
+    rows = t.part.select("p_partkey", F.array("p_type", F.when(c("p_type") != "PROMO", lit("base"))).alias("sources"))
+    return P.strip_merged(rows, "sources", ["PROMO"]).select("p_partkey")
 
 
 @query("c35_reviewed_strategy", "WITH d AS (SELECT conv_id, turn, CASE WHEN role = 'assistant' THEN 'approved' ELSE 'rejected' END AS decision FROM (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC) AS k FROM conversations) WHERE k = 1), p AS (SELECT conv_id, turn, text AS reviewed FROM conversations) SELECT i.conv_id AS id, CASE WHEN d.decision = 'approved' THEN p.reviewed ELSE 'own' END AS shown, CASE WHEN d.decision = 'approved' THEN 'reviewed' ELSE 'template' END AS source FROM (SELECT DISTINCT conv_id FROM conversations) i JOIN d USING (conv_id) JOIN p ON p.conv_id = d.conv_id AND p.turn = d.turn")
@@ -364,7 +363,7 @@ def _(t):
 
 @query("d43_supplemental_summary", "SELECT p_type, count(*) AS n, count(DISTINCT p_name) AS queries FROM part WHERE p_name IN (SELECT p_name FROM part WHERE p_size = 1) GROUP BY p_type")
 def _(t):
-    return t.part.join(t.part.filter("p_size = 1").select("p_name"), "p_name", "left_semi").groupBy("p_type").agg(F.count(lit(1)).alias("n"), F.count_distinct("p_name").alias("queries"))
+    return P.supplemental_summary(t.part, t.part.filter("p_size = 1"), "p_name", ["p_type"])
 
 
 @query("d44_high_water", "WITH v AS (SELECT 'orders' AS metric, count(*) AS value, count(*) FILTER (WHERE o_orderstatus <> 'P') AS mark FROM orders UNION ALL SELECT 'lines', count(*), count(*) + count(*) // 100 FROM lineitem UNION ALL SELECT 'customers', count(*), 2 * count(*) FROM customer) SELECT metric, value, mark, CASE WHEN value < mark * 0.98 THEN 'violation' WHEN value < mark THEN 'warning' ELSE 'ok' END AS state, greatest(value, mark) AS next FROM v")
@@ -442,8 +441,7 @@ def _(t):
 
 @query("d70_review_selection", "SELECT count(*) AS total, count(*) FILTER (WHERE p_size < 5) AS matched, least(count(*) FILTER (WHERE p_size < 5), 100) AS selected, count(*) FILTER (WHERE p_size < 5) > 100 AS truncated FROM part")
 def _(t):
-    m = F.count_if(c("p_size") < 5)
-    return t.part.agg(F.count(lit(1)).alias("total"), m.alias("matched"), F.least(m, lit(100)).alias("selected"), (m > 100).alias("truncated"))
+    return P.selection_report(t.part, c("p_size") < 5, 100)
 
 
 DOCUMENT = """a AS (SELECT l_partkey AS id, count(*) AS n, count(DISTINCT l_orderkey) AS d, count(*) FILTER (WHERE l_linestatus = 'F') AS r, bool_or(l_returnflag = 'R' AND l_linenumber > 3) AS bad, bool_or(l_quantity < 2) AS bare FROM lineitem WHERE l_partkey % 9 <> 0 GROUP BY 1),
@@ -550,8 +548,7 @@ def _(t):
 
 @query("a21_run_log", "SELECT o_orderpriority AS source, count(*) AS n, count(*) FILTER (WHERE o_orderstatus = 'P') AS errors, CASE WHEN count(*) FILTER (WHERE o_orderstatus = 'P') = 0 THEN 'success' WHEN count(*) FILTER (WHERE o_orderstatus = 'P') < count(*) THEN 'partial' ELSE 'failed' END AS status FROM orders GROUP BY 1")
 def _(t):
-    n, bad = F.count(lit(1)), F.count_if(c("o_orderstatus") == "P")
-    return t.orders.groupBy(c("o_orderpriority").alias("source")).agg(n.alias("n"), bad.alias("errors"), F.when(n == 0, "empty_allowed").when(bad == 0, "success").when(bad < n, "partial").otherwise("failed").alias("status"))
+    return P.run_log(t.orders, c("o_orderpriority"), c("o_orderstatus") == "P")
 
 
 @query("a25_source_metadata", "SELECT p_partkey, r_name AS source_name FROM part LEFT JOIN region ON p_size % 7 = r_regionkey")

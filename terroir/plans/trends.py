@@ -8,6 +8,7 @@ from pyspark.sql.window import Window as W
 from terroir.functions.values import safe_rate
 from terroir.operators import briefing as B
 from terroir.operators import insights as I
+from terroir.operators import reports as P
 from terroir.operators.common import checked_broadcast, numbered
 from terroir.plans.base import RECORDS, Tables, masters, records
 
@@ -107,8 +108,7 @@ def _(t):
 
 @query("d36_top_applicants", "WITH " + RECORDS + f", g AS (SELECT {STAGE} AS stage, applicant, count(*) AS n, min(app) AS sample FROM rec GROUP BY ALL) SELECT stage, applicant, n, sample FROM (SELECT *, row_number() OVER (PARTITION BY stage ORDER BY n DESC, applicant) AS k FROM g) WHERE k <= 5")
 def _(t):
-    g = staged(t).groupBy("stage", "applicant").agg(N(), F.min("app").alias("sample"))
-    return g.withColumn("k", F.row_number().over(W.partitionBy("stage").orderBy(F.desc("n"), "applicant"))).filter("k <= 5").drop("k")
+    return P.top_per_group(staged(t), ["stage"], "applicant", "app", 5)
 
 
 @query("d37_top_regions", "WITH " + RECORDS + ", g AS (SELECT item, app_region, count(*) AS n FROM rec GROUP BY ALL), s AS (SELECT *, round(n::DOUBLE / sum(n) OVER (PARTITION BY item), 4) AS share, row_number() OVER (PARTITION BY item ORDER BY n DESC, app_region)::INT AS rank FROM g) SELECT * FROM s WHERE rank <= 5")
@@ -118,8 +118,7 @@ def _(t):
 
 @query("d38_signal_confidence", "WITH " + RECORDS + ", g AS (SELECT item, applicant, count(*) AS n FROM rec GROUP BY ALL), s AS (SELECT item, max(n) AS top, sum(n)::BIGINT AS n FROM g GROUP BY item) SELECT item, n, CASE WHEN top * 20 >= n THEN 'low' WHEN top * 100 >= n THEN 'medium' ELSE 'high' END AS confidence FROM s")
 def _(t):
-    g = records(t).groupBy("item", "applicant").agg(N()).groupBy("item").agg(F.max("n").alias("top"), F.sum("n").alias("n"))
-    return g.select("item", "n", F.when(c("top") * 20 >= c("n"), "low").when(c("top") * 100 >= c("n"), "medium").otherwise("high").alias("confidence"))
+    return P.signal_confidence(records(t), ["item"], "applicant")
 
 
 @query("d39_flow_terms", "WITH t AS (SELECT DISTINCT trim(x) AS term FROM (SELECT unnest(string_split(CASE WHEN p_size % 2 = 0 THEN p_name || ' (x)/' || split_part(p_name, ' ', 2) ELSE p_name END, '/')) AS y FROM part), LATERAL (SELECT trim(replace(y, ' (x)', '')) AS x) WHERE trim(x) <> '') SELECT DISTINCT CASE WHEN split_part(term, ' ', -1) IN (SELECT term FROM t) THEN split_part(term, ' ', -1) ELSE term END AS term FROM t")
@@ -136,7 +135,7 @@ def _(t):
 
 @query("d51_province_stats", "WITH " + RECORDS + " SELECT province, count(*) AS n, count(*) FILTER (WHERE kind = 'PROMO' AND relation = 'inside') AS official, count(DISTINCT item) AS items FROM rec GROUP BY province")
 def _(t):
-    return records(t).groupBy("province").agg(N(), F.count_if((c("kind") == "PROMO") & (c("relation") == "inside")).alias("official"), F.count_distinct("item").alias("items"))
+    return P.province_stats(records(t), ["province"], (c("kind") == "PROMO") & (c("relation") == "inside"), "item")
 
 
 @query("d52_item_rows", "WITH " + RECORDS + " SELECT item, count(*) FILTER (WHERE kind = 'PROMO') AS confirmed, count(*) FILTER (WHERE status = 'registered') AS registered, count(DISTINCT region) AS regions, count(DISTINCT CASE WHEN relation = 'inside' THEN region END) AS own_regions FROM rec GROUP BY item")
@@ -155,8 +154,7 @@ def _(t):
 
 @query("d54_category_stats", "SELECT p_type, coalesce(p_name, 'all') AS p_name, count(*) AS n, count(*) FILTER (WHERE p_size > 25) AS large FROM part GROUP BY GROUPING SETS ((p_type), (p_type, p_name))")
 def _(t):
-    agg = [N(), F.count_if(c("p_size") > 25).alias("large")]
-    return t.part.groupBy("p_type").agg(*agg).select("p_type", lit("all").alias("p_name"), "n", "large").unionByName(t.part.groupBy("p_type", "p_name").agg(*agg))
+    return P.with_totals(t.part, ["p_type"], "p_name", [N(), F.count_if(c("p_size") > 25).alias("large")])
 
 
 @query("d55_cross_tab", "SELECT r_name, count(*) FILTER (WHERE c_mktsegment = 'BUILDING') AS \"BUILDING\", count(*) FILTER (WHERE c_mktsegment = 'MACHINERY') AS \"MACHINERY\", count(*) AS \"all\" FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey GROUP BY r_name UNION ALL SELECT 'all', count(*) FILTER (WHERE c_mktsegment = 'BUILDING'), count(*) FILTER (WHERE c_mktsegment = 'MACHINERY'), count(*) FROM customer")
