@@ -10,8 +10,8 @@ from collections import Counter
 import numpy as np
 import pytest
 
-from terroir.llm import bpe, phrases, toxicity
-from tests.llm.test_operators import LONG, distance, filled, normal, plain_simhash, sha, some
+from terroir.llm import bpe, phrases, queries, toxicity, token_file
+from tests.llm.test_operators import LONG, distance, filled, normal, plain_simhash, sha, some, without_repeats
 
 ALL = 2**64 - 1
 
@@ -242,6 +242,54 @@ def test_pipeline(spark, tables):
     assert Counter((r["doc_id"], r["source"], tuple(r["ids"]), r["exact"]) for r in corpus_pipeline.run(spark, folder).collect()) == plain
 
 
+def documents(spark, folder):
+    return [(r["doc_id"], r["text"] or "") for r in spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text").collect()]
+
+
+SMALL = "/root/testdata/sf0.001"
+
+
+def test_byte_bpe_query(spark):
+    import public_tokenizers
+    import tiktoken
+
+    library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=bpe.read_ranks(bpe.rank_file()), special_tokens={})
+    expected = []
+    for i, text in documents(spark, SMALL):
+        ids = library.encode_ordinary(text)
+        expected.append((i, len(ids), sha(" ".join(map(str, ids))), sha(text)))
+    assert sorted(map(tuple, queries.QUERIES["op1_byte_bpe"](spark, SMALL).collect())) == sorted(expected)
+
+
+def test_token_file_query(spark):
+    from tokenizers import Tokenizer
+
+    library, start, expected = Tokenizer.from_file(token_file.tokenizer_file()), 0, []
+    for i, text in sorted(documents(spark, SMALL)):
+        ids = [*library.encode(text, add_special_tokens=False).ids, 2]
+        expected.append((i, start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
+        start += len(ids)
+    assert sorted(map(tuple, queries.QUERIES["op5_token_file"](spark, SMALL).collect())) == expected
+
+
+def test_suffix_dedup_query(spark):
+    expected = [(i, n, gone, spans, sha(rest)) for (_, i), n, gone, spans, rest in without_repeats(documents(spark, SMALL), 200, "none")]
+    assert sorted(map(tuple, queries.QUERIES["op6_suffix_dedup"](spark, SMALL).collect())) == sorted(expected)
+
+
+def test_simhash_query(spark):
+    docs = sorted(documents(spark, SMALL))
+    prints = [plain_simhash(t) for _, t in docs]
+    group = list(range(len(docs)))
+    for i in range(len(docs)):
+        for j in range(i):
+            if (prints[i] ^ prints[j]).bit_count() <= 2 and group[i] != group[j]:
+                low, high = sorted((group[i], group[j]))
+                group = [low if g == high else g for g in group]
+    expected = [(i, f"{p:016x}", docs[g][0]) for (i, _), p, g in zip(docs, prints, group, strict=True)]
+    assert sorted(map(tuple, queries.QUERIES["op8_simhash"](spark, SMALL).collect())) == expected
+
+
 def test_pipeline_of_empty_tables(spark, tmp_path):
     import corpus_pipeline
 
