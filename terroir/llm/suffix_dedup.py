@@ -39,7 +39,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terroir.llm.common import checkpoint, documents, join_hot, text_of, written
+from terroir.llm.common import checkpoint, documents, join_hot, removed, text_of, written
 
 LENGTH = 200
 SEED = 40
@@ -358,7 +358,9 @@ def _by_parts(fetched: DataFrame, length: int, keep: str, seed: int, many: int)
 
 def repeated_spans(docs: DataFrame, length: int = LENGTH, keep: str = "none", seed: int = SEED, many: int = MANY) -> DataFrame:
     """From written rows (doc_id, row, packed): the spans (row, begin, end) of bytes to remove; they may overlap."""
-    candidates = written(_candidates(written(stretches(docs, length, seed))))
+    found = written(stretches(docs, length, seed))
+    candidates = written(_candidates(found))
+    removed(found)
     contents = written(_contents(candidates))
     wanted = contents.join(_mixed(contents), "sig").select("sig", "contents", "first.*")
     lists = wanted.groupBy("row").agg(F.collect_list(F.struct("sig", "contents", "start", "windows", "seed")).alias("wanted"))
@@ -390,12 +392,12 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, texts, spans = (batch.column(c) for c in ("doc_id", "packed", "spans"))
-            n, removed, runs, kept = [], [], [], []
+            n, lost, runs, kept = [], [], [], []
             for i in range(batch.num_rows):
                 raw = _unpacked(texts[i])
                 n.append(len(raw))
                 if not spans[i].is_valid:
-                    removed.append(0)
+                    lost.append(0)
                     runs.append(0)
                     kept.append(raw)
                     continue
@@ -404,10 +406,10 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                 np.add.at(change, found.field("begin").to_numpy(), 1)
                 np.add.at(change, found.field("end").to_numpy(), -1)
                 gone = np.cumsum(change)[:-1] > 0
-                removed.append(int(gone.sum()))
+                lost.append(int(gone.sum()))
                 runs.append(int(gone[0]) + int(np.count_nonzero(gone[1:] & ~gone[:-1])))
                 kept.append(np.frombuffer(raw, np.uint8)[~gone].tobytes())
-            yield pa.RecordBatch.from_arrays([ids, pa.array(n), pa.array(removed, pa.int64()), pa.array(runs, pa.int64()), pa.array(kept, pa.binary())], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept"])
+            yield pa.RecordBatch.from_arrays([ids, pa.array(n), pa.array(lost, pa.int64()), pa.array(runs, pa.int64()), pa.array(kept, pa.binary())], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept"])
 
     return joined.mapInArrow(run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary")
 
