@@ -117,10 +117,9 @@ def _(t):
 @query("d12_registry_distribution", "WITH " + FIRSTS + """
 SELECT region, count(*) FILTER (WHERE app % 3 <> 0) AS complete, count(*) FILTER (WHERE app % 3 = 0) AS not_collected, count(*) FILTER (WHERE app % 3 = 1 AND class >= 35) AS from_source FROM fst GROUP BY region""")
 def _(t):
-    state = F.when(F.col("app") % 3 != 0, "complete").otherwise("not_collected")
-    rows = firsts(t).withColumn("state", state)
-    sources = rows.groupBy("region").agg(F.count_if((F.col("app") % 3 == 1) & (F.col("class") >= 35)).alias("from_source"))
-    return rows.groupBy("region").pivot("state", ["complete", "not_collected"]).count().na.fill(0).join(sources, "region")
+    collected = F.col("app") % 3 != 0
+    counts = {"complete": collected, "not_collected": ~collected, "from_source": (F.col("app") % 3 == 1) & (F.col("class") >= 35)}
+    return firsts(t).groupBy("region").agg(*[F.count_if(when).alias(name) for name, when in counts.items()])
 
 
 @query("d13_year_histogram", "WITH " + FIRSTS + """, y AS (SELECT region, year(filed) AS y, count(*) AS n FROM fst GROUP BY ALL)
@@ -244,7 +243,8 @@ def _(t):
 @query("c39_threshold_comparison", "WITH " + SCORED.replace("scr AS", "old AS") + """, a AS (SELECT region, item FROM bkt WHERE flagged OR n >= 1), b AS (SELECT region, item FROM bkt WHERE flagged OR n >= 3)
 SELECT region, item, 'only_at_1' AS side FROM a EXCEPT SELECT region, item, 'only_at_1' FROM b""")
 def _(t):
-    low, high = (scored(t).filter((F.col("score_availability") == "preview") | (F.col("n") >= k)).select("region", "item") for k in (1, 3))
+    cells = written(scored(t))
+    low, high = (cells.filter((F.col("score_availability") == "preview") | (F.col("n") >= k)).select("region", "item") for k in (1, 3))
     return S.set_differences(low, high, "only_at_1", "only_at_3")
 
 

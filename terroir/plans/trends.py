@@ -9,7 +9,7 @@ from terroir.functions.values import safe_rate
 from terroir.operators import briefing as B
 from terroir.operators import insights as I
 from terroir.operators import reports as P
-from terroir.operators.common import checked_broadcast, numbered
+from terroir.operators.common import checked_broadcast, numbered, written
 from terroir.plans.base import RECORDS, Tables, masters, records
 
 QUERIES, SQL = {}, {}
@@ -145,10 +145,10 @@ def _(t):
 
 @query("d53_policy_comparison", "WITH " + RECORDS + ", g AS (SELECT province, item, count(*) FILTER (WHERE status = 'registered') AS n FROM rec GROUP BY ALL), r AS (SELECT *, row_number() OVER (PARTITION BY province ORDER BY n DESC, item) AS k FROM g), f AS (SELECT province, min(item) AS flagship FROM rec WHERE kind = 'PROMO' GROUP BY 1) SELECT province, string_agg(item, '|' ORDER BY k) AS top, any_value(flagship) AS flagship, bool_or(item = flagship) AS flagship_in_top FROM r JOIN f USING (province) WHERE k <= 5 GROUP BY province")
 def _(t):
-    r = records(t)
-    g = r.groupBy("province", "item").agg(F.count_if(c("status") == "registered").alias("n")).withColumn("k", F.row_number().over(W.partitionBy("province").orderBy(F.desc("n"), "item"))).filter("k <= 5")
+    cells = written(records(t).groupBy("province", "item").agg(F.count_if(c("status") == "registered").alias("n"), F.bool_or(c("kind") == "PROMO").alias("promoted")))
+    g = cells.withColumn("k", F.row_number().over(W.partitionBy("province").orderBy(F.desc("n"), "item"))).filter("k <= 5")
     top = g.groupBy("province").agg(F.transform(F.array_sort(F.collect_list(F.struct("k", "item"))), lambda x: x["item"]).alias("top"))
-    flag = r.filter("kind = 'PROMO'").groupBy("province").agg(F.min("item").alias("flagship"))
+    flag = cells.filter("promoted").groupBy("province").agg(F.min("item").alias("flagship"))
     return top.join(flag, "province").select("province", F.array_join("top", "|").alias("top"), "flagship", F.array_contains("top", c("flagship")).alias("flagship_in_top"))
 
 
