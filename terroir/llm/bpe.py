@@ -105,6 +105,8 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
 
 
+#: Ids that are decoded at a time.
+_STRETCH = 1 << 16
 _made: dict[str, tuple[Pieces, np.ndarray, np.ndarray]] = {}
 
 
@@ -125,8 +127,9 @@ def decode_ids(ids: np.ndarray, bounds: np.ndarray, path: str) -> pa.Array:
     from terroir.llm.textblocks import ragged
 
     _, data, ends = _codec(path)
-    out, lengths = ragged(data, ends, ids)
-    cuts = np.concatenate(([0], np.cumsum(lengths)))[bounds]
+    stretches = [ragged(data, ends, ids[at : at + _STRETCH])[0] for at in range(0, len(ids), _STRETCH)]
+    out = np.concatenate([np.zeros(0, np.uint8), *stretches])
+    cuts = np.concatenate(([0], np.cumsum(np.diff(ends)[ids])))[bounds]
     return pa.Array.from_buffers(pa.large_binary(), len(bounds) - 1, [None, pa.py_buffer(cuts.astype(np.int64)), pa.py_buffer(out)]).cast(pa.binary())
 
 

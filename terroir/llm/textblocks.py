@@ -17,8 +17,10 @@ import pyarrow as pa
 OTHER, LETTER, NUMBER, SPACE = 0, 1, 2, 3
 #: The characters with the Unicode property White_Space.
 WHITE_SPACE = [*range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
-#: Bytes of text that are split at a time; a longer document is a block of its own.
+#: Bytes of text that are encoded at a time; a longer document is a block of its own.
 BLOCK = 3 << 20
+#: Bytes of text whose characters are classified at a time, for the arrays with a value for each of them.
+SPLIT = 1 << 19
 
 
 @cache
@@ -61,6 +63,16 @@ def code_points(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def split(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """Byte offsets at which pieces begin; a piece never crosses documents."""
+    starts, at = [np.zeros(0, np.int64)], 0
+    while at < len(offsets) - 1:
+        end = max(at + 1, int(np.searchsorted(offsets, offsets[at] + SPLIT, "right")) - 1)
+        inner = offsets[at : end + 1]
+        starts.append(inner[0] + _split(data[inner[0] : inner[-1]], inner - inner[0]))
+        at = end
+    return np.concatenate(starts)
+
+
+def _split(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     if not len(data):
         return np.zeros(0, np.int64)
     at, cp = code_points(data)
@@ -105,7 +117,8 @@ def ragged(values: np.ndarray, offsets: np.ndarray, index: np.ndarray) -> tuple[
     lengths = (offsets[1:] - offsets[:-1])[index]
     ends = np.cumsum(lengths)
     total = int(ends[-1]) if len(ends) else 0
-    take = np.repeat(offsets[index] - (ends - lengths), lengths) + np.arange(total)
+    take = np.repeat(offsets[index] - (ends - lengths), lengths)
+    take += np.arange(total)
     return values[take], lengths
 
 

@@ -91,6 +91,23 @@ def test_bpe_on_random_strings():
     check()
 
 
+@pytest.mark.parametrize("limit", [1, 7, 1 << 19])
+def test_bpe_by_stretches(limit, monkeypatch):
+    """Classifying and decoding in small stretches changes nothing, with empty texts at every edge."""
+    from terroir.llm import textblocks
+
+    raw = [t.encode() for t in ("", "it's 漢字  a1", "", " \t b", "we'll", "x" * 50, "", "")]
+    data, offsets = np.frombuffer(b"".join(raw), np.uint8), np.concatenate(([0], np.cumsum([len(r) for r in raw]))).astype(np.int64)
+    pieces = bpe._codec(bpe.rank_file())[0]
+    starts, (ids, counts) = textblocks.split(data, offsets), pieces.encode(data, offsets)
+    monkeypatch.setattr(textblocks, "SPLIT", limit)
+    monkeypatch.setattr(bpe, "_STRETCH", limit)
+    assert (textblocks.split(data, offsets) == starts).all()
+    cuts = np.concatenate(([0], np.cumsum(counts)))
+    assert bpe.decode_ids(ids, cuts, bpe.rank_file()).to_pylist() == raw
+    assert bpe.decode_ids(ids[:0], cuts[:1], bpe.rank_file()).to_pylist() == []
+
+
 def filled(sizes, weights, most):
     """Targets by resharing the excess, step by step."""
     total, full = sum(sizes), set()
