@@ -9,14 +9,16 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-#: Rows up to which a rule table or dimension may be broadcast.
-BROADCAST_ROWS = 200_000
+#: Rows, and bytes of these rows as JSON, up to which a rule table or dimension may be broadcast.
+BROADCAST_ROWS, BROADCAST_BYTES = 200_000, 64 << 20
 
 
-def checked_broadcast(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """``df`` with a broadcast hint if it has at most ``limit`` rows, and unchanged (a shuffled join) otherwise.
-    The check reads at most one row more than the limit."""
-    return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df
+def checked_broadcast(df: DataFrame, limit: int = BROADCAST_ROWS, most: int = BROADCAST_BYTES) -> DataFrame:
+    """``df`` with a broadcast hint if it has at most ``limit`` rows of together at most ``most`` bytes, written as
+    JSON, and unchanged (a shuffled join) otherwise. The check reads at most one row more than the limit."""
+    bytes_of = F.octet_length(F.to_json(F.struct("*")))
+    rows, size = df.limit(limit + 1).select(bytes_of.alias("n")).agg(F.count(F.lit(1)), F.sum("n")).first()
+    return F.broadcast(df) if rows <= limit and (size or 0) <= most else df
 
 
 def shared_folder(spark: SparkSession) -> str:

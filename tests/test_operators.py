@@ -132,6 +132,15 @@ def test_broadcast_is_checked(spark):
     assert "strategy=broadcast" not in plan(2)
 
 
+def test_broadcast_check_counts_bytes(spark):
+    """A few wide rows aren't broadcast; an empty table, null values and repeated column names are counted."""
+    hinted = lambda df, most: "strategy=broadcast" in C.checked_broadcast(df, most=most)._jdf.queryExecution().analyzed().toString()
+    wide = spark.range(3).withColumn("v", F.repeat(F.lit("x"), 1000)).withColumn("none", F.lit(None).cast("string"))
+    assert hinted(wide, 4000) and not hinted(wide, 2999)
+    assert hinted(wide.limit(0), 0)
+    assert not hinted(wide.withColumn("w", F.col("v")).toDF("id", "v", "none", "v"), 5000)
+
+
 def test_csv_with_mark_quotes_and_blank_lines(spark, tmp_path):
     (tmp_path / "a.csv").write_text('﻿sido,item\n경기도,"감, ""단감"""\n,\n강원도,\n', encoding="utf-8")
     assert listed(L.scan_csv(spark, str(tmp_path / "a.csv"), ["sido", "item"])) == [("강원도", ""), ("경기도", '감, "단감"')]
