@@ -1,6 +1,6 @@
 """The registered queries of this subpackage, and their SQL where SQL can express them."""
 
-from terroir.llm import bpe, chat, exact_dedup, licenses, mixing, phrases, simhash, suffix_dedup, token_file, toxicity
+from terroir.llm import bpe, chat, exact_dedup, lexical, licenses, mixing, phrases, simhash, suffix_dedup, token_file, toxicity
 
 QUERIES = {
     "op1_byte_bpe": bpe.op1_byte_bpe,
@@ -13,6 +13,7 @@ QUERIES = {
     "op8_simhash": simhash.op8_simhash,
     "op9_toxicity": toxicity.op9_toxicity,
     "op10_fingerprints": phrases.op10_fingerprints,
+    "op13_lexical_search": lexical.op13_lexical_search,
 }
 
 SQL = {
@@ -20,4 +21,5 @@ SQL = {
     "op3_license_scan": licenses.SQL,
     "op4_exact_dedup": exact_dedup.SQL,
     "op7_chat_format": chat.SQL,
+    "op13_lexical_search": lexical.SQL,
 }
