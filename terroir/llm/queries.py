@@ -1,6 +1,6 @@
 """The registered queries of this subpackage, and their SQL where SQL can express them."""
 
-from terroir.llm import bpe, chat, divergence, exact_dedup, lexical, licenses, mixing, phrases, simhash, suffix_dedup, token_file, toxicity
+from terroir.llm import bpe, chat, divergence, exact_dedup, lexical, licenses, mixing, pages, phrases, simhash, suffix_dedup, token_file, toxicity
 
 QUERIES = {
     "op1_byte_bpe": bpe.op1_byte_bpe,
@@ -13,6 +13,7 @@ QUERIES = {
     "op8_simhash": simhash.op8_simhash,
     "op9_toxicity": toxicity.op9_toxicity,
     "op10_fingerprints": phrases.op10_fingerprints,
+    "op11_html_text": pages.op11_html_text,
     "op12_source_divergence": divergence.op12_source_divergence,
     "op13_lexical_search": lexical.op13_lexical_search,
 }
@@ -22,6 +23,7 @@ SQL = {
     "op3_license_scan": licenses.SQL,
     "op4_exact_dedup": exact_dedup.SQL,
     "op7_chat_format": chat.SQL,
+    "op11_html_text": pages.SQL,
     "op12_source_divergence": divergence.SQL,
     "op13_lexical_search": lexical.SQL,
 }
