@@ -63,18 +63,35 @@ def numbered(df: DataFrame, order: list[Column], name: str = "rank") -> DataFram
     return running(df, order, F.lit(1), name)
 
 
-def contained(texts: DataFrame, text: str, names: DataFrame, name: str) -> DataFrame:
-    """Rows of ``texts`` with each row of ``names`` whose name stands in the text: an equi-join of the names with all
-    parts of a text that are as long as some name. The lengths of names are bounded by the longest one."""
-    lengths = sorted(r[0] for r in names.select(F.length(name).alias("n")).distinct().collect() if r[0])
-    if not lengths:
-        return texts.join(names, F.lit(False))
+#: Characters by which names are filed, and texts looked through.
+GRAM = 3
+
+
+def grams(text: Column, n: Column | int) -> Column:
+    """The distinct parts of a text with ``n`` characters."""
+    at = F.sequence(F.lit(1), F.greatest(F.length(text) - n + 1, F.lit(1)))
+    parts = F.array_distinct(F.transform(at, lambda i: F.substring(text, i, n if isinstance(n, Column) else F.lit(n))))
+    return F.when(F.length(text) >= n, parts).otherwise(F.array().cast("array<string>"))
 
-    def parts(n: int) -> Column:
-        return F.transform(F.sequence(F.lit(1), F.greatest(F.length(text) - n + 1, F.lit(1))), lambda i: F.substring(F.col(text), i, F.lit(n)))
 
-    keyed = texts.withColumn("__part", F.explode(F.array_distinct(F.concat(*map(parts, lengths))))).filter("__part <> ''")
-    return keyed.join(names.withColumn("__part", F.col(name)), "__part").drop("__part")
+def contained(texts: DataFrame, text: str, names: DataFrame, name: str, gram: int = GRAM) -> DataFrame:
+    """Rows of ``texts`` with each row of ``names`` whose name stands in the text.
+
+    Each name is filed under that of its parts of ``gram`` characters that the fewest texts hold (a shorter name under
+    itself); a text looks up its own parts and then the whole name. A name with a part that no text holds is dropped
+    before. A text makes at most a row for each character and ``gram`` at most, however many lengths names have.
+    """
+    named = names.select(F.col(name).alias("__name")).distinct().filter("__name <> ''").withColumn("__n", F.least(F.length("__name"), F.lit(gram)))
+    lengths = sorted(r[0] for r in named.select("__n").distinct().collect())  # ``gram`` at most
+    if not lengths:
+        return texts.join(names, F.lit(False))
+    keyed = texts.withColumn("__part", F.explode(F.concat(*[grams(F.col(text), n) for n in lengths])))
+    parts = named.select("__name", F.explode(grams(F.col("__name"), F.col("__n"))).alias("__part"))
+    held = keyed.select("__part").join(parts.select("__part").distinct(), "__part", "left_semi").groupBy("__part").agg(F.count(F.lit(1)).alias("__texts"))
+    rare = parts.join(held, "__part", "left").withColumn("__texts", F.coalesce("__texts", F.lit(0))).groupBy("__name").agg(F.min(F.struct("__texts", "__part")).alias("__least"))
+    filed = rare.filter("__least.__texts > 0").select("__name", F.col("__least.__part").alias("__part"))
+    looked_up = filed.join(names, F.col("__name") == F.col(name)).drop("__name")
+    return keyed.join(looked_up, "__part").filter(F.contains(text, name)).drop("__part")
 
 
 def require_columns(df: DataFrame, *names: str) -> DataFrame:

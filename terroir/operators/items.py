@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 from terroir.functions import text as X
-from terroir.operators.common import checked_broadcast
+from terroir.operators.common import checked_broadcast, written
 
 
 def exact_cascade(names: DataFrame, dictionary: DataFrame, prefixes: list[str]) -> DataFrame:
@@ -23,31 +23,79 @@ def exact_cascade(names: DataFrame, dictionary: DataFrame, prefixes: list[str])
 
 def approved_aliases(names: DataFrame, aliases: DataFrame, dictionary: DataFrame) -> DataFrame:
     """name, notice, class, status: ok if the alias's target stands once in the dictionary, review otherwise; an alias
-    given twice is a review too."""
-    once = aliases.withColumn("twice", F.count(F.lit(1)).over(W.partitionBy("alias")) > 1).dropDuplicates(["alias"])
+    given twice is a review too, with the smallest of its targets."""
+    once = aliases.groupBy("alias").agg((F.count(F.lit(1)) > 1).alias("twice"), F.min(F.struct("notice", "class")).alias("t")).select("alias", "twice", "t.*")
     held = dictionary.groupBy("item", "class").agg(F.count(F.lit(1)).alias("entries")).withColumnsRenamed({"item": "__i", "class": "__c"})
     joined = names.join(checked_broadcast(once), F.col("name") == F.col("alias")).join(held, (F.col("notice") == F.col("__i")) & (F.col("class") == F.col("__c")), "left")
     status = F.when(F.col("twice") | (F.coalesce("entries", F.lit(0)) != 1), "review_required").otherwise("ok")
     return joined.select(*names.columns, "notice", "class", status.alias("status"))
 
 
-def fuzzy_candidates(queries: DataFrame, dictionary: DataFrame, k: int = 20, hot: int = 1_000_000) -> DataFrame:
+def _by_rarity(rows: DataFrame, keys: list[str], text: str, frequency: DataFrame, name: str) -> DataFrame:
+    """``keys`` of rows with the distinct character pairs of ``text`` as structs (n, b), rarest in the dictionary first."""
+    pairs = rows.select(*keys, F.explode(X.bigrams(F.col(text))).alias("b")).join(frequency, "b", "left")
+    return pairs.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "b"))).alias(name))
+
+
+def _shared(joined: DataFrame) -> DataFrame:
+    """Pairs joined by one character pair, kept only at the first of the query's that the entry has, with the score."""
+    first = ~F.arrays_overlap(F.slice("qb", F.lit(1), F.col("i")), F.col("db"))
+    n = F.size(F.array_intersect("qb", "db"))
+    score = n / (F.size("qb") + F.size("db") - n)
+    return joined.filter(first & ~X.contains_at_edge(F.col("query"), F.col("item"))).withColumn("score", score)
+
+
+def _edges(q: DataFrame, d: DataFrame) -> DataFrame:
+    """Pairs of which one begins or ends the other, by equality with all beginnings and endings, with the score."""
+
+    def ends(c: str, least: int) -> Column:
+        at = F.sequence(F.lit(1), F.greatest(F.length(c), F.lit(1)))
+        return F.filter(F.array_distinct(F.concat(F.transform(at, lambda i: F.substring(F.col(c), F.lit(1), i)), F.transform(at, lambda i: F.substring(F.col(c), i, F.length(c))))), lambda x: F.length(x) >= least)
+
+    inside = q.withColumn("item", F.explode(ends("query", 1))).join(d, "item")
+    around = d.withColumn("query", F.explode(ends("item", 1))).filter("query <> item").join(q, "query")
+    n = F.size(F.array_intersect("qb", "db"))
+    score = n / (F.size("qb") + F.size("db") - n) + 0.5
+    return inside.select("query", "item", "class", score.alias("score")).unionByName(around.select("query", "item", "class", score.alias("score")))
+
+
+def fuzzy_pairs(queries: DataFrame, dictionary: DataFrame, k: int = 20) -> DataFrame:
+    """query, item, class, score of all pairs that the search for the ``k`` best forms: those found by the query's rarest
+    character pairs, which give a k-th score, and those that can reach it (see ``fuzzy_candidates``)."""
+    q = queries.select("query").distinct().filter("query <> ''")
+    d = dictionary.select("item", "class").distinct().filter(~F.coalesce(F.col("class").cast("string").try_cast("int") >= 35, F.lit(False)) & (F.col("item") != ""))
+    frequency = d.select(F.explode(X.bigrams(F.col("item"))).alias("b")).groupBy("b").agg(F.count(F.lit(1)).alias("n"))
+    bare = lambda c: F.transform(c, lambda x: x["b"])
+    q = _by_rarity(q, ["query"], "query", frequency, "pairs").select("query", bare("pairs").alias("qb"), F.transform("pairs", lambda x: x["n"]).alias("ns"))
+    d = written(_by_rarity(d, ["item", "class"], "item", frequency, "pairs").select("item", "class", bare("pairs").alias("db")))
+    q = written(q)
+    index = d.select("item", "class", "db", F.posexplode("db").alias("j", "b"))
+    before = F.aggregate(F.slice("ns", F.lit(1), F.col("i")), F.lit(0).cast("long"), lambda a, x: a + x)
+    seeds = _shared(q.select("query", "qb", "ns", F.posexplode("qb").alias("i", "b")).filter(before < 4 * k).drop("ns").join(index, "b"))
+    known = written(_edges(q, d).unionByName(seeds.select("query", "item", "class", "score")))
+    place = F.row_number().over(W.partitionBy("query").orderBy(F.desc("score")))
+    least = known.withColumn("pos", place).filter(F.col("pos") == k).select("query", F.col("score").alias("least"))
+    bounded = q.join(least, "query", "left").withColumn("least", F.coalesce("least", F.lit(0.0)))
+    need = lambda size: F.greatest(F.ceil(F.col("least") * size - 1e-9), F.lit(1))
+    prefix = bounded.select("query", "qb", "ns", "least", F.posexplode("qb").alias("i", "b")).filter((F.col("i") <= F.size("qb") - need(F.size("qb"))) & (before >= 4 * k))
+    sizes = F.size("qb") + F.size("db")
+    both = F.greatest(F.ceil(F.col("least") / (1 + F.col("least")) * sizes - 1e-9), F.lit(1))
+    reach = F.least(F.size("qb") - F.col("i"), F.size("db") - F.col("j")) >= both
+    more = _shared(prefix.drop("ns").join(index, "b").filter(reach))
+    return known.unionByName(more.select("query", "item", "class", "score"))
+
+
+def fuzzy_candidates(queries: DataFrame, dictionary: DataFrame, k: int = 20) -> DataFrame:
     """The ``k`` best entries of a dictionary (item, class, ...) for each distinct query: query, item, class, score, pos.
 
-    Score: Jaccard of character pairs, plus 0.5 if one stands at the beginning or end of the other. Entries share a
-    pair with the query (an equi-join on pairs), or are one character long and stand at its edge; a query of one
-    character meets all entries that begin or end with it. No pair of rows is formed that shares nothing.
+    Score: Jaccard of character pairs, plus 0.5 if one stands at the beginning or end of the other. Pairs are ordered by
+    their frequency in the dictionary. A query first meets the entries at its edges and those that share one of its
+    rarest pairs, as many pairs as have 4 ``k`` entries together; the k-th score so far bounds the rest: an entry that
+    reaches it must share one of the query's first n - need + 1 pairs (prefix filter), be of a like length, have the
+    shared pair early enough in its own order and enough after it. A frequent pair is thus joined only for queries
+    that have no k-th score yet, whose rarer pairs all together have fewer than 4 ``k`` entries, or a low one.
     """
-    q = queries.select("query").distinct().withColumn("qb", X.bigrams(F.col("query")))
-    d = dictionary.select("item", "class").distinct().filter(~F.coalesce(F.col("class").cast("string").try_cast("int") >= 35, F.lit(False))).withColumn("db", X.bigrams(F.col("item")))
-    shared = q.select("query", F.size("qb").alias("qn"), F.explode("qb").alias("b")).join(d.select("item", "class", F.size("db").alias("dn"), F.explode("db").alias("b")), "b").groupBy("query", "item", "class", "qn", "dn").agg(F.count(F.lit(1)).alias("n"))
-    scored = shared.select("query", "item", "class", (F.col("n") / (F.col("qn") + F.col("dn") - F.col("n"))).alias("j"))
-    edge = lambda c: F.array_distinct(F.array(F.substring(c, 1, 1), F.right(F.col(c), F.lit(1))))
-    short = q.filter(F.length("query") > 1).select("query", F.explode(edge("query")).alias("item")).join(d.filter(F.length("item") == 1).select("item", "class"), "item")
-    single = q.filter(F.length("query") == 1).join(d.filter(F.length("item") > 1).select("item", "class", F.explode(edge("item")).alias("query")), "query")
-    extra = short.select("query", "item", "class", F.lit(0.0).alias("j")).unionByName(single.select("query", "item", "class", F.lit(0.0).alias("j")))
-    every = scored.unionByName(extra).groupBy("query", "item", "class").agg(F.max("j").alias("j"))
-    final = every.withColumn("score", F.col("j") + F.when(X.contains_at_edge(F.col("query"), F.col("item")), 0.5).otherwise(0.0)).filter("score > 0")
+    final = fuzzy_pairs(queries, dictionary, k)
     return final.withColumn("pos", F.row_number().over(W.partitionBy("query").orderBy(F.desc("score"), "item", "class"))).filter(F.col("pos") <= k).select("query", "item", "class", "score", "pos")
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from terroir.plans.base import Tables
 from terroir.sources.files import scratch
+from terroir.streaming import state
 from terroir.streaming import streams as S
 
 QUERIES, SQL = {}, {}
@@ -23,20 +24,6 @@ def query(name: str, sql: str | None = None):
     return keep
 
 
-def landed(df: DataFrame, order: str | None = None, files: int = 4) -> DataFrame:
-    """A stream over ``df`` landed as files, one a trigger; with ``order`` piece after piece, so that they arrive in it."""
-    path = scratch(df.sparkSession, "landed")
-    if order:
-        key = c(order).cast("double") if dict(df.dtypes)[order] != "timestamp" else F.unix_micros(order).cast("double")
-        keyed = df.withColumn("__k", key)
-        cuts = [float("-inf"), *keyed.approxQuantile("__k", [i / files for i in range(1, files)], 0.01), float("inf")]
-        for low, high in zip(cuts, cuts[1:], strict=False):
-            keyed.filter((c("__k") > low) & (c("__k") <= high)).drop("__k").coalesce(1).write.mode("append").parquet(path)
-    else:
-        df.repartition(files).write.parquet(path)
-    return df.sparkSession.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(path)
-
-
 def events(t: Tables) -> DataFrame:
     return t.events.select("event_id", c("ts").cast("timestamp").alias("ts"), "user_id", "event_type")
 
@@ -44,33 +31,53 @@ def events(t: Tables) -> DataFrame:
 @query("s02_stream_dedupe", "SELECT DISTINCT event_id, user_id FROM events")
 def _(t):
     e = events(t)
-    stream = S.deduplicated(landed(e.unionByName(e), "ts"), "ts", ["event_id"], "1 day")
-    return S.run_available(stream, scratch(t.spark, "out"), scratch(t.spark, "state")).select("event_id", "user_id")
+    out, kept = scratch(t.spark, "out"), scratch(t.spark, "state")
+    for stream in S.arriving(e.unionByName(e), "ts", 3):
+        done = S.run_available(S.deduplicated(stream, "ts", ["event_id"], "1 day"), out, kept)
+    return done.select("event_id", "user_id")
 
 
 @query("s03_stream_windows", "SELECT strftime(date_trunc('day', ts), '%Y-%m-%d') AS day, event_type, count(*) AS n FROM events WHERE date_trunc('day', ts) < (SELECT date_trunc('day', max(ts)) FROM events) GROUP BY ALL")
 def _(t):
-    stream = S.windowed_counts(landed(events(t), "ts"), "ts", ["event_type"], "1 day", None, "1 second")
-    done = S.run_available(stream, scratch(t.spark, "out"), scratch(t.spark, "state"))
+    out, kept = scratch(t.spark, "out"), scratch(t.spark, "state")
+    for stream in S.arriving(events(t), "ts", 3):
+        done = S.run_available(S.windowed_counts(stream, "ts", ["event_type"], "1 day", None, "1 second"), out, kept)
     last = t.events.agg(F.to_date(F.max("ts")).alias("d"))
     return done.crossJoin(F.broadcast(last)).filter(F.to_date("start") < c("d")).select(F.date_format("start", "yyyy-MM-dd").alias("day"), "event_type", "n")
 
 
 @query("s03_sliding_windows", "WITH w AS (SELECT event_type, unnest([date_trunc('day', ts), date_trunc('day', ts) - INTERVAL 1 DAY]) AS s FROM events) SELECT strftime(s, '%Y-%m-%d') AS day, event_type, count(*) AS n FROM w WHERE s < (SELECT date_trunc('day', max(ts)) - INTERVAL 1 DAY FROM events) GROUP BY ALL")
 def _(t):
-    stream = S.windowed_counts(landed(events(t), "ts"), "ts", ["event_type"], "2 days", "1 day", "1 second")
-    done = S.run_available(stream, scratch(t.spark, "out"), scratch(t.spark, "state"))
+    out, kept = scratch(t.spark, "out"), scratch(t.spark, "state")
+    for stream in S.arriving(events(t), "ts", 3):
+        done = S.run_available(S.windowed_counts(stream, "ts", ["event_type"], "2 days", "1 day", "1 second"), out, kept)
     last = t.events.agg(F.date_sub(F.to_date(F.max("ts")), 1).alias("d"))
     return done.crossJoin(F.broadcast(last)).filter(F.to_date("start") < c("d")).select(F.date_format("start", "yyyy-MM-dd").alias("day"), "event_type", "n")
 
 
-@query("s01_stream_archive", "SELECT o_orderkey AS key, 1 AS version FROM orders")
+@query(
+    "s01_stream_archive",
+    """SELECT o_orderkey AS key, 1 AS version, 'inserted' AS action, strftime(o_orderdate, '%Y-%m-%d') AS run FROM orders
+       UNION ALL SELECT o_orderkey, 2, 'updated', 'again ' || strftime(o_orderdate, '%Y-%m-%d') FROM orders WHERE o_orderstatus = 'F'
+       UNION ALL SELECT o_orderkey, 1, 'reverted', 'later ' || strftime(o_orderdate, '%Y-%m-%d') FROM orders WHERE o_orderstatus = 'F' AND o_orderpriority LIKE '1%'
+       UNION ALL SELECT o_orderkey, 2, 'unchanged', 'later ' || strftime(o_orderdate, '%Y-%m-%d') FROM orders WHERE o_orderstatus = 'F' AND o_orderpriority NOT LIKE '1%'""",
+)
 def _(t):
-    rows = t.orders.select(c("o_orderkey").alias("key"), F.sha2(F.concat_ws("|", c("o_orderkey").cast("string"), "o_orderstatus"), 256).alias("hash"), c("o_orderstatus").alias("payload"))
-    return S.archive_stream(landed(rows, "key", 3), scratch(t.spark, "archive"), scratch(t.spark, "state")).select("key", "version")
+    """Orders archived over three runs: all; those finished with changed content; those again, the urgent ones as at first."""
+    hashed = lambda *more: F.sha2(F.concat_ws("|", c("o_orderkey").cast("string"), "o_orderstatus", *more), 256)
+    day, finished = F.date_format("o_orderdate", "yyyy-MM-dd"), t.orders.filter("o_orderstatus = 'F'")
+    first = t.orders.select(c("o_orderkey").alias("key"), hashed().alias("hash"), c("o_orderstatus").alias("payload"), day.alias("run"), lit(1).alias("nth"))
+    again = finished.select(c("o_orderkey").alias("key"), hashed(lit("x")).alias("hash"), lit("x").alias("payload"), F.concat(lit("again "), day).alias("run"), lit(2).alias("nth"))
+    later = finished.select(c("o_orderkey").alias("key"), F.when(c("o_orderpriority").like("1%"), hashed()).otherwise(hashed(lit("x"))).alias("hash"), lit("y").alias("payload"), F.concat(lit("later "), day).alias("run"), lit(3).alias("nth"))
+    out, kept = scratch(t.spark, "out"), scratch(t.spark, "state")
+    for stream in S.arriving(first.unionAll(again).unionAll(later), "nth", 3):
+        state.archive_stream(stream, kept, out)
+    return t.spark.read.parquet(out).select("key", "version", "action", "run")
 
 
 @query("s04_stream_latest", "SELECT conv_id, turn, role FROM (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC) AS k FROM conversations) WHERE k = 1")
 def _(t):
-    rows = t.conversations.select("conv_id", "turn", "role")
-    return S.latest_state(landed(rows, "turn", 3), ["conv_id"], "turn", scratch(t.spark, "latest"), scratch(t.spark, "state"))
+    rows, out, kept = t.conversations.select("conv_id", "turn", "role"), scratch(t.spark, "out"), scratch(t.spark, "state")
+    for stream in S.arriving(rows, "turn", 3):
+        latest = state.latest_state(stream, ["conv_id"], "turn", kept, out)
+    return latest

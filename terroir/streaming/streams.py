@@ -1,15 +1,31 @@
-"""Structured Streaming forms of the incremental operators."""
+"""Structured Streaming forms of the incremental operators. Keyed state is in ``state.py``."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from collections.abc import Iterator
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from terroir.operators.snapshot import archive_upsert
+from terroir.operators.common import scratch
+
 
-#: Buckets of keys that a keyed state is kept in.
-BUCKETS = 16
+def arriving(df: DataFrame, order: str, pieces: int) -> Iterator[DataFrame]:
+    """``df`` as a stream whose rows land in pieces by ranges of ``order`` (null first), one more each time the stream
+    is given out. The pieces are made in one pass, by as many tasks as read ``df``, and land by renaming a folder."""
+    spark, staged, landed = df.sparkSession, scratch(df.sparkSession, "staged"), scratch(df.sparkSession, "landed")
+    key = F.unix_micros(order) if dict(df.dtypes)[order] == "timestamp" else F.col(order)
+    keyed = df.withColumn("__key", key.cast("double"))
+    cuts = keyed.approxQuantile("__key", [i / pieces for i in range(1, pieces)], 0.01)
+    piece = F.coalesce(sum((F.col("__key") > cut).cast("int") for cut in cuts), F.lit(0)) if cuts else F.lit(0)
+    keyed.withColumn("__piece", piece).drop("__key").write.partitionBy("__piece").parquet(staged)
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    files = path(staged).getFileSystem(spark._jsc.hadoopConfiguration())
+    files.mkdirs(path(landed))
+    for i in range(pieces):
+        if files.exists(path(f"{staged}/__piece={i}")):
+            files.rename(path(f"{staged}/__piece={i}"), path(f"{landed}/piece-{i}"))
+        yield spark.readStream.schema(df.schema).option("recursiveFileLookup", "true").parquet(landed)
 
 
 def run_available(stream: DataFrame, path: str, checkpoint: str, mode: str = "append") -> DataFrame:
@@ -27,63 +43,3 @@ def windowed_counts(stream: DataFrame, time: str, keys: list[str], size: str, sl
     """Counts over tumbling (or, with ``slide``, sliding) windows of event time, out when the watermark has passed."""
     w = F.window(time, size, slide) if slide else F.window(time, size)
     return stream.withWatermark(time, delay).groupBy(w.alias("w"), *keys).agg(F.count(F.lit(1)).alias("n")).select(F.col("w.start").alias("start"), *keys, "n")
-
-
-def _exists(spark: SparkSession, folder: str) -> bool:
-    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
-
-
-def _bucket(keys: list[str]) -> Column:
-    return F.pmod(F.xxhash64(*keys), F.lit(BUCKETS)).cast("int")
-
-
-def read_state(spark: SparkSession, folder: str, schema: T.StructType, before: int | None = None) -> DataFrame:
-    """The rows of a keyed state: of each bucket of keys those of its latest batch (below ``before``)."""
-    if not _exists(spark, folder):
-        return spark.createDataFrame([], schema)
-    whole = spark.read.schema(T.StructType([*schema.fields, T.StructField("batch", T.IntegerType()), T.StructField("bucket", T.IntegerType())])).parquet(folder)
-    kept = whole if before is None else whole.filter(F.col("batch") < before)
-    latest = kept.groupBy("bucket").agg(F.max("batch").alias("batch"))  # one row a bucket
-    return whole.join(F.broadcast(latest), ["bucket", "batch"]).select(*schema.names)
-
-
-def _touched(batch: DataFrame, keys: list[str]) -> list[int]:
-    return [r[0] for r in batch.select(_bucket(keys)).distinct().collect()]  # at most BUCKETS
-
-
-def _replace(rows: DataFrame, keys: list[str], folder: str, n: int) -> None:
-    """The new rows of the buckets that a batch touches; the other buckets' files stay as they are."""
-    rows.withColumn("bucket", _bucket(keys)).write.mode("overwrite").partitionBy("bucket").parquet(f"{folder}/batch={n}")
-
-
-def archive_stream(stream: DataFrame, folder: str, checkpoint: str) -> DataFrame:
-    """Batches (key, hash, payload) upserted into a versioned archive, kept in ``BUCKETS`` buckets of keys, of which a
-    batch rewrites those that it touches. A batch that is run again starts from the state before it and writes the
-    same state; a run without new data returns the state as it is."""
-    spark = stream.sparkSession
-    records, versions = (T.StructType.fromDDL(x) for x in ("key long, hash string, version int, last_run string", "key long, version int, hash string, payload string"))
-
-    def upsert(batch: DataFrame, n: int) -> None:
-        touched = _touched(batch, ["key"])
-        before = [read_state(spark, f"{folder}/{part}", schema, n).filter(_bucket(["key"]).isin(touched)) for part, schema in (("records", records), ("versions", versions))]
-        after, seen, _ = archive_upsert(*before, batch, f"r{n}")
-        _replace(after, ["key"], f"{folder}/records", n)
-        _replace(seen, ["key"], f"{folder}/versions", n)
-
-    stream.writeStream.foreachBatch(upsert).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
-    return read_state(spark, f"{folder}/records", records)
-
-
-def latest_state(stream: DataFrame, keys: list[str], order: str, folder: str, checkpoint: str) -> DataFrame:
-    """The latest row of each key, merged batch by batch in the buckets that a batch touches."""
-    spark, schema = stream.sparkSession, stream.schema
-
-    def merge(batch: DataFrame, n: int) -> None:
-        old = read_state(spark, folder, schema, n).filter(_bucket(keys).isin(_touched(batch, keys)))
-        rest = [c for c in schema.names if c not in keys]
-        both = batch.unionByName(old).groupBy(*keys).agg(F.max_by(F.struct(*rest), order).alias("s"))
-        _replace(both.select(*keys, *[f"s.{c}" for c in rest]).select(*schema.names), keys, folder, n)
-
-    stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
-    return read_state(spark, folder, schema)

@@ -1,5 +1,7 @@
 """Operators on small tables with expected results."""
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -12,7 +14,6 @@ from terroir.operators import score as S
 from terroir.operators import snapshot as N
 from terroir.plans.base import Tables
 from terroir.sources import files as L
-from terroir.streaming import streams as T
 
 
 def listed(df):
@@ -159,30 +160,6 @@ def test_html_table_rows_are_paired(spark):
     assert listed(L.scan_html_list(page, "html", "tr", pairs=True)) == [(1, 0, "사과&배", "청송")]
 
 
-def test_stream_equals_batch(spark, tmp_path):
-    t = Tables(spark, "/root/testdata/sf0.001")
-    t.conversations.write.parquet(str(tmp_path / "in"))
-    stream = spark.readStream.schema(t.conversations.schema).parquet(str(tmp_path / "in")).select("conv_id", "turn", "role")
-    out = T.latest_state(stream, ["conv_id"], "turn", str(tmp_path / "out"), str(tmp_path / "state"))
-    batch = C.latest(t.conversations.select("conv_id", "turn", "role"), ["conv_id"], F.desc("turn"))
-    assert listed(out) == listed(batch)
-
-
-def test_stream_state_is_kept_over_runs(spark, tmp_path):
-    """A run without new data leaves the state as it is; a later batch changes the rows that it touches only."""
-    schema, where = "key long, hash string, payload string", str(tmp_path / "in")
-    stream = lambda: spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(where)
-    run = lambda: listed(T.archive_stream(stream(), str(tmp_path / "out"), str(tmp_path / "state")).select("key", "hash", "version", "last_run"))
-    spark.createDataFrame([(k, "a", "x") for k in range(40)], schema).coalesce(1).write.parquet(where)
-    first = run()
-    assert first == [(k, "a", 1, "r0") for k in range(40)] == run()
-    spark.createDataFrame([(7, "b", "y"), (99, "c", "z")], schema).coalesce(1).write.mode("append").parquet(where)
-    expected = [(k, "b", 2, "r1") if k == 7 else (k, "a", 1, "r0") for k in range(40)] + [(99, "c", 1, "r1")]
-    assert run() == expected == run()
-    late = lambda: T.latest_state(stream().select("key", "hash"), ["key"], "hash", str(tmp_path / "latest"), str(tmp_path / "latest-state"))
-    assert listed(late()) == [(r[0], r[1]) for r in expected] == listed(late())
-
-
 def test_running_sums_and_numbers(spark):
     df = spark.range(500).selectExpr("id % 50 v", "id").repartition(7)
     out = {r["id"]: (r["n"], r["v"]) for r in C.numbered(df, [F.desc("v"), F.col("id")], "n").collect()}
@@ -238,3 +215,60 @@ def test_review_clusters(spark):
     assert [(o["item"], o["rows"], o["coverage"], o["score"]) for o in r["options"]] == [("jam", 2, 0.6667, 0.5), ("tea", 2, 0.6667, 0.25)]
     assert [tuple(x) for x in r["reasons"]] == [("x", 2), ("y", 1)]
     assert (out["row:4"]["state"], out["row:4"]["name"]) == ("none", None)
+
+
+def test_aliases_given_twice_are_reviewed_with_their_smallest_target(spark):
+    aliases = spark.createDataFrame([("x", "n2", 2), ("x", "n1", 1), ("y", "n1", 1), ("z", "n3", 3)], "alias string, notice string, class int")
+    dictionary = spark.createDataFrame([("n1", 1), ("n2", 2)], "item string, class int")
+    names = spark.createDataFrame([("x",), ("y",), ("z",), ("w",)], "name string")
+    for given in (aliases, aliases.orderBy("notice")):
+        assert listed(I.approved_aliases(names, given, dictionary)) == [("x", "n1", 1, "review_required"), ("y", "n1", 1, "ok"), ("z", "n3", 3, "review_required")]
+
+
+def plain_candidates(queries, entries, k):
+    def pairs(x):
+        return {x[i : i + 2] for i in range(max(len(x) - 1, 1))}
+
+    out = []
+    for q in {q for q in queries if q}:
+        scored = []
+        for item, number in {e for e in entries if e[0] and (e[1] is None or e[1] < 35)}:
+            a, b = pairs(q), pairs(item)
+            edge = q.startswith(item) or q.endswith(item) or item.startswith(q) or item.endswith(q)
+            score = len(a & b) / len(a | b) + 0.5 * edge
+            if score > 0:
+                scored.append((-score, item, number))
+        out += [(q, item, number, round(-score, 9), i + 1) for i, (score, item, number) in enumerate(sorted(scored)[:k])]
+    return sorted(out)
+
+
+@pytest.mark.parametrize("k", [1, 3, 50])
+def test_fuzzy_candidates_equal_brute_force(spark, k):
+    """Random texts over few characters: many ties, frequent pairs, texts of one character, queries with too few entries."""
+    rng = random.Random(k)
+    word = lambda: "".join(rng.choices("abcdefgh", weights=[20, 20, 10, 5, 2, 1, 1, 1], k=rng.choice([1, 2, 3, 4, 6, 9])))
+    queries = [word() for _ in range(60)] + ["", None, "zzz", "q", "aaaa"]
+    entries = [(word(), rng.randrange(1, 45)) for _ in range(150)] + [("", 1), ("z", 1), ("aaa", 2), ("aaa", 2)]
+    q, d = spark.createDataFrame([(x,) for x in queries], "query string"), spark.createDataFrame(entries, "item string, class int")
+    out = [(r["query"], r["item"], r["class"], round(r["score"], 9), r["pos"]) for r in I.fuzzy_candidates(q, d, k).collect()]
+    assert sorted(out) == plain_candidates(queries, entries, k)
+
+
+def test_few_pairs_are_formed(spark):
+    """Names with a frequent ending: most share character pairs with most others, few can be among the best."""
+    rng = random.Random(3)
+    names = sorted({"".join(chr(0xAC00 + int(rng.paretovariate(0.7)) % 400) for _ in range(rng.randrange(2, 7))) + rng.choice(["가공품", "제품", ""]) for _ in range(2000)})
+    d = spark.createDataFrame([(n, 1) for n in names], "item string, class int")
+    q = spark.createDataFrame([(n[1:] + "류",) for n in names[::20]], "query string")
+    pairs, all_pairs = I.fuzzy_pairs(q, d, 5).count(), q.count() * d.count()
+    assert pairs < 0.1 * all_pairs, (pairs, all_pairs)
+
+
+def test_containment_equals_brute_force(spark):
+    rng = random.Random(5)
+    word = lambda most: "".join(rng.choices("abc ", k=rng.randrange(most)))
+    texts, names = [word(40) for _ in range(200)] + [None, ""], sorted({word(9) for _ in range(120)}) + [None]
+    t, n = spark.createDataFrame([(i, x) for i, x in enumerate(texts)], "id int, text string"), spark.createDataFrame([(x, i) for i, x in enumerate(names)], "name string, at int")
+    expected = sorted((i, j) for i, x in enumerate(texts) for j, y in enumerate(names) if x and y and y in x)
+    assert sorted((r["id"], r["at"]) for r in C.contained(t, "text", n, "name").collect()) == expected
+    assert sorted((r["id"], r["at"]) for r in C.contained(t, "text", n, "name", gram=2).collect()) == expected
