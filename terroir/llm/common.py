@@ -8,8 +8,8 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Rows of an aggregated side up to which it may be broadcast; beyond it a shuffled join is used.
-BROADCAST_ROWS = 100_000
+#: Rows of an aggregated side, and bytes of these as JSON, up to which it may be broadcast; beyond, a shuffled join is used.
+BROADCAST_ROWS, BROADCAST_BYTES = 100_000, 64 << 20
 #: A join key is hot if it holds more than 1/HOT of all rows, and more than HOT_ROWS.
 HOT, HOT_ROWS = 1024, 4096
 
@@ -60,9 +60,23 @@ def removed(df: DataFrame) -> None:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def small(df: DataFrame, limit: int = BROADCAST_ROWS) -> bool:
-    """Whether ``df`` has at most ``limit`` rows, found by reading no more than one row beyond it."""
-    return df.limit(limit + 1).count() <= limit
+def small(df: DataFrame, limit: int = BROADCAST_ROWS, most: int = BROADCAST_BYTES) -> bool:
+    """Whether ``df`` has at most ``limit`` rows of together at most ``most`` bytes as JSON, found by reading no more
+    than one row beyond it."""
+    bytes_of = F.octet_length(F.to_json(F.struct("*")))
+    rows, size = df.limit(limit + 1).select(bytes_of.alias("n")).agg(F.count(F.lit(1)), F.sum("n")).first()
+    return rows <= limit and (size or 0) <= most
+
+
+def free_names(df: DataFrame, *names: str) -> list[str]:
+    """``names``, each with as many underscores more as it takes for no column of ``df`` to be called so."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        out.append(name)
+    return out
 
 
 def join_hot(left: DataFrame, right: DataFrame, keys: list[str], spread: list[str], n: str = "n") -> DataFrame:

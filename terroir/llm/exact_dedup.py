@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terroir.llm.common import checkpoint, documents, text_of
+from terroir.llm.common import checkpoint, documents, free_names, text_of
 
 SPACE = r"[\x20\x09-\x0D]+"
 PREFIX = 24
@@ -98,11 +98,11 @@ def exact_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 def drop_exact_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``df`` without the rows whose text an earlier id has; rows that repeat an id and its text collapse
     to one, rows with a null id stay as one of each text."""
-    kept = exact_groups(df, id_col, text_col).filter("kept").select(F.col("doc_id").alias("__id"), F.col("text_sha256").alias("__sha"))
-    sha = F.sha2(normalised(text_col).cast("binary"), 256)
-    left = df.withColumn("__sha_own", sha)
-    once = left.join(kept, F.col(id_col).eqNullSafe(F.col("__id")) & (F.col("__sha_own") == F.col("__sha")), "left_semi")
-    return once.dropDuplicates([id_col, "__sha_own"]).drop("__sha_own")
+    its_id, sha, own = free_names(df, "__id", "__sha", "__sha_own")
+    kept = exact_groups(df, id_col, text_col).filter("kept").select(F.col("doc_id").alias(its_id), F.col("text_sha256").alias(sha))
+    left = df.withColumn(own, F.sha2(normalised(text_col).cast("binary"), 256))
+    once = left.join(kept, F.col(id_col).eqNullSafe(F.col(its_id)) & (F.col(own) == F.col(sha)), "left_semi")
+    return once.dropDuplicates([id_col, own]).drop(own)
 
 
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -19,8 +19,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window as W
 
-from terroir.llm.common import checkpoint, documents, row_numbers, small, text_of
+from terroir.llm.common import checkpoint, documents, free_names, row_numbers, small, text_of
 
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (5, 2, 1)
@@ -65,13 +66,36 @@ def _copies(u: Column, rate: Column) -> Column:
     return (F.floor(rate) + (u < rate - F.floor(rate)).cast("long")).cast("long")
 
 
+def _taken(rows: DataFrame, table: DataFrame, turns: int) -> DataFrame:
+    """source, turn, target, taken: the words that each seed would take of a source.
+
+    From turn to turn a document's copies change at two turns only: one where its turned draw passes 1 and begins
+    again at 0, which is below the rate's fraction, and one where it reaches the fraction. These changes (at most two
+    rows a document) are added up by turn and summed over the turns of each source.
+    """
+    part, u = F.col("rate") - F.floor("rate"), F.col("u")
+    drawn = lambda turn: _turned(u, turn, turns) < part
+    falls_from = F.when(u < part, part).otherwise(part + 1)
+    near = F.greatest(F.least(F.ceil((falls_from - u) * turns), F.lit(turns)), F.lit(1)).cast("int")
+    # the division may be off by a rounding: the first turn at or after the one before, which isn't drawn while that is
+    falls = F.array_min(F.filter(F.array(near - 1, near, near + 1), lambda t: (t >= 1) & ~drawn(t) & drawn(t - 1)))
+    rises = F.ceil((1 - u) * turns).cast("int")
+    rises = F.when(drawn(rises) & ~drawn(rises - 1), rises)
+    change = [F.struct(rises.alias("turn"), F.col("size").alias("delta")), F.struct(falls.alias("turn"), (-F.col("size")).alias("delta"))]
+    changes = rows.select("source", F.explode(F.array(*change)).alias("x")).select("source", "x.*").filter(F.col("turn") < turns)
+    first = rows.select("source", F.lit(0).alias("turn"), (F.col("size") * _copies(u, F.col("rate"))).alias("delta"))
+    grid = table.select("source", F.explode(F.sequence(F.lit(0), F.lit(turns - 1))).alias("turn"), F.lit(0).cast("long").alias("delta"))
+    summed = changes.unionByName(first).unionByName(grid).groupBy("source", "turn").agg(F.sum("delta").alias("delta"))
+    all_before = W.partitionBy("source").orderBy("turn").rowsBetween(W.unboundedPreceding, W.currentRow)
+    return _joined(summed.withColumn("taken", F.sum("delta").over(all_before)), table.select("source", "target"), "source").drop("delta")
+
+
 def seeded(sizes: DataFrame, weights: tuple = WEIGHTS, most: int = MOST, turns: int = TURNS) -> DataFrame:
     """From rows (source, size, u): source, source_size, target, rate, turn (the source's seed)."""
     table = targets(sizes.select("source", "size"), weights, most)
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     table = checkpoint(table.withColumn("rate", rate))
-    each = _joined(sizes, table, "source").select("source", "size", "target", "rate", "u", F.explode(F.sequence(F.lit(0), F.lit(turns - 1))).alias("turn"))
-    taken = each.groupBy("source", "turn").agg(F.sum(F.col("size") * _copies(_turned(F.col("u"), F.col("turn"), turns), F.col("rate"))).alias("taken"), F.first("target").alias("target"))
+    taken = _taken(_joined(sizes, table, "source"), table, turns)
     best = taken.groupBy("source").agg(F.min(F.struct(F.abs(F.col("taken") - F.col("target")).alias("off"), "turn"))["turn"].alias("turn"))
     best = best.select(F.col("source").alias("__source"), "turn")
     return table.join(best, F.col("source").eqNullSafe(F.col("__source"))).drop("__source")
@@ -79,9 +103,10 @@ def seeded(sizes: DataFrame, weights: tuple = WEIGHTS, most: int = MOST, turns:
 
 def _joined(rows: DataFrame, table: DataFrame, source_col: str) -> DataFrame:
     """Rows with the columns of their source."""
-    table = table.withColumnRenamed("source", "__source")
+    own = free_names(rows, "__source")[0]
+    table = table.withColumnRenamed("source", own)
     few = small(table)  # otherwise a shuffled join, which adaptive execution splits where a source is hot
-    return rows.join(F.broadcast(table) if few else table, F.col(source_col).eqNullSafe(F.col("__source"))).drop("__source")
+    return rows.join(F.broadcast(table) if few else table, F.col(source_col).eqNullSafe(F.col(own))).drop(own)
 
 
 def plan_copies(df: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text", weights: tuple = WEIGHTS, most: int = MOST, seed: str = SEED) -> DataFrame:
@@ -95,9 +120,10 @@ def plan_copies(df: DataFrame, id_col: str = "doc_id", source_col: str = "source
 def mix(df: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text", weights: tuple = WEIGHTS, most: int = MOST, seed: str = SEED) -> DataFrame:
     """The rows of ``df``, each as often as the mix takes it."""
     sizes = checkpoint(df.select(F.col(source_col).alias("source"), n_words(text_col).alias("size"), draw(id_col, seed).alias("u")))
-    table = checkpoint(seeded(sizes, weights, most).select("source", F.col("rate").alias("__rate"), F.col("turn").alias("__turn")))
-    copies = _copies(_turned(draw(id_col, seed), F.col("__turn"), TURNS), F.col("__rate")).cast("int")
-    return _joined(df, table, source_col).withColumn("__copy", F.explode(F.array_repeat(F.lit(1), copies))).drop("__rate", "__turn", "__copy")
+    rate, turn, copy = free_names(df, "__rate", "__turn", "__copy")
+    table = checkpoint(seeded(sizes, weights, most).select("source", F.col("rate").alias(rate), F.col("turn").alias(turn)))
+    copies = _copies(_turned(draw(id_col, seed), F.col(turn), TURNS), F.col(rate)).cast("int")
+    return _joined(df, table, source_col).withColumn(copy, F.explode(F.array_repeat(F.lit(1), copies))).drop(rate, turn, copy)
 
 
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terroir.llm.common import checkpoint, documents, text_of, written
+from terroir.llm.common import checkpoint, documents, free_names, text_of, written
 from terroir.llm.components import connected_components
 
 WORDS, SEED = 3, 42
@@ -157,12 +157,12 @@ def drop_near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str =
     """One row of ``df`` for each component: that of the smallest id (null if no row of it has an id); of rows that
     share this id, one whose text has the smallest hashes."""
     leads = _grouped(df, id_col, text_col).filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    leads = leads.groupBy("label").agg(F.min(F.struct("one", "two")).alias("text"), F.min("doc_id").alias("__id"))
-    leads = leads.select("__id", F.col("text.one").alias("__one"), F.col("text.two").alias("__two"))
-    one, two = _text_hashes(text_col)
-    hashed = df.withColumns({"__own_one": one, "__own_two": two})
-    same = F.col(id_col).cast("long").eqNullSafe(F.col("__id")) & (F.col("__own_one") == F.col("__one")) & (F.col("__own_two") == F.col("__two"))
-    return hashed.join(leads, same, "left_semi").dropDuplicates([id_col, "__own_one", "__own_two"]).drop("__own_one", "__own_two")
+    its_id, its_one, its_two, one, two = free_names(df, "__id", "__one", "__two", "__own_one", "__own_two")
+    leads = leads.groupBy("label").agg(F.min(F.struct("one", "two")).alias("text"), F.min("doc_id").alias(its_id))
+    leads = leads.select(its_id, F.col("text.one").alias(its_one), F.col("text.two").alias(its_two))
+    hashed = df.withColumns(dict(zip((one, two), _text_hashes(text_col), strict=True)))
+    same = F.col(id_col).cast("long").eqNullSafe(F.col(its_id)) & (F.col(one) == F.col(its_one)) & (F.col(two) == F.col(its_two))
+    return hashed.join(leads, same, "left_semi").dropDuplicates([id_col, one, two]).drop(one, two)
 
 
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from terroir.llm.common import checkpoint, documents, text_of
+from terroir.llm.common import checkpoint, documents, free_names, text_of
 from terroir.llm.textblocks import LETTER, NUMBER, blocks, classes, code_points, piece_array
 
 SAMPLE = 10_000
@@ -194,10 +194,11 @@ def crc(id_col: str) -> Column:
 
 
 def sample_of(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """At most ``sample`` labelled rows that aren't held out: doc_id, text, toxic, fold (0 to 3)."""
+    """At most ``sample`` labelled rows that aren't held out: doc_id, text, toxic, fold (0 to 3). Of rows that share an
+    id the one with the smallest text is taken."""
     usable = labels.filter("toxic in (0, 1)").groupBy(F.col(id_col).alias("__id")).agg(F.max("toxic").cast("int").alias("toxic")).filter(crc("__id") % HELD_OUT != 0)
     chosen = usable.orderBy(F.xxhash64("__id"), "__id").limit(sample)
-    joined = docs.select(F.col(id_col).alias("doc_id"), text_of(text_col).alias("text")).join(F.broadcast(chosen), F.col("doc_id") == F.col("__id")).drop("__id")
+    joined = docs.select(F.col(id_col).alias("doc_id"), text_of(text_col).alias("text")).join(F.broadcast(chosen), F.col("doc_id") == F.col("__id")).groupBy("doc_id").agg(F.min("text").alias("text"), F.first("toxic").alias("toxic"))
     return checkpoint(joined.withColumn("fold", (crc("doc_id") % HELD_OUT - 1).cast("int")))
 
 
@@ -227,8 +228,9 @@ def learn_terms(sample: DataFrame, terms: int = TERMS) -> list[tuple[str, bool,
 _made: dict[tuple, Automaton] = {}
 
 
-def features(df: DataFrame, terms: list[tuple[str, bool, float]], keep: list[str], text_col: str = "text") -> DataFrame:
-    """The columns ``keep`` and the features of each text."""
+def features(df: DataFrame, terms: list[tuple[str, bool, float]], keep: list[str], text_col: str = "text", out: str = "__features") -> DataFrame:
+    """The columns ``keep`` and the features of each text, as column ``out``."""
+    text = free_names(df, "__text")[0]
     kinds = df.select(*keep).schema
     shared = df.sparkSession.sparkContext.broadcast(terms)
 
@@ -238,12 +240,12 @@ def features(df: DataFrame, terms: list[tuple[str, bool, float]], keep: list[str
             _made.clear()
             _made[key] = Automaton(shared.value)
         for batch in batches:
-            for a, b, data, offsets in blocks(batch, "__text", 4 << 20):
+            for a, b, data, offsets in blocks(batch, text, 4 << 20):
                 found = _features(_made[key], data, offsets)
                 lists = pa.ListArray.from_arrays(pa.array(np.arange(b - a + 1, dtype=np.int32) * FEATURES), pa.array(found.ravel()))
-                yield pa.RecordBatch.from_arrays([*(batch.column(c).slice(a, b - a) for c in keep), lists], names=[*keep, "__features"])
+                yield pa.RecordBatch.from_arrays([*(batch.column(c).slice(a, b - a) for c in keep), lists], names=[*keep, out])
 
-    return df.select(*keep, text_of(text_col).alias("__text")).mapInArrow(run, kinds.add("__features", T.ArrayType(T.DoubleType())))
+    return df.select(*keep, text_of(text_col).alias(text)).mapInArrow(run, kinds.add(out, T.ArrayType(T.DoubleType())))
 
 
 def fit(rows: list[tuple[list[float], int]], ridge: float = 0.5) -> tuple[list[float], float]:
@@ -274,14 +276,16 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, id_col: str
 def score(df: DataFrame, model: tuple[list, list[float], float], keep: list[str], text_col: str = "text", out: str = "score") -> DataFrame:
     """The columns ``keep`` and the score of each text, as column ``out``."""
     terms, weights, intercept = model
-    linear = F.aggregate(F.zip_with("__features", F.array(*map(F.lit, weights)), lambda x, w: x * w), F.lit(intercept), lambda a, x: a + x)
-    return features(df, terms, keep, text_col).withColumn(out, 1 / (1 + F.exp(-linear))).drop("__features")
+    made = free_names(df, "__features")[0]
+    linear = F.aggregate(F.zip_with(made, F.array(*map(F.lit, weights)), lambda x, w: x * w), F.lit(intercept), lambda a, x: a + x)
+    return features(df, terms, keep, text_col, made).withColumn(out, 1 / (1 + F.exp(-linear))).drop(made)
 
 
 def drop_toxic(df: DataFrame, labels: DataFrame, threshold: float = 0.5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``df`` whose score is below ``threshold``; ``labels`` has the same id column."""
     model = train(df, labels, id_col=id_col, text_col=text_col)
-    return score(df, model, df.columns, text_col, out="__score").filter(F.col("__score") < threshold).drop("__score")
+    own = free_names(df, "__score")[0]
+    return score(df, model, df.columns, text_col, out=own).filter(F.col(own) < threshold).drop(own)
 
 
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

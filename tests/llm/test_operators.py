@@ -573,3 +573,45 @@ def test_successors_in_descending_order(spark, docs):
 def test_row_numbers(spark):
     df = spark.range(1000).withColumn("v", (F.col("id") * 7919) % 1000).repartition(7)
     assert all(r["v"] == r["row_number"] for r in common.row_numbers(df, F.col("v")).collect())
+
+
+CLASHING = ["__text", "__features", "__score", "__id", "__sha", "__sha_own", "__source", "__rate", "__turn", "__copy", "__one", "__two", "__own_one", "__own_two", "__TEXT_"]
+
+
+def test_columns_that_are_called_like_own_ones(spark):
+    """Callers' columns with the names that operators use inside go along unharmed."""
+    names = [*CLASHING[:-1], "__Text_"]
+    rows = [(i, f"text number {i % 20} of some words", f"s{i % 2}", *[f"{n}{i}" for n in names]) for i in range(40)]
+    docs = spark.createDataFrame(rows, ["doc_id", "text", "source", *names])
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, toxic int")
+    for out in (toxicity.drop_toxic(docs, labels, threshold=1.1), exact_dedup.drop_exact_duplicates(docs), simhash.drop_near_duplicates(docs), mixing.mix(docs)):
+        assert out.columns == docs.columns
+        found = out.collect()
+        assert found and all(r[n] == f"{n}{r['doc_id']}" for r in found for n in names)
+
+
+def test_sample_is_bounded_in_rows(spark):
+    docs = spark.createDataFrame([(1, f"t{i}") for i in range(300)] + [(2, "x")], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1), (2, 0), (1, 0)], "doc_id long, toxic int")
+    held = {i for i in (1, 2) if zlib.crc32(str(i).encode()) % toxicity.HELD_OUT == 0}
+    rows = toxicity.sample_of(docs, labels, sample=5).collect()
+    assert sorted((r["doc_id"], r["text"]) for r in rows) == sorted(x for x in ((1, "t0"), (2, "x")) if x[0] not in held)
+
+
+def test_mix_seeds_equal_those_of_all_turns(spark):
+    """Sums by seed, made of two changes a document, against the copies of every document and seed."""
+    import random
+
+    rng = random.Random(1)
+    rows = [(f"s{i % 3}" if i % 7 else None, rng.randrange(0, 90), rng.choice([rng.random(), 0.0, 1 - 2**-52, rng.randrange(128) / 128])) for i in range(400)]
+    sizes = spark.createDataFrame(rows, "source string, size long, u double")
+    table = mixing.targets(sizes.select("source", "size"))
+    for rate in (0.0, 0.25, 1.5, 2 + 1 / 128, 0.999, 1 / 1000):
+        fixed = table.withColumn("rate", F.lit(rate))
+        out = {(r["source"], r["turn"]): r["taken"] for r in mixing._taken(mixing._joined(sizes, fixed, "source"), fixed, 128).collect()}
+        expected = defaultdict(int)
+        for source, size, u in rows:
+            for turn in range(128):
+                v = u + turn / 128.0
+                expected[source, turn] += size * (int(rate) + ((v - 1 if v >= 1 else v) < rate - int(rate)))
+        assert out == expected
