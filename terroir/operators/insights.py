@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 from terroir.functions.values import safe_rate
-from terroir.operators.common import running, written
+from terroir.operators.common import numbered, running, written
 
 
 def moving_average(df: DataFrame, keys: list[str], year: str, value: str, span: int = 5) -> DataFrame:
@@ -88,6 +88,30 @@ def expansion_index(df: DataFrame, keys: list[str], value: str, name: str) -> Da
     return df.groupBy(*keys).agg(F.array_sort(F.collect_set(value)).alias(name)).withColumn("n", F.size(name))
 
 
+def templates(df: DataFrame, item: str, goods: str, slot: str) -> DataFrame:
+    """``df`` with a column ``template``: the goods with the item's name cut out, for goods that hold it and more. Goods in
+    brackets say something of one place or material and make none."""
+    shape = F.replace(F.col(goods), F.col(item), F.lit(slot))
+    usable = (F.length(item) > 0) & F.contains(goods, item) & (shape != slot) & ~F.regexp_like(shape, F.lit(r"[()（）\[\]]"))
+    return df.filter(usable).withColumn("template", shape)
+
+
+def lacking(df: DataFrame, item: str, feature: str, order: list[Column], k: int) -> DataFrame:
+    """For each item its first ``k`` features, of all features in a total ``order``, among those that it lacks: item,
+    feature, users (items that have it), uses, place. ``order`` may name ``feature``, ``users`` and ``uses``.
+
+    An item with h features finds its k among the first k + h: these places are joined by equality, so an item meets
+    no more features than that.
+    """
+    uses = df.groupBy(item, feature).agg(F.count(F.lit(1)).alias("__uses"))
+    every = uses.groupBy(feature).agg(F.count(F.lit(1)).alias("users"), F.sum("__uses").alias("uses"))
+    ranked = numbered(every, order, "__at")
+    wanted = uses.groupBy(item).agg(F.count(F.lit(1)).alias("__h")).withColumn("__at", F.explode(F.sequence(F.lit(1).cast("long"), F.col("__h") + k)))
+    found = wanted.join(ranked, "__at").join(uses.select(item, feature), [item, feature], "left_anti")
+    place = F.row_number().over(W.partitionBy(item).orderBy("__at"))
+    return found.withColumn("place", place).filter(F.col("place") <= k).select(item, feature, "users", "uses", "place")
+
+
 def peer_gaps(df: DataFrame, item: str, peer: str, feature: str, least: int) -> DataFrame:
     """Features that at least ``least`` items of the same peer group have and an item lacks."""
     have = df.select(peer, item, feature).distinct()

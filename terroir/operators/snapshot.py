@@ -80,6 +80,36 @@ def reconcile(previous: DataFrame, current: DataFrame, keys: list[str], metrics:
     return j.filter(F.col("action") != "dropped").select(*keys, *[F.greatest(f"p_{m}", f"c_{m}").alias(m) for m in metrics], *[map_max(F.col(f"p_{y}"), F.col(f"c_{y}")).alias(y) for y in years], *[F.coalesce(f"c_{x}", f"p_{x}").alias(x) for x in carried], F.when((F.col("action") == "revived") & (F.col("revived") > revive_limit), "blocked").otherwise(F.col("action")).alias("action"))
 
 
+def missing_keys(previous: DataFrame, current: DataFrame, keys: list[str], tombstones: DataFrame, name: str, place: str, specialty: str, excluded: Column, nationwide: Column) -> DataFrame:
+    """keys, reason of every key of ``previous`` that ``current`` lacks, the first of these that holds: tombstone (it was
+    removed on purpose), excluded (its name is no item any more), relocated (a ``nationwide`` row whose name is now
+    somewhere), renamed (its specialty is in its place under another key); else revived, missing by accident.
+
+    ``excluded`` and ``nationwide`` are conditions on rows of ``previous``. Each reason is an equi-join with the keys that
+    explain it; null names and specialties explain nothing.
+    """
+    lost = previous.withColumns({"__excluded": F.coalesce(excluded, F.lit(False)), "__nationwide": F.coalesce(nationwide, F.lit(False))}).join(current.select(*keys), keys, "left_anti")
+    told = lambda df, *columns: df.select(*columns).distinct().withColumn(f"__{columns[-1]}_is_there", F.lit(True))
+    buried = tombstones.select(*keys).distinct().withColumn("__buried", F.lit(True))
+    marked = lost.join(buried, keys, "left").join(told(current, name), name, "left").join(told(current, place, specialty), [place, specialty], "left")
+    reason = F.when(F.col("__buried"), "tombstone").when(F.col("__excluded"), "excluded").when(F.col("__nationwide") & F.col(f"__{name}_is_there"), "relocated").when(F.col(f"__{specialty}_is_there"), "renamed").otherwise("revived")
+    return marked.select(*keys, reason.alias("reason"))
+
+
+def reconcile_report(previous: DataFrame, current: DataFrame, keys: list[str], metric: str, missing: DataFrame, revive_limit: int, upgraded: str | None = None) -> DataFrame:
+    """One row of counts: added, retained, floor_retained (kept keys whose metric would have fallen), upgraded (those
+    that may fall, by the column ``upgraded`` of ``current``), one for each reason of ``missing``, and blocked."""
+    now = current.select(*keys, F.col(metric).alias("__now"), (F.col(upgraded) if upgraded else F.lit(False)).alias("__upgraded"), F.lit(True).alias("__in_now"))
+    both = previous.select(*keys, F.col(metric).alias("__before"), F.lit(True).alias("__in_before")).join(now, keys, "full")
+    kept, falls = F.col("__in_now") & F.col("__in_before"), F.coalesce(F.col("__now") < F.col("__before"), F.lit(False))
+    own = both.agg(
+        F.count_if(F.col("__in_before").isNull()).alias("added"), F.count_if(kept).alias("retained"), F.count_if(kept & falls & ~F.coalesce("__upgraded", F.lit(False))).alias("floor_retained"),
+        F.count_if(kept & falls & F.coalesce("__upgraded", F.lit(False))).alias("upgraded"),
+    )
+    reasons = missing.agg(*[F.count_if(F.col("reason") == r).alias(r) for r in ("tombstone", "excluded", "relocated", "renamed", "revived")])
+    return own.crossJoin(F.broadcast(reasons)).withColumn("blocked", F.col("revived") > revive_limit)  # one row each
+
+
 def map_max(a: Column, b: Column) -> Column:
     """Union of two maps; of values under one key the larger."""
     return F.map_zip_with(F.coalesce(a, F.create_map().cast("map<int,bigint>")), F.coalesce(b, F.create_map().cast("map<int,bigint>")), lambda k, x, y: F.greatest(x, y))

@@ -84,6 +84,30 @@ def _(t):
     return g.select("l_orderkey", E.goods_match(targets, c("p"), F.array_contains("k", 30)).alias("method"))
 
 
+EVIDENCE = """WITH l AS (SELECT l_orderkey, l_linenumber, p_size AS class, p_name AS name, CASE WHEN l_orderkey % 3 = 0 THEN ['red bolt', 'gear', 'hot ring'] ELSE ['gizmo', 'small bolt', 'ring'] END AS t FROM lineitem JOIN part ON l_partkey = p_partkey),
+k AS (SELECT *, l_orderkey % 4 = 0 OR class BETWEEN 10 AND 40 AS of_class, list_contains(t, name) AS same, [x FOR x IN t IF contains(name, x) OR contains(x, name)] AS held FROM l),
+n AS (SELECT l_orderkey, count(*) AS products, count(*) FILTER (WHERE of_class) AS class_matched, count(*) FILTER (WHERE of_class AND same) AS n_same, count(*) FILTER (WHERE of_class AND NOT same AND len(held) > 0) AS n_held,
+  (list(name ORDER BY l_linenumber, class, name) FILTER (WHERE of_class AND same))[1] AS first, any_value(t) AS t FROM k GROUP BY l_orderkey),
+p AS (SELECT l_orderkey, class, name, CASE WHEN same THEN 'exact' ELSE 'contains' END AS kind, CASE WHEN same THEN name ELSE held[1] END AS target, min(l_linenumber) AS line FROM k WHERE of_class AND len(held) > 0 GROUP BY ALL),
+e AS (SELECT l_orderkey, string_agg(class || ':' || name || ':' || kind || ':' || target, '|' ORDER BY (kind = 'contains'), line, class, name) AS evidence FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY (kind = 'contains'), line, class, name) AS r FROM p) WHERE r <= 3 GROUP BY 1)
+SELECT l_orderkey, CASE WHEN n_same > 0 THEN 'normalized_exact' WHEN n_held > 0 THEN 'normalized_contains' WHEN class_matched > 0 THEN 'class_only' ELSE 'mismatch' END AS method, CASE WHEN n_same > 0 THEN 'high' WHEN n_held > 0 THEN 'high_contains' WHEN class_matched > 0 THEN 'candidate_only' ELSE 'high' END AS confidence,
+  n_same = 0 AS review, CASE WHEN first <> t[1] THEN 'notice ' || first END AS notice, CASE WHEN first <> t[1] THEN CASE WHEN first = t[2] THEN 'processed' ELSE 'service' END END AS stage, products::INT AS products, class_matched::INT AS class_matched, coalesce(evidence, '') AS evidence FROM n LEFT JOIN e USING (l_orderkey)"""
+
+
+@query("c16_goods_evidence", EVIDENCE)
+def _(t):
+    """The goods of each order against an item and two aliases of it, with three pieces of evidence at most."""
+    lines = t.lineitem.join(t.part, c("l_partkey") == c("p_partkey")).select("l_orderkey", F.struct("l_linenumber", c("p_size").alias("class"), c("p_name").alias("name"), c("p_name").alias("goods")).alias("p"))
+    g = lines.groupBy("l_orderkey").agg(F.array_sort(F.collect_list("p")).alias("p"))
+    target = lambda name, stage: F.struct(lit(name).alias("name"), lit(f"notice {name}").alias("notice"), lit(stage).alias("stage"))
+    names = lambda a, b, x: F.array(target(a, "raw"), target(b, "processed"), target(x, "service"))
+    targets = F.when(c("l_orderkey") % 3 == 0, names("red bolt", "gear", "hot ring")).otherwise(names("gizmo", "small bolt", "ring"))
+    classes = F.when(c("l_orderkey") % 4 == 0, F.array().cast("array<int>")).otherwise(F.sequence(lit(10), lit(40)))
+    found = g.select("l_orderkey", E.goods_evidence(targets, c("p"), classes, 3).alias("m")).select("l_orderkey", "m.*").drop("aliases")
+    piece = lambda x: F.concat_ws(":", x["class"].cast("string"), x["goods"], x["kind"], x["target"])
+    return found.withColumn("evidence", F.array_join(F.transform("evidence", piece), "|"))
+
+
 @query("c17_facts_expansion", "SELECT s_suppkey, p_partkey, l_orderkey FROM (SELECT s_suppkey, s_suppkey * 3 AS q FROM supplier) LEFT JOIN (SELECT p_partkey, p_partkey AS q, l_orderkey FROM part JOIN lineitem ON l_partkey = p_partkey WHERE p_partkey % 2 = 0) USING (q)")
 def _(t):
     facts = t.part.filter("p_partkey % 2 = 0").join(t.lineitem, c("p_partkey") == c("l_partkey")).select(c("p_partkey").alias("q"), "p_partkey", "l_orderkey")
@@ -147,10 +171,11 @@ def _(t):
     return E.evidence_expansion(t.part.select("p_partkey"), ev, "p_partkey", "place", "nationwide")
 
 
-@query("c26_evidence_attachment", "WITH e AS (SELECT DISTINCT p_name, s_nationkey FROM lineitem JOIN part ON l_partkey = p_partkey JOIN supplier ON l_suppkey = s_suppkey WHERE p_size < 10), i AS (SELECT DISTINCT p_name, n_nationkey FROM part, nation WHERE n_nationkey < 5) SELECT p_name, n_nationkey, count(s_nationkey) AS n, coalesce(string_agg(s_nationkey::VARCHAR, '|' ORDER BY s_nationkey), '') AS evidence FROM i LEFT JOIN e USING (p_name) WHERE n_nationkey = 0 OR s_nationkey = n_nationkey OR s_nationkey IS NULL GROUP BY ALL")
+@query("c26_evidence_attachment", "WITH e AS (SELECT DISTINCT p_name, s_nationkey FROM lineitem JOIN part ON l_partkey = p_partkey JOIN supplier ON l_suppkey = s_suppkey WHERE p_size < 10), i AS (SELECT DISTINCT p_name, n_nationkey FROM part, nation) SELECT p_name, n_nationkey, count(s_nationkey) AS n, coalesce(string_agg(s_nationkey::VARCHAR, '|' ORDER BY s_nationkey), '') AS evidence FROM i LEFT JOIN e USING (p_name) WHERE n_nationkey = 0 OR s_nationkey = n_nationkey OR s_nationkey IS NULL GROUP BY ALL")
 def _(t):
     e = t.lineitem.join(t.part.filter("p_size < 10"), c("l_partkey") == c("p_partkey")).join(t.supplier, c("l_suppkey") == c("s_suppkey")).select("p_name", "s_nationkey").distinct()
-    i = t.part.select("p_name").distinct().withColumn("n_nationkey", F.explode(F.sequence(lit(0), lit(4))))
+    nations = t.nation.select("n_nationkey").orderBy("n_nationkey").agg(F.collect_list("n_nationkey").alias("n"))  # a row of the dimension
+    i = t.part.select("p_name").distinct().crossJoin(F.broadcast(nations)).select("p_name", F.explode("n").alias("n_nationkey"))
     j = i.join(e, "p_name", "left").filter("n_nationkey = 0 or s_nationkey = n_nationkey or s_nationkey is null")
     return j.groupBy("p_name", "n_nationkey").agg(F.count("s_nationkey").alias("n"), arrayed(F.array_sort(F.collect_list("s_nationkey")).cast("array<string>")).alias("evidence"))
 
@@ -199,6 +224,35 @@ def _(t):
     return N.reconcile(old, new, ["k"], ["n"], t.part.filter("p_partkey % 21 = 0").select(c("p_partkey").alias("k")), 100000)
 
 
+MISSING = """WITH a AS (SELECT p_partkey AS k, p_name AS name, p_brand AS place, p_type AS specialty, p_size AS m FROM part WHERE p_partkey % 3 <> 0), b AS (SELECT p_partkey AS k, CASE WHEN p_partkey % 5 = 0 THEN 'new ' || p_name ELSE p_name END AS name, p_brand AS place, p_type AS specialty, p_size - p_partkey % 2 AS m, p_partkey % 10 = 1 AS better FROM part WHERE p_partkey % 4 <> 1 AND p_size < 45),
+x AS (SELECT a.k, CASE WHEN k % 7 = 0 THEN 'tombstone' WHEN name LIKE 'hot%' THEN 'excluded' WHEN place = 'Brand#1' AND name IN (SELECT name FROM b) THEN 'relocated' WHEN (place, specialty) IN (SELECT (place, specialty) FROM b) THEN 'renamed' ELSE 'revived' END AS reason FROM a WHERE k NOT IN (SELECT k FROM b))"""
+
+
+def snapshots(t):
+    """Two snapshots of parts, of which the second lacks some, has others besides, and counts less for some."""
+    part = t.part.select(c("p_partkey").alias("k"), c("p_name").alias("name"), c("p_brand").alias("place"), c("p_type").alias("specialty"), c("p_size").alias("m"))
+    new = part.filter((c("k") % 4 != 1) & (c("m") < 45)).withColumn("name", F.when(c("k") % 5 == 0, F.concat(lit("new "), "name")).otherwise(c("name"))).withColumn("m", c("m") - c("k") % 2).withColumn("better", c("k") % 10 == 1)
+    return part.filter(c("k") % 3 != 0), new
+
+
+def gone(t, old, new):
+    buried = t.part.filter("p_partkey % 7 = 0").select(c("p_partkey").alias("k"))
+    return N.missing_keys(old, new, ["k"], buried, "name", "place", "specialty", c("name").like("hot%"), c("place") == "Brand#1")
+
+
+@query("c32_missing_keys", MISSING + " SELECT k, reason FROM x")
+def _(t):
+    return gone(t, *snapshots(t))
+
+
+@query("c32_report", MISSING + """, j AS (SELECT a.k AS ak, b.k AS bk, b.m < a.m AS falls, better FROM a FULL JOIN b ON a.k = b.k) SELECT count(*) FILTER (WHERE ak IS NULL) AS added, count(*) FILTER (WHERE ak = bk) AS retained, count(*) FILTER (WHERE falls AND NOT better) AS floor_retained, count(*) FILTER (WHERE falls AND better) AS upgraded,
+  (SELECT count(*) FROM x WHERE reason = 'tombstone') AS tombstone, (SELECT count(*) FROM x WHERE reason = 'excluded') AS excluded, (SELECT count(*) FROM x WHERE reason = 'relocated') AS relocated, (SELECT count(*) FROM x WHERE reason = 'renamed') AS renamed, (SELECT count(*) FROM x WHERE reason = 'revived') AS revived,
+  (SELECT count(*) FROM x WHERE reason = 'revived') > 50 AS blocked FROM j""")
+def _(t):
+    old, new = snapshots(t)
+    return N.reconcile_report(old, new, ["k"], "m", gone(t, old, new), 50, "better")
+
+
 @query("c32_reconcile_years", """WITH y AS (SELECT o_custkey AS k, year(o_orderdate)::INT AS y, count(*) FILTER (WHERE o_orderkey % 2 = 0) AS a, count(*) FILTER (WHERE o_orderkey % 2 = 1) AS b FROM orders GROUP BY ALL),
 m AS (SELECT k, sum(a) FILTER (WHERE k % 5 <> 0)::BIGINT AS pa, sum(b) FILTER (WHERE k % 3 <> 0)::BIGINT AS cb, sum(a) AS sa, sum(b) AS sb, string_agg(CASE WHEN greatest(a, b) > 0 THEN y || ':' || greatest(a, b) END, ',' ORDER BY y) AS years FROM y GROUP BY k)
 SELECT k, CASE WHEN sa = 0 THEN cb WHEN sb = 0 THEN pa ELSE greatest(pa, cb) END AS n, years, CASE WHEN sb > 0 AND k % 3 <> 0 THEN 'new' WHEN sa > 0 THEN 'old' END AS note, CASE WHEN sb > 0 THEN CASE WHEN sa = 0 THEN 'new' ELSE 'kept' END ELSE 'revived' END AS action FROM m""")

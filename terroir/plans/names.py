@@ -260,7 +260,7 @@ def _(t):
 
 
 CLUSTERS = """r AS (SELECT p_partkey AS idx, CASE WHEN p_partkey % 2 = 0 THEN upper(p_name) ELSE p_name END AS name, p_type AS reason, p_partkey % 5 AS region, p_brand AS source, replace(p_name, ' ', '') AS cluster,
-  CASE p_partkey % 3 WHEN 0 THEN [{'i': p_type, 's': p_size / 64.0::DOUBLE}] WHEN 1 THEN [{'i': p_type, 's': 0.5::DOUBLE}, {'i': p_type, 's': 0.25::DOUBLE}, {'i': 'other', 's': 0.125::DOUBLE}] ELSE [] END AS c FROM part WHERE p_size % 2 = 0 AND p_size <> 30),
+  CASE p_partkey % 3 WHEN 0 THEN [{'i': p_type, 's': p_size / 64.0::DOUBLE}] WHEN 1 THEN [{'i': p_type, 's': 0.5::DOUBLE}, {'i': p_type, 's': 0.25::DOUBLE}, {'i': 'other', 's': 0.125::DOUBLE}] ELSE [] END AS c FROM part),
 g AS (SELECT cluster, count(*) AS n_rows, count(DISTINCT region) AS regions, count(DISTINCT source) AS sources FROM r GROUP BY 1),
 v AS (SELECT cluster, string_agg(name || ':' || n, ' | ' ORDER BY n DESC, length(name), name) AS variants FROM (SELECT cluster, name, count(*) AS n FROM r GROUP BY ALL) GROUP BY 1),
 h AS (SELECT cluster, string_agg(reason || ':' || n, ' | ' ORDER BY n DESC, reason) AS reasons FROM (SELECT cluster, reason, count(*) AS n FROM r GROUP BY ALL) GROUP BY 1),
@@ -277,7 +277,7 @@ def _(t):
     k = F.col("p_partkey") % 3
     candidate = lambda item, score: F.struct(item.alias("item"), F.lit("1").alias("class"), score.alias("score"))
     one, two = F.array(candidate(F.col("p_type"), F.col("p_size") / 64)), F.array(candidate(F.col("p_type"), F.lit(0.5)), candidate(F.col("p_type"), F.lit(0.25)), candidate(F.lit("other"), F.lit(0.125)))
-    rows = t.part.filter("p_size % 2 = 0 and p_size <> 30").select(
+    rows = t.part.select(
         F.col("p_partkey").alias("idx"), F.when(F.col("p_partkey") % 2 == 0, F.upper("p_name")).otherwise(F.col("p_name")).alias("name"), F.col("p_type").alias("reason"), (F.col("p_partkey") % 5).alias("region"),
         F.col("p_brand").alias("source"), F.when(k == 0, one).when(k == 1, two).otherwise(F.slice(two, 1, 0)).alias("candidates"),
     )

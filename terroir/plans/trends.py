@@ -192,22 +192,51 @@ def _(t):
     return I.surging(I.leaderboard(monthly(t), ["c_nationkey"], *I.windows(c("m"), "1997-06-01", 3), 10), ["c_nationkey"], 10)
 
 
-@query("d60_expansion_index", "SELECT 'item' AS via, p_name AS key, string_agg(DISTINCT p_type, '|' ORDER BY p_type) AS found, count(DISTINCT p_type)::INT AS n FROM part GROUP BY p_name UNION ALL SELECT 'class', p_type, string_agg(DISTINCT p_name, '|' ORDER BY p_name), count(DISTINCT p_name)::INT FROM part GROUP BY p_type")
+SHAPED = "sh AS (SELECT p_type AS class, split_part(p_name, ' ', 2) AS item, replace(p_name, split_part(p_name, ' ', 2), '{item}') AS template FROM part WHERE split_part(p_name, ' ', 2) <> '')"
+
+
+def shaped(t):
+    """Class, item and template of the goods: a part's name is an item's with a word before it."""
+    goods = t.part.select(c("p_type").alias("class"), F.split_part("p_name", lit(" "), lit(2)).alias("item"), "p_name")
+    return I.templates(goods, "item", "p_name", "{item}").select("class", "item", "template")
+
+
+@query("d60_expansion_index", "WITH " + SHAPED + """ SELECT 'item' AS via, p_name AS key, string_agg(DISTINCT p_type, '|' ORDER BY p_type) AS found, count(DISTINCT p_type)::INT AS n FROM part GROUP BY p_name
+UNION ALL SELECT 'class', p_type, string_agg(DISTINCT p_name, '|' ORDER BY p_name), count(DISTINCT p_name)::INT FROM part GROUP BY p_type
+UNION ALL SELECT 'category', p_brand || '>' || p_type, string_agg(DISTINCT p_name, '|' ORDER BY p_name), count(DISTINCT p_name)::INT FROM part GROUP BY p_brand, p_type
+UNION ALL SELECT 'template', class || '>' || template, string_agg(DISTINCT item, '|' ORDER BY item), count(DISTINCT item)::INT FROM sh GROUP BY class, template""")
 def _(t):
-    a = I.expansion_index(t.part, ["p_name"], "p_type", "f").select(lit("item").alias("via"), c("p_name").alias("key"), F.array_join("f", "|").alias("found"), "n")
-    return a.unionByName(I.expansion_index(t.part, ["p_type"], "p_name", "f").select(lit("class").alias("via"), c("p_type").alias("key"), F.array_join("f", "|").alias("found"), "n"))
+    """What an item, a class, a class of a category, and a template of a class lead to."""
+    index = lambda via, df, keys, value: I.expansion_index(df, keys, value, "f").select(lit(via).alias("via"), F.concat_ws(">", *keys).alias("key"), F.array_join("f", "|").alias("found"), "n")
+    a, b = index("item", t.part, ["p_name"], "p_type"), index("class", t.part, ["p_type"], "p_name")
+    return a.unionByName(b).unionByName(index("category", t.part, ["p_brand", "p_type"], "p_name")).unionByName(index("template", shaped(t), ["class", "template"], "item"))
 
 
-@query("d61_suggestions", "WITH d AS (SELECT DISTINCT p_name AS item, p_type || ' {item}' AS template FROM part WHERE p_size < 12), u AS (SELECT template, count(*) AS users FROM d GROUP BY 1 HAVING count(*) >= 2 ORDER BY users DESC, template LIMIT 5) SELECT item, template, replace(template, '{item}', item) AS goods, users FROM (SELECT DISTINCT item FROM d), u WHERE NOT EXISTS (SELECT 1 FROM d WHERE d.item = item AND d.template = u.template AND d.item = \"item\")".replace("d.item = item AND d.template = u.template AND d.item = \"item\"", "d.item = i.item AND d.template = u.template").replace("(SELECT DISTINCT item FROM d), u", "(SELECT DISTINCT item FROM d) i, u").replace("SELECT item, template, replace(template, '{item}', item)", "SELECT i.item, template, replace(template, '{item}', i.item)"))
+@query("d61_suggestions", "WITH d AS (SELECT DISTINCT p_name AS item, p_type || ' {item}' AS template FROM part), u AS (SELECT template, count(*) AS users FROM d GROUP BY 1 HAVING count(*) >= 2 ORDER BY users DESC, template LIMIT 5) SELECT i.item, template, replace(template, '{item}', i.item) AS goods, users FROM (SELECT DISTINCT item FROM d) i, u WHERE NOT EXISTS (SELECT 1 FROM d WHERE d.item = i.item AND d.template = u.template)")
 def _(t):
-    d = t.part.filter("p_size < 12").select(c("p_name").alias("item"), F.concat("p_type", lit(" {item}")).alias("template"))
+    d = t.part.select(c("p_name").alias("item"), F.concat("p_type", lit(" {item}")).alias("template"))
     return I.suggestions(d, "item", "template", 2, 5, "{item}")
 
 
-@query("d62_peer_gaps", "WITH h AS (SELECT DISTINCT p_brand AS peer, p_name AS item, p_type AS feature FROM part WHERE p_size < 25), k AS (SELECT peer, feature, count(*) AS users FROM h GROUP BY ALL HAVING count(*) >= 2) SELECT peer, item, feature, users FROM (SELECT DISTINCT peer, item FROM h) JOIN k USING (peer) WHERE (peer, item, feature) NOT IN (SELECT (peer, item, feature) FROM h)")
+GAPS = """h AS (SELECT DISTINCT p_brand AS peer, p_name AS item, p_type || ' ' || p_size AS feature FROM part), i AS (SELECT DISTINCT item FROM h), x AS (SELECT feature, count(DISTINCT item) AS users, count(*) AS uses FROM (SELECT p_name AS item, p_type || ' ' || p_size AS feature FROM part) GROUP BY 1),
+l AS (SELECT item, feature, users, uses FROM i, x WHERE NOT EXISTS (SELECT 1 FROM h WHERE h.item = i.item AND h.feature = x.feature)),
+k AS (SELECT peer, feature, count(*) AS users FROM h GROUP BY ALL HAVING count(*) >= 2)"""
+
+
+@query("d62_peer_gaps", "WITH " + GAPS + " SELECT peer, item, feature, users FROM (SELECT DISTINCT peer, item FROM h) i JOIN k USING (peer) WHERE NOT EXISTS (SELECT 1 FROM h WHERE h.peer = i.peer AND h.item = i.item AND h.feature = k.feature)")
+def _(t):
+    return I.peer_gaps(t.part.select(c("p_brand").alias("peer"), c("p_name").alias("item"), F.concat_ws(" ", "p_type", c("p_size").cast("string")).alias("feature")), "item", "peer", "feature", 2)
+
+
+@query("d62_rare_and_services", "WITH " + GAPS + """, s AS (SELECT p_name AS item, 'SERVICE ' || p_container AS feature FROM (SELECT *, p_size % 7 AS p_container FROM part WHERE p_size >= 35)), sx AS (SELECT feature, count(DISTINCT item) AS users, count(*) AS uses FROM s GROUP BY 1),
+sl AS (SELECT i.item, sx.* FROM (SELECT DISTINCT item FROM s) i, sx WHERE NOT EXISTS (SELECT 1 FROM s WHERE s.item = i.item AND s.feature = sx.feature))
+SELECT * FROM (SELECT 'rare' AS part, item, feature, users, uses, row_number() OVER (PARTITION BY item ORDER BY users, feature)::INT AS place FROM l UNION ALL SELECT 'service', item, feature, users, uses, row_number() OVER (PARTITION BY item ORDER BY uses DESC, feature)::INT FROM sl) WHERE place <= 5""")
 def _(t):
-    d = t.part.filter("p_size < 25").select(c("p_brand").alias("peer"), c("p_name").alias("item"), c("p_type").alias("feature"))
-    return I.peer_gaps(d, "item", "peer", "feature", 2)
+    """The rarest classes that an item lacks, and the services most used by others that it lacks."""
+    classes = t.part.select(c("p_name").alias("item"), F.concat_ws(" ", "p_type", c("p_size").cast("string")).alias("feature"))
+    services = t.part.filter("p_size >= 35").select(c("p_name").alias("item"), F.concat(lit("SERVICE "), (c("p_size") % 7).cast("string")).alias("feature"))
+    part = lambda name, df: df.select(lit(name).alias("part"), "item", "feature", "users", "uses", "place")
+    return part("rare", I.lacking(classes, "item", "feature", [c("users"), c("feature")], 5)).unionByName(part("service", I.lacking(services, "item", "feature", [F.desc("uses"), c("feature")], 5)))
 
 
 @query("d63_value_chain", "WITH k AS (SELECT p_name, CASE WHEN p_size >= 35 THEN 'service' ELSE 'goods' END AS bucket, p_size, count(*) AS k FROM part GROUP BY ALL) SELECT p_name, bucket, sum(k)::BIGINT AS n, string_agg(p_size, ',' ORDER BY p_size) AS classes, (SELECT p_size FROM k o WHERE o.p_name = i.p_name AND o.bucket = i.bucket ORDER BY k DESC, p_size LIMIT 1) AS leader FROM k i GROUP BY p_name, bucket")

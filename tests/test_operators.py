@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from terroir.operators import analyze as A
 from terroir.operators import common as C
+from terroir.operators import enrich as E
+from terroir.operators import insights as I2
 from terroir.operators import items as I
 from terroir.operators import regions as G
 from terroir.operators import review as Q
@@ -272,3 +274,43 @@ def test_containment_equals_brute_force(spark):
     expected = sorted((i, j) for i, x in enumerate(texts) for j, y in enumerate(names) if x and y and y in x)
     assert sorted((r["id"], r["at"]) for r in C.contained(t, "text", n, "name").collect()) == expected
     assert sorted((r["id"], r["at"]) for r in C.contained(t, "text", n, "name", gram=2).collect()) == expected
+
+
+def test_goods_evidence_of_hard_rows(spark):
+    """Nulls, empty names, no classes asked for, repeated goods, an alias that is found, and a limit."""
+    schema = "id int, classes array<int>, products array<struct<class int, name string, goods string>>"
+    rows = [
+        (1, [1], None), (2, [1], []), (3, [1], [(2, "인삼", "인삼")]), (4, [1], [(1, "다른것", "다른것")]), (5, [], [(None, "인삼차", "인삼차"), (3, "인삼", "인삼")]),
+        (6, [30], [(30, "가공된인삼", "가공된 인삼"), (30, "인삼차", "인삼차"), (30, "인삼차", "인삼차"), (30, "", ""), (30, None, None)]), (7, [5], [(5, f"인삼{i}", f"인삼{i}") for i in range(60)]),
+    ]
+    target = lambda name, stage: F.struct(F.lit(name).alias("name"), F.lit(f"N{name}").alias("notice"), F.lit(stage).alias("stage"))
+    targets = F.array(target("인삼", None), target("인삼차", "가공"))
+    found = spark.createDataFrame(rows, schema).select("id", E.goods_evidence(targets, F.col("products"), F.col("classes")).alias("m")).select("id", "m.*").collect()
+    out = {r["id"]: (r["method"], r["confidence"], r["review"], r["notice"], r["stage"], r["products"], r["class_matched"], [tuple(x) for x in r["evidence"]]) for r in found}
+    assert out[1] == out[2] == ("unverified", "unverified", True, None, None, 0, 0, [])
+    assert out[3] == ("mismatch", "high", True, None, None, 1, 0, [])
+    assert out[4] == ("class_only", "candidate_only", True, None, None, 1, 1, [])
+    assert out[5] == ("normalized_exact", "high", False, "N인삼차", "가공", 2, 2, [(None, "인삼차", "exact", "인삼차"), (3, "인삼", "exact", "인삼")])
+    assert out[6] == ("normalized_exact", "high", False, "N인삼차", "가공", 5, 5, [(30, "인삼차", "exact", "인삼차"), (30, "가공된 인삼", "contains", "인삼")])
+    assert out[7][:2] == ("normalized_contains", "high_contains") and len(out[7][-1]) == 50
+
+
+def test_missing_keys_have_one_reason_each(spark):
+    schema = "region string, item string, specialty string"
+    old = spark.createDataFrame([("전국", "사과", "apple"), ("청송", "사과", "apple"), ("청송", "파프리카", "pepper"), ("청송", "금지", "x"), ("청송", "폐지", "y"), ("청송", "실종", "z"), ("청송", "무명", None), (None, "빈곳", "apple")], schema)
+    new = spark.createDataFrame([("청송", "사과", "apple"), ("청송", "풋고추", "pepper"), ("안동", "무명", None)], schema)
+    buried = spark.createDataFrame([("청송", "폐지")], "region string, item string")
+    out = {(r["region"], r["item"]): r["reason"] for r in N.missing_keys(old, new, ["region", "item"], buried, "item", "region", "specialty", F.col("item") == "금지", F.col("region") == "전국").collect()}
+    expected = {("전국", "사과"): "relocated", ("청송", "파프리카"): "renamed", ("청송", "금지"): "excluded", ("청송", "폐지"): "tombstone", ("청송", "실종"): "revived", ("청송", "무명"): "revived", (None, "빈곳"): "revived"}
+    assert out == expected
+    report = N.reconcile_report(old.withColumn("m", F.lit(5)), new.withColumn("m", F.lit(3)).withColumn("ok", F.col("item") != "사과"), ["region", "item"], "m", N.missing_keys(old, new, ["region", "item"], buried, "item", "region", "specialty", F.col("item") == "금지", F.col("region") == "전국"), 2, "ok").first().asDict()
+    assert report == {"added": 2, "retained": 1, "floor_retained": 1, "upgraded": 0, "tombstone": 1, "excluded": 1, "relocated": 1, "renamed": 1, "revived": 3, "blocked": True}
+
+
+def test_features_that_an_item_lacks(spark):
+    rows = [("a", "x"), ("a", "x"), ("a", "y"), ("b", "y"), ("c", "y"), ("c", "z"), ("c", "w"), ("d", "v")]
+    df = spark.createDataFrame(rows, "item string, feature string")
+    out = listed(I2.lacking(df, "item", "feature", [F.col("users"), F.col("feature")], 2))
+    assert out == [("a", "v", 1, 1, 1), ("a", "w", 1, 1, 2), ("b", "v", 1, 1, 1), ("b", "w", 1, 1, 2), ("c", "v", 1, 1, 1), ("c", "x", 1, 2, 2), ("d", "w", 1, 1, 1), ("d", "x", 1, 2, 2)]
+    shaped = I2.templates(spark.createDataFrame([("감", "가공된감"), ("감", "감"), ("감", "감(청도)"), ("감", "사과"), ("", "x")], "item string, goods string"), "item", "goods", "{}")
+    assert [r["template"] for r in shaped.collect()] == ["가공된{}"]
