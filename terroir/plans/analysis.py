@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from terroir.functions.values import safe_rate
 from terroir.operators import analyze as A
+from terroir.operators import distinct as DC
 from terroir.operators import reports as P
 from terroir.operators import score as S
 from terroir.operators.common import numbered, written
@@ -149,9 +150,7 @@ def _(t):
 SELECT *, {RATE.format(n="producers", d="local_applicants")} AS producer_share FROM c""")
 def _(t):
     inside = F.col("relation") == "inside"
-    rows = firsts(t).groupBy("region").agg(
-        F.count_distinct(F.when(inside, F.col("applicant"))).alias("local_applicants"), F.count_distinct(F.when(inside & (F.col("segment") == "BUILDING"), F.col("applicant"))).alias("producers")
-    )
+    rows = DC.counted(DC.key_sets(firsts(t), "applicant", ["region"], {"local_applicants": inside, "producers": inside & (F.col("segment") == "BUILDING")}), ["region"], ["local_applicants", "producers"])
     return rows.withColumn("producer_share", safe_rate(F.col("producers"), F.col("local_applicants")))
 
 
@@ -182,12 +181,20 @@ def _(t):
     return A.rollup_distinct(records(t), {"cell": ["region", "item"], "region": ["region"], "item": ["item"], "total": []}, "app", ORDER)
 
 
+@query("d19_distinct_levels", "WITH " + RECORDS + " ".join(f"""{union} SELECT '{level}' AS level, {region} AS region, {item} AS item, count(DISTINCT app) AS n, count(DISTINCT app) FILTER (WHERE relation = 'inside') AS inside, count(DISTINCT app) FILTER (WHERE granted IS NOT NULL) AS granted_ones FROM rec GROUP BY ALL"""
+  for union, level, region, item in (("", "cell", "region::VARCHAR", "item::VARCHAR"), ("UNION ALL", "region", "region::VARCHAR", "'all'"), ("UNION ALL", "item", "'all'", "item::VARCHAR"), ("UNION ALL", "total", "'all'", "'all'"))))
+def _(t):
+    """Distinct records of all levels from one pass: sets of the cells, united for regions, items and all."""
+    where = {"n": F.lit(True), "inside": F.col("relation") == "inside", "granted_ones": F.col("granted").isNotNull()}
+    return DC.distinct_counts(records(t), "app", {"cell": ["region", "item"], "region": ["region"], "item": ["item"], "total": []}, where)
+
+
 @query("d20_summed_override", "WITH " + FIRSTS + """, cell AS (SELECT region, item, count(*) FILTER (WHERE relation = 'inside') AS inside FROM fst GROUP BY region, item)
 SELECT item, (SELECT count(DISTINCT app) FROM rec r WHERE r.item = c.item) AS n, sum(inside)::BIGINT AS inside FROM cell c GROUP BY item""")
 def _(t):
     rows = written(firsts(t).select("region", "item", "app", "relation"))
     cells = rows.groupBy("region", "item").agg(F.count_if(F.col("relation") == "inside").alias("inside"))
-    items = rows.groupBy("item").agg(F.count_distinct("app").alias("n"), F.lit(0).cast("long").alias("inside"))
+    items = DC.counted(DC.key_sets(rows, "app", ["item"], {"n": F.lit(True)}), ["item"], ["n"]).withColumn("inside", F.lit(0).cast("long"))
     return A.summed_override(items, cells, ["item"], ["inside"])
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
@@ -14,6 +16,7 @@ from terroir.operators import rows as R
 from terroir.operators import snapshot as N
 from terroir.operators.common import checked_broadcast, numbered, written
 from terroir.plans.base import FIRSTS, RECORDS, Tables, masters, records
+from terroir.sources.bucketed import BucketedArchive
 
 QUERIES, SQL = {}, {}
 c, lit = F.col, F.lit
@@ -600,6 +603,27 @@ def _(t):
     return N.current_view(recs, versions).select("key", "version", "payload")
 
 
+def _bucketed(t):
+    """The same three batches as ``_archive``, added one after the other to a table in buckets."""
+    hashed = lambda df: df.withColumn("hash", F.sha2(F.concat_ws("|", c("key").cast("string"), "payload"), 256))
+    key = c("o_orderkey").alias("key")
+    first = t.orders.filter("o_orderkey % 2 = 0").select(key, c("o_orderstatus").alias("payload"))
+    second = t.orders.filter("o_orderkey % 6 = 0").select(key, lit("changed").alias("payload"))
+    third = t.orders.filter("o_orderkey % 5 <> 0").select(key, F.when(c("o_orderkey") % 4 == 0, "third").otherwise(c("o_orderstatus")).alias("payload"))
+    archive = BucketedArchive(t.spark, f"archive_{uuid.uuid4().hex}", first.schema["key"])
+    return archive, [archive.upsert(hashed(b), i) for i, b in enumerate((first, second, third), 1)]
+
+
+@query("a19_bucketed_actions", ARCHIVE + " SELECT action, count(*) AS n FROM a WHERE action <> 'absent' GROUP BY action")
+def _(t):
+    return _bucketed(t)[1][2]
+
+
+@query("a20_bucketed_view", ARCHIVE + " SELECT key, CASE action WHEN 'inserted' THEN 1 WHEN 'updated' THEN v + 1 WHEN 'reverted' THEN 1 ELSE v END AS version, CASE action WHEN 'updated' THEN 'third' WHEN 'absent' THEN CASE WHEN v = 2 THEN 'changed' ELSE o_orderstatus END WHEN 'inserted' THEN CASE WHEN key % 4 = 0 THEN 'third' ELSE o_orderstatus END ELSE o_orderstatus END AS payload FROM a JOIN orders ON o_orderkey = key")
+def _(t):
+    return _bucketed(t)[0].current_view()
+
+
 @query("a21_run_log", "SELECT o_orderpriority AS source, count(*) AS n, count(*) FILTER (WHERE o_orderstatus = 'P') AS errors, CASE WHEN count(*) FILTER (WHERE o_orderstatus = 'P') = 0 THEN 'success' WHEN count(*) FILTER (WHERE o_orderstatus = 'P') < count(*) THEN 'partial' ELSE 'failed' END AS status FROM orders GROUP BY 1")
 def _(t):
     return P.run_log(t.orders, c("o_orderpriority"), c("o_orderstatus") == "P")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from terroir.operators import analyze as A
 from terroir.operators import common as C
+from terroir.operators import distinct as D
 from terroir.operators import enrich as E
 from terroir.operators import insights as I2
 from terroir.operators import items as I
@@ -314,3 +315,18 @@ def test_features_that_an_item_lacks(spark):
     assert out == [("a", "v", 1, 1, 1), ("a", "w", 1, 1, 2), ("b", "v", 1, 1, 1), ("b", "w", 1, 1, 2), ("c", "v", 1, 1, 1), ("c", "x", 1, 2, 2), ("d", "w", 1, 1, 1), ("d", "x", 1, 2, 2)]
     shaped = I2.templates(spark.createDataFrame([("감", "가공된감"), ("감", "감"), ("감", "감(청도)"), ("감", "사과"), ("", "x")], "item string, goods string"), "item", "goods", "{}")
     assert [r["template"] for r in shaped.collect()] == ["가공된{}"]
+
+
+def test_distinct_counts_by_bitmaps_equal_counts_of_distinct_keys(spark):
+    """Keys in several cells, repeated rows, null keys and cells, more keys than a bitmap has places, and empty tables."""
+    df = spark.range(90_000).selectExpr("cast(id % 40000 as string) key", "id % 7 region", "case when id % 11 = 0 then null else cast(id % 3 as string) end item", "id % 5 = 0 ok")
+    df = df.unionByName(spark.createDataFrame([(None, 1, "0", True), ("x", None, None, True), ("x", None, None, False)], df.schema))
+    levels = {"cell": ["region", "item"], "region": ["region"], "all": []}
+    out = D.distinct_counts(df, "key", levels, {"n": F.lit(True), "ok_ones": F.col("ok")})
+    for level, cells in levels.items():
+        plain = df.filter("key is not null").groupBy(*cells).agg(F.count_distinct("key").alias("n"), F.count_distinct(F.when(F.col("ok"), F.col("key"))).alias("ok_ones"))
+        plain = plain.select(*[F.col(c).cast("string").alias(c) if c in cells else F.lit("all").alias(c) for c in levels["cell"]], "n", "ok_ones")
+        assert sorted(map(tuple, out.filter(F.col("level") == level).drop("level").collect()), key=repr) == sorted(map(tuple, plain.collect()), key=repr)
+    sets = D.key_sets(df, "key", ["region", "item"], {"n": F.lit(True)})
+    assert sets.count() < 5 * df.select("region", "item").distinct().count(), "keys of a cell are neighbours"
+    assert listed(D.distinct_counts(df.limit(0), "key", levels, {"n": F.lit(True)})) == [("all", "all", "all", 0)]
