@@ -1,8 +1,10 @@
 """Source divergence audit: how far the sources of a language differ from each other, and by which terms.
 
 A ``CountVectorizer`` for each language, with ``min_df`` and the largest integer as ``vocabSize``, makes exact sparse
-count vectors of all its documents. Their non-zero places are added up by source, as a summarizer would add up whole
-vectors, but without ever making a dense one: a row for each term that a source uses.
+count vectors of all its documents. It is fitted on the terms that a document adds to what a task has read: once
+``min_df`` documents in a task hold a term, it is known to be kept, and further documents needn't say so. Non-zero places of the
+vectors are added up by source, as a summarizer would add up whole vectors, but without ever making a dense one: a row
+for each term that a source uses.
 
 Pairs of sources are evaluated on these sparse sums. The value of (a, b) is a sum over all kept terms, most of which
 neither uses. With z the share that a group gives a term that it doesn't use, it is the sum of f(p_a, z_b) over a's
@@ -11,8 +13,9 @@ first two are sums over the distinct shares of a group, and only the last needs
 ranked in two steps, by parts and then together, so that a source with most of the rows isn't sorted in one task.
 
 A vocabulary is gathered on the driver and sent to the tasks. It is therefore made in shards of the terms, by hash, if a
-language has more than ``vocabulary`` distinct terms, as counted by a sketch: every shard has its own vectorizer and
-vectors, and their sums are put together; the result is the same. Languages are taken one after the other.
+language has more than about ``vocabulary`` distinct terms, as counted from those whose checksum is a multiple of
+``EVERY``: every shard has its own vectorizer and vectors, and their sums are put together; the result is the same.
+Languages are taken one after the other.
 
 All arithmetic is exact: counts are whole doubles below 2^53, products with 10^9 are decimals, squares of shares fit
 in 64 bits. Defined results: null text, language and source count as empty; a group without kept terms has pair rows
@@ -23,9 +26,12 @@ an empty table gives an empty table; other columns are not looked at.
 from __future__ import annotations
 
 import uuid
+import zlib
+from collections.abc import Iterator
 from functools import reduce
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
 from pyspark.ml.feature import CountVectorizer
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -33,25 +39,55 @@ from pyspark.sql.window import Window as W
 
 from terroir.llm.common import checkpoint_folder, documents, text_of, written
 
-NOT_TERM = r"[\x00-\x40\x5B-\x60\x7B-\x7F]+"
-UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+#: A to Z become small letters, what stands in no term a space; every other byte stands for itself.
+FOLD = bytes(c + 32 if 65 <= c <= 90 else c if 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
 #: Documents that must hold a term, and terms of a group that are reported.
 MIN_DF, TOP = 3, 200
 #: Distinct terms of a language up to which it has one vocabulary.
 VOCABULARY = 2_000_000
+#: One of how many checksums of terms is counted to tell the number of distinct terms.
+EVERY = 64
+#: Terms of a language that a task remembers while it reads.
+KNOWN = 500_000
 #: Shares are counted in parts of this.
 WHOLE = 1_000_000_000
 #: Folders of texts by language, and parts of a group's terms that are ranked before all of them are.
 FOLDERS, PARTS = 16, 16
 #: A word that no text has, which keeps a vocabulary from being empty.
 NO_TERM = " "
-
-
-def spaced_terms(column: str = "text") -> Column:
-    """The terms of a text, only A-Z lower-cased, joined by single spaces."""
-    text = text_of(column)
-    lowered = F.when(F.length(text) == F.octet_length(text), F.lower(text)).otherwise(F.translate(text, UPPER, LOWER))
-    return F.trim(F.regexp_replace(lowered, NOT_TERM, " "))
+COUNTS = "lang string, source string, term string, n long"
+
+
+def folded(texts: DataFrame, min_df: int) -> DataFrame:
+    """From rows (lang, source, text): lang, source, words (the terms of the text, joined by single spaces), fresh (those
+    of its distinct terms that fewer than ``min_df`` documents of the language had before in this task) and sample
+    (checksums of terms new to the task, those that are multiples of ``EVERY``)."""
+
+    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts: dict[str, dict[bytes, int]] = {}
+        settled: dict[str, set[bytes]] = {}
+        for batch in batches:
+            words, fresh, samples = [], [], []
+            for lang, text in zip(batch.column(0).to_pylist(), batch.column(2), strict=True):
+                terms = text.as_py().translate(FOLD).split()
+                known, enough = counts.setdefault(lang, {}), settled.setdefault(lang, set())
+                own, sample = set(terms) - enough, []
+                for t in own:
+                    n = known[t] = known.get(t, 0) + 1
+                    if n == 1 and not (h := zlib.crc32(t)) % EVERY:
+                        sample.append(h)
+                    if n == min_df:
+                        enough.add(t)
+                words.append(b" ".join(terms))
+                fresh.append(b" ".join(own))
+                samples.append(sample)
+                if len(known) > KNOWN:  # what is forgotten is told again
+                    known.clear()
+                    enough.clear()
+            strings = [pa.array(x, pa.binary()).cast(pa.string()) for x in (words, fresh)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *strings, pa.array(samples, pa.list_(pa.int64()))], ["lang", "source", "words", "fresh", "sample"])
+
+    return texts.select("lang", "source", F.col("text").cast("binary")).mapInArrow(fold, "lang string, source string, words string, fresh string, sample array<bigint>")
 
 
 def terms_of(words: Column) -> Column:
@@ -61,7 +97,8 @@ def terms_of(words: Column) -> Column:
 def share(n: Column, total: Column, size: Column) -> Column:
     """1 + floor(10^9 (n + 1) / (total + size)), exact."""
     above = ((n + 1).cast("decimal(19,0)") * F.lit(WHOLE).cast("decimal(10,0)")).cast("decimal(30,0)")
-    return F.call_function("div", above, (total + size).cast("decimal(30,0)")) + 1
+    wide = F.call_function("div", above, (total + size).cast("decimal(30,0)"))
+    return F.when(n < 9 * WHOLE, F.call_function("div", (n + 1) * WHOLE, total + size)).otherwise(wide) + 1
 
 
 def squared(p: Column, q: Column) -> Column:
@@ -69,22 +106,25 @@ def squared(p: Column, q: Column) -> Column:
     return F.call_function("div", (p - q) * (p - q), q)
 
 
-def group_sums(texts: DataFrame, shards: int, min_df: int) -> DataFrame:
-    """source, term, n of the kept terms of one language, from rows (source, words); n > 0."""
-    spark, sums = texts.sparkSession, []
+def write_sums(texts: DataFrame, lang: str, shards: int, min_df: int, path: str) -> None:
+    """Adds lang, source, term, n of the kept terms of one language to the table at ``path``, from rows (source, words, fresh).
+    Each shard is written before the next one's vocabulary is gathered, so that the driver holds one at a time."""
+    spark = texts.sparkSession
     for shard in range(shards):
-        terms = terms_of(F.col("words"))
-        if shards > 1:
-            terms = F.filter(terms, lambda t: F.pmod(F.xxhash64(t), F.lit(shards)) == shard)
-        docs = texts.select("source", terms.alias("terms"))
-        never = spark.range(min_df).select(F.lit("").alias("source"), F.array(F.lit(NO_TERM)).alias("terms"))
-        model = CountVectorizer(inputCol="terms", outputCol="counts", minDF=float(min_df), vocabSize=2**31 - 1).fit(docs.unionAll(never))
+
+        def terms_in(column: str, shard: int = shard) -> Column:
+            terms = terms_of(F.col(column))
+            return F.filter(terms, lambda t: F.pmod(F.xxhash64(t), F.lit(shards)) == shard) if shards > 1 else terms
+
+        never = spark.range(min_df).select(F.array(F.lit(NO_TERM)).alias("terms"))
+        model = CountVectorizer(inputCol="terms", outputCol="counts", minDF=float(min_df), vocabSize=2**31 - 1).fit(texts.select(terms_in("fresh").alias("terms")).unionAll(never))
         vector = F.unwrap_udt("counts")
-        found = model.transform(docs).select("source", F.explode(F.arrays_zip(vector["indices"].alias("at"), vector["values"].alias("n"))).alias("x"))
-        summed = found.groupBy("source", F.col("x.at").alias("at")).agg(F.sum("x.n").cast("long").alias("n"))
-        names = spark.createDataFrame(pd.DataFrame({"term": model.vocabulary}).rename_axis("at").reset_index().astype({"at": "int32"}))
-        sums.append(summed.join(names, "at").select("source", "term", "n"))
-    return reduce(DataFrame.unionAll, sums)
+        places = model.transform(texts.select("source", terms_in("words").alias("terms"))).select("source", F.explode(F.arrays_zip(vector["indices"].alias("at"), vector["values"].alias("n"))).alias("x"))
+        summed = places.groupBy("source", F.col("x.at").alias("at")).agg(F.sum("x.n").cast("long").alias("n"))
+        names = pa.array(model.vocabulary, pa.string())
+        terms = spark.createDataFrame(pa.table({"at": pa.array(np.arange(len(names), dtype=np.int32)), "term": names}))
+        named = summed.join(terms, "at").filter(F.col("term") != NO_TERM).select(F.lit(lang).alias("lang"), "source", "term", "n")
+        named.write.mode("append").option("compression", "zstd").parquet(path)
 
 
 def ranked(df: DataFrame, top: int | None = None) -> DataFrame:
@@ -102,19 +142,19 @@ def audit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", sourc
     (``pair``), and the ``top`` terms that it uses more than its language does (``term``)."""
     spark = docs.sparkSession
     folder = f"{checkpoint_folder(spark)}/terms-{uuid.uuid4()}"
-    texts = docs.select(text_of(lang_col).alias("lang"), text_of(source_col).alias("source"), spaced_terms(text_col).alias("words"))
+    texts = folded(docs.select(text_of(lang_col).alias("lang"), text_of(source_col).alias("source"), text_of(text_col).alias("text")), min_df)
     texts = texts.withColumn("folder", F.pmod(F.xxhash64("lang"), F.lit(FOLDERS)).cast("int"))
     texts.write.option("compression", "zstd").partitionBy("folder").parquet(folder)
     texts = spark.read.schema(texts.schema).parquet(folder)
     groups = written(texts.groupBy("lang", "source").agg(F.lit(0).alias("none")).select("lang", "source"))
-    term = F.explode(terms_of(F.col("words")))
-    sizes = texts.select("lang", "folder", term.alias("term")).groupBy("lang", "folder").agg(F.approx_count_distinct("term").alias("n")).collect()  # one row a language
-    sums = [spark.createDataFrame([], "lang string, source string, term string, n long")]
+    sampled = texts.select("lang", "folder", F.explode_outer("sample").alias("h"))
+    sizes = sampled.groupBy("lang", "folder").agg(F.count_distinct("h").alias("n")).collect()  # one row a language
+    counts = f"{checkpoint_folder(spark)}/counts-{uuid.uuid4()}"
+    spark.createDataFrame([], COUNTS).write.parquet(counts)
     for lang, number, n in sorted(map(tuple, sizes)):
         own = texts.filter((F.col("folder") == number) & (F.col("lang") == lang))
-        sums.append(group_sums(own, -(-n // vocabulary), min_df).select(F.lit(lang).alias("lang"), "source", "term", "n"))
-    counts = written(reduce(DataFrame.unionAll, sums).filter(F.col("term") != NO_TERM), "zstd")
-    return ranked_parts(groups, counts, top)
+        write_sums(own, lang, -(-n * EVERY // vocabulary) or 1, min_df, counts)
+    return ranked_parts(groups, spark.read.schema(COUNTS).parquet(counts), top)
 
 
 def ranked_parts(groups: DataFrame, counts: DataFrame, top: int) -> DataFrame:
@@ -125,10 +165,11 @@ def ranked_parts(groups: DataFrame, counts: DataFrame, top: int) -> DataFrame:
     filled = groups.join(by_group, ["lang", "source"], "left").join(by_lang, "lang", "left").fillna(0, ["total", "used", "size", "lang_total"])
     zero = F.when(F.col("size") > 0, share(F.lit(0).cast("long"), F.col("total"), F.col("size")))
     groups = written(filled.withColumn("zero", zero))
-    shares = counts.join(groups, ["lang", "source"]).withColumn("p", share(F.col("n"), F.col("total"), F.col("size")))
+    shares = written(counts.join(groups, ["lang", "source"]).select("lang", "source", "term", "zero", share(F.col("n"), F.col("total"), F.col("size")).alias("p")), "zstd")
 
     q = share(F.col("lang_n"), F.col("lang_total"), F.col("size"))
-    over = shares.join(in_lang, ["lang", "term"]).withColumn("q", q).filter("p > q")
+    in_lang = in_lang.join(by_lang, "lang").select("lang", "term", q.alias("q"))
+    over = shares.join(in_lang, ["lang", "term"]).filter("p > q")
     by_term = over.select("lang", "source", F.col("term").alias("item"), squared(F.col("p"), F.col("q")).alias("value"))
 
     def of(name: str, df: DataFrame, *more: str) -> DataFrame:
@@ -145,8 +186,14 @@ def ranked_parts(groups: DataFrame, counts: DataFrame, top: int) -> DataFrame:
     both = used.select("lang", "term", F.col("source").alias("a_source"), F.col("p").alias("a_p"), F.col("zero").alias("a_zero")).join(
         used.select("lang", "term", F.col("source").alias("b_source"), F.col("p").alias("b_p"), F.col("zero").alias("b_zero")), ["lang", "term"]
     )
-    correction = squared(F.col("a_p"), F.col("b_p")) - squared(F.col("a_p"), F.col("b_zero")) - squared(F.col("a_zero"), F.col("b_p")) + neither
-    shared = both.filter(differ).groupBy(*key).agg(F.sum(correction).alias("v"))
+
+    def correction(a: str, b: str) -> Column:
+        p, q, p_zero, q_zero = (F.col(x) for x in (f"{a}_p", f"{b}_p", f"{a}_zero", f"{b}_zero"))
+        return F.sum(squared(p, q) - squared(p, q_zero) - squared(p_zero, q) + squared(p_zero, q_zero))
+
+    common = both.filter("a_source < b_source").groupBy(*key).agg(correction("a", "b").alias("ab"), correction("b", "a").alias("ba"))
+    ways = F.array(F.struct("a_source", "b_source", F.col("ab").alias("v")), F.struct(F.col("b_source").alias("a_source"), F.col("a_source").alias("b_source"), F.col("ba").alias("v")))
+    shared = common.select("lang", F.explode(ways).alias("x")).select("lang", "x.*")
     summed = reduce(DataFrame.unionAll, [rest, only_a, only_b, shared]).groupBy(*key).agg(F.sum("v").alias("value"))
     by_pair = summed.select("lang", F.col("a_source").alias("source"), F.col("b_source").alias("item"), "value")
 
