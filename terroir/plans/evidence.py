@@ -338,6 +338,17 @@ def _(t):
     return g.select("l_orderkey", (V.normal_set(c("a")) == V.normal_set(c("b"))).alias("same"))
 
 
+@query("c36_table_difference", """WITH b AS (SELECT o_orderkey AS k, o_custkey AS v, o_orderstatus AS s FROM orders WHERE o_orderkey % 211 <> 1), a AS (SELECT o_orderkey AS k, CASE WHEN o_orderkey % 211 = 5 THEN -1 ELSE o_custkey END AS v, CASE WHEN o_orderkey % 211 = 9 THEN NULL ELSE o_orderstatus END AS s FROM orders WHERE o_orderkey % 211 <> 3)
+SELECT coalesce(a.k, b.k) AS k, CASE WHEN b.k IS NULL THEN 'added' WHEN a.k IS NULL THEN 'removed' ELSE 'changed' END AS change FROM a FULL JOIN b ON a.k = b.k WHERE a.k IS NULL OR b.k IS NULL OR a.v IS DISTINCT FROM b.v OR a.s IS DISTINCT FROM b.s""")
+def _(t):
+    """Orders against orders of which a few are gone, new or changed."""
+    k = c("o_orderkey") % 211
+    rows = lambda df, v, s: df.select(c("o_orderkey").alias("k"), v.alias("v"), s.alias("s"))
+    before = rows(t.orders.filter(k != 1), c("o_custkey"), c("o_orderstatus"))
+    after = rows(t.orders.filter(k != 3), F.when(k == 5, lit(-1)).otherwise(c("o_custkey")), F.when(k != 9, c("o_orderstatus")))
+    return N.table_difference(before, after, ["k"], 64)
+
+
 @query("c37_merge_improved", "SELECT coalesce(a.k, b.k) AS k, CASE WHEN a.k IS NULL OR coalesce(b.s > a.s, false) THEN b.s ELSE a.s END AS s, a.k IS NULL OR coalesce(b.s > a.s, false) AS replaced FROM (SELECT p_partkey AS k, p_size AS s FROM part WHERE p_partkey % 3 <> 0) a FULL JOIN (SELECT p_partkey AS k, (p_partkey % 50)::INT AS s FROM part WHERE p_partkey % 2 = 0) b ON a.k = b.k")
 def _(t):
     old = t.part.filter("p_partkey % 3 <> 0").select(c("p_partkey").alias("k"), c("p_size").alias("s"))

@@ -330,3 +330,16 @@ def test_distinct_counts_by_bitmaps_equal_counts_of_distinct_keys(spark):
     sets = D.key_sets(df, "key", ["region", "item"], {"n": F.lit(True)})
     assert sets.count() < 5 * df.select("region", "item").distinct().count(), "keys of a cell are neighbours"
     assert listed(D.distinct_counts(df.limit(0), "key", levels, {"n": F.lit(True)})) == [("all", "all", "all", 0)]
+
+
+def test_table_difference(spark):
+    schema = "k int, x string, v double"
+    old = spark.createDataFrame([(i, str(i % 3), i / 2) for i in range(500)] + [(None, "n", None)], schema)
+    new = old.filter("k is null or k <> 7").withColumn("v", F.when(F.col("k") == 9, None).otherwise(F.col("v"))).unionByName(spark.createDataFrame([(-1, "x", 1.0)], schema))
+    assert listed(N.table_difference(old, new, ["k"], 16)) == [(-1, "added"), (7, "removed"), (9, "changed")]
+    renamed = old.withColumn("x", F.when(F.col("k").isNull(), "m").otherwise(F.col("x")))
+    assert [tuple(r) for r in N.table_difference(old, renamed, ["k"]).collect()] == [(None, "changed")]
+    same = N.table_difference(old, old.repartition(3).select("v", "k", "x"), ["k"])
+    assert same.count() == 0 and same.columns == ["k", "change"]
+    assert "Join" not in same._jdf.queryExecution().executedPlan().toString()
+    assert listed(N.table_difference(old.limit(0), old.filter("k < 2"), ["k"])) == [(0, "added"), (1, "added")]
