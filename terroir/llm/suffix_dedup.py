@@ -5,8 +5,9 @@ starts earlier (``keep="first"``: later copies go, the first stays).
 
 Which suffixes must be sorted together: each window of ``length`` bytes has a signature, the hash of the smallest
 of its ``SEED``-byte seeds by hash order. Equal windows have equal signatures, so only windows of one signature
-can match. Consecutive windows with the same seed form a stretch; a document has about one stretch for every
-80 bytes. Stretches are counted by signature, and those whose signature is unique are dropped at once. Stretches
+can match. Consecutive windows with the same seed form a stretch, one for about every 80 bytes; in text that repeats
+with a shorter period a stretch ends with each period and equals the one before it: of such a run two stretches stay,
+the second of which tells how far the run goes on, so that a run of any length makes a few rows. Stretches are counted by signature, and those whose signature is unique are dropped at once. Stretches
 that are equal as a whole (signature, and two hashes of 64 bits) repeat in all their windows and are settled by
 counting. For what differs within a signature (mostly the edges of shared passages), one stretch of each content
 is fetched from its document; the windows of whole signatures are put in suffix order by prefix doubling, and
@@ -85,11 +86,12 @@ class _Hashes:
 
 def _stretches(data: np.ndarray, offsets: np.ndarray, length: int, seed: int) -> tuple[np.ndarray, ...]:
     """Of a block of at most 2^20 bytes: signature, two content hashes, document, start, windows and place of the
-    seed (from the start) of each stretch."""
+    seed (from the start) of each stretch, and the windows of the stretches after it that were left out, being equal to
+    it and to the one before it."""
     n, width = len(data), length - seed + 1
     windows = n - length + 1
     if windows <= 0:
-        return (np.zeros(0, np.uint64),) * 3 + (np.zeros(0, np.int64),) * 4
+        return (np.zeros(0, np.uint64),) * 3 + (np.zeros(0, np.int64),) * 5
     hashes = _Hashes(data)
     at = np.arange(n - seed + 1)
     seeds = hashes.of(at, at + seed)
@@ -117,7 +119,15 @@ def _stretches(data: np.ndarray, offsets: np.ndarray, length: int, seed: int) ->
     stop = np.flatnonzero(ends) + 1
     document = np.searchsorted(offsets, start, "right") - 1
     content = (h.of(start, stop + length - 1) for h in (hashes, _Hashes(data, 1)))
-    return seeds[place[start]], *content, document, start - offsets[document], stop - start, place[start] - start
+    found = (seeds[place[start]], *content, document, start - offsets[document], stop - start, place[start] - start)
+    if not len(start):
+        return *found, np.zeros(0, np.int64)
+    again = np.zeros(len(start), bool)  # equal to the stretch before, which it follows directly
+    again[1:] = (start[1:] == stop[:-1]) & np.logical_and.reduce([x[1:] == x[:-1] for x in (*found[:4], found[5], found[6])])
+    left_out = again.copy()
+    left_out[1:] &= again[:-1]
+    kept = np.flatnonzero(~left_out)
+    return *(x[kept] for x in found), np.add.reduceat(np.where(left_out, stop - start, 0), kept)
 
 
 def packed(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -155,7 +165,8 @@ def _unpacked_blocks(batch: pa.RecordBatch, size: int) -> Iterator[tuple[int, li
 
 
 def stretches(docs: DataFrame, length: int = LENGTH, seed: int = SEED) -> DataFrame:
-    """From rows (doc_id, row, packed): sig, one, two (content), doc_id, row, start, windows, seed."""
+    """From rows (doc_id, row, packed): sig, one, two (content), doc_id, row, start, windows, seed, more (windows that
+    follow and repeat these)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -164,14 +175,14 @@ def stretches(docs: DataFrame, length: int = LENGTH, seed: int = SEED) -> DataFr
                 offsets = np.concatenate(([0], np.cumsum([len(t) for t in texts])))
                 for at in range(0, max(len(data) - length + 1, 1), _STEP) if len(texts) == 1 else (0,):
                     piece = data[at : at + _STEP + length - 1] if len(texts) == 1 else data
-                    sig, one, two, document, start, windows, place = _stretches(piece, np.array([0, len(piece)]) if len(texts) == 1 else offsets, length, seed)
+                    sig, one, two, document, start, windows, place, more = _stretches(piece, np.array([0, len(piece)]) if len(texts) == 1 else offsets, length, seed)
                     who = pa.array(document + first)
                     yield pa.RecordBatch.from_arrays(
-                        [*(pa.array(x.view(np.int64)) for x in (sig, one, two)), batch.column("doc_id").take(who), batch.column("row").take(who), pa.array((start + at).astype(np.int32)), pa.array(windows.astype(np.int16)), pa.array(place.astype(np.int16))],
-                        names=["sig", "one", "two", "doc_id", "row", "start", "windows", "seed"],
+                        [*(pa.array(x.view(np.int64)) for x in (sig, one, two)), batch.column("doc_id").take(who), batch.column("row").take(who), pa.array((start + at).astype(np.int32)), pa.array(windows.astype(np.int16)), pa.array(place.astype(np.int16)), pa.array(more.astype(np.int32))],
+                        names=["sig", "one", "two", "doc_id", "row", "start", "windows", "seed", "more"],
                     )
 
-    return docs.mapInArrow(run, "sig long, one long, two long, doc_id long, row long, start int, windows short, seed short")
+    return docs.mapInArrow(run, "sig long, one long, two long, doc_id long, row long, start int, windows short, seed short, more int")
 
 
 def suffix_order(text: np.ndarray, starts: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
@@ -309,7 +320,8 @@ def _whole(candidates: DataFrame, contents: DataFrame, length: int, keep: str) -
     whole = join_hot(candidates, contents.filter("n > 1").select("sig", "one", "two", "n", "first"), ["sig", "one", "two"], ["row", "start"])
     if keep == "first":
         whole = whole.filter(_place() != F.col("first"))
-    return whole.select("row", F.col("start").alias("begin"), (F.col("start") + F.col("windows") + (length - 1)).alias("end"))
+    windows = F.col("windows") + F.col("more") if "more" in whole.columns else F.col("windows")
+    return whole.select("row", F.col("start").alias("begin"), (F.col("start") + windows + (length - 1)).alias("end"))
 
 
 def _parted(fetched: DataFrame, length: int, width: int) -> DataFrame:

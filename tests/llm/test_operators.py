@@ -615,3 +615,26 @@ def test_mix_seeds_equal_those_of_all_turns(spark):
                 v = u + turn / 128.0
                 expected[source, turn] += size * (int(rate) + ((v - 1 if v >= 1 else v) < rate - int(rate)))
         assert out == expected
+
+
+@pytest.mark.parametrize("keep", ["none", "first"])
+def test_runs_of_every_period_equal_brute_force(spark, keep):
+    """Runs of period 1 to 40 with other text around, the same run in several texts, and runs that just fit a window."""
+    rng = np.random.default_rng(4)
+    word = lambda n: "".join(rng.choice([*"abcdefghij"], n))
+    runs = [word(p) for p in range(1, 41)]
+    texts = [(p, word(30) + (runs[p - 1] * 200)[: 60 + 7 * p] + word(30)) for p in range(1, 41)]
+    texts += [(100, "a" * 24), (101, "a" * 25), (102, "b" * 49 + "a" * 24), (103, word(9) + (runs[4] * 50)[3:120]), (104, (runs[0] * 40)), (105, (runs[1] * 30) + (runs[2] * 30) + (runs[1] * 30))]
+    df = spark.createDataFrame(texts, "doc_id long, text string")
+    assert removed(df, length=24, seed=8, keep=keep) == without_repeats(texts, 24, keep)
+
+
+def test_a_long_run_makes_few_stretches(spark):
+    for run in ("a", "ab", "abc"):
+        text = "before " + run * (2_000_000 // len(run)) + " after"
+        df = spark.createDataFrame([(1, text)], "doc_id long, text string")
+        docs = common.written(suffix_dedup.packed(df))
+        assert suffix_dedup.stretches(docs).count() < 100
+        (row,) = suffix_dedup.remove_repeats(df).collect()
+        edge = (len(text) - row["n_removed"], row["n_spans"])
+        assert edge == (13, 1), edge
