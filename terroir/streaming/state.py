@@ -54,7 +54,7 @@ def read_state(spark: SparkSession, checkpoint: str, name: str, schema: T.Struct
         return spark.createDataFrame([], schema)
     with state_store(spark):
         stored = spark.read.format("statestore").option("stateVarName", name).load(checkpoint)
-        if "ttlExpirationMs" in stored.schema["value"].dataType.names:
+        if "value" in parts and "ttlExpirationMs" in stored.schema["value"].dataType.names:
             stored = stored.filter(F.col("value.ttlExpirationMs") > F.unix_millis(F.current_timestamp())).withColumn("value", F.col("value.value"))
         return stored.select(*[f"{p}.*" for p in parts]).select(*schema.names)
 
