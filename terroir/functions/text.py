@@ -26,6 +26,7 @@ TITLE_WORDS = ["막걸리", "소주", "와인", "리큐르", "브랜디", "주
 RAW_CLASSES = ["29", "30", "31"]
 GOODS_CLASSES = ["29", "30", "31", "32", "33"]
 SERVICE_CLASSES = ["35", "39", "40", "41", "42", "43", "44", "45"]
+#: Patterns of the same rules.
 CANONICAL_DROP = r"[\s'\"`()\[\]{}._-]+"
 PARENTHESES = r"\s*[（(][^）)]*[）)]"
 OPEN_BRACKET = r"(?s)\s*[（(\[].*$"

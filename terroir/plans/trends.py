@@ -280,10 +280,10 @@ def _(t):
     return numbered(g, [F.desc(c("a") / c("n")), c("p_name")]).select("rank", "p_name")
 
 
-@query("f07_item_sorts", "WITH g AS (SELECT p_name, count(*) AS n, count(DISTINCT p_brand) AS regions FROM part GROUP BY 1) SELECT row_number() OVER (ORDER BY regions DESC, n DESC, p_name) AS place, p_name FROM g ORDER BY place LIMIT 20")
+@query("f07_item_sorts", "WITH g AS (SELECT p_name, count(*) AS n, count(DISTINCT p_brand) AS regions FROM part GROUP BY 1) SELECT row_number() OVER (ORDER BY regions DESC, n DESC, p_name) AS place, p_name FROM g ORDER BY place LIMIT 100")
 def _(t):
     o = [F.desc("regions"), F.desc("n"), c("p_name")]
-    g = t.part.groupBy("p_name").agg(N(), F.count_distinct("p_brand").alias("regions")).orderBy(*o).limit(20)
+    g = t.part.groupBy("p_name").agg(N(), F.count_distinct("p_brand").alias("regions")).orderBy(*o).limit(100)
     return g.select(F.row_number().over(W.orderBy(*o)).cast("long").alias("place"), "p_name")
 
 
