@@ -2,9 +2,9 @@
 
 A ``CountVectorizer`` for each language, with ``min_df`` and the largest integer as ``vocabSize``, makes exact sparse
 count vectors of all its documents. It is fitted on the terms that a document adds to what a task has read: once
-``min_df`` documents in a task hold a term, it is known to be kept, and further documents needn't say so. Non-zero places of the
-vectors are added up by source, as a summarizer would add up whole vectors, but without ever making a dense one: a row
-for each term that a source uses.
+``min_df`` documents in a task hold a term, it is known to be kept, and further documents needn't say so. Non-zero
+places of the vectors are added up by source, as a summarizer would add up whole vectors, but without ever making a
+dense one: a row for each term that a source uses.
 
 Pairs of sources are evaluated on these sparse sums. The value of (a, b) is a sum over all kept terms, most of which
 neither uses. With z the share that a group gives a term that it doesn't use, it is the sum of f(p_a, z_b) over a's
@@ -12,15 +12,15 @@ terms, of f(z_a, p_b) over b's terms and of f(z_a, z_b) over the others, correct
 first two are sums over the distinct shares of a group, and only the last needs a join by term. Terms of a group are
 ranked in two steps, by parts and then together, so that a source with most of the rows isn't sorted in one task.
 
-A vocabulary is gathered on the driver and sent to the tasks. It is therefore made in shards of the terms, by hash, if a
-language has more than about ``vocabulary`` distinct terms, as counted from those whose checksum is a multiple of
+A vocabulary is gathered on the driver and sent to the tasks. It is therefore made in shards of the terms, by hash, if
+a language has more than about ``vocabulary`` distinct terms, as counted from those whose checksum is a multiple of
 ``EVERY``: every shard has its own vectorizer and vectors, and their sums are put together; the result is the same.
 Languages are taken one after the other.
 
-All arithmetic is exact: counts are whole doubles below 2^53, products with 10^9 are decimals, squares of shares fit
-in 64 bits. Defined results: null text, language and source count as empty; a group without kept terms has pair rows
-like any other, with value 0 where the language keeps no term; a row counts as a document of its own, repeated or not;
-an empty table gives an empty table; other columns are not looked at.
+All arithmetic is exact: counts are whole doubles below 2^53, products with 10^9 are decimals, squares of shares fit in
+64 bits. Defined results: null text, language and source count as empty; a group without kept terms has pair rows like
+any other, with value 0 where the language keeps no term; a row counts as a document of its own, repeated or not; an
+empty table gives an empty table; other columns are not looked at.
 """
 
 from __future__ import annotations

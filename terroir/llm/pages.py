@@ -1,22 +1,24 @@
 """Main text of web pages by consensus of a host's pages on the container that holds it.
 
-A page is read as a tree of its block elements, forgiving of what is left open or cut off. Each container gets a
-score: the characters of its blocks outside links, in full for the container they stand in and by ``FADE`` less for
-each level above, none of boilerplate, twice where its tag or class says article. The best container votes for its
-generalised path: the tags from the root down with their class and id, digits made ``#`` so that numbered names of
-different pages agree. Votes are added up by host in Spark; paths with at least ``SHARE`` of a host's votes win, so at
-most 1 / ``SHARE`` of them. Every page is then extracted again, from the first winning path of its host that it has,
-or from its own best container where it has none of them. Within the container, elements that are boilerplate by tag, role, class
-or id are left out, nested ones too: menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles and reader comments.
+A page is read as a tree of its block elements, forgiving of what is left open or cut off. Each container gets a score:
+the characters of its blocks outside links, in full for the container they stand in and by ``FADE`` less for each level
+above, none of boilerplate, twice where its tag or class says article. The best container votes for its generalised
+path: the tags from the root down with their class and id, digits made ``#`` so that numbered names of different pages
+agree. Votes are added up by host in Spark; paths with at least ``SHARE`` of a host's votes win, so at most 1 /
+``SHARE`` of them. Every page is then extracted again, from the first winning path of its host that it has, or from its
+own best container where it has none of them. Within the container, elements that are boilerplate by tag, role, class
+or id are left out, nested ones too: menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles and
+reader comments.
 
 A host may hold any share of all pages: votes are combined before they are shuffled, and the winners (a row a host, of
 bounded length) are broadcast if small; else pages are joined by host and a part of the page, which spreads a hot host.
 
 Defined results: null or empty html has an empty text; a page whose url names no host isn't voted on and uses its own
-best container; pages without a container of the article fall back to ``body`` without boilerplate; character references
-are decoded once, cut ones stay as they are; a tag cut off at the end of a page is dropped; a form that holds most of
-a page's text is no boilerplate; white space in a block becomes one space, blocks are joined by a line feed; ties
-between containers go to the outer one, between paths to the smaller; pages that repeat an id are extracted each for itself; an empty table gives an empty table.
+best container; pages without a container of the article fall back to ``body`` without boilerplate; character
+references are decoded once, cut ones stay as they are; a tag cut off at the end of a page is dropped; a form that
+holds most of a page's text is no boilerplate; white space in a block becomes one space, blocks are joined by a line
+feed; ties between containers go to the outer one, between paths to the smaller; pages that repeat an id are extracted
+each for itself; an empty table gives an empty table.
 """
 
 from __future__ import annotations

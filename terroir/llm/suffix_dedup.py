@@ -3,29 +3,30 @@
 A byte is removed if a string of ``length`` bytes that covers it also starts elsewhere (``keep="none"``), or
 starts earlier (``keep="first"``: later copies go, the first stays).
 
-Which suffixes must be sorted together: each window of ``length`` bytes has a signature, the hash of the smallest
-of its ``SEED``-byte seeds by hash order. Equal windows have equal signatures, so only windows of one signature
-can match. Consecutive windows with the same seed form a stretch, one for about every 80 bytes; in text that repeats
-with a shorter period a stretch ends with each period and equals the one before it: of such a run two stretches stay,
-the second of which tells how far the run goes on, so that a run of any length makes a few rows. Stretches are counted by signature, and those whose signature is unique are dropped at once. Stretches
+Which suffixes must be sorted together: each window of ``length`` bytes has a signature, the hash of the
+smallest of its ``SEED``-byte seeds by hash order. Equal windows have equal signatures, so only windows of one
+signature can match. Consecutive windows with the same seed form a stretch, one for about every 80 bytes; in
+text that repeats with a shorter period a stretch ends with each period and equals the one before it: of such a
+run two stretches stay, the second of which tells how far the run goes on, so that a run of any length makes a
+few rows. Stretches are counted by signature, and those whose signature is unique are dropped at once. Stretches
 that are equal as a whole (signature, and two hashes of 64 bits) repeat in all their windows and are settled by
 counting. For what differs within a signature (mostly the edges of shared passages), one stretch of each content
 is fetched from its document; the windows of whole signatures are put in suffix order by prefix doubling, and
 longest-previous-factor arrays, by the previous and next smaller position in that order, tell for each window
 whether it starts earlier (and with positions reversed, whether it starts later).
 
-A signature with more than ``MANY`` contents isn't gathered in a task. Its stretches are parted by where the seed
-stands in a window, ``PARTS`` ranges at a time: windows of one range share all bytes but the outermost few, so the
-part's signature is the hash of these shared bytes, which grow from round to round. A part whose signature is
-unique is dropped, and the same steps follow, until no signature has more than ``MANY`` contents; after a few
-rounds a range is one place, where equal signatures are equal windows.
+A signature with more than ``MANY`` contents isn't gathered in a task. Its stretches are parted by where the
+seed stands in a window, ``PARTS`` ranges at a time: windows of one range share all bytes but the outermost few,
+so the part's signature is the hash of these shared bytes, which grow from round to round. A part whose
+signature is unique is dropped, and the same steps follow, until no signature has more than ``MANY`` contents;
+after a few rounds a range is one place, where equal signatures are equal windows.
 
-Rows are numbered when their texts are first written, and told apart by that number. Keys that hold a large share
-of all stretches are dealt over several tasks in joins.
+Rows are numbered when their texts are first written, and told apart by that number. Keys that hold a large
+share of all stretches are dealt over several tasks in joins.
 
 Defined results: null text counts as empty and loses nothing; texts shorter than ``length`` lose nothing; rows
-that repeat (same id, or same id and text) are copies of each other like any other rows, and follow each other by
-number; documents of any length are handled whole; an empty table gives an empty table.
+that repeat (same id, or same id and text) are copies of each other like any other rows, and follow each other
+by number; documents of any length are handled whole; an empty table gives an empty table.
 """
 
 from __future__ import annotations
