@@ -135,9 +135,10 @@ def _(t):
 
 @query("c21_skipped_patches", "SELECT p_partkey, 'not_allowed' AS reason FROM part WHERE p_partkey % 4 = 0 AND p_type <> 'PROMO' UNION ALL SELECT p_partkey + 1000000, 'no_row' FROM part WHERE p_partkey % 100 = 0")
 def _(t):
-    rows = t.part.select("p_partkey", "p_type", "p_size")
-    patch = t.part.filter("p_partkey % 4 = 0").select("p_partkey", lit(99).alias("p_size")).union(t.part.filter("p_partkey % 100 = 0").select(c("p_partkey") + 1000000, lit(1)))
-    return N.update_join(rows, patch, ["p_partkey"], ["p_size"], c("p_type") == "PROMO")[1]
+    """Patches of a second source have no rows, whatever keys the table has: the source is part of the key."""
+    rows = t.part.select(lit(1).alias("source"), "p_partkey", "p_type", "p_size")
+    patch = t.part.filter("p_partkey % 4 = 0").select(lit(1).alias("source"), "p_partkey", lit(99).alias("p_size")).union(t.part.filter("p_partkey % 100 = 0").select(lit(2), c("p_partkey") + 1000000, lit(1)))
+    return N.update_join(rows, patch, ["source", "p_partkey"], ["p_size"], c("p_type") == "PROMO")[1].drop("source")
 
 
 @query("c22_snapshot_assembly", "SELECT p_partkey, gap, text FROM (SELECT p_partkey FROM part WHERE p_partkey % 5 <> 0) LEFT JOIN (SELECT p_partkey, p_size AS gap FROM part WHERE p_partkey % 2 = 0) USING (p_partkey) LEFT JOIN (SELECT p_partkey, p_name AS text FROM part WHERE p_partkey % 3 = 0) USING (p_partkey)")
