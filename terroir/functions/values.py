@@ -6,9 +6,16 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def rounded(value: Column, places: int) -> Column:
+    """A double rounded half away from zero, as SQL does it: scaled, rounded and scaled back in doubles. ``F.round`` goes
+    by the value's decimal digits instead, and differs where scaling lands on a half (0.20474999999999999, 4 places)."""
+    scale = F.lit(float(10**places))
+    return F.round(value.cast("double") * scale) / scale
+
+
 def safe_rate(numerator: Column, denominator: Column, places: int = 4) -> Column:
     """A rate rounded to ``places``; null where there is nothing to divide by."""
-    return F.when(denominator > 0, F.round(numerator / denominator, places))
+    return F.when(denominator > 0, rounded(numerator / denominator, places))
 
 
 def valid_year(c: Column) -> Column:

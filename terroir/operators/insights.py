@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from terroir.functions.values import safe_rate
+from terroir.functions.values import rounded, safe_rate
 from terroir.operators.common import numbered, running, written
 
 
@@ -74,7 +74,7 @@ def leaderboard(df: DataFrame, keys: list[str], now: Column, before: Column, lea
     """recent, prior, whether new (hardly anything before) and growth; infinite growth of new ones sorts first."""
     g = df.groupBy(*keys).agg(F.count_if(now).alias("recent"), F.count_if(before).alias("prior"))
     new = F.col("prior") < F.greatest(F.lit(1.0), F.lit(least) / 3)
-    g = g.withColumn("is_new", new).withColumn("growth", F.when(~F.col("is_new"), F.round((F.col("recent") - F.col("prior")) / F.col("prior"), 4)))
+    g = g.withColumn("is_new", new).withColumn("growth", F.when(~F.col("is_new"), rounded((F.col("recent") - F.col("prior")) / F.col("prior"), 4)))
     return g.filter(F.col("recent") >= least)
 
 

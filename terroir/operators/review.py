@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 from terroir.functions.text import canonical_name
-from terroir.functions.values import safe_rate
+from terroir.functions.values import rounded, safe_rate
 from terroir.operators.common import numbered, violations
 
 
@@ -40,7 +40,7 @@ def review_clusters(rows: DataFrame, top: int = 5, examples: int = 3) -> DataFra
         places.groupBy("cluster").agg(first.alias("examples")),
     ]
     each = keyed.select("cluster", "idx", F.explode("candidates").alias("c")).groupBy("cluster", "c.item", "c.class", "idx").agg(F.sum("c.score").alias("total"), F.count(F.lit(1)).alias("samples"))
-    found = each.groupBy("cluster", "item", "class").agg(F.count(F.lit(1)).alias("rows"), F.round(F.sum("total") / F.sum("samples"), 4).alias("score"))
+    found = each.groupBy("cluster", "item", "class").agg(F.count(F.lit(1)).alias("rows"), rounded(F.sum("total") / F.sum("samples"), 4).alias("score"))
     best = F.row_number().over(W.partitionBy("cluster").orderBy(F.desc("rows"), F.desc("score"), "item", "class"))
     shown = found.join(base.select("cluster", "n_rows"), "cluster").withColumn("place", best).filter(F.col("place") <= top)
     option = F.struct("place", "item", "class", "rows", safe_rate(F.col("rows"), F.col("n_rows")).alias("coverage"), "score")

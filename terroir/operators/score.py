@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from terroir.functions.values import safe_rate
+from terroir.functions.values import rounded, safe_rate
 from terroir.operators.common import numbered
 
 #: Weights, saturation and thresholds of the gap score.
@@ -25,7 +25,7 @@ def gap_score(n: Column, rate: Column, flagged: Column, availability: Column, ve
     used = F.lit(ACTIVITY_WEIGHT) * F.least(F.lit(1.0), n / F.lit(float(SATURATION))) + F.lit(REGISTRATION_WEIGHT) * F.coalesce(rate, F.lit(0.0))
     return [
         representative.alias("representative"),
-        F.when(usable & representative, F.round(1 - used, 4)).alias("gap_score"),
+        F.when(usable & representative, rounded(1 - used, 4)).alias("gap_score"),
         F.when(~usable, "blocked").when(representative, "preview").otherwise("not_applicable").alias("score_availability"),
         (usable & (n >= SATURATION) & F.coalesce(rate < LOW_CONVERSION, F.lit(False))).alias("low_conversion"),
     ]

@@ -96,7 +96,7 @@ project("h04_digits_only", "customer", "c_custkey", {"digits": (lambda: X.digits
 project("h05_region_code", "customer", "c_custkey", {"code": (lambda: X.region_code((c("c_custkey") + 11000).cast("string")), "CASE WHEN length((c_custkey + 11000)::VARCHAR) = 5 THEN (c_custkey + 11000)::VARCHAR || '00000' ELSE '' END")})
 project("h06_class_code", "part", "p_partkey", {"code": (lambda: X.class_code(F.when(c("p_size") < 45, F.lpad(c("p_size").cast("string"), 3, "0")).otherwise(" x1")), "CASE WHEN p_size < 45 THEN p_size::VARCHAR ELSE 'x1' END")})
 project("h07_bigrams", "part", "p_partkey", {"pairs": (lambda: F.array_join(F.array_sort(X.bigrams(c("p_name"))), "|"), "array_to_string(list_sort(list_distinct([substr(p_name, i::INT, 2) FOR i IN range(1, length(p_name))])), '|')")})
-project("h08_jaccard", "part", "p_partkey", {"likeness": (lambda: F.round(X.jaccard(X.bigrams(c("p_name")), X.bigrams(c("p_brand"))), 6), "round(coalesce(len(list_intersect([substr(p_name, i::INT, 2) FOR i IN range(1, length(p_name))], [substr(p_brand, i::INT, 2) FOR i IN range(1, length(p_brand))]))::DOUBLE / len(list_distinct(list_concat([substr(p_name, i::INT, 2) FOR i IN range(1, length(p_name))], [substr(p_brand, i::INT, 2) FOR i IN range(1, length(p_brand))]))), 0), 6)")})
+project("h08_jaccard", "part", "p_partkey", {"likeness": (lambda: V.rounded(X.jaccard(X.bigrams(c("p_name")), X.bigrams(c("p_brand"))), 6), "round(coalesce(len(list_intersect([substr(p_name, i::INT, 2) FOR i IN range(1, length(p_name))], [substr(p_brand, i::INT, 2) FOR i IN range(1, length(p_brand))]))::DOUBLE / len(list_distinct(list_concat([substr(p_name, i::INT, 2) FOR i IN range(1, length(p_name))], [substr(p_brand, i::INT, 2) FOR i IN range(1, length(p_brand))]))), 0), 6)")})
 project("h09_edge_containment", "customer", "c_custkey", {"held": (lambda: X.contains_at_edge(F.lit("Customer#00"), c("c_name")), "starts_with(c_name, 'Customer#00') OR ends_with(c_name, 'Customer#00')")})
 project("h10_safe_rate", "part", "p_partkey", {"rate": (lambda: V.safe_rate(c("p_size"), c("p_size") % 7), "CASE WHEN p_size % 7 > 0 THEN round(p_size::DOUBLE / (p_size % 7), 4) END")})
 project("h11_year_month", "orders", "o_orderkey", {"y": (lambda: V.valid_year(c("o_orderdate").cast("date").cast("string")), "year(o_orderdate)::INT"), "m": (lambda: V.valid_month(F.date_format("o_orderdate", "yyyyMMdd")), "strftime(o_orderdate, '%Y-%m')")})

@@ -1,7 +1,10 @@
 """Faults that show on larger tables only."""
 
 import duckdb
+from pyspark.sql import functions as F
 
+from terroir.functions import values as V
+from terroir.operators import score as S
 from terroir.plans import registry
 
 
@@ -12,3 +15,13 @@ def test_patches_without_rows_at_any_size(spark, tmp_path):
     found = sorted(tuple(r[c] for c in ("p_partkey", "reason")) for r in df.collect())
     sql = registry.oracle_sql()["c21_skipped_patches"].replace("FROM part", f"FROM '{tmp_path}/part.parquet/*.parquet'")
     assert found == sorted(duckdb.connect().execute(sql).fetchall())
+
+
+def test_rates_and_gap_scores_are_rounded_as_in_sql(spark):
+    """Counts up to 300: scaling some of the scores lands on a half that the decimal digits don't show."""
+    df = spark.range(1, 301).select(F.col("id").alias("n"), F.explode(F.sequence(F.lit(0).cast("long"), "id")).alias("reg")).withColumn("rate", V.safe_rate(F.col("reg"), F.col("n")))
+    out = df.select("n", "reg", "rate", *S.gap_score(F.col("n"), F.col("rate"), F.lit(True), F.lit("available"), F.lit(None).cast("double")))
+    found = sorted(tuple(r) for r in out.select("n", "reg", "rate", "gap_score").collect())
+    sql = """WITH r AS (SELECT n, reg, round(reg::DOUBLE / n, 4) AS rate FROM range(1, 301) a(n), range(0, 301) b(reg) WHERE reg <= n)
+    SELECT n, reg, rate, round(1 - (0.7::DOUBLE * least(1.0::DOUBLE, n / 5.0::DOUBLE) + 0.3::DOUBLE * rate), 4) FROM r"""
+    assert found == sorted(duckdb.connect().execute(sql).fetchall())
