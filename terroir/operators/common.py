@@ -45,6 +45,16 @@ def written(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Parts for each core over which rows are dealt where a task sorts, gathers or parses them.
+PARTS = 16
+
+
+def dealt(df: DataFrame, *keys: str | Column) -> DataFrame:
+    """``df`` in a fixed number of parts, by the keys or, without keys, in turn. Parts that Spark chooses by their bytes
+    in a shuffle may hold many more rows the better these compress, and a small file is one part however costly a row."""
+    return df.repartition(PARTS * df.sparkSession.sparkContext.defaultParallelism, *keys)
+
+
 def running(df: DataFrame, order: list[Column], value: Column, name: str) -> DataFrame:
     """The sum of ``value`` over all rows up to each in a global order. Rows are dealt by range and summed within
     parts; only the sum of each part reaches the driver. Equal keys lie in one part."""

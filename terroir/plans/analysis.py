@@ -150,7 +150,7 @@ def _(t):
 SELECT *, {RATE.format(n="producers", d="local_applicants")} AS producer_share FROM c""")
 def _(t):
     inside = F.col("relation") == "inside"
-    rows = DC.counted(DC.key_sets(firsts(t), "applicant", ["region"], {"local_applicants": inside, "producers": inside & (F.col("segment") == "BUILDING")}), ["region"], ["local_applicants", "producers"])
+    rows = DC.counted(DC.key_rows(firsts(t), "applicant", ["region"], {"local_applicants": inside, "producers": inside & (F.col("segment") == "BUILDING")}), ["region"], ["local_applicants", "producers"])
     return rows.withColumn("producer_share", safe_rate(F.col("producers"), F.col("local_applicants")))
 
 
@@ -184,7 +184,7 @@ def _(t):
 @query("d19_distinct_levels", "WITH " + RECORDS + " ".join(f"""{union} SELECT '{level}' AS level, {region} AS region, {item} AS item, count(DISTINCT app) AS n, count(DISTINCT app) FILTER (WHERE relation = 'inside') AS inside, count(DISTINCT app) FILTER (WHERE granted IS NOT NULL) AS granted_ones FROM rec GROUP BY ALL"""
   for union, level, region, item in (("", "cell", "region::VARCHAR", "item::VARCHAR"), ("UNION ALL", "region", "region::VARCHAR", "'all'"), ("UNION ALL", "item", "'all'", "item::VARCHAR"), ("UNION ALL", "total", "'all'", "'all'"))))
 def _(t):
-    """Distinct records of all levels from one pass: sets of the cells, united for regions, items and all."""
+    """Distinct records of all levels: those of the cells from the records, those of regions, items and all from these."""
     where = {"n": F.lit(True), "inside": F.col("relation") == "inside", "granted_ones": F.col("granted").isNotNull()}
     return DC.distinct_counts(records(t), "app", {"cell": ["region", "item"], "region": ["region"], "item": ["item"], "total": []}, where)
 
@@ -194,7 +194,7 @@ SELECT item, (SELECT count(DISTINCT app) FROM rec r WHERE r.item = c.item) AS n,
 def _(t):
     rows = written(firsts(t).select("region", "item", "app", "relation"))
     cells = rows.groupBy("region", "item").agg(F.count_if(F.col("relation") == "inside").alias("inside"))
-    items = DC.counted(DC.key_sets(rows, "app", ["item"], {"n": F.lit(True)}), ["item"], ["n"]).withColumn("inside", F.lit(0).cast("long"))
+    items = DC.counted(DC.key_rows(rows, "app", ["item"], {"n": F.lit(True)}), ["item"], ["n"]).withColumn("inside", F.lit(0).cast("long"))
     return A.summed_override(items, cells, ["item"], ["inside"])
 
 
