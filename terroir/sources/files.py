@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from terroir.functions.text import collapse_spaces, decode_entities, unicode_normalize
-from terroir.operators.common import require_columns, scratch
+from terroir.operators.common import dealt, require_columns, scratch
 
 BOM = "\ufeff"
 
@@ -68,9 +68,11 @@ def scan_xml_items(spark: SparkSession, path: str, row_tag: str, names: dict[str
 
 
 def xml_headers(pages: DataFrame, column: str) -> DataFrame:
-    """Header fields of landed XML pages: result_code, total, message."""
+    """Header fields of landed XML pages: result_code, total, message. Pages are dealt in turn before they are parsed,
+    since many may lie in one file; the fields come from a generator, so that a filter on them doesn't parse again."""
     x = lambda p: F.nullif(F.xpath_string(F.col(column), F.lit(p)), F.lit(""))
-    return pages.withColumns({"result_code": x("//resultCode"), "total": x("//totalCount").try_cast("long"), "message": x("//resultMsg")})
+    fields = F.struct(x("//resultCode").alias("result_code"), x("//totalCount").try_cast("long").alias("total"), x("//resultMsg").alias("message"))
+    return dealt(pages).select("*", F.inline(F.array(fields)))
 
 
 def xml_goods(pages: DataFrame, column: str, schema: str = "asignProduct array<struct<classCode:string,name:string>>") -> DataFrame:
