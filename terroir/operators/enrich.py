@@ -12,9 +12,13 @@ from terroir.operators.common import checked_broadcast
 
 def from_cache(rows: DataFrame, cache: DataFrame, key: str, applicable: Column | None = None) -> DataFrame:
     """Left join of a keyed cache (key, status, ...); enrichment: not_applicable, no_number, not_collected or the
-    cache's status. Every row stays exactly once: the cache must have one entry a key."""
+    cache's status. Every row stays exactly once: the cache must have one entry a key. Rows without a key are many and
+    meet nothing; they are spread over the tasks by their contents and their place instead of meeting in one."""
     state = F.when(~(applicable if applicable is not None else F.lit(True)), "not_applicable").when(F.col(key).isNull(), "no_number").when(F.col("status").isNull(), "not_collected").otherwise(F.col("status"))
-    return rows.join(cache, key, "left").withColumn("enrichment", state).drop("status")
+    plain = [f.name for f in rows.schema.fields if "map<" not in f.dataType.simpleString() and "variant" not in f.dataType.simpleString()]
+    spread = F.when(F.col(key).isNull(), F.xxhash64(*plain, F.spark_partition_id())).otherwise(F.lit(0).cast("long"))
+    met = cache.withColumn("__spread", F.pmod(F.xxhash64(key), F.lit(1)))  # 0 that isn't a constant, so that it stays a key of the join
+    return rows.withColumn("__spread", spread).join(met, [key, "__spread"], "left").withColumn("enrichment", state).drop("status", "__spread")
 
 
 def keep_confirmed(old: Column, new: Column, confirmed: str = "normalized_exact") -> Column:

@@ -4,8 +4,11 @@ import duckdb
 from pyspark.sql import functions as F
 
 from terroir.functions import values as V
+from terroir.operators import distinct as D
+from terroir.operators import enrich as E
 from terroir.operators import score as S
 from terroir.plans import registry
+from terroir.sources import files as L
 
 
 def test_patches_without_rows_at_any_size(spark, tmp_path):
@@ -25,3 +28,38 @@ def test_rates_and_gap_scores_are_rounded_as_in_sql(spark):
     sql = """WITH r AS (SELECT n, reg, round(reg::DOUBLE / n, 4) AS rate FROM range(1, 301) a(n), range(0, 301) b(reg) WHERE reg <= n)
     SELECT n, reg, rate, round(1 - (0.7::DOUBLE * least(1.0::DOUBLE, n / 5.0::DOUBLE) + 0.3::DOUBLE * rate), 4) FROM r"""
     assert found == sorted(duckdb.connect().execute(sql).fetchall())
+
+
+def test_distinct_counts_take_no_bitmap_for_each_cell(spark):
+    """Few keys in each of many cells: nothing is sorted, and what is written has a row a key and cell."""
+    df = spark.range(20_000).selectExpr("id % 4000 key", "id % 97 region", "id % 89 item", "id % 5 = 0 ok")
+    levels = {"cell": ["region", "item"], "item": ["item"], "all": []}
+    out = D.distinct_counts(df, "key", levels, {"n": F.lit(True), "ok_ones": F.col("ok")})
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan and "bitmap" not in plan
+    for level, cells in levels.items():
+        plain = df.groupBy(*cells).agg(F.count_distinct("key").alias("n"), F.count_distinct(F.when(F.col("ok"), F.col("key"))).alias("ok_ones"))
+        plain = plain.select(*[F.col(c).cast("string") if c in cells else F.lit("all").alias(c) for c in levels["cell"]], "n", "ok_ones")
+        assert sorted(map(tuple, out.filter(F.col("level") == level).drop("level").collect())) == sorted(map(tuple, plain.collect()))
+
+
+def test_pages_of_one_file_are_parsed_by_many_tasks_and_once(spark):
+    pages = spark.range(0, 400, 1, 1).selectExpr("id", "concat('<r><resultCode>', if(id % 2 = 0, '00', '30'), '</resultCode></r>') x")
+    good, bad = L.valid_responses(L.xml_headers(pages, "x"))
+    assert bad.select(F.spark_partition_id()).distinct().count() > 8
+    assert bad._jdf.queryExecution().optimizedPlan().toString().count("xpath_string(") <= 3
+    assert (good.count(), sorted(r["id"] for r in bad.collect())) == (200, list(range(1, 400, 2)))
+
+
+def test_rows_without_a_number_are_spread(spark):
+    rows = spark.range(2000).selectExpr("id", "if(id % 2 = 0, null, id) number")
+    cache = spark.range(2000).filter("id % 3 <> 0").selectExpr("cast(id as int) number", "'ok' status")
+    for name, value in (("spark.sql.adaptive.enabled", "false"), ("spark.sql.autoBroadcastJoinThreshold", "-1")):
+        spark.conf.set(name, value)
+    try:
+        out = E.from_cache(rows, cache, "number").withColumn("part", F.spark_partition_id()).collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled"), spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert len({r["part"] for r in out if r["number"] is None}) > 1
+    assert {r["id"]: r["enrichment"] for r in out} == {i: "no_number" if i % 2 == 0 else "ok" if i % 3 else "not_collected" for i in range(2000)}
+    assert len(out) == 2000
