@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 from terroir.functions.values import safe_rate
-from terroir.operators.common import written
+from terroir.operators.common import dealt, written
 
 
 def first_wins(df: DataFrame, keys: list[str], order: list[str | Column]) -> DataFrame:
     """The first row of each key in the given order (ties must be ordered too)."""
-    return df.withColumn("__n", F.row_number().over(W.partitionBy(*keys).orderBy(*order))).filter("__n = 1").drop("__n")
+    return dealt(df, *keys).withColumn("__n", F.row_number().over(W.partitionBy(*keys).orderBy(*order))).filter("__n = 1").drop("__n")
 
 
 def record_key(app: Column, reg: Column, *rest: Column) -> Column:
@@ -92,11 +94,25 @@ def ranked_examples(df: DataFrame, keys: list[str], order: list[Column], n: int)
     return df.withColumn("rank", F.row_number().over(W.partitionBy(*keys).orderBy(*order))).filter(F.col("rank") <= n)
 
 
+#: Pieces into which a key's rows are dealt, each of which passes on what may be an example.
+PIECES = 64
+
+
 def tiered_examples(df: DataFrame, keys: list[str], key: str, registered_inside: Column, evidence: Column, date: str, limit: int, evidenced: int = 3) -> DataFrame:
-    """Registered local records first, then a few by evidence, then the most recent; without repeats, newest first."""
+    """Registered local records first, then a few by evidence, then the most recent; without repeats, newest first.
+
+    A key's rows are dealt into pieces first. A piece passes on its first row by registration, its first ``evidenced`` by
+    evidence, and of its latest as many as are examples even where all of these come before them; every other row has
+    enough rows of its own piece before it in each order.
+    """
+    registered, evident, recent = [F.desc(registered_inside.cast("int")), F.desc(date), F.col(key)], [F.desc(evidence), F.desc(date), F.col(key)], [F.desc(date), F.col(key)]
+    piece = W.partitionBy(*keys, "__piece")
+    numbers = {"__a": (registered, 1), "__b": (evident, evidenced), "__c": (recent, limit + 1 + evidenced)}
+    dealt_rows = dealt(df.withColumn("__piece", F.pmod(F.xxhash64(key), F.lit(PIECES))), *keys, "__piece")
+    placed = dealt_rows.withColumns({n: F.row_number().over(piece.orderBy(*order)) for n, (order, _) in numbers.items()})
+    df = placed.filter(reduce(lambda x, y: x | y, [F.col(n) <= k for n, (_, k) in numbers.items()])).drop(*numbers, "__piece")
     by = W.partitionBy(*keys)
-    first = F.row_number().over(by.orderBy(F.desc(registered_inside.cast("int")), F.desc(date), key))
-    second = F.row_number().over(by.orderBy(F.desc(evidence), F.desc(date), key))
+    first, second = F.row_number().over(by.orderBy(*registered)), F.row_number().over(by.orderBy(*evident))
     tier = F.when(registered_inside & (F.col("__a") == 1), 0).when((evidence > 0) & (F.col("__b") <= evidenced), 1).otherwise(2)
     tiered = df.withColumn("__a", first).withColumn("__b", second).withColumn("tier", tier)
     chosen = ranked_examples(tiered, keys, [F.col("tier"), F.desc(date), F.col(key)], limit).drop("rank", "__a", "__b")
