@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 from terroir.functions.values import normal_set, safe_rate
-from terroir.operators.common import checked_broadcast
+from terroir.operators.common import checked_broadcast, dealt
 
 
 def from_cache(rows: DataFrame, cache: DataFrame, key: str, applicable: Column | None = None) -> DataFrame:
@@ -113,7 +113,7 @@ def merge_hits(old: DataFrame, new: DataFrame, keys: list[str], hit: str, rank:
     """Old and new hits of each key, one of each number: the status of the higher rank, never a lower one; old hits keep
     their places first; at most ``cap``."""
     both = old.withColumn("fresh", F.lit(0)).unionByName(new.withColumn("fresh", F.lit(1)))
-    one = both.groupBy(*keys, hit).agg(F.min("fresh").alias("fresh"), F.max_by("status", rank).alias("status"))
+    one = dealt(both, *keys, hit).groupBy(*keys, hit).agg(F.min("fresh").alias("fresh"), F.max_by("status", rank).alias("status"))
     return one.withColumn("pos", F.row_number().over(W.partitionBy(*keys).orderBy("fresh", hit))).filter(F.col("pos") <= cap)
 
 
