@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
@@ -33,6 +35,11 @@ def goods_match(targets: Column, products: Column, class_shared: Column) -> Colu
     return F.when(F.coalesce(F.size(products), F.lit(0)) == 0, "unverified").when(exact, "normalized_exact").when(holds, "normalized_contains").when(class_shared, "class_only").otherwise("mismatch")
 
 
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is worked out once a row, however often it occurs there."""
+    return F.get(F.transform(F.array(value), lambda x: use(x)), F.lit(0))
+
+
 def goods_evidence(targets: Column, products: Column, classes: Column, most: int = 50) -> Column:
     """How goods match the names they are looked for by, with the evidence, as a struct.
 
@@ -43,25 +50,40 @@ def goods_evidence(targets: Column, products: Column, classes: Column, most: int
     class_matched (counts), evidence: array of (class, goods, kind, target) without repeats, equal names first, then in
     order of the goods, ``most`` at most; a piece's target is the first name that it matches.
     """
-    names = F.transform(targets, lambda t: t["name"])
     count = lambda a: F.coalesce(F.size(a), F.lit(0))
     given = F.coalesce(products, F.array_compact(F.array(F.get(products, F.lit(0)))))  # null: an empty array of its type
-    of_class = F.filter(given, lambda p: (count(classes) == 0) | F.coalesce(F.array_contains(classes, p["class"]), F.lit(False)))
     held = lambda p, t: F.contains(p["name"], t) | F.contains(t, p["name"])
-    same = F.filter(of_class, lambda p: F.coalesce(F.array_contains(names, p["name"]), F.lit(False)))
-    within = F.filter(of_class, lambda p: (F.coalesce(p["name"], F.lit("")) != "") & ~F.array_contains(names, p["name"]) & F.exists(names, lambda t: held(p, t)))
     piece = lambda kind, target: lambda p: F.struct(p["class"].alias("class"), p["goods"].alias("goods"), F.lit(kind).alias("kind"), target(p).alias("target"))
-    pieces = F.concat(F.transform(same, piece("exact", lambda p: p["name"])), F.transform(within, piece("contains", lambda p: F.get(F.filter(names, lambda t: held(p, t)), F.lit(0)))))
     equal = lambda a, b: a["class"].eqNullSafe(b["class"]) & a["goods"].eqNullSafe(b["goods"])
-    once = F.filter(pieces, lambda x, i: ~F.exists(F.slice(pieces, F.lit(1), i), lambda y: equal(x, y)))
-    first = F.get(F.filter(F.transform(targets, lambda t, i: F.struct(i.alias("i"), t["name"].alias("name"), t["notice"].alias("notice"), t["stage"].alias("stage"))), lambda t: (t["i"] > 0) & (t["name"] == F.get(same, F.lit(0))["name"])), F.lit(0))
-    by_self = F.coalesce(F.get(same, F.lit(0))["name"] == F.get(names, F.lit(0)), F.lit(False))
-    method = F.when(F.size(same) > 0, "normalized_exact").when(F.size(within) > 0, "normalized_contains").when(F.size(of_class) > 0, "class_only").when(count(products) > 0, "mismatch").otherwise("unverified")
-    sure = F.when(F.size(same) > 0, "high").when(F.size(within) > 0, "high_contains").when(F.size(of_class) > 0, "candidate_only").when(count(products) > 0, "high").otherwise("unverified")
-    return F.struct(
-        method.alias("method"), sure.alias("confidence"), (F.size(same) == 0).alias("review"), F.when(~by_self, first["notice"]).alias("notice"), F.when(~by_self, first["stage"]).alias("stage"),
-        F.size(F.array_distinct(names)).alias("aliases"), count(products).alias("products"), F.size(of_class).alias("class_matched"), F.slice(once, 1, most).alias("evidence"),
-    )
+
+    def matched(a: Column) -> Column:
+        return F.filter(a["given"], lambda p: (count(a["classes"]) == 0) | F.coalesce(F.array_contains(a["classes"], p["class"]), F.lit(False)))
+
+    def split(a: Column, of_class: Column) -> Column:
+        names = a["names"]
+        same = F.filter(of_class, lambda p: F.coalesce(F.array_contains(names, p["name"]), F.lit(False)))
+        within = F.filter(of_class, lambda p: (F.coalesce(p["name"], F.lit("")) != "") & ~F.array_contains(names, p["name"]) & F.exists(names, lambda t: held(p, t)))
+        return F.struct(same.alias("same"), within.alias("within"))
+
+    def evidence(a: Column, s: Column) -> Column:
+        names = a["names"]
+        pieces = F.concat(F.transform(s["same"], piece("exact", lambda p: p["name"])), F.transform(s["within"], piece("contains", lambda p: F.get(F.filter(names, lambda t: held(p, t)), F.lit(0)))))
+        once = bound(pieces, lambda all_: F.filter(all_, lambda x, i: ~F.exists(F.slice(all_, F.lit(1), i), lambda y: equal(x, y))))
+        return F.slice(once, 1, most)
+
+    def result(a: Column, of_class: Column, s: Column) -> Column:
+        names, same, within = a["names"], s["same"], s["within"]
+        first = F.get(F.filter(F.transform(targets, lambda t, i: F.struct(i.alias("i"), t["name"].alias("name"), t["notice"].alias("notice"), t["stage"].alias("stage"))), lambda t: (t["i"] > 0) & (t["name"] == F.get(same, F.lit(0))["name"])), F.lit(0))
+        by_self = F.coalesce(F.get(same, F.lit(0))["name"] == F.get(names, F.lit(0)), F.lit(False))
+        method = F.when(F.size(same) > 0, "normalized_exact").when(F.size(within) > 0, "normalized_contains").when(F.size(of_class) > 0, "class_only").when(count(products) > 0, "mismatch").otherwise("unverified")
+        sure = F.when(F.size(same) > 0, "high").when(F.size(within) > 0, "high_contains").when(F.size(of_class) > 0, "candidate_only").when(count(products) > 0, "high").otherwise("unverified")
+        return F.struct(
+            method.alias("method"), sure.alias("confidence"), (F.size(same) == 0).alias("review"), F.when(~by_self, first["notice"]).alias("notice"), F.when(~by_self, first["stage"]).alias("stage"),
+            F.size(F.array_distinct(names)).alias("aliases"), count(products).alias("products"), F.size(of_class).alias("class_matched"), evidence(a, s).alias("evidence"),
+        )
+
+    sides = F.struct(F.transform(targets, lambda t: t["name"]).alias("names"), classes.alias("classes"), given.alias("given"))
+    return bound(sides, lambda a: bound(matched(a), lambda of_class: bound(split(a, of_class), lambda s: result(a, of_class, s))))
 
 
 def reference_relations(records: DataFrame, references: DataFrame, key: str, relation: Column) -> DataFrame:

@@ -4,6 +4,7 @@ import duckdb
 from pyspark.sql import functions as F
 
 from terroir.functions import values as V
+from terroir.operators import analyze as A
 from terroir.operators import distinct as D
 from terroir.operators import enrich as E
 from terroir.operators import score as S
@@ -63,3 +64,36 @@ def test_rows_without_a_number_are_spread(spark):
     assert len({r["part"] for r in out if r["number"] is None}) > 1
     assert {r["id"]: r["enrichment"] for r in out} == {i: "no_number" if i % 2 == 0 else "ok" if i % 3 else "not_collected" for i in range(2000)}
     assert len(out) == 2000
+
+
+def test_examples_of_a_large_cell_are_chosen_in_pieces(spark):
+    """One cell of many rows, one of few: the same examples as from windows over whole cells, which see few rows."""
+    df = spark.range(6000).selectExpr("if(id < 5990, 'a', 'b') cell", "id app", "cast(id * 7919 % 83 as int) filed", "cast(id * 31 % 17 as int) - 5 class", "id % 13 = 0 ri")
+    out = A.tiered_examples(df, ["cell"], "app", F.col("ri"), F.col("class"), "filed", 5)
+    assert "REPARTITION_BY_NUM" in out._jdf.queryExecution().executedPlan().toString()
+    expected = []
+    for cell in "ab":
+        rows = [r for r in df.collect() if r["cell"] == cell]
+        first = min(rows, key=lambda r: (-r["ri"], -r["filed"], r["app"]))["app"]
+        evident = [r["app"] for r in sorted(rows, key=lambda r: (-r["class"], -r["filed"], r["app"]))[:3]]
+        tier = lambda r: 0 if r["ri"] and r["app"] == first else 1 if r["class"] > 0 and r["app"] in evident else 2  # noqa: E731, B023
+        chosen = sorted(rows, key=lambda r: (tier(r), -r["filed"], r["app"]))[:5]
+        expected += [(cell, r["app"], tier(r), i + 1) for i, r in enumerate(sorted(chosen, key=lambda r: (-r["filed"], r["app"])))]
+    assert sorted(tuple(r) for r in out.select("cell", "app", "tier", "rank").collect()) == sorted(expected)
+
+
+def test_hits_are_merged_in_a_fixed_number_of_parts(spark):
+    old = spark.range(300).selectExpr("id % 3 k", "id hit", "if(id % 2 = 0, 'a', 'b') status")
+    new = spark.range(200, 500).selectExpr("id % 3 k", "id hit", "'c' status")
+    out = E.merge_hits(old, new, ["k"], "hit", F.col("status"), 90)
+    assert "REPARTITION_BY_NUM" in out._jdf.queryExecution().executedPlan().toString()
+    expected = {(k, h, "c" if h >= 200 else "ab"[h % 2], i + 1) for k in range(3) for i, h in enumerate(range(k, 500, 3)) if i < 90}
+    assert {tuple(r) for r in out.select("k", "hit", "status", "pos").collect()} == expected
+
+
+def test_goods_are_matched_once_a_row(spark):
+    """The fields of the result don't each match the goods again."""
+    row = spark.sql("select array(named_struct('name', 'a', 'notice', 'n', 'stage', 's')) t, array(named_struct('class', 1, 'name', 'ab', 'goods', 'AB')) p, array(1) c")
+    found = row.select(E.goods_evidence(F.col("t"), F.col("p"), F.col("c")).alias("m")).select("m.*")
+    assert found._jdf.queryExecution().analyzed().toString().count("array_contains(") <= 4
+    assert [(r["method"], r["evidence"][0]["target"]) for r in found.collect()] == [("normalized_contains", "a")]
