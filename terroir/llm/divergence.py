@@ -2,15 +2,17 @@
 
 A ``CountVectorizer`` for each language, with ``min_df`` and the largest integer as ``vocabSize``, makes exact sparse
 count vectors of all its documents. It is fitted on the terms that a document adds to what a task has read: once
-``min_df`` documents in a task hold a term, it is known to be kept, and further documents needn't say so. Non-zero
-places of the vectors are added up by source, as a summarizer would add up whole vectors, but without ever making a
-dense one: a row for each term that a source uses.
+``min_df`` documents in a task hold a term, it is known to be kept, and further documents needn't say so. Documents of
+a source that a task reads together share a vector, the sum of theirs. Non-zero places of the vectors are added up by
+source, as a summarizer would add up whole vectors, but without ever making a dense one: a row for each term that a
+source uses. A term's key is the number of its vocabulary and its place there; only what is reported gets names.
 
 Pairs of sources are evaluated on these sparse sums. The value of (a, b) is a sum over all kept terms, most of which
 neither uses. With z the share that a group gives a term that it doesn't use, it is the sum of f(p_a, z_b) over a's
 terms, of f(z_a, p_b) over b's terms and of f(z_a, z_b) over the others, corrected on the terms that both use; the
 first two are sums over the distinct shares of a group, and only the last needs a join by term. Terms of a group are
-ranked in two steps, by parts and then together, so that a source with most of the rows isn't sorted in one task.
+ranked in two steps, by parts and then together, so that a source with most of the rows isn't sorted in one task; those
+below as many others as are reported, told by the largest values of parts of the group, are left out before.
 
 A vocabulary is gathered on the driver and sent to the tasks. It is therefore made in shards of the terms, by hash, if
 a language has more than about ``vocabulary`` distinct terms, as counted from those whose checksum is a multiple of
@@ -49,26 +51,32 @@ VOCABULARY = 2_000_000
 EVERY = 64
 #: Terms of a language that a task remembers while it reads.
 KNOWN = 500_000
+#: Bytes of terms after which documents of a source that are read together start another vector.
+STRETCH = 1 << 17
 #: Shares are counted in parts of this.
 WHOLE = 1_000_000_000
 #: Folders of texts by language, and parts of a group's terms that are ranked before all of them are.
 FOLDERS, PARTS = 16, 16
+#: Parts of a group, for each term to report, whose largest values bound the values reported.
+SLOTS = 8
 #: A word that no text has, which keeps a vocabulary from being empty.
 NO_TERM = " "
-COUNTS = "lang string, source string, term string, n long"
+COUNTS, TERMS = "lang string, source string, key long, n long", "key long, term string"
 
 
 def folded(texts: DataFrame, min_df: int) -> DataFrame:
-    """From rows (lang, source, text): lang, source, words (the terms of the text, joined by single spaces), fresh (those
-    of its distinct terms that fewer than ``min_df`` documents of the language had before in this task) and sample
-    (checksums of terms new to the task, those that are multiples of ``EVERY``)."""
+    """From rows (lang, source, text): lang, source, words (the terms of the text and of those before it in the batch of
+    the same source that have no words yet, joined by single spaces; empty until they are ``STRETCH`` bytes or the batch
+    ends), fresh (those of its distinct terms that fewer than ``min_df`` documents of the language had before in this
+    task) and sample (checksums of terms new to the task, those that are multiples of ``EVERY``)."""
 
     def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: dict[str, dict[bytes, int]] = {}
         settled: dict[str, set[bytes]] = {}
         for batch in batches:
-            words, fresh, samples = [], [], []
-            for lang, text in zip(batch.column(0).to_pylist(), batch.column(2), strict=True):
+            words, fresh, samples = [b""] * batch.num_rows, [], []
+            stretches: dict[tuple[str, str], tuple[int, int, list[bytes]]] = {}  # last row, bytes, words of its rows
+            for i, (lang, source, text) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True)):
                 terms = text.as_py().translate(FOLD).split()
                 known, enough = counts.setdefault(lang, {}), settled.setdefault(lang, set())
                 own, sample = set(terms) - enough, []
@@ -78,12 +86,21 @@ def folded(texts: DataFrame, min_df: int) -> DataFrame:
                         sample.append(h)
                     if n == min_df:
                         enough.add(t)
-                words.append(b" ".join(terms))
+                _, size, stretch = stretches.pop((lang, source), (i, 0, []))
+                if terms:
+                    stretch.append(b" ".join(terms))
+                    size += len(stretch[-1])
+                if size < STRETCH:
+                    stretches[lang, source] = i, size, stretch
+                else:
+                    words[i] = b" ".join(stretch)
                 fresh.append(b" ".join(own))
                 samples.append(sample)
                 if len(known) > KNOWN:  # what is forgotten is told again
                     known.clear()
                     enough.clear()
+            for i, _, stretch in stretches.values():
+                words[i] = b" ".join(stretch)
             strings = [pa.array(x, pa.binary()).cast(pa.string()) for x in (words, fresh)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *strings, pa.array(samples, pa.list_(pa.int64()))], ["lang", "source", "words", "fresh", "sample"])
 
@@ -106,10 +123,11 @@ def squared(p: Column, q: Column) -> Column:
     return F.call_function("div", (p - q) * (p - q), q)
 
 
-def write_sums(texts: DataFrame, lang: str, shards: int, min_df: int, path: str) -> None:
-    """Adds lang, source, term, n of the kept terms of one language to the table at ``path``, from rows (source, words, fresh).
+def write_sums(texts: DataFrame, lang: str, first: int, shards: int, min_df: int, counts: str, names: str) -> int:
+    """Adds lang, source, key, n of the kept terms of one language to the table at ``counts``, and key, term to the one at
+    ``names``, from rows (source, words, fresh); tells how many terms are kept. Vocabularies are numbered from ``first``.
     Each shard is written before the next one's vocabulary is gathered, so that the driver holds one at a time."""
-    spark = texts.sparkSession
+    spark, kept = texts.sparkSession, 0
     for shard in range(shards):
 
         def terms_in(column: str, shard: int = shard) -> Column:
@@ -119,12 +137,15 @@ def write_sums(texts: DataFrame, lang: str, shards: int, min_df: int, path: str)
         never = spark.range(min_df).select(F.array(F.lit(NO_TERM)).alias("terms"))
         model = CountVectorizer(inputCol="terms", outputCol="counts", minDF=float(min_df), vocabSize=2**31 - 1).fit(texts.select(terms_in("fresh").alias("terms")).unionAll(never))
         vector = F.unwrap_udt("counts")
-        places = model.transform(texts.select("source", terms_in("words").alias("terms"))).select("source", F.explode(F.arrays_zip(vector["indices"].alias("at"), vector["values"].alias("n"))).alias("x"))
+        places = model.transform(texts.filter("words != ''").select("source", terms_in("words").alias("terms"))).select("source", F.explode(F.arrays_zip(vector["indices"].alias("at"), vector["values"].alias("n"))).alias("x"))
         summed = places.groupBy("source", F.col("x.at").alias("at")).agg(F.sum("x.n").cast("long").alias("n"))
-        names = pa.array(model.vocabulary, pa.string())
-        terms = spark.createDataFrame(pa.table({"at": pa.array(np.arange(len(names), dtype=np.int32)), "term": names}))
-        named = summed.join(terms, "at").filter(F.col("term") != NO_TERM).select(F.lit(lang).alias("lang"), "source", "term", "n")
-        named.write.mode("append").option("compression", "zstd").parquet(path)
+        key = F.col("at").cast("long") + F.lit((first + shard) << 31)
+        summed.select(F.lit(lang).alias("lang"), "source", key.alias("key"), "n").write.mode("append").parquet(counts)
+        terms = pa.array(model.vocabulary, pa.string())
+        named = spark.createDataFrame(pa.table({"at": pa.array(np.arange(len(terms), dtype=np.int64)), "term": terms}))
+        named.filter(F.col("term") != NO_TERM).select(key.alias("key"), "term").write.mode("append").parquet(names)
+        kept += len(terms) - model.vocabulary.count(NO_TERM)
+    return kept
 
 
 def ranked(df: DataFrame, top: int | None = None) -> DataFrame:
@@ -149,28 +170,40 @@ def audit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", sourc
     groups = written(texts.groupBy("lang", "source").agg(F.lit(0).alias("none")).select("lang", "source"))
     sampled = texts.select("lang", "folder", F.explode_outer("sample").alias("h"))
     sizes = sampled.groupBy("lang", "folder").agg(F.count_distinct("h").alias("n")).collect()  # one row a language
-    counts = f"{checkpoint_folder(spark)}/counts-{uuid.uuid4()}"
+    counts, names = (f"{checkpoint_folder(spark)}/{x}-{uuid.uuid4()}" for x in ("counts", "names"))
     spark.createDataFrame([], COUNTS).write.parquet(counts)
+    spark.createDataFrame([], TERMS).write.parquet(names)
+    kept, vocabularies = [], 0
     for lang, number, n in sorted(map(tuple, sizes)):
-        own = texts.filter((F.col("folder") == number) & (F.col("lang") == lang))
-        write_sums(own, lang, -(-n * EVERY // vocabulary) or 1, min_df, counts)
-    return ranked_parts(groups, spark.read.schema(COUNTS).parquet(counts), top)
-
-
-def ranked_parts(groups: DataFrame, counts: DataFrame, top: int) -> DataFrame:
-    """``audit`` from the groups (lang, source) and their counts (lang, source, term, n)."""
-    in_lang = counts.groupBy("lang", "term").agg(F.sum("n").alias("lang_n"))
-    by_lang = in_lang.groupBy("lang").agg(F.count(F.lit(1)).alias("size"), F.sum("lang_n").alias("lang_total"))
-    by_group = counts.groupBy("lang", "source").agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("used"))
+        own, shards = texts.filter((F.col("folder") == number) & (F.col("lang") == lang)), -(-n * EVERY // vocabulary) or 1
+        kept.append((lang, write_sums(own, lang, vocabularies, shards, min_df, counts, names)))
+        vocabularies += shards
+    sizes = spark.createDataFrame(kept, "lang string, size long")
+    return ranked_parts(groups, spark.read.schema(COUNTS).parquet(counts), spark.read.schema(TERMS).parquet(names), sizes, top)
+
+
+def largest(df: DataFrame, top: int) -> DataFrame:
+    """Of rows (id, key, value), at least the ``top`` largest values of each id, with all that equal the last, and few more:
+    those not below the value that ``top`` parts of the id reach."""
+    most = df.groupBy("id", F.pmod(F.xxhash64("key"), F.lit(SLOTS * top)).alias("slot")).agg(F.max("value").alias("bound"))
+    place = F.row_number().over(W.partitionBy("id").orderBy(F.desc("bound")))
+    bounds = most.withColumn("place", place).filter(F.col("place") == top).select("id", "bound")
+    return df.join(bounds, "id", "left").filter(F.col("bound").isNull() | (F.col("value") >= F.col("bound"))).drop("bound")
+
+
+def ranked_parts(groups: DataFrame, counts: DataFrame, terms: DataFrame, kept: DataFrame, top: int) -> DataFrame:
+    """``audit`` from the groups (lang, source), their counts (lang, source, key, n), the kept terms (key, term) and their
+    number (lang, size)."""
+    by_group = written(counts.groupBy("lang", "source").agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("used")))
+    by_lang = by_group.groupBy("lang").agg(F.sum("total").alias("lang_total")).join(kept, "lang")
     filled = groups.join(by_group, ["lang", "source"], "left").join(by_lang, "lang", "left").fillna(0, ["total", "used", "size", "lang_total"])
     zero = F.when(F.col("size") > 0, share(F.lit(0).cast("long"), F.col("total"), F.col("size")))
-    groups = written(filled.withColumn("zero", zero))
-    shares = written(counts.join(groups, ["lang", "source"]).select("lang", "source", "term", "zero", share(F.col("n"), F.col("total"), F.col("size")).alias("p")), "zstd")
-
-    q = share(F.col("lang_n"), F.col("lang_total"), F.col("size"))
-    in_lang = in_lang.join(by_lang, "lang").select("lang", "term", q.alias("q"))
-    over = shares.join(in_lang, ["lang", "term"]).filter("p > q")
-    by_term = over.select("lang", "source", F.col("term").alias("item"), squared(F.col("p"), F.col("q")).alias("value"))
+    groups = written(filled.withColumn("zero", zero).withColumn("id", F.monotonically_increasing_id()))
+    p, q = share(F.col("n"), F.col("total"), F.col("size")), share(F.col("lang_n"), F.col("lang_total"), F.col("size"))
+    keyed = counts.join(groups.select("lang", "source", "id"), ["lang", "source"]).select("key", "id", "n").withColumn("lang_n", F.sum("n").over(W.partitionBy("key")))
+    shares = written(keyed.join(groups, "id").select("key", "id", "zero", p.alias("p"), q.alias("q")))
+    over = shares.filter("p > q").select("id", "key", squared(F.col("p"), F.col("q")).alias("value"))
+    by_term = (largest(over, top) if top else over).join(terms, "key").join(groups, "id").select("lang", "source", F.col("term").alias("item"), "value")
 
     def of(name: str, df: DataFrame, *more: str) -> DataFrame:
         return df.select("lang", *[F.col(c).alias(f"{name}_{c}") for c in ("source", *more)])
@@ -179,19 +212,20 @@ def ranked_parts(groups: DataFrame, counts: DataFrame, top: int) -> DataFrame:
     a, b = of("a", groups, "used", "zero", "size"), of("b", groups, "used", "zero")
     neither = squared(F.col("a_zero"), F.col("b_zero"))
     rest = a.join(b, "lang").filter(differ).select(*key, F.coalesce((F.col("a_size") - F.col("a_used") - F.col("b_used")) * neither, F.lit(0)).alias("v"))
-    spread = written(shares.groupBy("lang", "source", "p").agg(F.count(F.lit(1)).alias("k")))
+    spread = written(shares.groupBy("id", "p").agg(F.count(F.lit(1)).alias("k")).join(groups.select("id", "lang", "source"), "id"))
     only_a = of("a", spread, "p", "k").join(of("b", groups, "zero"), "lang").filter(differ).select(*key, (F.col("a_k") * squared(F.col("a_p"), F.col("b_zero"))).alias("v"))
     only_b = of("b", spread, "p", "k").join(of("a", groups, "zero"), "lang").filter(differ).select(*key, (F.col("b_k") * squared(F.col("a_zero"), F.col("b_p"))).alias("v"))
-    used = shares.select("lang", "source", "term", "p", "zero")
-    both = used.select("lang", "term", F.col("source").alias("a_source"), F.col("p").alias("a_p"), F.col("zero").alias("a_zero")).join(
-        used.select("lang", "term", F.col("source").alias("b_source"), F.col("p").alias("b_p"), F.col("zero").alias("b_zero")), ["lang", "term"]
-    )
+
+    def uses(name: str) -> DataFrame:
+        return shares.select("key", *[F.col(c).alias(f"{name}_{c}") for c in ("id", "p", "zero")])
 
     def correction(a: str, b: str) -> Column:
         p, q, p_zero, q_zero = (F.col(x) for x in (f"{a}_p", f"{b}_p", f"{a}_zero", f"{b}_zero"))
         return F.sum(squared(p, q) - squared(p, q_zero) - squared(p_zero, q) + squared(p_zero, q_zero))
 
-    common = both.filter("a_source < b_source").groupBy(*key).agg(correction("a", "b").alias("ab"), correction("b", "a").alias("ba"))
+    both = uses("a").join(uses("b"), "key").filter("a_id < b_id")
+    common = both.groupBy("a_id", "b_id").agg(correction("a", "b").alias("ab"), correction("b", "a").alias("ba"))
+    common = common.join(of("a", groups, "id"), "a_id").join(of("b", groups, "id").drop("lang"), "b_id")
     ways = F.array(F.struct("a_source", "b_source", F.col("ab").alias("v")), F.struct(F.col("b_source").alias("a_source"), F.col("a_source").alias("b_source"), F.col("ba").alias("v")))
     shared = common.select("lang", F.explode(ways).alias("x")).select("lang", "x.*")
     summed = reduce(DataFrame.unionAll, [rest, only_a, only_b, shared]).groupBy(*key).agg(F.sum("v").alias("value"))

@@ -120,6 +120,37 @@ def test_audit_of_few_rows(spark):
     assert sorted(map(tuple, divergence.audit(spark.createDataFrame(rows, DOCS)).collect())) == plain_audit(rows) == [("en", "a", "pair", "b", 0, 1), ("en", "b", "pair", "a", 0, 1)]
 
 
+def test_documents_of_a_source_share_vectors(spark, monkeypatch):
+    """Sums are made of few vectors, whatever the number of documents; the vocabulary still counts each of them."""
+    rows = [("en", f"s{i % 2}", f"the cat {'abc'[i % 3]}") for i in range(300)] + [("en", "s0", "")]
+    texts = spark.createDataFrame(rows, "lang string, source string, text string").coalesce(1)
+    out = divergence.folded(texts, 3).collect()
+    assert len(out) == len(rows) and sorted(r["source"] for r in out if r["words"]) == ["s0", "s1"]
+    assert Counter(t for r in out for t in r["words"].split()) == Counter(t for _, _, x in rows for t in x.split())
+    assert Counter(t for r in out for t in r["fresh"].split()) == dict.fromkeys(["the", "cat", "a", "b", "c"], 3)
+    monkeypatch.setattr(divergence, "STRETCH", 20)
+    short = divergence.folded(texts, 3).collect()
+    assert max(len(r["words"]) for r in short) == 29 and Counter(t for r in short for t in r["words"].split()) == Counter(t for r in out for t in r["words"].split())
+
+
+def test_audit_of_many_documents_and_equal_values(spark, monkeypatch):
+    """Stretches end within a batch; more terms than are reported have the same value, in one vocabulary or several."""
+    monkeypatch.setattr(divergence, "STRETCH", 60)
+    rows = documents([(" ".join(f"w{chr(97 + (i * k) % 26)}{chr(97 + k)}" for k in range(1, 12)), "en" if i % 5 else "fr", f"s{i % 3}") for i in range(120)])
+    for vocabulary in (2_000_000, 20):
+        out = divergence.audit(spark.createDataFrame(rows, DOCS), vocabulary=vocabulary, top=7).collect()
+        assert sorted(map(tuple, out)) == plain_audit(rows, top=7)
+
+
+def test_few_values_are_left_to_rank(spark):
+    """Before a group is sorted, what can't be among its largest values is left out; equal values stay."""
+    rows = [(i % 2, i, (i * 7919) % 5000 if i % 2 else 5) for i in range(40_000)] + [(2, i, i) for i in range(5)]
+    left = divergence.largest(spark.createDataFrame(rows, "id long, key long, value long"), 50).collect()
+    by = {k: sorted((r["value"] for r in left if r["id"] == k), reverse=True) for k in range(3)}
+    assert by[0] == [5] * 20_000 and by[2] == [4, 3, 2, 1, 0] and len(by[1]) < 500
+    assert by[1][:50] == sorted((v for k, _, v in rows if k == 1), reverse=True)[:50]
+
+
 def test_shares_are_exact_beyond_64_bits(spark):
     n, total = 10**12 + 7, 10**13 + 1
     got = spark.range(1).select(divergence.share(F.lit(n), F.lit(total), F.lit(10**6))).first()[0]
