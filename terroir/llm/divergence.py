@@ -140,13 +140,13 @@ def write_sums(texts: DataFrame, lang: str, first: int, shards: int, min_df: int
         vector = F.unwrap_udt("counts")
         places = model.transform(texts.filter("words != ''").select("source", terms_in("words").alias("terms"))).select("source", F.explode(F.arrays_zip(vector["indices"].alias("at"), vector["values"].alias("n"))).alias("x"))
         summed = places.groupBy("source", F.col("x.at").alias("at")).agg(F.sum("x.n").cast("long").alias("n"))
+        before = (first + shard) << 31
         terms = pa.array(model.vocabulary, pa.string())  # fetched once: a copy of all terms
-        kept += pc.sum(pc.not_equal(terms, NO_TERM)).as_py() or 0
-        key = F.col("at").cast("long") + F.lit((first + shard) << 31)
-        named = spark.createDataFrame(pa.table({"at": pa.array(np.arange(len(terms), dtype=np.int32)), "term": terms}))
-        named.filter(F.col("term") != NO_TERM).select(key.alias("key"), "term").write.mode("append").parquet(names)
+        named = pa.table({"key": pa.array(np.arange(before, before + len(terms), dtype=np.int64)), "term": terms}).filter(pc.not_equal(terms, NO_TERM))
+        spark.createDataFrame(named).write.mode("append").parquet(names)
+        kept += len(named)
         del terms, named
-        summed.select(F.lit(lang).alias("lang"), "source", key.alias("key"), "n").write.mode("append").parquet(counts)
+        summed.select(F.lit(lang).alias("lang"), "source", (F.col("at").cast("long") + F.lit(before)).alias("key"), "n").write.mode("append").parquet(counts)
     return kept
 
 
