@@ -17,7 +17,8 @@ below as many others as are reported, told by the largest values of parts of the
 A vocabulary is gathered on the driver and sent to the tasks. It is therefore made in shards of the terms, by hash, if
 a language has more than about ``vocabulary`` distinct terms, as counted from those whose checksum is a multiple of
 ``EVERY``: every shard has its own vectorizer and vectors, and their sums are put together; the result is the same.
-Languages are taken one after the other.
+The terms are written in ``DEALT`` columns by hash and a shard reads its own columns only, so that up to as many shards
+together read each term once. Languages are taken one after the other.
 
 All arithmetic is exact: counts are whole doubles below 2^53, products with 10^9 are decimals, squares of shares fit in
 64 bits. Defined results: null text, language and source count as empty; a group without kept terms has pair rows like
@@ -29,6 +30,7 @@ from __future__ import annotations
 
 import uuid
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 from functools import reduce
 
@@ -46,8 +48,8 @@ from terroir.llm.common import checkpoint_folder, documents, text_of, written
 FOLD = bytes(c + 32 if 65 <= c <= 90 else c if 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
 #: Documents that must hold a term, and terms of a group that are reported.
 MIN_DF, TOP = 3, 200
-#: Distinct terms of a language up to which it has one vocabulary.
-VOCABULARY = 2_000_000
+#: Distinct terms of a language up to which it has one vocabulary, and columns over which its terms are dealt.
+VOCABULARY, DEALT = 200_000, 16
 #: One of how many checksums of terms is counted to tell the number of distinct terms.
 EVERY = 64
 #: Terms of a language that a task remembers while it reads.
@@ -65,17 +67,33 @@ NO_TERM = " "
 COUNTS, TERMS = "lang string, source string, key long, n long", "key long, term string"
 
 
-def folded(texts: DataFrame, min_df: int) -> DataFrame:
+def dealt(words: bytes, parts: int) -> list[bytes]:
+    """The words, joined by single spaces, as so many such strings, by a checksum of the word."""
+    if parts == 1:
+        return [words]
+    out: list[list[bytes]] = [[] for _ in range(parts)]
+    for t, n in Counter(words.split()).items():
+        out[zlib.crc32(t) // EVERY % parts] += [t] * n
+    return [b" ".join(x) for x in out]
+
+
+def dealt_columns(column: str, parts: int) -> list[str]:
+    return [f"{column}{i or ''}" for i in range(parts)]
+
+
+def folded(texts: DataFrame, min_df: int, parts: int = 1) -> DataFrame:
     """From rows (lang, source, text): lang, source, words (the terms of the text and of those before it in the batch of
     the same source that have no words yet, joined by single spaces; empty until they are ``STRETCH`` bytes or the batch
     ends), fresh (those of its distinct terms that fewer than ``min_df`` documents of the language had before in this
-    task) and sample (checksums of terms new to the task, those that are multiples of ``EVERY``)."""
+    task) and sample (checksums of terms new to the task, those that are multiples of ``EVERY``). With more ``parts``,
+    words and fresh are dealt over so many columns, words, words1 and so on, by the terms."""
+    words_columns, fresh_columns = dealt_columns("words", parts), dealt_columns("fresh", parts)
 
     def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: dict[str, dict[bytes, int]] = {}
         settled: dict[str, set[bytes]] = {}
         for batch in batches:
-            words, fresh, samples = [b""] * batch.num_rows, [], []
+            words, fresh, samples = [[b""] * parts] * batch.num_rows, [], []
             stretches: dict[tuple[str, str], tuple[int, int, list[bytes]]] = {}  # last row, bytes, words of its rows
             for i, (lang, source, text) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True)):
                 terms = text.as_py().translate(FOLD).split()
@@ -94,22 +112,27 @@ def folded(texts: DataFrame, min_df: int) -> DataFrame:
                 if size < STRETCH:
                     stretches[lang, source] = i, size, stretch
                 else:
-                    words[i] = b" ".join(stretch)
-                fresh.append(b" ".join(own))
+                    words[i] = dealt(b" ".join(stretch), parts)
+                fresh.append(dealt(b" ".join(own), parts))
                 samples.append(sample)
                 if len(known) > KNOWN:  # what is forgotten is told again
                     known.clear()
                     enough.clear()
             for i, _, stretch in stretches.values():
-                words[i] = b" ".join(stretch)
-            strings = [pa.array(x, pa.binary()).cast(pa.string()) for x in (words, fresh)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *strings, pa.array(samples, pa.list_(pa.int64()))], ["lang", "source", "words", "fresh", "sample"])
+                words[i] = dealt(b" ".join(stretch), parts)
+            strings = [pa.array([row[part] for row in x], pa.binary()).cast(pa.string()) for x in (words, fresh) for part in range(parts)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *strings, pa.array(samples, pa.list_(pa.int64()))], ["lang", "source", *words_columns, *fresh_columns, "sample"])
 
-    return texts.select("lang", "source", F.col("text").cast("binary")).mapInArrow(fold, "lang string, source string, words string, fresh string, sample array<bigint>")
+    schema = ", ".join(["lang string", "source string", *(f"{c} string" for c in (*words_columns, *fresh_columns)), "sample array<bigint>"])
+    return texts.select("lang", "source", F.col("text").cast("binary")).mapInArrow(fold, schema)
 
 
-def terms_of(words: Column) -> Column:
-    return F.when(words == "", F.array().cast("array<string>")).otherwise(F.split(words, " "))
+def shards_of(n: int) -> list[tuple[slice, int, int]]:
+    """At least ``n`` shards: the columns that each reads, and which of how many of their terms."""
+    if n <= DEALT:
+        return [(slice(DEALT * i // n, DEALT * (i + 1) // n), 0, 1) for i in range(n)]
+    of = -(-n // DEALT)
+    return [(slice(i, i + 1), j, of) for i in range(DEALT) for j in range(of)]
 
 
 def share(n: Column, total: Column, size: Column) -> Column:
@@ -124,23 +147,25 @@ def squared(p: Column, q: Column) -> Column:
     return F.call_function("div", (p - q) * (p - q), q)
 
 
-def write_sums(texts: DataFrame, lang: str, first: int, shards: int, min_df: int, counts: str, names: str) -> int:
+def write_sums(texts: DataFrame, lang: str, first: int, shards: list[tuple[slice, int, int]], min_df: int, counts: str, names: str) -> int:
     """Adds lang, source, key, n of the kept terms of one language to the table at ``counts``, and key, term to the one at
-    ``names``, from rows (source, words, fresh); tells how many terms are kept. Vocabularies are numbered from ``first``.
+    ``names``, from rows of ``folded`` in ``DEALT`` parts; tells how many terms are kept. Vocabularies are numbered from ``first`` on.
     Each shard is written before the next one's vocabulary is gathered, so that the driver holds one at a time."""
     spark, kept = texts.sparkSession, 0
-    for shard in range(shards):
+    for number, (columns, place, of) in enumerate(shards, first):
 
-        def terms_in(column: str, shard: int = shard) -> Column:
-            terms = terms_of(F.col(column))
-            return F.filter(terms, lambda t: F.pmod(F.xxhash64(t), F.lit(shards)) == shard) if shards > 1 else terms
+        def terms_in(column: str, columns: slice = columns, place: int = place, of: int = of) -> DataFrame:
+            own = [F.nullif(F.col(c), F.lit("")) for c in dealt_columns(column, DEALT)[columns]]
+            terms = F.split(F.concat_ws(" ", *own), " ")
+            terms = F.filter(terms, lambda t: F.pmod(F.xxhash64(t), F.lit(of)) == place) if of > 1 else terms
+            return texts.filter(F.coalesce(*own).isNotNull()).select("source", terms.alias("terms"))
 
         never = spark.range(min_df).select(F.array(F.lit(NO_TERM)).alias("terms"))
-        model = CountVectorizer(inputCol="terms", outputCol="counts", minDF=float(min_df), vocabSize=2**31 - 1).fit(texts.select(terms_in("fresh").alias("terms")).unionAll(never))
+        model = CountVectorizer(inputCol="terms", outputCol="counts", minDF=float(min_df), vocabSize=2**31 - 1).fit(terms_in("fresh").select("terms").unionAll(never))
         vector = F.unwrap_udt("counts")
-        places = model.transform(texts.filter("words != ''").select("source", terms_in("words").alias("terms"))).select("source", F.explode(F.arrays_zip(vector["indices"].alias("at"), vector["values"].alias("n"))).alias("x"))
+        places = model.transform(terms_in("words")).select("source", F.explode(F.arrays_zip(vector["indices"].alias("at"), vector["values"].alias("n"))).alias("x"))
         summed = places.groupBy("source", F.col("x.at").alias("at")).agg(F.sum("x.n").cast("long").alias("n"))
-        before = (first + shard) << 31
+        before = number << 31
         terms = pa.array(model.vocabulary, pa.string())  # fetched once: a copy of all terms
         named = pa.table({"key": pa.array(np.arange(before, before + len(terms), dtype=np.int64)), "term": terms}).filter(pc.not_equal(terms, NO_TERM))
         spark.createDataFrame(named).write.mode("append").parquet(names)
@@ -165,7 +190,7 @@ def audit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", sourc
     (``pair``), and the ``top`` terms that it uses more than its language does (``term``)."""
     spark = docs.sparkSession
     folder = f"{checkpoint_folder(spark)}/terms-{uuid.uuid4()}"
-    texts = folded(docs.select(text_of(lang_col).alias("lang"), text_of(source_col).alias("source"), text_of(text_col).alias("text")), min_df)
+    texts = folded(docs.select(text_of(lang_col).alias("lang"), text_of(source_col).alias("source"), text_of(text_col).alias("text")), min_df, DEALT)
     texts = texts.withColumn("folder", F.pmod(F.xxhash64("lang"), F.lit(FOLDERS)).cast("int"))
     texts.write.option("compression", "zstd").partitionBy("folder").parquet(folder)
     texts = spark.read.schema(texts.schema).parquet(folder)
@@ -177,9 +202,9 @@ def audit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", sourc
     spark.createDataFrame([], TERMS).write.parquet(names)
     kept, vocabularies = [], 0
     for lang, number, n in sorted(map(tuple, sizes)):
-        own, shards = texts.filter((F.col("folder") == number) & (F.col("lang") == lang)), -(-n * EVERY // vocabulary) or 1
+        own, shards = texts.filter((F.col("folder") == number) & (F.col("lang") == lang)), shards_of(-(-n * EVERY // vocabulary) or 1)
         kept.append((lang, write_sums(own, lang, vocabularies, shards, min_df, counts, names)))
-        vocabularies += shards
+        vocabularies += len(shards)
     sizes = spark.createDataFrame(kept, "lang string, size long")
     return ranked_parts(groups, spark.read.schema(COUNTS).parquet(counts), spark.read.schema(TERMS).parquet(names), sizes, top)
 

@@ -142,6 +142,37 @@ def test_audit_of_many_documents_and_equal_values(spark, monkeypatch):
         assert sorted(map(tuple, out)) == plain_audit(rows, top=7)
 
 
+def test_no_vocabulary_is_large(spark, monkeypatch):
+    """What the driver gets at once is a part of a large language's terms; each term is in one of the vocabularies."""
+    sizes, fit = [], divergence.CountVectorizer.fit
+
+    def noted(self, df):
+        model = fit(self, df)
+        sizes.append(len(model.vocabulary) - 1)  # without the word that no text has
+        return model
+
+    monkeypatch.setattr(divergence.CountVectorizer, "fit", noted)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    text = " ".join(f"{a}{b}{c}{d}" for a in letters for b in letters for c in letters for d in letters[:15])
+    out = divergence.audit(spark.createDataFrame(documents([(text, "en", s) for s in "aab"]), DOCS)).collect()
+    assert sum(sizes) == 26**3 * 15 and max(sizes) < 200_000
+    assert sorted(map(tuple, out)) == [("en", "a", "pair", "b", 0, 1), ("en", "b", "pair", "a", 0, 1)]
+
+
+def test_terms_are_dealt_over_columns(spark):
+    """A term is in one part of the words and of the fresh terms; together the parts are the whole."""
+    texts = spark.createDataFrame([("en", f"s{i % 2}", f"the cat {'abc'[i % 3]} É") for i in range(30)] + [("en", "s0", "")], "lang string, source string, text string").coalesce(1)
+    whole, parted = divergence.folded(texts, 3).collect(), divergence.folded(texts, 3, 4).collect()
+    for name in ("words", "fresh"):
+        found = [Counter(t for r in parted for t in r[c].split()) for c in divergence.dealt_columns(name, 4)]
+        assert sum(found, Counter()) == Counter(t for r in whole for t in r[name].split())
+        assert sum(map(len, found)) == len(sum(found, Counter()))
+    for n in (1, 5, 16, 17, 40):
+        shards = divergence.shards_of(n)
+        read = Counter((i, of) for columns, _, of in shards for i in range(16)[columns])
+        assert len(shards) >= n and len(set(map(str, shards))) == len(shards) and len(read) == 16 and all(k == of for (_, of), k in read.items())
+
+
 def test_few_values_are_left_to_rank(spark):
     """Before a group is sorted, what can't be among its largest values is left out; equal values stay."""
     rows = [(i % 2, i, (i * 7919) % 5000 if i % 2 else 5) for i in range(40_000)] + [(2, i, i) for i in range(5)]
