@@ -1,6 +1,7 @@
 """Streams against their batch forms: restarts, reruns, late rows, ties, nulls, timers, and what a batch writes."""
 
 import os
+import random
 from datetime import datetime
 
 from pyspark.sql import functions as F
@@ -130,3 +131,73 @@ def test_pieces_arrive_in_order_and_whole(spark):
     assert listed(got) == listed(df)
     alike = spark.createDataFrame([(i, 1.0) for i in range(5)], "id long, at double")
     assert [S.run_available(s, C.scratch(spark, "out"), C.scratch(spark, "state")).count() for s in S.arriving(alike, "at", 2)][-1] == 5
+
+
+def test_archive_keys_share_groups(spark, tmp_path):
+    """Python and the state store are called by group, of which there are no more however many keys come."""
+    path, shape = tmp_path / "in", "key long, hash string, payload string, run string"
+    spark.range(20_000).selectExpr("id key", "'a' hash", "'p' payload", "'r1' run").write.parquet(str(path))
+    out = state.archive_stream(spark.readStream.schema(shape).parquet(str(path)), str(tmp_path / "state"), str(tmp_path / "out"))
+    assert out.agg(F.count("key"), F.count_distinct("key"), F.min("version"), F.max("version")).first() == (20_000, 20_000, 1, 1)
+    acted = spark.read.parquet(str(tmp_path / "out"))
+    assert acted.filter("action = 'inserted'").count() == acted.count() == 20_000
+    with state.state_store(spark):
+        tables = [spark.read.format("statestore").option("stateVarName", v).option("flattenCollectionTypes", "false").load(str(tmp_path / "state")) for v in ("records", "versions")]
+    assert all(0 < t.count() <= state.SLOTS for t in tables)
+
+
+def archived(batches):
+    """A plain archive: what is done with each row, the records, and all contents."""
+    acted, records, contents = [], {}, {}
+    for batch in batches:
+        for *key, hash, payload, run in sorted(batch, key=lambda r: (r[-1] or "", r[-3] or "")):
+            key = tuple(map(repr, key))
+            now, version, last = records.get(key, (None, 0, ""))
+            if (run or "") < last:
+                action = "late"
+            elif version and now == hash:
+                action = "unchanged"
+            elif (key, hash) in contents:
+                action, version = "reverted", contents[key, hash][0]
+            else:
+                action, version = "updated" if version else "inserted", 1 + sum(k == key for k, _ in contents)
+                contents[key, hash] = version, payload
+            if action != "late":
+                records[key] = hash, version, run or ""
+            acted.append((*key, version, hash, action, run))
+    return sorted(acted, key=repr), sorted(((*k, *r) for k, r in records.items()), key=repr), sorted(((*k, h, *v) for (k, h), v in contents.items()), key=repr)
+
+
+def test_archive_of_groups_equals_a_plain_one(spark, tmp_path, monkeypatch):
+    """All keys in two groups, whose logs are written anew in between; keys of several columns, with nulls, NaN, quotes,
+    microseconds and large numbers."""
+    monkeypatch.setattr(state, "SLOTS", 2)
+    draw = random.Random(5)
+    names = [None, "", "null", 'a"b', "a, b", "ä\n"]
+    whole = [(draw.choice(names), 2**60 + draw.randrange(2), draw.choice([None, 0.1, float("nan")]), datetime(2026, 1, 1, 0, 0, 0, draw.randrange(2))) for _ in range(14)]
+    schema = "name string, number long, rate double, day timestamp, hash string, payload string, run string"
+    land = Landing(spark, tmp_path, schema)
+    batches = [[(*draw.choice(whole), draw.choice(["a", "b", "c", None]), f"p{n}-{i}", draw.choice([f"r{n}", f"r{n + 1}", "r0" if i % 9 else None])) for i in range(draw.choice([3, 40]))] for n in range(6)]
+    batches = [list({(*map(repr, r[:4]), r[4], r[6]): r for r in b}.values()) for b in batches]
+    keys = land().schema.names[:4]
+    for batch in batches:
+        records = state.archive_stream(land(*batch), *land.places, keys=keys)
+    acted, last, contents = archived(batches)
+    plain = lambda df: sorted(((*map(repr, r[:4]), *r[4:]) for r in df.collect()), key=repr)
+    assert plain(spark.read.parquet(land.places[1])) == acted
+    assert {a[6] for a in acted} == {"inserted", "updated", "unchanged", "reverted", "late"}
+    assert plain(records) == last
+    fields = [records.schema[k] for k in keys]
+    assert plain(state.archive_versions(spark, land.places[0], fields)) == contents
+
+
+def test_an_archived_batch_writes_what_it_changes(spark, tmp_path, monkeypatch):
+    """A batch of a hundredth of the keys, and one of late rows, which changes nothing."""
+    monkeypatch.setattr(state, "SLOTS", 16)
+    land = Landing(spark, tmp_path)
+    sizes = [0]
+    for run, keys in (("r2", range(6000)), ("r3", range(0, 6000, 100)), ("r1", range(3, 6000, 100))):
+        state.archive_stream(land(*[record(k, f"{k}-{run}" * 20, run) for k in keys]), *land.places)
+        sizes.append(written(land.places[0]))
+    added = [b - a for a, b in zip(sizes, sizes[1:], strict=False)]
+    assert max(added[1:]) < 0.1 * added[0], added
